@@ -37,10 +37,14 @@ def rounded_ratio(num: Column, den: Column, digits: int, num_digits: int = 0) ->
     non-negative integer.  NULL when ``den`` is 0 or NULL.
     """
     shift = digits - num_digits
-    top = num.cast("bigint") * F.lit(10 ** max(shift, 0)).cast("bigint")
-    bottom = F.nullif(den.cast("bigint"), F.lit(0).cast("bigint")) * F.lit(10 ** max(-shift, 0)).cast("bigint")
+    top, bottom = num.cast("bigint"), den.cast("bigint")
+    if shift > 0:
+        top = top * 10**shift
+    elif shift < 0:
+        bottom = bottom * 10**-shift
+    bottom = F.nullif(bottom, F.lit(0))
     magnitude = F.call_function("div", F.abs(top) * 2 + bottom, bottom * 2)
-    return scaled(F.when(top < 0, -magnitude).otherwise(magnitude), digits)
+    return scaled(F.sign(top).cast("bigint") * magnitude, digits)
 
 
 def scaled(units: Column, digits: int) -> Column:

@@ -229,7 +229,8 @@ def canonical_rules() -> list[Rule]:
 
 def violations(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """(table, rule, violations): all row rules of a table in one pass, one
-    grouped count per unique rule, one anti-join per foreign key."""
+    grouped count per unique rule; a foreign key is counted per value first,
+    so the anti-join sees each value once however often it is used."""
     frames = []
     for table in dict.fromkeys(r.table for r in rules):
         df = tables[table]
@@ -247,8 +248,9 @@ def violations(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
                     .agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("violations"))
                 )
             elif isinstance(rule, ParentRule):
-                n = orphans(df, rule.column, tables[rule.parent], rule.key).agg(
-                    F.count(F.lit(1)).alias("violations")
+                used = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("n"))
+                n = orphans(used, rule.column, tables[rule.parent], rule.key).agg(
+                    F.coalesce(F.sum("n"), F.lit(0)).alias("violations")
                 )
             else:
                 continue

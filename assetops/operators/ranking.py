@@ -9,7 +9,10 @@ driver-side literals, so a task that is retried lands in the same bucket.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -19,25 +22,35 @@ from pyspark.sql import functions as F
 SMALL = 100_000  # rows one task may sort
 MAX_BUCKETS = 4096  # bounds the split points and the broadcast bucket totals
 
+_local_scratch: list[str] = []
 
-def use_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a scratch folder only in local mode."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return folder
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``; a scratch
+    folder, removed at exit, only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not _local_scratch:
+        _local_scratch.append(tempfile.mkdtemp(prefix="assetops-"))
+        atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
+    return _local_scratch[0]
+
+
+def run_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder of this run in the shared folder."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` out once: later passes read it back instead of repeating
-    the fact scans below it, also after executors are lost."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back: later passes scan
+    the columns they need instead of repeating the fact scans below, also
+    after executors are lost, and the optimizer knows the real size."""
+    folder = run_folder(df.sparkSession, "cut")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 @dataclass(frozen=True)
@@ -51,8 +64,9 @@ class RankBy:
     dense: bool = False
     within: tuple[str, ...] = ()
 
-    def order(self, col: str) -> Column:
-        return F.col(col).desc_nulls_first() if self.descending else F.col(col).asc_nulls_last()
+    def order(self, col: str | None = None) -> Column:
+        column = F.col(col or self.col)
+        return column.desc_nulls_first() if self.descending else column.asc_nulls_last()
 
 
 def _bucketed(values: DataFrame, col: str, rows: int, target: int) -> DataFrame:
@@ -80,48 +94,68 @@ def _offsets(bucketed: DataFrame, measure: Column, descending: bool, within: lis
     )
 
 
-def _value_ranks(df: DataFrame, by: RankBy, small: int) -> DataFrame:
-    """(within, value, rank) for every distinct value of ``by.col``."""
-    groups = [F.col(c).alias(f"_w{i}") for i, c in enumerate(by.within)]
-    within = [f"_w{i}" for i in range(len(groups))]
-    values = cut(df.groupBy(*groups, F.col(by.col).alias("_value")).agg(F.count(F.lit(1)).alias("_ties")))
+def _bucketed_values(df: DataFrame, col: str, within: tuple[str, ...], rows: int, small: int) -> DataFrame:
+    """Distinct (within, value) with the number of ties and a bucket."""
+    groups = [F.col(c).alias(f"_w{i}") for i, c in enumerate(within)]
+    values = df.groupBy(*groups, F.col(col).alias("_value")).agg(F.count(F.lit(1)).alias("_ties"))
+    return _bucketed(cut(values), "_value", rows, small)
+
+
+def _positions(bucketed: DataFrame, by: RankBy) -> DataFrame:
+    """(within, value, rank): the position inside the bucket plus the totals
+    of the buckets before it."""
+    within = [f"_w{i}" for i in range(len(by.within))]
     step = F.lit(1) if by.dense else F.col("_ties")
-    rows = values.count()
-    if rows <= small:
-        before = Window.partitionBy(*within).orderBy(by.order("_value")).rowsBetween(Window.unboundedPreceding, -1)
-        ranked = values.withColumn("_rank", F.coalesce(F.sum(step).over(before), F.lit(0)) + 1)
-    else:
-        bucketed = _bucketed(values, "_value", rows, small)
-        inside = (
-            Window.partitionBy(*within, "bucket")
-            .orderBy(by.order("_value"))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        offsets = _offsets(bucketed, step, by.descending, within)
-        same = F.col("in.bucket") == F.col("at.bucket")
-        for c in within:
-            same = same & F.col(f"in.{c}").eqNullSafe(F.col(f"at.{c}"))
-        # Without groups the offsets are at most MAX_BUCKETS + 1 rows.
-        side = offsets if within else F.broadcast(offsets)
-        ranked = (
-            bucketed.withColumn("_inside", F.coalesce(F.sum(step).over(inside), F.lit(0)))
-            .alias("in")
-            .join(side.alias("at"), same)
-            .select("in.*", (F.col("_inside") + F.col("offset") + 1).alias("_rank"))
+    inside = (
+        Window.partitionBy(*within, "bucket")
+        .orderBy(by.order("_value"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = _offsets(bucketed, step, by.descending, within)
+    same = F.col("in.bucket") == F.col("at.bucket")
+    for c in within:
+        same = same & F.col(f"in.{c}").eqNullSafe(F.col(f"at.{c}"))
+    # Without groups the offsets are at most MAX_BUCKETS + 1 rows.
+    side = offsets if within else F.broadcast(offsets)
+    return (
+        bucketed.withColumn("_inside", F.coalesce(F.sum(step).over(inside), F.lit(0)))
+        .alias("in")
+        .join(side.alias("at"), same)
+        .select(
+            *(F.col(f"in.{c}") for c in within),
+            "_value",
+            (F.col("_inside") + F.col("offset") + 1).cast("bigint").alias(by.out),
         )
-    return ranked.select(*within, "_value", F.col("_rank").cast("bigint").alias(by.out))
+    )
 
 
 def global_rank(df: DataFrame, ranks: list[RankBy], small: int = SMALL, is_cut: bool = False) -> DataFrame:
     """Adds each rank as a column.  ``df`` is cut first, so its own inputs are
-    read once whatever the number of ranks."""
-    ranked = base = df if is_cut else cut(df)
+    read once whatever the number of ranks.  Up to ``small`` rows, counted
+    beforehand, are sorted in one task; more take the bucketed way."""
+    base = df if is_cut else cut(df)
+    rows = base.count()
+    if rows <= small:
+        return base.withColumns(
+            {
+                by.out: (F.dense_rank() if by.dense else F.rank())
+                .over(Window.partitionBy(*by.within).orderBy(by.order()))
+                .cast("bigint")
+                for by in ranks
+            }
+        )
+    ranked = base
+    values: dict[tuple, DataFrame] = {}
     for by in ranks:
-        positions = _value_ranks(base, by, small)
+        key = (by.col, by.within)
+        if key not in values:
+            values[key] = _bucketed_values(base, by.col, by.within, rows, small)
         same = F.col(by.col).eqNullSafe(F.col("_value"))
         for i, c in enumerate(by.within):
             same = same & F.col(c).eqNullSafe(F.col(f"_w{i}"))
-        ranked = ranked.join(positions, same, "left").drop("_value", *(f"_w{i}" for i in range(len(by.within))))
+        ranked = ranked.join(_positions(values[key], by), same, "left").drop(
+            "_value", *(f"_w{i}" for i in range(len(by.within)))
+        )
     return ranked
 
 

@@ -20,10 +20,20 @@ def top_k(df: DataFrame, order: list[Column], tiebreak: str, k: int) -> DataFram
     return df.orderBy(*order, F.col(tiebreak).asc_nulls_last()).limit(k)
 
 
-def left_on(df: DataFrame, other: DataFrame, on: str | list[str], keep: Column) -> DataFrame:
+def left_join_facts(df: DataFrame, facts: DataFrame, on: str) -> DataFrame:
+    """``df`` LEFT JOIN ``facts`` where one key may own much of ``facts``.
+
+    An outer join cannot split or broadcast around a hot key on its right
+    side; the inner join can.  The rows without a partner are added by an
+    anti-join on the distinct keys, which are found map-side."""
+    keys = facts.select(on).distinct()
+    return df.join(facts, on).unionByName(df.join(keys, on, "left_anti"), allowMissingColumns=True)
+
+
+def left_on(df: DataFrame, other: DataFrame, on: str, keep: Column) -> DataFrame:
     """Left join whose extra condition belongs to ON: it prunes the right
     side before the join and never drops a left row."""
-    return df.join(other.filter(keep), on, "left")
+    return left_join_facts(df, other.filter(keep), on)
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, include_null: bool = False) -> DataFrame:
@@ -63,10 +73,11 @@ def maintenance_detail(t: Tables, n: int = 10) -> DataFrame:
 
 def equipment_dept_maintenance(t: Tables) -> DataFrame:
     jobs = t.maintenance.select("EquipmentID", "ActualDate", "Cost")
-    return (
-        t.equipment.join(department_names(t), "DepartmentID")
-        .join(jobs, "EquipmentID", "left")
-        .select("Name", "Category", "DeptName", F.col("ActualDate").alias("MaintenanceDate"), "Cost")
+    pieces = t.equipment.join(department_names(t), "DepartmentID").select(
+        "EquipmentID", "Name", "Category", "DeptName"
+    )
+    return left_join_facts(pieces, jobs, "EquipmentID").select(
+        "Name", "Category", "DeptName", F.col("ActualDate").alias("MaintenanceDate"), "Cost"
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LONG, INT, TEXT = T.LongType(), T.IntegerType(), T.StringType()
@@ -193,10 +192,12 @@ class Tables:
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project ``df`` on the canonical columns; absent columns become NULL."""
-    present = {c.lower() for c in df.columns}
-    return df.select(
-        *(
-            (F.col(f.name) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in SCHEMAS[table].fields
+    present = {f.name.lower(): f.dataType for f in df.schema.fields}
+    columns = []
+    for field in SCHEMAS[table].fields:
+        kind = present.get(field.name.lower())
+        value = field.name if kind == field.dataType else (
+            f"CAST({field.name if kind else 'NULL'} AS {field.dataType.simpleString()})"
         )
-    )
+        columns.append(f"{value} AS {field.name}")
+    return df.selectExpr(*columns)

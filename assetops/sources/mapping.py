@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetops.clock import Clock
-from assetops.functions.temporal import is_weekend, plus_days, weekday_name
-from assetops.functions.text import joined
+from assetops.functions.temporal import is_weekend, weekday_name
 from assetops.operators.rules import denial_text, with_holiday
 from assetops.schema import Tables, conform
 
@@ -50,74 +49,70 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pick(key: Column, *values: str) -> Column:
-    """``values[key % n]``; the last value for every remaining remainder."""
-    out = F.lit(values[-1])
-    for i, value in enumerate(values[:-1]):
-        out = F.when(key % len(values) == i, value).otherwise(out)
-    return out
+    """``values[key % n]``."""
+    return F.element_at(F.array(*(F.lit(v) for v in values)), (key % len(values) + 1).cast("int"))
+
+
+def cycle(key: str, *values: str) -> str:
+    """``values[key % n]`` as SQL text."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), int(({key}) % {len(values)} + 1))"
+
+
+def days(count: str) -> str:
+    return f"make_dt_interval(int({count}))"
+
+
+NOW = f"timestamp_ntz'{AS_OF.as_of}'"
 
 
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = raw(spark, sf_dir, "nation"), raw(spark, sf_dir, "region")
-    df = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("DeptID"),
-        F.col("n_name").alias("DeptName"),
-        F.col("r_name").alias("Location"),
-        F.concat(F.lit("Head "), "n_name").alias("HeadOfDept"),
+    df = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "n_nationkey AS DeptID", "n_name AS DeptName", "r_name AS Location", "'Head ' || n_name AS HeadOfDept"
     )
     return conform(df, "departments")
 
 
 def technicians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    df = raw(spark, sf_dir, "supplier").select(
-        key.alias("TechID"),
-        F.col("s_name").alias("FullName"),
-        pick(key, "Electrical", "Mechanical", "Biomedical", "General").alias("Specialty"),
-        F.col("s_nationkey").alias("DepartmentID"),
-        F.when(F.col("s_acctbal") >= 0, "ACTIVE").otherwise("INACTIVE").alias("Status"),
-        F.concat(F.lit("CERTIFIED LEVEL "), (key % 5 + 1).cast("string")).alias("CertificationLevel"),
+    df = raw(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS TechID",
+        "s_name AS FullName",
+        cycle("s_suppkey", "Electrical", "Mechanical", "Biomedical", "General") + " AS Specialty",
+        "s_nationkey AS DepartmentID",
+        "if(s_acctbal >= 0, 'ACTIVE', 'INACTIVE') AS Status",
+        "'CERTIFIED LEVEL ' || (s_suppkey % 5 + 1) AS CertificationLevel",
     )
     return conform(df, "technicians")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    df = raw(spark, sf_dir, "customer").select(
-        key.alias("UserID"),
-        F.concat(F.lit("user"), key.cast("string")).alias("Username"),
-        F.lit("*").alias("PasswordHash"),
-        F.col("c_name").alias("FullName"),
-        pick(key, "ADMIN", "TECHNICIAN", "MANAGER", "VIEWER").alias("Role"),
-        F.col("c_nationkey").alias("DepartmentID"),
-        F.lit("ACTIVE").alias("Status"),
+    df = raw(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS UserID",
+        "'user' || c_custkey AS Username",
+        "'*' AS PasswordHash",
+        "c_name AS FullName",
+        cycle("c_custkey", "ADMIN", "TECHNICIAN", "MANAGER", "VIEWER") + " AS Role",
+        "c_nationkey AS DepartmentID",
+        "'ACTIVE' AS Status",
     )
     return conform(df, "users")
 
 
 def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    shifted = lambda days: plus_days(AS_OF.now, days)
-    serial = joined(
-        F.upper(F.substring("p_type", 1, 4)), "-", key % 11 + 1990, "-", F.lpad((key % 1000).cast("string"), 3, "0")
-    )
-    phase = (F.col("p_size") + key) % 10
-    df = raw(spark, sf_dir, "part").select(
-        key.alias("EquipmentID"),
-        serial.alias("SerialNumber"),
-        F.col("p_name").alias("Name"),
-        pick(F.col("p_size"), "IMAGING", "LABORATORY", "MONITORING", "SURGICAL", "LIFE_SUPPORT").alias("Category"),
-        shifted(-(key * 13 % 5000)).alias("PurchaseDate"),
-        (F.col("p_retailprice").cast("decimal(15,2)") * 1000).alias("PurchasePrice"),
-        F.when(key % 11 != 0, shifted(key * 7 % 900 - 300)).alias("WarrantyExpiry"),
-        F.when(phase == 0, "INACTIVE")
-        .when(phase == 1, "UNDER_MAINTENANCE")
-        .when(phase == 2, "DECOMMISSIONED")
-        .otherwise("ACTIVE")
-        .alias("Status"),
-        (key % 25).alias("DepartmentID"),
-        F.when(key % 17 != 0, shifted(key * 11 % 240 - 60)).alias("NextMaintenanceDate"),
-        (key * 37 % 8760).alias("UtilizationHours"),
+    status = cycle("p_size + p_partkey", "INACTIVE", "UNDER_MAINTENANCE", "DECOMMISSIONED", *["ACTIVE"] * 7)
+    df = raw(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS EquipmentID",
+        """concat_ws('-', upper(left(p_type, 4)), string(p_partkey % 11 + 1990), lpad(string(p_partkey % 1000), 3, '0'))
+            AS SerialNumber""",
+        "p_name AS Name",
+        cycle("p_size", "IMAGING", "LABORATORY", "MONITORING", "SURGICAL", "LIFE_SUPPORT") + " AS Category",
+        f"{NOW} - {days('p_partkey * 13 % 5000')} AS PurchaseDate",
+        "cast(p_retailprice AS decimal(15,2)) * 1000 AS PurchasePrice",
+        f"if(p_partkey % 11 <> 0, {NOW} + {days('p_partkey * 7 % 900 - 300')}, NULL) AS WarrantyExpiry",
+        f"{status} AS Status",
+        "p_partkey % 25 AS DepartmentID",
+        f"if(p_partkey % 17 <> 0, {NOW} + {days('p_partkey * 11 % 240 - 60')}, NULL) AS NextMaintenanceDate",
+        "p_partkey * 37 % 8760 AS UtilizationHours",
     )
     return conform(df, "equipment")
 
@@ -125,47 +120,42 @@ def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (orderkey, linenumber).  Line numbers are below 10, so the
     job id identifies the pair; grouping by the id itself leaves the rows
-    partitioned the way joins on MaintenanceID need them."""
+    partitioned the way joins on MaintenanceID need them.  The flag is one
+    letter: taken as a number, every buffer has a fixed width and the
+    aggregation hashes instead of sorting."""
     return (
         raw(spark, sf_dir, "lineitem")
-        .withColumn("MaintenanceID", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+        .withColumn("MaintenanceID", F.expr("l_orderkey * 10 + l_linenumber"))
         .groupBy("MaintenanceID")
         .agg(
-            F.min("l_partkey").alias("EquipmentID"),
-            F.min("l_suppkey").alias("TechnicianID"),
-            F.max("l_shipdate").alias("ActualDate"),
-            F.min("l_returnflag").alias("flag"),
-            F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("Cost"),
-            F.min("l_quantity").cast("bigint").alias("DowntimeHours"),
+            F.expr("min(l_partkey) AS EquipmentID"),
+            F.expr("min(l_suppkey) AS TechnicianID"),
+            F.expr("max(l_shipdate) AS ActualDate"),
+            F.expr("min(ascii(l_returnflag)) AS flag"),
+            F.expr("sum(cast(l_extendedprice AS decimal(15,2))) AS Cost"),
+            F.expr("bigint(min(l_quantity)) AS DowntimeHours"),
         )
-        .withColumn("lot", F.call_function("div", F.col("MaintenanceID"), F.lit(10)) % 10)
         .withColumn(
             "Status",
-            F.when(F.col("lot") == 0, "CANCELLED")
-            .when(F.col("ActualDate") < AS_OF.now, "COMPLETED")
-            .when(F.col("lot") == 1, "IN_PROGRESS")
-            .otherwise("SCHEDULED"),
+            F.expr(f"""CASE WHEN MaintenanceID div 10 % 10 = 0 THEN 'CANCELLED' WHEN ActualDate < {NOW} THEN 'COMPLETED'
+                WHEN MaintenanceID div 10 % 10 = 1 THEN 'IN_PROGRESS' ELSE 'SCHEDULED' END"""),
         )
     )
 
 
 def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("MaintenanceID")
-    df = _jobs(spark, sf_dir).select(
-        key,
+    df = _jobs(spark, sf_dir).selectExpr(
+        "MaintenanceID",
         "EquipmentID",
         "TechnicianID",
-        F.when(F.col("flag") == "A", "PREVENTIVE")
-        .when(F.col("flag") == "N", "CORRECTIVE")
-        .otherwise("EMERGENCY")
-        .alias("MaintenanceType"),
-        plus_days(F.col("ActualDate"), -(key % 3)).alias("ScheduledDate"),
+        "CASE char(flag) WHEN 'A' THEN 'PREVENTIVE' WHEN 'N' THEN 'CORRECTIVE' ELSE 'EMERGENCY' END AS MaintenanceType",
+        f"ActualDate - {days('MaintenanceID % 3')} AS ScheduledDate",
         "ActualDate",
-        plus_days(F.col("ActualDate"), key % 2 + 1).alias("CompletionDate"),
+        f"ActualDate + {days('MaintenanceID % 2 + 1')} AS CompletionDate",
         "Status",
         "Cost",
-        joined("Maintenance ", key).alias("Description"),
-        F.when(key % 5 == 0, "Filter replacement").when(key % 5 == 1, "Battery replacement").alias("PartsReplaced"),
+        "'Maintenance ' || MaintenanceID AS Description",
+        "CASE MaintenanceID % 5 WHEN 0 THEN 'Filter replacement' WHEN 1 THEN 'Battery replacement' END AS PartsReplaced",
     )
     return conform(df, "maintenance")
 
@@ -173,14 +163,14 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (
         _jobs(spark, sf_dir)
-        .filter((F.col("Status") == "COMPLETED") & (F.col("MaintenanceID") % 7 != 0))
-        .select(
-            F.col("MaintenanceID").alias("HistoryID"),
+        .where("Status = 'COMPLETED' AND MaintenanceID % 7 <> 0")
+        .selectExpr(
+            "MaintenanceID AS HistoryID",
             "EquipmentID",
             "MaintenanceID",
             "TechnicianID",
-            joined("Maintenance ", F.col("MaintenanceID")).alias("ActionTaken"),
-            plus_days(F.col("ActualDate"), 1).alias("DateFixed"),
+            "'Maintenance ' || MaintenanceID AS ActionTaken",
+            f"ActualDate + {days('1')} AS DateFixed",
             "Cost",
             "DowntimeHours",
         )
@@ -189,24 +179,19 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("event_id")
-    status = pick(key, "PENDING", "IN_PROGRESS", "ESCALATED", *["RESOLVED"] * 7)
+    types = ("MAINTENANCE_DUE", "WARRANTY_EXPIRY", "CRITICAL_ISSUE", "LOW_USAGE", "HIGH_USAGE")
     df = (
         raw(spark, sf_dir, "events")
-        .filter(F.col("event_type") == "error")
-        .select(
-            key.alias("AlertID"),
-            F.col("user_id").alias("EquipmentID"),
-            pick(key, "MAINTENANCE_DUE", "WARRANTY_EXPIRY", "CRITICAL_ISSUE", "LOW_USAGE", "HIGH_USAGE").alias(
-                "AlertType"
-            ),
-            joined("Alert ", key).alias("IssueDescription"),
-            pick(key, "LOW", "MEDIUM", "HIGH", "CRITICAL").alias("Priority"),
-            F.col("ts").alias("DateReported"),
-            status.alias("Status"),
-            F.when(status == "RESOLVED", F.col("ts") + F.make_dt_interval(hours=(key % 72).cast("int"))).alias(
-                "ResolutionDate"
-            ),
+        .where("event_type = 'error'")
+        .selectExpr(
+            "event_id AS AlertID",
+            "user_id AS EquipmentID",
+            cycle("event_id", *types) + " AS AlertType",
+            "'Alert ' || event_id AS IssueDescription",
+            cycle("event_id", "LOW", "MEDIUM", "HIGH", "CRITICAL") + " AS Priority",
+            "ts AS DateReported",
+            cycle("event_id", "PENDING", "IN_PROGRESS", "ESCALATED", *["RESOLVED"] * 7) + " AS Status",
+            "if(event_id % 10 > 2, ts + make_dt_interval(0, int(event_id % 72)), NULL) AS ResolutionDate",
         )
     )
     return conform(df, "alerts")
@@ -214,18 +199,14 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_changes(events: DataFrame) -> DataFrame:
     """Events (a table or a stream) that stand for changes: all but ``error``."""
-    key = F.col("event_id")
-    return events.filter(F.col("event_type") != "error").select(
-        key.alias("change_id"),
-        F.call_function("div", key, F.lit(4)).alias("statement_id"),
-        F.when(key % 2 == 0, "EQUIPMENT").otherwise("MAINTENANCE").alias("table_name"),
-        F.when(F.col("event_type") == "signup", "INSERT")
-        .when(F.col("event_type") == "click", "DELETE")
-        .otherwise("UPDATE")
-        .alias("op"),
-        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("username"),
-        F.col("ts").alias("event_ts"),
-        F.col("user_id").alias("row_key"),
+    return events.where("event_type <> 'error'").selectExpr(
+        "event_id AS change_id",
+        "event_id div 4 AS statement_id",
+        "if(event_id % 2 = 0, 'EQUIPMENT', 'MAINTENANCE') AS table_name",
+        "CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'click' THEN 'DELETE' ELSE 'UPDATE' END AS op",
+        "'user' || user_id AS username",
+        "ts AS event_ts",
+        "user_id AS row_key",
     )
 
 
