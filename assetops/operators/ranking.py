@@ -28,10 +28,15 @@ _local_scratch: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``; a scratch
     folder, removed at exit, only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
     if folder is not None:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if not _local_scratch:
         _local_scratch.append(tempfile.mkdtemp(prefix="assetops-"))
@@ -79,7 +84,8 @@ def _bucketed(values: DataFrame, col: str, rows: int, target: int) -> DataFrame:
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     cutter = Bucketizer(splits=splits, inputCol="_v", outputCol="bucket", handleInvalid="keep")
-    return cutter.transform(numeric).drop("_v").withColumn("bucket", F.col("bucket").cast("int"))
+    highest = F.lit(len(splits) - 1)
+    return cutter.transform(numeric).drop("_v").withColumn("bucket", F.coalesce(F.col("bucket").cast("int"), highest))
 
 
 def _offsets(bucketed: DataFrame, measure: Column, descending: bool, within: list[str]) -> DataFrame:
