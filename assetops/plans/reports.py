@@ -359,8 +359,8 @@ def risk_rows(t: Tables, clock: Clock, fanout: str = "as_written", hourly_cents:
     )
     pieces = (
         features(t, clock, F.col("Status") != DECOMMISSIONED, hourly_cents, with_history=True)
+        .join(open_alerts, "EquipmentID", "left")  # still partitioned by EquipmentID
         .join(department_names(t), "DepartmentID")
-        .join(open_alerts, "EquipmentID", "left")
     )
     alerts, critical = or_zero(F.col("alerts")), or_zero(F.col("critical"))
     job_rows = F.greatest("job_rows", F.lit(1))
@@ -400,7 +400,10 @@ def risk_rows(t: Tables, clock: Clock, fanout: str = "as_written", hourly_cents:
 def equipment_risk_assessment(
     t: Tables, clock: Clock, fanout: str = "as_written", hourly_cents: int = 100
 ) -> DataFrame:
-    return risk_rows(t, clock, fanout, hourly_cents).orderBy("Health_Score", F.col("Failure_Risk").desc())
+    # Sorts end with a unique column: equal scores then spread over tasks.
+    return risk_rows(t, clock, fanout, hourly_cents).orderBy(
+        "Health_Score", F.col("Failure_Risk").desc(), "EquipmentID"
+    )
 
 
 def _unhealthiest(t: Tables, clock: Clock, below: int, k: int) -> DataFrame:
@@ -413,7 +416,7 @@ def _unhealthiest(t: Tables, clock: Clock, below: int, k: int) -> DataFrame:
         .join(departments.select("DepartmentID"), "DepartmentID", "left_semi")
         .select(*t.equipment.columns, "health_units")
     )
-    chosen = top_k(candidates, [F.col("health_units").asc()], "EquipmentID", k).drop("health_units")
+    chosen = cut(top_k(candidates, [F.col("health_units").asc()], "EquipmentID", k).drop("health_units"))
     ids = chosen.select("EquipmentID")
     jobs = t.maintenance.join(F.broadcast(ids) if k <= 10_000 else ids, "EquipmentID", "left_semi")
     return (
@@ -529,7 +532,7 @@ def monthly_performance(
             RankBy("Avg_Downtime_Hours", "Downtime_Rank", descending=False),
             RankBy("Avg_Health_Score", "Health_Rank"),
         ],
-    ).orderBy(F.col("Total_Maintenance_Cost").desc())
+    ).orderBy(F.col("Total_Maintenance_Cost").desc(), "DeptName")
 
 
 def equipment_lifecycle(t: Tables, clock: Clock, hourly_cents: int = 100) -> DataFrame:
@@ -565,7 +568,7 @@ def equipment_lifecycle(t: Tables, clock: Clock, hourly_cents: int = 100) -> Dat
         .alias("Lifecycle_Recommendation"),
         "ROI_Percentage",
         domain.labelled(roi, [(5, "LOW ROI"), (15, "MODERATE ROI")], "HIGH ROI").alias("ROI_Category"),
-    ).orderBy(F.col("Age_Years").desc(), "Health_Score")
+    ).orderBy(F.col("Age_Years").desc(), "Health_Score", "EquipmentID")
 
 
 # Priority bands of the predictive schedule as
@@ -629,7 +632,7 @@ def predictive_schedule(t: Tables, clock: Clock, lookahead_days: int = 90) -> Da
             _band(score, 3, clock).alias("Estimated_Cost"),
             specialty.alias("Recommended_Specialty"),
         )
-        .orderBy(score.desc(), F.col("Last_Maintenance_Date").asc_nulls_first())
+        .orderBy(score.desc(), F.col("Last_Maintenance_Date").asc_nulls_first(), "EquipmentID")
     )
 
 
@@ -649,8 +652,8 @@ def equipment_health(t: Tables, clock: Clock) -> DataFrame:
     score = domain.as_score(F.col("health_units"))
     return (
         with_health(t.equipment.filter(status_is(ACTIVE)), clock)
-        .join(department_names(t), "DepartmentID")
         .join(totals, "EquipmentID", "left")
+        .join(department_names(t), "DepartmentID")
         .select(
             "EquipmentID",
             "Name",
@@ -663,7 +666,7 @@ def equipment_health(t: Tables, clock: Clock) -> DataFrame:
             score.alias("Health_Score"),
             domain.health_label(score).alias("Health_Status"),
         )
-        .orderBy(F.col("Health_Score").desc())
+        .orderBy(F.col("Health_Score").desc(), "EquipmentID")
     )
 
 
@@ -685,7 +688,7 @@ def maintenance_cost(t: Tables, clock: Clock) -> DataFrame:
         plain_ratio(F.col("cost"), F.col("cost_n")).alias("Avg_Cost"),
         F.col("downtime").alias("Total_Downtime"),
         rounded_ratio(cents(F.col("cost")), F.col("rows"), 2, 2).alias("Cost_Per_Maintenance"),
-    ).orderBy(F.col("Month").desc(), F.col("Total_Cost").desc_nulls_first())
+    ).orderBy(F.col("Month").desc(), F.col("Total_Cost").desc_nulls_first(), "DeptName")
 
 
 def technician_totals(t: Tables, keep: Column | None) -> DataFrame:
@@ -726,8 +729,8 @@ def technician_dashboard(t: Tables, clock: Clock) -> DataFrame:
     totals = technician_totals(t, F.col("ActualDate") >= clock.months_ago(3))
     return (
         global_rank(totals, [RankBy("Total_Jobs", "Performance_Rank")])
+        .orderBy("Performance_Rank", "TechID")
         .drop("TechID")
-        .orderBy("Performance_Rank", "FullName")
     )
 
 
@@ -737,6 +740,7 @@ def utilization_dashboard(t: Tables, small: int | None = None) -> DataFrame:
         t.equipment.filter(status_is(ACTIVE))
         .join(department_names(t), "DepartmentID")
         .select(
+            "EquipmentID",
             "Name",
             "DeptName",
             "UtilizationHours",
@@ -745,6 +749,8 @@ def utilization_dashboard(t: Tables, small: int | None = None) -> DataFrame:
         )
     )
     options = {} if small is None else {"small": small}
-    return global_rank(rows, [RankBy("UtilizationHours", "Utilization_Rank")], **options).orderBy(
-        F.col("Utilization_Percentage").desc()
+    return (
+        global_rank(rows, [RankBy("UtilizationHours", "Utilization_Rank")], **options)
+        .orderBy(F.col("Utilization_Percentage").desc(), "EquipmentID")
+        .drop("EquipmentID")
     )

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetops.schema import SCHEMAS, Tables, conform
+from assetops.schema import KEYS, SCHEMAS, Tables, conform
 
 # The date a table is filtered by: rows are clustered on it, so a scan skips
 # files and row groups by their min/max statistics.
@@ -32,13 +32,33 @@ def write_tables(t: Tables, path: str, fmt: str = "parquet") -> None:
     for name, df in t.items():
         df = conform(df, name)
         if name in CLUSTER_BY:
-            df = df.repartitionByRange(F.col(CLUSTER_BY[name])).sortWithinPartitions(CLUSTER_BY[name])
+            # The key splits a date that holds much of the table.
+            order = (CLUSTER_BY[name], KEYS[name])
+            df = df.repartitionByRange(*(F.col(c) for c in order)).sortWithinPartitions(*order)
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.save(f"{path}/{name}")
 
 
+# Tables that are joined on a job, and the column they are bucketed by.
+BUCKET_BY = {"maintenance": "MaintenanceID", "history": "MaintenanceID"}
+
+
+def save_bucketed(t: Tables, path: str, buckets: int, prefix: str = "assetops_") -> None:
+    """Catalog tables over ``path``; jobs and history share their buckets, so
+    the join every report starts with shuffles neither side."""
+    for name, df in t.items():
+        writer = conform(df, name).write.mode("overwrite").option("path", f"{path}/{name}")
+        if name in BUCKET_BY:
+            writer = writer.bucketBy(buckets, BUCKET_BY[name]).sortBy(BUCKET_BY[name])
+        writer.saveAsTable(prefix + name)
+
+
+def load_bucketed(spark: SparkSession, prefix: str = "assetops_") -> Tables:
+    return Tables(**{name: spark.table(prefix + name) for name in SCHEMAS})
+
+
 def write_snapshot(df: DataFrame, path: str, partition_col: str) -> None:
     """Replace only the partitions present in ``df``: re-running a day or a
     month rewrites it and leaves the others alone."""
