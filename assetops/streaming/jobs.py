@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from assetops.clock import Clock
 from assetops.functions.numeric import count_if
+from assetops.functions.temporal import as_instant, from_instant
 from assetops.operators.rules import TableSpec, audit_changes, completion_effects, warranty_alerts
 
 
@@ -29,7 +30,7 @@ def file_stream(
 
 def event_time(df: DataFrame, col: str) -> DataFrame:
     """Watermarks accept zoned timestamps only."""
-    return df.withColumn(col, F.col(col).cast("timestamp"))
+    return df.withColumn(col, as_instant(F.col(col)))
 
 
 def _run(writer) -> None:
@@ -50,13 +51,20 @@ def stream_audit(changes: DataFrame, spec: TableSpec, holidays: DataFrame, out_p
 
 
 def stream_warranty_alerts(
-    changes: DataFrame, clock: Clock, out_path: str, ckpt: str, lateness: str = "1 day"
+    changes: DataFrame, clock: Clock, out_path: str, ckpt: str, lateness: str | None = None
 ) -> None:
-    """Warranty alerts, once per change even if the feed repeats it within
-    ``lateness``."""
-    timed = event_time(changes, "event_ts").withWatermark("event_ts", lateness)
-    alerts = warranty_alerts(timed, clock, ("change_id", "event_ts"))
-    _append(alerts.dropDuplicatesWithinWatermark(["change_id"]).drop("event_ts"), out_path, ckpt)
+    """Warranty alerts, once per change even if the feed repeats it.
+
+    Without ``lateness`` the ids of all changes that raised an alert are kept,
+    and no change is ever too late.  With it only ids inside the watermark are
+    kept, so it must cover the disorder of the feed."""
+    carried = ("change_id", "event_ts")
+    if lateness is None:
+        alerts = warranty_alerts(changes, clock, carried).dropDuplicates(["change_id"])
+    else:
+        timed = event_time(changes, "event_ts").withWatermark("event_ts", lateness)
+        alerts = warranty_alerts(timed, clock, carried).dropDuplicatesWithinWatermark(["change_id"])
+    _append(alerts.drop("event_ts"), out_path, ckpt)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -78,14 +86,18 @@ def stream_completion(changes: DataFrame, out_dirs: dict[str, str], ckpt: str) -
     _run(changes.writeStream.foreachBatch(fan_out).option("checkpointLocation", ckpt))
 
 
-def hourly_counts(audit: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def hourly_counts(audit: DataFrame, lateness: str | None = None) -> DataFrame:
     """Audited operations per tumbling hour.  Exact distinct counts do not
-    exist in streaming aggregation, so users are counted approximately."""
+    exist in streaming aggregation, so users are counted approximately.
+
+    The state is one row per hour, small enough to keep: without ``lateness``
+    a late row still counts.  With it hours behind the watermark are closed."""
     status = F.col("Status")
+    timed = event_time(audit, "Timestamp")
+    if lateness is not None:
+        timed = timed.withWatermark("Timestamp", lateness)
     return (
-        event_time(audit, "Timestamp")
-        .withWatermark("Timestamp", lateness)
-        .groupBy(F.window("Timestamp", "1 hour"))
+        timed.groupBy(F.window("Timestamp", "1 hour"))
         .agg(
             F.count(F.lit(1)).alias("Total_Operations"),
             count_if(status == "DENIED").alias("Denied_Operations"),
@@ -93,12 +105,12 @@ def hourly_counts(audit: DataFrame, lateness: str = "1 hour") -> DataFrame:
             count_if(status == "ERROR").alias("Error_Operations"),
             F.approx_count_distinct("Username").alias("Approx_Users"),
         )
-        .select(F.col("window.start").cast("timestamp_ntz").alias("Hour_Start"), "*")
+        .select(from_instant(F.col("window.start")).alias("Hour_Start"), "*")
         .drop("window")
     )
 
 
-def stream_audit_hourly(audit: DataFrame, out_path: str, ckpt: str, lateness: str = "1 hour") -> None:
+def stream_audit_hourly(audit: DataFrame, out_path: str, ckpt: str, lateness: str | None = None) -> None:
     """Hourly counts in update mode: every batch stores the hours it changed,
     so the hours that are still open are in the result too."""
     _run(

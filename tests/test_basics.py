@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from assetops.clock import Clock, month_bounds, ntz
 from assetops.functions import domain
 from assetops.functions.numeric import percent, rounded_ratio
-from assetops.functions.temporal import plus_days, whole_days, whole_seconds
+from assetops.functions.temporal import as_instant, from_instant, plus_days, whole_days, whole_seconds
 from assetops.functions.text import joined
 from assetops.operators.facts import features, with_health
 
@@ -75,6 +75,18 @@ def test_durations(spark):
     assert tuple(df.first()) == (3, -1, 2 * 86400 + 61, NOW + timedelta(days=2))
 
 
+def test_instants_ignore_daylight_saving(spark):
+    moments = [datetime(2025, 3, 9, 2, 30), datetime(2025, 11, 2, 1, 30, 0, 250001), datetime(1969, 12, 31, 23)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(m,) for m in moments], "m timestamp_ntz")
+        got = df.select("m", from_instant(as_instant(F.col("m"))), F.unix_seconds(as_instant(F.col("m")))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(r[0] == r[1] for r in got)
+    assert [r[2] for r in got] == [1741487400, 1762047000, -3600]
+
+
 def test_absent_text_vanishes(spark):
     df = spark.createDataFrame([("a", None)], "x string, y string")
     assert df.select(joined("<", F.col("x"), F.col("y"), ">")).first()[0] == "<a>"

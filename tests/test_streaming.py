@@ -57,7 +57,8 @@ def test_completion_is_idempotent_per_batch(spark, t, tmp_path):
     assert spark.read.parquet(out["history"]).count() == before
 
 
-def test_warranty_alerts_drop_replays(spark, t, event_files, tmp_path):
+@pytest.mark.parametrize("lateness", [None, "60 days"])
+def test_warranty_alerts_drop_replays(spark, t, event_files, tmp_path, lateness):
     near = t.equipment.withColumn("Status", F.lit("ACTIVE")).withColumn(
         "WarrantyExpiry", AS_OF.in_days(3) + F.make_dt_interval(days=(F.col("EquipmentID") % 100).cast("int"))
     )
@@ -66,15 +67,17 @@ def test_warranty_alerts_drop_replays(spark, t, event_files, tmp_path):
     twice = str(tmp_path / "twice")
     events.unionByName(events).repartitionByRange(2, "ts").write.parquet(twice)
     changes = feeds.equipment_changes(as_changes(stream(spark, twice)), lively)
-    streams.stream_warranty_alerts(changes, AS_OF, str(tmp_path / "out"), str(tmp_path / "state"), "60 days")
+    streams.stream_warranty_alerts(changes, AS_OF, str(tmp_path / "out"), str(tmp_path / "state"), lateness)
     batch = rules.warranty_alerts(feeds.equipment_changes(audited_events(spark, SF), lively), AS_OF)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() > 100 and rows(got) == rows(batch)
 
 
-def test_hourly_counts_include_open_hours(spark, t, event_files, tmp_path):
+@pytest.mark.parametrize("lateness", [None, "60 days"])
+def test_hourly_counts_include_open_and_late_hours(spark, t, event_files, tmp_path, lateness):
+    """The files arrive in any order."""
     audit = audit_rows(as_changes(stream(spark, event_files)), t.holidays)
-    streams.stream_audit_hourly(audit, str(tmp_path / "out"), str(tmp_path / "state"))
+    streams.stream_audit_hourly(audit, str(tmp_path / "out"), str(tmp_path / "state"), lateness)
     got = streams.latest_hours(spark, str(tmp_path / "out")).select(
         "Hour_Start", "Total_Operations", "Denied_Operations"
     )
