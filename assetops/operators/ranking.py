@@ -88,16 +88,17 @@ def _bucketed(values: DataFrame, col: str, rows: int, target: int) -> DataFrame:
     return cutter.transform(numeric).drop("_v").withColumn("bucket", F.coalesce(F.col("bucket").cast("int"), highest))
 
 
-def _offsets(bucketed: DataFrame, measure: Column, descending: bool, within: list[str]) -> DataFrame:
-    """Total of ``measure`` in the buckets before each bucket: at most
-    MAX_BUCKETS + 1 rows per group, which bounds the window."""
-    order = F.col("bucket").desc() if descending else F.col("bucket").asc()
-    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        bucketed.groupBy(*within, "bucket")
-        .agg(F.sum(measure).alias("total"))
-        .select(*within, "bucket", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
-    )
+def _offsets(bucketed: DataFrame, measures: list[tuple[Column, bool]], within: list[str]) -> DataFrame:
+    """``offset0``, ``offset1``, ...: the total of each (measure, descending)
+    in the buckets before each bucket.  A group has at most MAX_BUCKETS + 1
+    rows here, which bounds the windows."""
+    totals = bucketed.groupBy(*within, "bucket").agg(*(F.sum(m).alias(f"total{i}") for i, (m, _) in enumerate(measures)))
+    columns = []
+    for i, (_, descending) in enumerate(measures):
+        order = F.col("bucket").desc() if descending else F.col("bucket").asc()
+        before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        columns.append(F.coalesce(F.sum(f"total{i}").over(before), F.lit(0)).alias(f"offset{i}"))
+    return totals.select(*within, "bucket", *columns)
 
 
 def _bucketed_values(df: DataFrame, col: str, within: tuple[str, ...], rows: int, small: int) -> DataFrame:
@@ -107,30 +108,35 @@ def _bucketed_values(df: DataFrame, col: str, within: tuple[str, ...], rows: int
     return _bucketed(cut(values), "_value", rows, small)
 
 
-def _positions(bucketed: DataFrame, by: RankBy) -> DataFrame:
-    """(within, value, rank): the position inside the bucket plus the totals
-    of the buckets before it."""
-    within = [f"_w{i}" for i in range(len(by.within))]
-    step = F.lit(1) if by.dense else F.col("_ties")
-    inside = (
-        Window.partitionBy(*within, "bucket")
-        .orderBy(by.order("_value"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = _offsets(bucketed, step, by.descending, within)
+def _positions(bucketed: DataFrame, ranks: list[RankBy]) -> DataFrame:
+    """(within, value, rank, ...) for ranks by one column: the position inside
+    the bucket plus the totals of the buckets before it."""
+    within = [f"_w{i}" for i in range(len(ranks[0].within))]
+    steps = [F.lit(1) if by.dense else F.col("_ties") for by in ranks]
+    offsets = _offsets(bucketed, [(step, by.descending) for step, by in zip(steps, ranks)], within)
     same = F.col("in.bucket") == F.col("at.bucket")
     for c in within:
         same = same & F.col(f"in.{c}").eqNullSafe(F.col(f"at.{c}"))
+    counted = bucketed
+    for i, (step, by) in enumerate(zip(steps, ranks)):
+        inside = (
+            Window.partitionBy(*within, "bucket")
+            .orderBy(by.order("_value"))
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        counted = counted.withColumn(f"_inside{i}", F.coalesce(F.sum(step).over(inside), F.lit(0)))
     # Without groups the offsets are at most MAX_BUCKETS + 1 rows.
     side = offsets if within else F.broadcast(offsets)
     return (
-        bucketed.withColumn("_inside", F.coalesce(F.sum(step).over(inside), F.lit(0)))
-        .alias("in")
+        counted.alias("in")
         .join(side.alias("at"), same)
         .select(
             *(F.col(f"in.{c}") for c in within),
             "_value",
-            (F.col("_inside") + F.col("offset") + 1).cast("bigint").alias(by.out),
+            *(
+                (F.col(f"_inside{i}") + F.col(f"offset{i}") + 1).cast("bigint").alias(by.out)
+                for i, by in enumerate(ranks)
+            ),
         )
     )
 
@@ -138,7 +144,8 @@ def _positions(bucketed: DataFrame, by: RankBy) -> DataFrame:
 def global_rank(df: DataFrame, ranks: list[RankBy], small: int = SMALL, is_cut: bool = False) -> DataFrame:
     """Adds each rank as a column.  ``df`` is cut first, so its own inputs are
     read once whatever the number of ranks.  Up to ``small`` rows, counted
-    beforehand, are sorted in one task; more take the bucketed way."""
+    beforehand, are sorted in one task; more take the bucketed way, with one
+    join back per ranked column."""
     base = df if is_cut else cut(df)
     rows = base.count()
     if rows <= small:
@@ -151,18 +158,16 @@ def global_rank(df: DataFrame, ranks: list[RankBy], small: int = SMALL, is_cut:
             }
         )
     ranked = base
-    values: dict[tuple, DataFrame] = {}
-    for by in ranks:
-        key = (by.col, by.within)
-        if key not in values:
-            values[key] = _bucketed_values(base, by.col, by.within, rows, small)
-        same = F.col(by.col).eqNullSafe(F.col("_value"))
-        for i, c in enumerate(by.within):
+    for col, within in dict.fromkeys((by.col, by.within) for by in ranks):
+        alike = [by for by in ranks if (by.col, by.within) == (col, within)]
+        values = _bucketed_values(base, col, within, rows, small)
+        same = F.col(col).eqNullSafe(F.col("_value"))
+        for i, c in enumerate(within):
             same = same & F.col(c).eqNullSafe(F.col(f"_w{i}"))
-        ranked = ranked.join(_positions(values[key], by), same, "left").drop(
-            "_value", *(f"_w{i}" for i in range(len(by.within)))
+        ranked = ranked.join(_positions(values, alike), same, "left").drop(
+            "_value", *(f"_w{i}" for i in range(len(within)))
         )
-    return ranked
+    return ranked.select(*base.columns, *(by.out for by in ranks))
 
 
 def row_numbers(df: DataFrame, by: RankBy, unique: str, small: int = SMALL) -> DataFrame:
@@ -184,12 +189,12 @@ def dense_numbers(df: DataFrame, key: str, out: str, start: int = 0, small: int
     if rows <= small:
         return base.withColumn(out, (F.row_number().over(Window.orderBy(F.col(key).asc_nulls_last())) + start).cast("bigint"))
     bucketed = _bucketed(base, key, rows, small)
-    offsets = _offsets(bucketed, F.lit(1), False, [])
+    offsets = _offsets(bucketed, [(F.lit(1), False)], [])
     number = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col(key).asc_nulls_last()))
     return (
         bucketed.join(F.broadcast(offsets), "bucket")
-        .withColumn(out, (number + F.col("offset") + start).cast("bigint"))
-        .drop("bucket", "offset")
+        .withColumn(out, (number + F.col("offset0") + start).cast("bigint"))
+        .drop("bucket", "offset0")
     )
 
 
