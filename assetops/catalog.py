@@ -14,7 +14,7 @@ from assetops.functions.portable import portable
 from assetops.functions.temporal import clock_label, day_label
 from assetops.operators import intake, quality, relational, rules
 from assetops.operators.facts import with_age
-from assetops.operators.ranking import RankBy, append_with_keys, cut, global_rank, run_folder
+from assetops.operators.ranking import RankBy, append_with_keys, global_rank
 from assetops.plans import metrics, reports, snapshots
 from assetops.schema import ACTIVE, Tables
 from assetops.sources import feeds, gen1, synth
@@ -31,6 +31,7 @@ from assetops.sources.mapping import (
     raw,
 )
 from assetops.streaming import jobs as streams
+from assetops.storage import cut, run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -9,54 +9,17 @@ driver-side literals, so a task that is retried lands in the same bucket.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assetops.storage import cut
+
 SMALL = 100_000  # rows one task may sort
 MAX_BUCKETS = 4096  # bounds the split points and the broadcast bucket totals
 
-_local_scratch: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``; a scratch
-    folder, removed at exit, only in local mode."""
-    context = spark.sparkContext
-    folder = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or context.getConf().get("spark.checkpoint.dir")
-        or context.getCheckpointDir()
-    )
-    if folder is not None:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if not _local_scratch:
-        _local_scratch.append(tempfile.mkdtemp(prefix="assetops-"))
-        atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
-    return _local_scratch[0]
-
-
-def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder of this run in the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later passes scan
-    the columns they need instead of repeating the fact scans below, also
-    after executors are lost, and the optimizer knows the real size."""
-    folder = run_folder(df.sparkSession, "cut")
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
 
 @dataclass(frozen=True)
 class RankBy:

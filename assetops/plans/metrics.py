@@ -15,10 +15,11 @@ from assetops.functions import domain
 from assetops.functions.numeric import cents, count_if, or_zero, percent, rounded_ratio, sum_if
 from assetops.functions.temporal import month_label, month_start, whole_seconds
 from assetops.operators.facts import type_is, with_age, with_health
-from assetops.operators.ranking import SMALL, RankBy, cut, global_rank
+from assetops.operators.ranking import SMALL, RankBy, global_rank
 from assetops.operators.relational import department_names
 from assetops.plans.reports import n_rows, one_row, status_is, technician_analytics, technician_totals
 from assetops.schema import ACTIVE, COMPLETED, Tables
+from assetops.storage import cut
 
 
 def kpis(t: Tables, start: datetime, end: datetime) -> DataFrame:

@@ -26,9 +26,10 @@ from assetops.operators.facts import (
     type_is,
     with_health,
 )
-from assetops.operators.ranking import RankBy, cut, global_rank
+from assetops.operators.ranking import RankBy, global_rank
 from assetops.operators.relational import department_names, top_k
 from assetops.schema import ACTIVE, COMPLETED, DECOMMISSIONED, OPEN_ALERT, OPEN_JOB, Tables
+from assetops.storage import cut
 
 
 def n_rows() -> Column:

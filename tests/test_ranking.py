@@ -10,7 +10,8 @@ from conftest import ROOT, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from assetops.operators.ranking import RankBy, append_with_keys, dense_numbers, global_rank, row_numbers, shared_folder
+from assetops.operators.ranking import RankBy, append_with_keys, dense_numbers, global_rank, row_numbers
+from assetops.storage import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -79,7 +80,8 @@ def test_empty_frame(spark):
 
 SETTING = """
 import sys; sys.path.insert(0, {root!r})
-from assetops.operators.ranking import RankBy, global_rank, shared_folder
+from assetops.operators.ranking import RankBy, global_rank
+from assetops.storage import shared_folder
 from assetops.session import build_session
 spark = build_session("local[2]", 2, spark__checkpoint__dir={folder!r})
 assert shared_folder(spark) == {folder!r}
