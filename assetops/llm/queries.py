@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetops.llm import line_dedup, quality_rules, secret_scan, url_filter
+from assetops.llm import bpe, line_dedup, quality_rules, secret_scan, url_filter, warc
 from assetops.storage import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_warc(spark, sf_dir):
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_secret_scans(spark, sf_dir):
     return secret_scan.digest(table(spark, sf_dir, "documents"), run_folder(spark, "ledger"), "run-1")
@@ -39,3 +44,16 @@ def op8_url_filters(spark, sf_dir):
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """The text of a public tokenizer file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+@query
+def op10_bpe(spark, sf_dir):
+    return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_file())

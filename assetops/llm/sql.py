@@ -15,3 +15,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+ORACLE["op8_url_filters"] = r"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+s AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM s),
+r(verdict, domain, prefix) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                                      ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+f AS (SELECT page_id, domain || prefix AS rule, verdict,
+             row_number() OVER (PARTITION BY page_id ORDER BY length(domain || prefix) DESC) AS n
+      FROM h JOIN r ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, prefix))
+SELECT h.page_id, host, path, f.rule,
+       coalesce(f.verdict, CASE WHEN regexp_matches(host, '(^|\.)(adult-x|spam-farm|cheap-pills|ads-track|casino-win|free-bets)\.')
+                                  OR regexp_matches(host, '(^|\.)(adult-x|spam-farm|cheap-pills|ads-track|casino-win|free-bets)$')
+                                THEN 'block' ELSE 'allow' END) AS verdict
+FROM h LEFT JOIN f ON f.page_id = h.page_id AND f.n = 1
+"""
