@@ -144,8 +144,10 @@ def keep_bitmaps(
 
 
 def with_bitmaps(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``rows`` (with ``_id``, ``_key``) plus ``n_dropped`` and ``keep``, NULL without a bitmap."""
-    return rows.alias("r").join(bitmaps.alias("b"), same_row("r", "b"), "left").select("r.*", "b.n_dropped", "b.keep")
+    """``rows`` (with ``_id``, ``_key``) plus ``n_dropped`` and ``keep``, NULL
+    without a bitmap.  Bitmaps grow with the corpus: the join is never a broadcast."""
+    joined = rows.alias("r").join(bitmaps.hint("merge").alias("b"), same_row("r", "b"), "left")
+    return joined.select("r.*", "b.n_dropped", "b.keep")
 
 
 def cut_text(text: str, keep: str):
