@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetops.llm import bpe, line_dedup, quality_rules, secret_scan, url_filter, warc
+from assetops.llm import bpe, decontaminate, line_dedup, minhash_dedup, quality_rules, secret_scan, url_filter, warc
 from assetops.storage import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,16 @@ def query(f):
     return f
 
 
+@query
+def op1_minhash_dedup(spark, sf_dir):
+    return minhash_dedup.classes(table(spark, sf_dir, "documents")).drop("_node")
+
+
+@query
+def op2_decontaminate(spark, sf_dir):
+    return decontaminate.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))

@@ -32,3 +32,18 @@ SELECT h.page_id, host, path, f.rule,
                                 THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN f ON f.page_id = h.page_id AND f.n = 1
 """
+
+ORACLE["op2_decontaminate"] = r"""
+WITH i AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+s AS (SELECT DISTINCT item_id, least(len(w), 5) AS width,
+             unnest([array_to_string(w[k : k + least(len(w), 5) - 1], ' ') FOR k IN range(1, len(w) - least(len(w), 5) + 2)]) AS shingle
+      FROM i WHERE len(w) > 0),
+n AS (SELECT item_id, count(*) AS n_shingles FROM s GROUP BY item_id),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+v AS (SELECT DISTINCT width FROM s),
+t AS (SELECT DISTINCT doc_id, width,
+             unnest([array_to_string(w[k : k + width - 1], ' ') FOR k IN range(1, len(w) - width + 2)]) AS shingle
+      FROM d, v WHERE len(w) >= width)
+SELECT doc_id, item_id, count(*) / max(n_shingles) AS containment, max(n_shingles) AS n_shingles
+FROM t JOIN s USING (width, shingle) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING count(*) / max(n_shingles) >= 0.8
+"""
