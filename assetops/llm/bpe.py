@@ -86,11 +86,12 @@ def _pieces(spec: str) -> pa.Array:
 def _encode(spec: str):
     """Encodes a partition's distinct words, each once."""
 
-    def answer(words: list[str], _):
+    def answer(words: list[bytes], _):
         tokenizer = _tokenizer(spec)
         ids, lens = [], []
         for at in range(0, len(words), 4096):
-            for found in tokenizer.encode_batch(words[at : at + 4096], add_special_tokens=False):
+            batch = [w.decode("utf-8", "surrogatepass") for w in words[at : at + 4096]]
+            for found in tokenizer.encode_batch(batch, add_special_tokens=False):
                 lens.append(len(found.ids))
                 ids.extend(found.ids)
         lens, ids = np.array(lens, np.int64), np.array(ids, np.uint32)
@@ -112,7 +113,7 @@ def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _join(ids, lens, positions, pairs) -> pa.RecordBatch:
+def _join(ids, lens, positions, _, pairs) -> pa.RecordBatch:
     """Puts the words' ids at their positions."""
     size = sum(len(local) for local, _ in pairs)
     word_lens, word_starts, at = np.zeros(size, np.int64), np.zeros(size, np.int64), 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetops.llm import bpe, decontaminate, line_dedup, minhash_dedup, quality_rules, secret_scan, url_filter, warc
+from assetops.llm import bpe, decontaminate, line_dedup, lm_score, minhash_dedup, quality_rules, secret_scan, url_filter, warc
 from assetops.storage import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,11 @@ def op6_secret_scans(spark, sf_dir):
     return secret_scan.digest(table(spark, sf_dir, "documents"), run_folder(spark, "ledger"), "run-1")
 
 
+@query
+def op7_lm_scoring(spark, sf_dir):
+    return lm_score.scored(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_url_filters(spark, sf_dir):
     return url_filter.judged(table(spark, sf_dir, "pages"))

@@ -34,8 +34,10 @@ _WORDS = pa.schema(
 _WORDS_SQL = "part int, chunk bigint, words binary, local binary, uses binary"
 _ANSWERS = pa.schema([("chunk", pa.int64()), ("local", pa.binary()), ("answers", pa.binary())])
 _ANSWERS_SQL = "chunk bigint, local binary, answers binary"
-_ROWS = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()), ("positions", pa.binary())])
-_ROWS_SQL = "chunk bigint, ids array<bigint>, lens binary, positions binary"
+_ROWS = pa.schema(
+    [("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()), ("positions", pa.binary()), ("measured", pa.binary())]
+)
+_ROWS_SQL = "chunk bigint, ids array<bigint>, lens binary, positions binary, measured binary"
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -54,17 +56,18 @@ def unpack(data: bytes, dtype=np.uint32) -> np.ndarray:
 class _Numbering(dict):
     """Numbers words as they appear."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         number = self[word] = len(self)
         return number
 
 
 class Chunk:
     def __init__(self) -> None:
-        self.numbers, self.ids, self.lens, self.positions = _Numbering(), [], [], []
+        self.numbers, self.ids, self.lens, self.positions, self.texts = _Numbering(), [], [], [], []
         self.size, self.hash = 0, xxhash.xxh64()
 
-    def add(self, row_id: int | None, text: str, found: list[str]) -> None:
+    def add(self, row_id: int | None, text: str, found: list[str] | list[bytes]) -> None:
+        self.texts.append(text)
         self.positions.append(np.fromiter(map(self.numbers.__getitem__, found), np.uint32, len(found)))
         self.ids.append(row_id)
         self.lens.append(len(found))
@@ -77,7 +80,7 @@ class Chunk:
         return struct.unpack("<q", self.hash.digest())[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], split: Callable[[str], list[str]]) -> Iterator[Chunk]:
+def chunks(batches: Iterator[pa.RecordBatch], split: Callable[[str], list]) -> Iterator[Chunk]:
     """Chunks of (id, text) rows; a NULL text is empty."""
     chunk = Chunk()
     for batch in batches:
@@ -94,20 +97,20 @@ def chunks(batches: Iterator[pa.RecordBatch], split: Callable[[str], list[str]])
 def _word_rows(split, parts: int, counted: Callable[[int | None], bool] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, split):
-            words = list(chunk.numbers)
+            words = [w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass") for w in chunk.numbers]
             uses = np.zeros(len(words), np.int64)
             if counted is not None:
                 of = [p for p, i in zip(chunk.positions, chunk.ids) if counted(i)]
                 if of:
                     uses += np.bincount(np.concatenate(of), minlength=len(words))
-            part = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % parts for w in words), np.int32, len(words))
+            part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int32, len(words))
             order = np.argsort(part, kind="stable")
             bounds = np.searchsorted(part[order], np.arange(parts + 1))
             compress = zstandard.ZstdCompressor(level=3).compress
             for p in range(parts):
                 local = order[bounds[p] : bounds[p + 1]]
                 if len(local):
-                    blob = "\n".join([words[i] for i in local]).encode("utf-8", "surrogatepass")
+                    blob = b"\n".join([words[i] for i in local])
                     row = [[p], [chunk.name], [compress(blob)], [pack(np.diff(local.astype(np.uint32), prepend=np.uint32(0)))], [pack(uses[local])]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _WORDS)], schema=_WORDS)
 
@@ -121,7 +124,7 @@ def word_rows(rows: DataFrame, split, counted=None) -> DataFrame:
     return rows.mapInArrow(_word_rows(split, parts, counted), _WORDS_SQL)
 
 
-def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes], list[np.ndarray], np.ndarray, list[str]]]:
+def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes], list[np.ndarray], np.ndarray, list[bytes]]]:
     """For each word partition: chunks, their local numbers, their words as
     numbers into the partition's distinct words, total uses, distinct words."""
     decompress = zstandard.ZstdDecompressor().decompress
@@ -132,7 +135,7 @@ def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
                 if state is not None:
                     yield state[0], state[1], state[2], _totals(state[2], state[3], len(state[4])), list(state[4])
                 part, state = p, ([], [], [], [], _Numbering())
-            found = decompress(blob).decode("utf-8", "surrogatepass").split("\n")
+            found = decompress(blob).split(b"\n")
             state[0].append(chunk)
             state[1].append(local)
             state[2].append(np.fromiter(map(state[4].__getitem__, found), np.uint32, len(found)))
@@ -154,7 +157,7 @@ def dealt(words: DataFrame) -> DataFrame:
     return words.repartition(parts, "part").sortWithinPartitions("part")
 
 
-def answered(words: DataFrame, answer: Callable[[list[str], np.ndarray], Callable[[np.ndarray], bytes]]) -> DataFrame:
+def answered(words: DataFrame, answer: Callable[[list[bytes], np.ndarray], Callable[[np.ndarray], bytes]]) -> DataFrame:
     """(chunk, local, answers): ``answer`` gets a partition's distinct words and
     total uses and returns what packs the answers of numbered words."""
 
@@ -168,20 +171,23 @@ def answered(words: DataFrame, answer: Callable[[list[str], np.ndarray], Callabl
     return dealt(words).mapInArrow(run, _ANSWERS_SQL)
 
 
-def position_rows(rows: DataFrame, split) -> DataFrame:
-    """One row per chunk: its documents and their positions' local numbers."""
+def position_rows(rows: DataFrame, split, measure: Callable[[list[str]], np.ndarray] | None = None) -> DataFrame:
+    """One row per chunk: its documents, their positions' local numbers, and
+    what ``measure`` makes of their texts (doubles, one line per measure)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, split):
-            row = [[chunk.name], [chunk.ids], [pack(np.array(chunk.lens, np.uint32))], [pack(np.concatenate(chunk.positions))]]
+            measured = b"" if measure is None else np.ascontiguousarray(measure(chunk.texts), np.float64).tobytes()
+            at = np.concatenate(chunk.positions)
+            row = [[chunk.name], [chunk.ids], [pack(np.array(chunk.lens, np.uint32))], [pack(at)], [measured]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _ROWS)], schema=_ROWS)
 
     return rows.mapInArrow(run, _ROWS_SQL)
 
 
 def met(rows: DataFrame, answers: DataFrame, combine, schema: str) -> DataFrame:
-    """``combine(ids, lens, positions, [(local numbers, answers), ...])`` of every
-    chunk, as record batches of ``schema``."""
+    """``combine(ids, lens, positions, measured, [(local numbers, answers), ...])``
+    of every chunk, as record batches of ``schema``."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         pairs = [
@@ -190,11 +196,12 @@ def met(rows: DataFrame, answers: DataFrame, combine, schema: str) -> DataFrame:
         ]
         size = sum(len(a) for a, _ in pairs)
         out = []
-        for ids, lens, positions in zip(*(left.column(c).to_pylist() for c in ("ids", "lens", "positions"))):
+        for ids, lens, positions, measured in zip(*(left.column(c).to_pylist() for c in _ROWS.names[1:])):
             at = unpack(positions)
             if len(at) and int(at.max()) >= size:
                 raise ValueError("the input changed between two passes: write it to a table first")
-            out.append(combine(ids, unpack(lens).astype(np.int64), at, pairs))
+            doubles = np.frombuffer(measured, np.float64).reshape(-1, len(ids))
+            out.append(combine(ids, unpack(lens).astype(np.int64), at, doubles, pairs))
         if not out:
             raise ValueError("the input changed between two passes: write it to a table first")
         return pa.Table.from_batches(out)
