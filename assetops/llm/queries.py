@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetops.llm import bpe, decontaminate, line_dedup, lm_score, minhash_dedup, quality_rules, secret_scan, url_filter, warc
+from assetops.llm import bpe, decontaminate, line_dedup, lm_score, minhash_dedup, quality_rules, secret_scan, suffix_dedup, url_filter, warc
 from assetops.storage import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.deduped(table(spark, sf_dir, "documents"), texts=False)
+
+
 @query
 def op5_warc(spark, sf_dir):
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
