@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from assetops.llm.common import SPACE, keyed, lower_ascii, same_row
 from assetops.storage import cut
@@ -109,7 +110,7 @@ def dropped_lines(rows: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     return rows.where("edge is null").select("_id", "_key", "pos").union(open_rows.select("_id", "_key", "pos"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _pack(dropped):
     """Keep bits up to the byte of the last dropped line, compressed; lines after it stay."""
 
@@ -121,7 +122,7 @@ def _pack(dropped):
     return dropped.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _apply(text, bitmap):
     def one(t, b):
         if t is None or b is None:
