@@ -7,12 +7,14 @@ which bounds the one table that travels to all tasks.  Each text gets
 ``BANDS * ROWS`` weighted samples; texts that agree on a band are candidates and
 are verified by their exact weighted Jaccard similarity.
 
-Buckets are verified by leaders instead of by all pairs.  A bucket's smallest
-member is compared with the others.  One minus the similarity is a metric, so a
-member that is linked to the leader can only be linked to an unlinked one if
-both lie near the leader's rim; only such members, and unlinked ones, go on to
-the next round, until no bucket has members of two classes left.  No link
-between members of a bucket is lost, and no bucket is capped.
+Buckets are verified exactly, whatever their size.  First every member meets
+its bucket's leader, the smallest member.  One minus the similarity is a metric,
+so a member that is linked to the leader can only be linked to an unlinked one
+if both lie near the leader's rim; only such members, and unlinked ones, stay
+open, and buckets whose open members are of one class already are closed.  Open
+buckets of a bounded size are then finished in one task each, pair by pair
+between classes; larger ones meet more leaders, spread by hash, until they are
+small or closed.  No link between members of a bucket is lost, none is capped.
 
 Nodes are distinct texts (by MD5), so copies, however many, cost one row each.
 A class is named by its smallest id.  NULL texts are empty; texts without words
@@ -37,6 +39,9 @@ from assetops.storage import cut
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # a pair at the threshold shares a band with probability 0.999
 IDF_BITS = 20  # buckets of the document frequencies
+IDF_SHARE = 0.25  # the rarest shingles weigh this much more than the commonest
+BLOCK_NODES, BLOCK_CHARS = 128, 16 << 20  # most that one task finishes pair by pair
+LEADERS = 32  # of a larger bucket, per round after the first
 _SEGMENT = 1 << 14
 
 
@@ -77,8 +82,9 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def weights(rows: DataFrame) -> np.ndarray:
-    """Inverse document frequency by bucket, between 1 and 2: 1 + the share of
-    the largest possible logarithm.  ``2 ** IDF_BITS`` values at any size."""
+    """Inverse document frequency by bucket, from 1 to 1 + ``IDF_SHARE`` with the
+    logarithm's share of its largest value; a wider range would part near copies
+    whose changed words are rare.  ``2 ** IDF_BITS`` values at any size."""
     schema = "segment int, counts binary"
     partial = rows.select("text").mapInArrow(_frequencies, schema)
     total, n = np.zeros(1 << IDF_BITS, np.int64), 0
@@ -89,7 +95,7 @@ def weights(rows: DataFrame) -> np.ndarray:
             n += int(found[0])
         else:
             total[s * _SEGMENT : (s + 1) * _SEGMENT] += found
-    return (1 + np.log((n + 1) / (np.minimum(total, n) + 1)) / np.log(n + 2)).astype(np.float32)
+    return (1 + IDF_SHARE * np.log((n + 1) / (np.minimum(total, n) + 1)) / np.log(n + 2)).astype(np.float32)
 
 
 def weighted(fingerprints: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,80 +188,124 @@ def _compared(idf: np.ndarray):
     return run
 
 
+def _finished(idf: np.ndarray, least: float):
+    """All links between the classes of one open bucket of bounded size."""
+
+    def run(bucket: pa.Table) -> pa.Table:
+        nodes, labels = bucket.column("node").to_pylist(), bucket.column("label").to_pylist()
+        with np.errstate(over="ignore"):
+            sets = [weighted(h, idf) for h in of_texts(bucket.column("text").to_pylist())]
+        label = dict(zip(nodes, labels))
+        out = []
+        for i, a in enumerate(nodes):
+            for j in range(i):
+                old, new = label[nodes[j]], label[a]
+                if old != new and similarity(sets[i], sets[j]) >= least:
+                    out.append((a, nodes[j]))
+                    label = {n: new if x == old else x for n, x in label.items()}
+        columns = list(zip(*out)) if out else [[], []]
+        return pa.table({c: pa.array(v, pa.binary()) for c, v in zip(("node", "leader"), columns)})
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node in ``edges`` (a, b): the least node that it
-    reaches, by least neighbours and jumps over labels."""
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    """(node, label) of every node in ``edges`` (node, leader): the least node
+    that it reaches, by least neighbours and jumps over labels."""
+    pairs = edges.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    both = cut(pairs.union(pairs.select("b", "a")).distinct())
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(near, labels.node == near.a).select("node", "label", F.least("label", "near").alias("low"))
         jump = lower.alias("x").join(labels.alias("y"), F.col("x.low") == F.col("y.node"))
-        new = cut(jump.select("x.node", F.least("x.low", "y.label").alias("label"), (F.least("x.low", "y.label") != F.col("x.label")).alias("moved")))
-        moved = new.where("moved").limit(1).count()
+        best = F.least("x.low", "y.label")
+        new = cut(jump.select("x.node", best.alias("label"), (best != F.col("x.label")).alias("moved")))
         labels = new.select("node", "label")
-        if not moved:
+        if not new.where("moved").limit(1).count():
             return labels
 
 
+def _open(active: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, key, node, label, n, chars): buckets with members of two classes."""
+    labelled = active.join(components(found), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = cut(labelled)
+    sizes = labelled.groupBy("band", "key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.sum("size").alias("chars")
+    )
+    return cut(labelled.join(sizes.where("low != high").drop("low", "high"), ["band", "key"]))
+
+
+def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray, least: float) -> tuple[DataFrame, DataFrame]:
+    """One round: (links of members with their buckets' leaders, what stays open)."""
+    salt = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))
+    first = active.groupBy("band", "key", salt.alias("salt")).agg(F.min("node").alias("leader")).drop("salt")
+    led = cut(active.join(first, ["band", "key"]).where("node != leader"))
+    # A pair of leaders is compared once.
+    a, b = F.least("node", "leader"), F.greatest("node", "leader")
+    pairs = led.select(b.alias("node"), a.alias("leader")).distinct()
+    leader_texts = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
+    both = pairs.join(texts.select("node", "text"), "node").join(leader_texts, "leader")
+    compared = cut(both.select("node", "text", "leader", "leader_text").mapInArrow(_compared(idf), "node binary, leader binary, sim double"))
+    links_ = compared.where(F.col("sim") >= least).select("node", "leader")
+    near, reach = F.col("sim") >= least, 1 - least
+    judged = cut(led.withColumns({"a": a, "b": b}).join(compared.select(F.col("node").alias("b"), F.col("leader").alias("a"), "sim"), ["a", "b"]))
+    # Per leader: a member within reach of it has no link to anything farther
+    # from it than reach + reach, and to nothing nearer than its rim allows.
+    rim = judged.where(~near & (1 - F.col("sim") <= 2 * reach + 1e-9)).groupBy("band", "key", "leader").agg(F.max("sim").alias("rim"))
+    settled = near & (F.col("rim").isNull() | (1 - F.col("sim") < 1 - F.col("rim") - reach - 1e-9))
+    judged = judged.join(rim, ["band", "key", "leader"], "left").withColumn("settled", settled)
+    stays = judged.groupBy("band", "key", "node", "size").agg(F.max("settled").alias("settled")).where("not settled").drop("settled")
+    # Leaders have met every member.
+    return links_, cut(stays.join(first.withColumnRenamed("leader", "node"), ["band", "key", "node"], "left_anti"))
+
+
 def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
     """(node, leader): verified links that connect every class of nodes."""
+    spark = rows.sparkSession
     # Copies are one node: its smallest id lends the text.
     nodes = signatures.where("bands is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     members = cut(nodes.select("node", "id", F.posexplode("bands").alias("band", "key")))
-    shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    active = cut(members.join(shared, ["band", "key"]).select("band", "key", "node", "id"))
-    wanted = active.select("node", "id").distinct()
-    texts = cut(
-        rows.alias("r")
-        .join(wanted.alias("w"), (F.col("r.node") == F.col("w.node")) & F.col("r.id").eqNullSafe(F.col("w.id")), "left_semi")
-        .select("node", "text"),
-        "zstd",
+    shared = members.groupBy("band", "key").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all_"), F.min("node").alias("one")
     )
-    active = active.drop("id")
-    found: DataFrame | None = None
-    while active.limit(1).count():
-        leaders = active.groupBy("band", "key").agg(F.min("node").alias("leader"))
-        led = cut(active.join(leaders, ["band", "key"]).where("node != leader"))
-        pairs = led.select("node", "leader").distinct()
-        leader_texts = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
-        both = pairs.join(texts, "node").join(leader_texts, "leader")
-        compared = cut(both.select("node", "text", "leader", "leader_text").mapInArrow(_compared(idf), "node binary, leader binary, sim double"))
-        new = compared.where(F.col("sim") >= least).select("node", "leader")
-        found = new if found is None else found.union(new)
-        # Distances are a metric: a member within ``reach`` of the leader has no
-        # link to anything farther than reach + (1 - least).
-        near, reach = F.col("sim") >= least, 1 - least
-        judged = led.join(compared.dropDuplicates(["node", "leader"]), ["node", "leader"])
-        rim = judged.where(~near & (1 - F.col("sim") <= 2 * reach + 1e-9)).groupBy("band", "key").agg(F.max("sim").alias("rim"))
-        kept = judged.join(rim, ["band", "key"], "left").where(~near | (1 - F.col("sim") >= 1 - F.col("rim") - reach - 1e-9))
-        kept = cut(kept.select("band", "key", "node"))
-        # Buckets whose members are of one class already have nothing to add.
-        labels = components(found.select(F.col("node").alias("a"), F.col("leader").alias("b")))
-        labelled = kept.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = labelled.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-        active = cut(kept.join(open_.select("band", "key"), ["band", "key"]))
-    return found if found is not None else rows.sparkSession.createDataFrame([], "node binary, leader binary")
-
-
-def classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
-) -> DataFrame:
-    """Per row: its id, ``class_id`` (the class's smallest id), ``n_links``
-    (verified links of its text in the class) and ``_node``, its text's MD5."""
+    # Buckets of the same members, in several bands, are looked at once.
+    once = shared.where("n > 1").groupBy("n", "all_", "one").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key")
+    active = cut(members.join(once, ["band", "key"]).select("band", "key", "node", "id"))
+    wanted = active.select("node", "id").distinct().hint("merge")
+    same = (F.col("r.node") == F.col("w.node")) & F.col("r.id").eqNullSafe(F.col("w.id"))
+    texts = cut(rows.alias("r").join(wanted.alias("w"), same, "left_semi").select("node", "text", F.length("text").alias("size")), "zstd")
+    active = active.drop("id").join(texts.groupBy("node").agg(F.max("size").alias("size")), "node")
+    found, leaders = spark.createDataFrame([], "node binary, leader binary"), 1
+    while True:
+        new, active = _led(active, texts, leaders, idf, least)
+        found, leaders = found.union(new), LEADERS
+        active = _open(active, found)
+        small = (F.col("n") <= BLOCK_NODES) & (F.col("chars") <= BLOCK_CHARS)
+        blocks = active.where(small).join(texts.select("node", "text").dropDuplicates(["node"]), "node")
+        blocks = blocks.select("band", "key", "node", "label", "text").groupBy("band", "key")
+        found = found.union(cut(blocks.applyInArrow(_finished(idf, least), "node binary, leader binary")))
+        active = active.where(~small).select("band", "key", "node", "size")
+        if not active.limit(1).count():
+            return found
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """Per row: its id, ``class_id`` (the class's smallest id), ``class_size``
+    (rows of the class) and ``_node``, its text's MD5."""
     rows = rows_of(docs, id_col, text_col)
     idf = weights(rows)
     signatures = cut(rows.mapInArrow(_signatures(idf), "id bigint, node binary, bands array<bigint>"))
-    found = cut(links(rows, signatures, idf, least))
-    labels = components(found.select(F.col("node").alias("a"), F.col("leader").alias("b")))
-    degree = found.select(F.explode(F.array("node", "leader")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    labels = components(cut(links(rows, signatures, idf, least)))
     # Nodes first: copies, however many, are one row in every join of nodes.
-    nodes = signatures.groupBy("node").agg(F.min("id").alias("id"))
+    nodes = signatures.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least_id = named.groupBy("label").agg(F.min("id").alias("class_id"))
-    of_node = named.join(least_id, "label").join(degree, "node", "left").select("node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signatures.select("id", "node").join(of_node, "node").select(
-        F.col("id").alias(id_col), "class_id", "n_links", F.col("node").alias("_node")
+    of_class = named.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size"))
+    of_node = named.join(of_class, "label").select("node", "class_id", "class_size")
+    return (
+        signatures.select("id", "node")
+        .join(of_node.hint("merge"), "node")
+        .select(F.col("id").alias(id_col), "class_id", "class_size", F.col("node").alias("_node"))
     )
 
 
