@@ -166,6 +166,15 @@ class Model:
         self.weights[:, -1] = 0
         self.refined: np.ndarray | None = None
 
+    def __getstate__(self) -> dict:
+        """Counts travel to the tasks compressed: most slots are empty or small."""
+        compress = zstandard.ZstdCompressor(level=3).compress
+        return self.__dict__ | {"counts": [compress(c.tobytes()) for c in self.counts]}
+
+    def __setstate__(self, state: dict) -> None:
+        decompress = zstandard.ZstdDecompressor().decompress
+        self.__dict__.update(state, counts=[np.frombuffer(decompress(c), np.float32) for c in state["counts"]])
+
     def inputs(self, bit: int, ones: np.ndarray, slots: list[np.ndarray], own: float) -> tuple[np.ndarray, np.ndarray]:
         """(log odds of a one per predictor and a bias, gate), without ``own``
         of the event's own count."""
