@@ -16,7 +16,7 @@ from assetops.operators import intake, quality, relational, rules
 from assetops.operators.facts import with_age
 from assetops.operators.ranking import RankBy, append_with_keys, global_rank
 from assetops.plans import metrics, reports, snapshots
-from assetops.schema import ACTIVE, Tables
+from assetops.schema import ACTIVE, KEYS, Tables
 from assetops.sources import feeds, gen1, synth
 from assetops.sources import tables as store
 from assetops.sources.mapping import (
@@ -37,7 +37,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 HOURLY_CENTS = 12_000  # value of an hour of use in the test data
-FEW_ROWS = 500  # makes ranks take their distributed path on small data
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -137,7 +136,7 @@ def _seed(spark, sf_dir):
     return synth.seed_history(map_testdata(spark, sf_dir).maintenance)
 
 
-on_tables("sample_rows", lambda t: relational.sample_rows(t.equipment.select("EquipmentID", "Name"), 20, 7))
+on_tables("sample_rows", lambda t: relational.sample_rows(t.equipment.select("EquipmentID", "Name"), 20, 7, "EquipmentID"))
 on_tables("snapshot_daily_equipment_status", lambda t: snapshots.daily_equipment_status(t, AS_OF))
 on_tables("snapshot_monthly_maintenance", lambda t: snapshots.monthly_maintenance_summary(t, AS_OF))
 
@@ -249,37 +248,37 @@ on_tables("row_counts", quality.row_counts)
 on_tables("data_statistics", quality.data_statistics)
 
 
-def without_some_parents(t: Tables) -> Tables:
-    """The same tables after every department in the region with the first
-    name, every decommissioned piece and every inactive technician is gone:
-    their children become orphans."""
+PAST = 1_000_000_000  # beyond every key of the test data
+
+
+def dirty_keys(t: Tables) -> Tables:
+    """The whole tables with dirty foreign keys: department 3 is written past
+    the range of departments, every fifth piece's key past that of pieces and
+    every seventh technician's past that of technicians, some keys are NULL."""
+    dept, piece, tech, job = (F.col(c) for c in ("DepartmentID", "EquipmentID", "TechnicianID", "MaintenanceID"))
     return t.but(
-        departments=t.departments.filter(F.col("Location") != "AFRICA"),
-        equipment=t.equipment.filter(F.col("Status") != "DECOMMISSIONED"),
-        technicians=t.technicians.filter(F.col("Status") == ACTIVE),
+        equipment=t.equipment.withColumn(
+            "DepartmentID", F.when(dept == 3, dept + PAST).when(piece % 30 != 11, dept)
+        ),
+        maintenance=t.maintenance.withColumns(
+            {
+                "EquipmentID": F.when(piece % 5 == 0, piece + PAST).when(job % 40 != 7, piece),
+                "TechnicianID": F.when(tech % 7 == 3, tech + PAST).when(job % 50 != 9, tech),
+            }
+        ),
     )
 
 
 on_tables(
-    "orphan_equipment",
-    lambda t: quality.orphan_equipment(without_some_parents(t)).select("EquipmentID", "DepartmentID"),
+    "orphan_equipment", lambda t: quality.orphan_equipment(dirty_keys(t)).select("EquipmentID", "DepartmentID")
 )
 on_tables(
     "orphan_maintenance",
-    lambda t: quality.orphan_maintenance(without_some_parents(t)).select(
-        "MaintenanceID", "EquipmentID", "TechnicianID"
-    ),
-)
-on_tables("fk_verification", lambda t: quality.fk_report(t.but(technicians=without_some_parents(t).technicians)))
-on_tables(
-    "completeness",
-    lambda t: quality.completeness(
-        t.but(
-            maintenance=t.maintenance.filter((F.col("Status") == "IN_PROGRESS")),
-            equipment=t.equipment.filter(F.col("DepartmentID") != 3),
-        )
-    ),
+    lambda t: quality.orphan_maintenance(dirty_keys(t)).select("MaintenanceID", "EquipmentID", "TechnicianID"),
 )
+on_tables("fk_verification", lambda t: quality.fk_report(dirty_keys(t)))
+on_tables("fk_verification_clean", quality.fk_report)
+on_tables("completeness", lambda t: quality.completeness(dirty_keys(t)))
 on_tables("status_distribution", quality.status_distribution)
 
 
@@ -292,6 +291,12 @@ def staged(t: Tables) -> Tables:
 on_tables("constraint_violations", lambda t: quality.violations(dict(staged(t).items()), quality.canonical_rules()))
 
 
+on_tables(
+    "constraint_rejects",
+    lambda t: quality.rejects(dict(staged(dirty_keys(t)).items()), quality.canonical_rules(), KEYS),
+)
+
+
 @query("constraint_violations_gen1")
 def _violations_gen1(spark, sf_dir):
     g = gen1.gen1_testdata(spark, sf_dir)
@@ -317,9 +322,9 @@ on_tables(
 on_tables("equipment_with_open_alerts", relational.equipment_with_open_alerts)
 on_tables(
     "maintenance_without_equipment",
-    lambda t: relational.orphans(
-        t.maintenance, "EquipmentID", t.equipment.filter(F.col("Status") == ACTIVE), "EquipmentID"
-    ).select("MaintenanceID", "EquipmentID"),
+    lambda t: relational.orphans(dirty_keys(t).maintenance, "EquipmentID", t.equipment, "EquipmentID", include_null=True).select(
+        "MaintenanceID", "EquipmentID"
+    ),
 )
 on_tables("maintenance_count_top10", relational.maintenance_count_top)
 
@@ -341,18 +346,31 @@ on_tables("top_cost_equipment", relational.top_cost_equipment)
 on_tables("total_maintenance_cost", relational.total_maintenance_cost)
 on_tables("technician_cost_rank", metrics.technician_cost_rank)
 on_tables("utilization_rank", reports.utilization_dashboard)
-on_tables("utilization_dashboard", lambda t: reports.utilization_dashboard(t, FEW_ROWS))
+on_tables("utilization_dashboard", lambda t: reports.utilization_dashboard(t))
 on_tables("category_month_trend", lambda t: reports.category_month_trend(t, AS_OF))
 on_tables(
     "global_rank",
     lambda t: global_rank(
         t.maintenance.select("MaintenanceID", "Cost", "ActualDate"),
         [RankBy("Cost", "Cost_Rank"), RankBy("Cost", "Cost_Dense_Rank", descending=False, dense=True)],
-        FEW_ROWS,
     ).drop("ActualDate"),
 )
 on_tables("top_departments_by_cost", lambda t: reports.top_departments_by_cost(t, AS_OF))
-on_tables("first_rows", lambda t: t.equipment.select("EquipmentID", "Name").limit(20))
+
+
+def _first_rows(t: Tables) -> DataFrame:
+    """Any 20 rows are right, so one row tells what must hold of them: their
+    number, how many are distinct, and how many are in the table."""
+    pieces = t.equipment.select("EquipmentID", "Name")
+    first = cut(pieces.limit(20))
+    known = pieces.join(first.select("EquipmentID").distinct(), "EquipmentID", "left_semi").distinct()
+    members = first.join(known, ["EquipmentID", "Name"], "left_semi").agg(F.count("*").alias("members"))
+    return reports.one_row(
+        first.agg(F.count("*").alias("rows")), first.distinct().agg(F.count("*").alias("distinct_rows")), members
+    )
+
+
+on_tables("first_rows", _first_rows)
 
 # Reports ---------------------------------------------------------------------
 
@@ -425,11 +443,8 @@ def _audit_changes(spark, sf_dir):
 
 
 def _gated(spark: SparkSession, sf_dir: str, atomic_by: str | None) -> DataFrame:
-    accepted, rejected = rules.split_changes(
-        audited_events(spark, sf_dir), holidays_of(spark, sf_dir), atomic_by
-    )
-    return accepted.select("change_id", "statement_id", F.lit("accepted").alias("side")).unionByName(
-        rejected.select("change_id", "statement_id", F.lit("rejected").alias("side"))
+    return rules.split_changes(audited_events(spark, sf_dir), holidays_of(spark, sf_dir), atomic_by).select(
+        "change_id", "statement_id", "side", "error_code", "message"
     )
 
 
@@ -448,24 +463,28 @@ on_tables(
     "decommission_guard",
     lambda t: rules.decommission_guard(feeds.decommission_requests(t), t.maintenance, t.alerts),
 )
+on_tables("completion_to_history", lambda t: rules.completion_history(feeds.job_updates(t.maintenance)))
 on_tables(
-    "completion_to_history", lambda t: rules.completion_history(feeds.job_updates(t.maintenance)).drop("ActionTaken")
-)
-on_tables(
-    "completion_equipment_updates", lambda t: rules.completion_equipment_updates(feeds.job_updates(t.maintenance))
+    "completion_equipment_updates",
+    lambda t: rules.completion_equipment_updates(feeds.job_updates(t.maintenance), AS_OF).drop("change_id"),
 )
-on_tables("completion_audit", lambda t: rules.completion_audit(feeds.job_updates(t.maintenance)))
-on_tables("warranty_alerts", lambda t: rules.warranty_alerts(feeds.warranty_updates(t), AS_OF))
 
 
-def _purged(t: Tables) -> DataFrame:
-    kept, purged = rules.purge(t.maintenance, "ActualDate", AS_OF)
-    return kept.select("MaintenanceID", F.lit("kept").alias("side")).unionByName(
-        purged.select("MaintenanceID", F.lit("purged").alias("side"))
-    )
+def _completed_equipment(t: Tables) -> DataFrame:
+    updates = rules.completion_equipment_updates(feeds.job_updates(t.maintenance), AS_OF).drop("change_id")
+    pieces = rules.apply_updates(t.equipment, updates, "EquipmentID")
+    return pieces.select("EquipmentID", "Name", "LastMaintenanceDate", "ModifiedDate")
+
+
+on_tables("completion_applied", _completed_equipment)
+on_tables("completion_audit", lambda t: rules.completion_audit(feeds.job_updates(t.maintenance)))
+on_tables("warranty_alerts", lambda t: rules.warranty_alerts(feeds.warranty_updates(t), AS_OF))
 
 
-on_tables("purge_old_maintenance", _purged)
+on_tables(
+    "purge_old_maintenance",
+    lambda t: rules.purge(t.maintenance, "ActualDate", AS_OF).select("MaintenanceID", "side"),
+)
 
 
 def _status_updates(t: Tables) -> DataFrame:
@@ -492,7 +511,7 @@ def _append(spark, sf_dir):
     requests = audited_events(spark, sf_dir).select(
         "change_id", F.col("row_key").alias("EquipmentID"), F.lit("SCHEDULED").alias("Status")
     )
-    return append_with_keys(t.maintenance, requests, "MaintenanceID", "change_id", FEW_ROWS)
+    return append_with_keys(t.maintenance, requests, "MaintenanceID", "change_id")
 
 
 @query("log_alert")
@@ -506,7 +525,7 @@ def _log_alert(spark, sf_dir):
         F.col("event_ts").alias("DateReported"),
         F.lit("PENDING").alias("Status"),
     )
-    return append_with_keys(t.alerts, new, "AlertID", "change_id", FEW_ROWS)
+    return append_with_keys(t.alerts, new, "AlertID", "change_id")
 
 
 @query("equipment_exists")
@@ -560,14 +579,14 @@ def _new_equipment(t: Tables) -> DataFrame:
 
 
 on_tables("validate_serial", lambda t: intake.validate_serial(_new_equipment(t), "SerialNumber", t.equipment))
-on_tables("add_equipment", lambda t: intake.add_equipment(_new_equipment(t), t, FEW_ROWS)[0])
-on_tables("add_equipment_rejects", lambda t: intake.add_equipment(_new_equipment(t), t, FEW_ROWS)[1])
+on_tables("add_equipment", lambda t: intake.add_equipment(_new_equipment(t), t)[0])
+on_tables("add_equipment_rejects", lambda t: intake.add_equipment(_new_equipment(t), t)[1])
 on_tables("technician_workload", lambda t: reports.workload_scores(t))
 on_tables("failure_risk", lambda t: intake.failure_risks(t, AS_OF))
 on_tables("equipment_roi", lambda t: intake.returns(t, AS_OF, HOURLY_CENTS))
 on_tables("kpis", lambda t: metrics.kpis(t, datetime(2000, 7, 1), datetime(2001, 7, 1)))
 on_tables("automated_alerts", lambda t: intake.automated_alerts(t, AS_OF))
-on_tables("equipment_maintenance_ranking", lambda t: metrics.maintenance_ranking(t, FEW_ROWS))
+on_tables("equipment_maintenance_ranking", lambda t: metrics.maintenance_ranking(t))
 on_tables("technician_performance", metrics.technician_performance)
 on_tables("monthly_maintenance_trends", metrics.monthly_trends)
 
@@ -604,16 +623,31 @@ def _stream_audit(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out")
 
 
-@query("stream_completion")
-def _stream_completion(spark, sf_dir):
+def _completed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Runs the completion stream; its sinks by name."""
     t = map_testdata(spark, sf_dir)
     folder = run_folder(spark, "stream-completion")
     feed = feeds.job_updates(t.maintenance)
-    feed.write.parquet(f"{folder}/feed")
+    feed.repartition(3).write.parquet(f"{folder}/feed")
     out = {name: f"{folder}/{name}" for name in ("history", "equipment", "audit")}
-    changes = streams.file_stream(spark, f"{folder}/feed", feed.schema)
-    streams.stream_completion(changes, out, f"{folder}/state")
-    return spark.read.parquet(out["history"]).drop("batch_id", "ActionTaken")
+    changes = streams.file_stream(spark, f"{folder}/feed", feed.schema, files_per_batch=1)
+    streams.stream_completion(changes, AS_OF, out, f"{folder}/state")
+    return out
+
+
+@query("stream_completion")
+def _stream_completion(spark, sf_dir):
+    return spark.read.parquet(_completed(spark, sf_dir)["history"]).drop("batch_id")
+
+
+@query("stream_completion_equipment")
+def _stream_completion_equipment(spark, sf_dir):
+    return streams.latest_updates(spark, _completed(spark, sf_dir)["equipment"]).drop("change_id")
+
+
+@query("stream_completion_audit")
+def _stream_completion_audit(spark, sf_dir):
+    return spark.read.parquet(_completed(spark, sf_dir)["audit"]).drop("batch_id")
 
 
 @query("stream_warranty_alerts")
@@ -621,7 +655,7 @@ def _stream_warranty(spark, sf_dir):
     t = map_testdata(spark, sf_dir)
     folder = run_folder(spark, "stream-warranty")
     changes = feeds.equipment_changes(as_changes(event_stream(spark, sf_dir)), t)
-    streams.stream_warranty_alerts(changes, AS_OF, f"{folder}/out", f"{folder}/state")
+    streams.stream_warranty_alerts(changes, AS_OF, f"{folder}/out", f"{folder}/state", "60 days")
     return spark.read.parquet(f"{folder}/out")
 
 
@@ -631,4 +665,4 @@ def _stream_hourly(spark, sf_dir):
     folder = run_folder(spark, "stream-hourly")
     audit = audit_rows(as_changes(event_stream(spark, sf_dir)), t.holidays)
     streams.stream_audit_hourly(audit, f"{folder}/out", f"{folder}/state")
-    return streams.latest_hours(spark, f"{folder}/out").drop("Approx_Users")
+    return streams.latest_hours(spark, f"{folder}/out")

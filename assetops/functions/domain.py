@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from assetops.clock import Clock
-from assetops.functions.numeric import cents, rounded_ratio, scaled
+from assetops.functions.numeric import cents, percent, rounded_ratio, scaled
 from assetops.functions.temporal import whole_days
 
 # Weights and steps of the health score, in tenths of a percent.
@@ -97,7 +97,7 @@ def risk_points(risk: Column) -> Column:
 def roi(hours: Column, cost: Column, price: Column, hourly_cents: int) -> Column:
     """Chosen: (value of use - completed cost) in percent of the price."""
     gained = F.coalesce(hours, F.lit(0)) * hourly_cents - cents(cost)
-    return rounded_ratio(gained * 100, cents(price), 1)
+    return percent(gained, cents(price))
 
 
 def utilization_of_year(hours: Column, digits: int = 1) -> Column:

@@ -34,19 +34,24 @@ def rounded_ratio(num: Column, den: Column, digits: int, num_digits: int = 0) ->
     """``num / den`` rounded half away from zero to ``digits`` places.
 
     ``num`` is integral and counts units of ``10**-num_digits``; ``den`` is a
-    non-negative integer.  NULL when ``den`` is 0 or NULL.
+    non-negative integer.  NULL when ``den`` is 0 or NULL.  Intermediate values
+    have 38 digits; only the quotient has to fit a BIGINT.
     """
     shift = digits - num_digits
-    top, bottom = num.cast("bigint"), den.cast("bigint")
+    top, bottom = _wide(num), _wide(den)
     if shift > 0:
-        top = top * 10**shift
+        top = _wide(top * 10**shift)
     elif shift < 0:
-        bottom = bottom * 10**-shift
-    bottom = F.nullif(bottom, F.lit(0))
-    magnitude = F.call_function("div", F.abs(top) * 2 + bottom, bottom * 2)
+        bottom = _wide(bottom * 10**-shift)
+    bottom = F.nullif(bottom, _wide(F.lit(0)))
+    magnitude = F.call_function("div", _wide(F.abs(top) * 2) + bottom, _wide(bottom * 2))
     return scaled(F.sign(top).cast("bigint") * magnitude, digits)
 
 
+def _wide(value: Column) -> Column:
+    return value.cast("decimal(38,0)")
+
+
 def scaled(units: Column, digits: int) -> Column:
     """Whole units of ``10**-digits`` as a DECIMAL."""
     if digits == 0:
@@ -55,7 +60,7 @@ def scaled(units: Column, digits: int) -> Column:
 
 
 def percent(num: Column, den: Column, digits: int = 1, num_digits: int = 0) -> Column:
-    return rounded_ratio(num.cast("bigint") * 100, den, digits, num_digits)
+    return rounded_ratio(_wide(num) * 100, den, digits, num_digits)
 
 
 def plain_ratio(num: Column, den: Column) -> Column:

@@ -13,7 +13,7 @@ from assetops.functions import domain
 from assetops.functions.numeric import rounded_ratio
 from assetops.functions.text import joined
 from assetops.operators.facts import features
-from assetops.operators.ranking import SMALL, append_with_keys
+from assetops.operators.ranking import append_with_keys
 from assetops.operators.rules import warranty_alert_rows
 from assetops.schema import ACTIVE, OPEN_ALERT, Tables
 
@@ -56,13 +56,13 @@ def screen_equipment(new: DataFrame, t: Tables) -> DataFrame:
     )
 
 
-def add_equipment(new: DataFrame, t: Tables, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+def add_equipment(new: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
     """(accepted rows with new EquipmentIDs and status ACTIVE, rejects with a
     reason)."""
     screened = screen_equipment(new, t)
     accepted = screened.filter(F.col("reason").isNull()).drop("reason").withColumn("Status", F.lit(ACTIVE))
     return (
-        append_with_keys(t.equipment, accepted, "EquipmentID", "request_id", small),
+        append_with_keys(t.equipment, accepted, "EquipmentID", "request_id"),
         screened.filter(F.col("reason").isNotNull()),
     )
 

@@ -56,24 +56,19 @@ def counted(df: DataFrame, label: str, alias: str = "count") -> DataFrame:
 def fk_report(t: Tables) -> DataFrame:
     """PASS/FAIL per foreign key; one missing parent is enough to fail."""
 
-    def verdict(label: str, missing: DataFrame) -> DataFrame:
-        return (
-            missing.limit(1)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit(label).alias("check"), F.when(F.col("n") > 0, "FAIL").otherwise("PASS").alias("result"))
+    def verdict(label: str, child: DataFrame, fk: str, parent: DataFrame, pk: str, include_null: bool) -> DataFrame:
+        # Each used key is looked up once, however often it is used.
+        missing = orphans(child.select(fk).distinct(), fk, parent, pk, include_null)
+        return missing.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(label).alias("check"), F.when(F.col("n") > 0, "FAIL").otherwise("PASS").alias("result")
         )
 
+    jobs = t.maintenance
     return stacked(
         [
-            verdict("All equipment has valid department", orphan_equipment(t)),
-            verdict(
-                "All maintenance has valid equipment",
-                orphans(t.maintenance, "EquipmentID", t.equipment, "EquipmentID", include_null=True),
-            ),
-            verdict(
-                "All maintenance has valid technician",
-                orphans(t.maintenance, "TechnicianID", t.technicians, "TechID", include_null=True),
-            ),
+            verdict("All equipment has valid department", t.equipment, "DepartmentID", t.departments, "DeptID", False),
+            verdict("All maintenance has valid equipment", jobs, "EquipmentID", t.equipment, "EquipmentID", True),
+            verdict("All maintenance has valid technician", jobs, "TechnicianID", t.technicians, "TechID", True),
         ]
     )
 
@@ -227,35 +222,101 @@ def canonical_rules() -> list[Rule]:
     return rules
 
 
+def _values(df: DataFrame, table: str, rules: list[UniqueRule | ParentRule]) -> DataFrame:
+    """(table_name, rule, parent, value, n): how often every value is used, for
+    all key rules of a table in one pass and one grouped shuffle."""
+    pairs = F.array(
+        *(
+            F.struct(
+                F.lit(r.name).alias("rule"),
+                F.lit(r.parent if isinstance(r, ParentRule) else None).cast("string").alias("parent"),
+                F.col(r.column).cast("string").alias("value"),
+            )
+            for r in rules
+        )
+    )
+    return (
+        df.select(F.inline(pairs))
+        .where("value is not null")
+        .groupBy("rule", "parent", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(table).alias("table_name"), "rule", "parent", "value", "n")
+    )
+
+
+def _by_table(rules: list[Rule], *kinds: type) -> dict[str, list]:
+    found: dict[str, list] = {}
+    for r in rules:
+        if isinstance(r, kinds):
+            found.setdefault(r.table, []).append(r)
+    return found
+
+
+def _without_parent(values: DataFrame, tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """The used values that no parent has."""
+    parents = {(r.parent, r.key) for r in rules if isinstance(r, ParentRule)}
+    keys = stacked(
+        [
+            tables[name].select(F.lit(name).alias("parent"), F.col(key).cast("string").alias("value")).distinct()
+            for name, key in sorted(parents)
+        ]
+    )
+    return values.where("parent is not null").join(keys, ["parent", "value"], "left_anti")
+
+
 def violations(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
-    """(table, rule, violations): all row rules of a table in one pass, one
-    grouped count per unique rule; a foreign key is counted per value first,
-    so the anti-join sees each value once however often it is used."""
+    """(table, rule, violations).  A table is read once for its row rules and
+    once for all its unique and foreign keys, every parent once; a foreign key
+    is counted per value, so the anti-join sees a value once however often it
+    is used."""
+    frames = [
+        _unpivoted(tables[table].agg(*(count_if(r.broken).alias(f"r{i}") for i, r in enumerate(mine))), table, mine)
+        for table, mine in _by_table(rules, RowRule).items()
+    ]
+    keyed = _by_table(rules, UniqueRule, ParentRule)
+    if keyed:
+        values = stacked([_values(tables[table], table, mine) for table, mine in keyed.items()])
+        per_rule = [values.where("parent is null").groupBy("table_name", "rule").agg(F.sum(F.col("n") - 1).alias("violations"))]
+        if any(isinstance(r, ParentRule) for r in rules):
+            missing = _without_parent(values, tables, rules)
+            per_rule.append(missing.groupBy("table_name", "rule").agg(F.sum("n").alias("violations")))
+        # Rules that nothing breaks are rows too.
+        names = F.array(*(F.struct(F.lit(r.table), F.lit(r.name)) for mine in keyed.values() for r in mine))
+        spark = values.sparkSession
+        none = spark.range(1).select(F.inline(names)).toDF("table_name", "rule").withColumn("violations", F.lit(0))
+        frames.append(stacked([none, *per_rule]).groupBy("table_name", "rule").agg(F.sum("violations").alias("violations")))
+    return stacked(frames)
+
+
+def rejects(tables: dict[str, DataFrame], rules: list[Rule], keys: dict[str, str]) -> DataFrame:
+    """(table_name, rule, row_key, value) of every row that breaks a rule: row
+    rules, values without a parent, and of rows that share a unique value all
+    but the one with the smallest key."""
     frames = []
-    for table in dict.fromkeys(r.table for r in rules):
-        df = tables[table]
-        mine = [r for r in rules if r.table == table]
+    for table, mine in _by_table(rules, RowRule, UniqueRule, ParentRule).items():
+        df, key = tables[table], F.col(keys[table]).cast("string")
         row_rules = [r for r in mine if isinstance(r, RowRule)]
+        key_rules = [r for r in mine if not isinstance(r, RowRule)]
         if row_rules:
-            counts = df.agg(*(count_if(r.broken).alias(f"r{i}") for i, r in enumerate(row_rules)))
-            frames.append(_unpivoted(counts, table, row_rules))
-        for rule in mine:
-            if isinstance(rule, UniqueRule):
-                n = (
-                    df.filter(F.col(rule.column).isNotNull())
-                    .groupBy(rule.column)
-                    .agg((F.count(F.lit(1)) - 1).alias("extra"))
-                    .agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("violations"))
-                )
-            elif isinstance(rule, ParentRule):
-                used = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("n"))
-                n = orphans(used, rule.column, tables[rule.parent], rule.key).agg(
-                    F.coalesce(F.sum("n"), F.lit(0)).alias("violations")
-                )
-            else:
-                continue
-            frames.append(n.select(F.lit(table).alias("table_name"), F.lit(rule.name).alias("rule"), "violations"))
-    return stacked(frames)
+            broken = F.filter(F.array(*(F.when(r.broken, r.name) for r in row_rules)), lambda x: x.isNotNull())
+            found = df.select(key.alias("row_key"), F.explode(broken).alias("rule"))
+            frames.append(found.withColumns({"value": F.lit(None).cast("string"), "table_name": F.lit(table)}))
+        if not key_rules:
+            continue
+        values = _values(df, table, key_rules)
+        bad = values.where("parent is null and n > 1")
+        if any(isinstance(r, ParentRule) for r in key_rules):
+            bad = bad.unionByName(_without_parent(values, tables, key_rules))
+        pairs = F.array(
+            *(F.struct(F.lit(r.name).alias("rule"), F.col(r.column).cast("string").alias("value")) for r in key_rules)
+        )
+        uses = df.select(F.col(keys[table]).alias("_key"), F.inline(pairs)).where("value is not null")
+        hit = uses.join(bad.select("rule", "parent", "value"), ["rule", "value"])
+        first = hit.where("parent is null").groupBy("rule", "value").agg(F.min("_key").alias("first"), F.count("*").alias("n"))
+        later = hit.where("parent is null").join(first, ["rule", "value"]).where(~F.col("_key").eqNullSafe(F.col("first")))
+        for found in (hit.where("parent is not null"), later):
+            frames.append(found.select(F.col("_key").cast("string").alias("row_key"), "rule", "value", F.lit(table).alias("table_name")))
+    return stacked(frames).select("table_name", "rule", "row_key", "value")
 
 
 def _unpivoted(counts: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:

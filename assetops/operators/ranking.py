@@ -1,30 +1,28 @@
 """Ranks and dense numbers over a whole table without a one-partition window.
 
 ``RANK() OVER (ORDER BY v)`` would sort every row in a single task.  Here the
-distinct values are counted first (ties, however many, become one row), cut
-into ordered buckets at quantile points, numbered inside each bucket and
-shifted by the totals of the buckets before it.  The split points are fixed
-driver-side literals, so a task that is retried lands in the same bucket.
+distinct values are counted first (ties, however many, become one row), range-
+partitioned into ordered buckets, numbered inside each bucket and shifted by
+the totals of the buckets before it.  Buckets are written out, so a task that is
+retried finds them unchanged.  There is one path, whatever the number of rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetops.storage import cut
 
-SMALL = 100_000  # rows one task may sort
-MAX_BUCKETS = 4096  # bounds the split points and the broadcast bucket totals
+HOT_SHARE = 1024  # a value with a 1024th of all rows is hot: at most so many are
 
 
 @dataclass(frozen=True)
 class RankBy:
     """``out`` = rank by ``col`` among the rows that agree on ``within``; NULLs
-    come first when descending and last when ascending."""
+    come first when descending and last when ascending.  Any orderable type."""
 
     col: str
     out: str
@@ -37,24 +35,29 @@ class RankBy:
         return column.desc_nulls_first() if self.descending else column.asc_nulls_last()
 
 
-def _bucketed(values: DataFrame, col: str, rows: int, target: int) -> DataFrame:
-    """Adds ``bucket``, monotone in ``col``; NULL gets the highest bucket."""
-    buckets = min(MAX_BUCKETS, max(2, -(-rows // target)))
-    probabilities = [i / buckets for i in range(1, buckets)]
-    numeric = values.withColumn("_v", F.col(col).cast("double"))
-    points = numeric.approxQuantile("_v", probabilities, 1 / (4 * buckets))
-    splits = [float("-inf"), *sorted(set(points)), float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    cutter = Bucketizer(splits=splits, inputCol="_v", outputCol="bucket", handleInvalid="keep")
-    highest = F.lit(len(splits) - 1)
-    return cutter.transform(numeric).drop("_v").withColumn("bucket", F.coalesce(F.col("bucket").cast("int"), highest))
+def bounded_rank(df: DataFrame, ranks: list[RankBy]) -> DataFrame:
+    """Ranks by plain windows, for frames the model bounds (departments)."""
+    return df.withColumns(
+        {
+            by.out: (F.dense_rank() if by.dense else F.rank())
+            .over(Window.partitionBy(*by.within).orderBy(by.order()))
+            .cast("bigint")
+            for by in ranks
+        }
+    )
+
+
+def _bucketed(df: DataFrame, *columns: str) -> DataFrame:
+    """Adds ``bucket``, monotone in the order of ``columns``, and writes it out."""
+    order = [F.col(c).asc_nulls_last() for c in columns]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.repartitionByRange(parts, *order).withColumn("bucket", F.spark_partition_id()))
 
 
 def _offsets(bucketed: DataFrame, measures: list[tuple[Column, bool]], within: list[str]) -> DataFrame:
     """``offset0``, ``offset1``, ...: the total of each (measure, descending)
-    in the buckets before each bucket.  A group has at most MAX_BUCKETS + 1
-    rows here, which bounds the windows."""
+    in the buckets before each bucket.  A group has at most one row per shuffle
+    partition here, which bounds the windows."""
     totals = bucketed.groupBy(*within, "bucket").agg(*(F.sum(m).alias(f"total{i}") for i, (m, _) in enumerate(measures)))
     columns = []
     for i, (_, descending) in enumerate(measures):
@@ -64,16 +67,16 @@ def _offsets(bucketed: DataFrame, measures: list[tuple[Column, bool]], within: l
     return totals.select(*within, "bucket", *columns)
 
 
-def _bucketed_values(df: DataFrame, col: str, within: tuple[str, ...], rows: int, small: int) -> DataFrame:
+def _bucketed_values(df: DataFrame, col: str, within: tuple[str, ...]) -> DataFrame:
     """Distinct (within, value) with the number of ties and a bucket."""
     groups = [F.col(c).alias(f"_w{i}") for i, c in enumerate(within)]
     values = df.groupBy(*groups, F.col(col).alias("_value")).agg(F.count(F.lit(1)).alias("_ties"))
-    return _bucketed(cut(values), "_value", rows, small)
+    return _bucketed(values, *(f"_w{i}" for i in range(len(within))), "_value")
 
 
 def _positions(bucketed: DataFrame, ranks: list[RankBy]) -> DataFrame:
-    """(within, value, rank, ...) for ranks by one column: the position inside
-    the bucket plus the totals of the buckets before it."""
+    """(within, value, ties, rank, ...) for ranks by one column: the position
+    inside the bucket plus the totals of the buckets before it."""
     within = [f"_w{i}" for i in range(len(ranks[0].within))]
     steps = [F.lit(1) if by.dense else F.col("_ties") for by in ranks]
     offsets = _offsets(bucketed, [(step, by.descending) for step, by in zip(steps, ranks)], within)
@@ -88,7 +91,7 @@ def _positions(bucketed: DataFrame, ranks: list[RankBy]) -> DataFrame:
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         counted = counted.withColumn(f"_inside{i}", F.coalesce(F.sum(step).over(inside), F.lit(0)))
-    # Without groups the offsets are at most MAX_BUCKETS + 1 rows.
+    # Without groups the offsets are one row per shuffle partition.
     side = offsets if within else F.broadcast(offsets)
     return (
         counted.alias("in")
@@ -96,6 +99,7 @@ def _positions(bucketed: DataFrame, ranks: list[RankBy]) -> DataFrame:
         .select(
             *(F.col(f"in.{c}") for c in within),
             "_value",
+            "_ties",
             *(
                 (F.col(f"_inside{i}") + F.col(f"offset{i}") + 1).cast("bigint").alias(by.out)
                 for i, by in enumerate(ranks)
@@ -104,54 +108,39 @@ def _positions(bucketed: DataFrame, ranks: list[RankBy]) -> DataFrame:
     )
 
 
-def global_rank(df: DataFrame, ranks: list[RankBy], small: int = SMALL, is_cut: bool = False) -> DataFrame:
+def global_rank(df: DataFrame, ranks: list[RankBy], is_cut: bool = False) -> DataFrame:
     """Adds each rank as a column.  ``df`` is cut first, so its own inputs are
-    read once whatever the number of ranks.  Up to ``small`` rows, counted
-    beforehand, are sorted in one task; more take the bucketed way, with one
-    join back per ranked column."""
-    base = df if is_cut else cut(df)
-    rows = base.count()
-    if rows <= small:
-        return base.withColumns(
-            {
-                by.out: (F.dense_rank() if by.dense else F.rank())
-                .over(Window.partitionBy(*by.within).orderBy(by.order()))
-                .cast("bigint")
-                for by in ranks
-            }
-        )
-    ranked = base
+    read once whatever the number of ranks.  Ranks join back by value: hot
+    values, of which there are at most ``HOT_SHARE``, as a broadcast, so that no
+    task of the shuffled join gets more than that share of the rows by one value."""
+    ranked = base = df if is_cut else cut(df)
     for col, within in dict.fromkeys((by.col, by.within) for by in ranks):
         alike = [by for by in ranks if (by.col, by.within) == (col, within)]
-        values = _bucketed_values(base, col, within, rows, small)
+        places = cut(_positions(_bucketed_values(base, col, within), alike))
+        # No more than HOT_SHARE values can reach this bound.
+        total = places.agg(F.sum("_ties")).scalar()
+        hot = F.col("_ties") * HOT_SHARE >= total
         same = F.col(col).eqNullSafe(F.col("_value"))
         for i, c in enumerate(within):
             same = same & F.col(c).eqNullSafe(F.col(f"_w{i}"))
-        ranked = ranked.join(_positions(values, alike), same, "left").drop(
-            "_value", *(f"_w{i}" for i in range(len(within)))
-        )
+        few = F.broadcast(places.where(hot))
+        rest = ranked.join(few.select("_value", *(f"_w{i}" for i in range(len(within)))), same, "left_anti")
+        both = ranked.join(few, same).unionByName(rest.join(places.where(~hot), same))
+        ranked = both.drop("_value", "_ties", *(f"_w{i}" for i in range(len(within))))
     return ranked.select(*base.columns, *(by.out for by in ranks))
 
 
-def row_numbers(df: DataFrame, by: RankBy, unique: str, small: int = SMALL) -> DataFrame:
+def row_numbers(df: DataFrame, by: RankBy, unique: str, also: list[RankBy] | None = None) -> DataFrame:
     """Adds ``by.out`` = ROW_NUMBER by ``by.col``, ties in order of ``unique``:
-    the rank of the value plus the position among its ties."""
-    base = cut(df)
+    the rank of the value plus the position among its ties; and the ranks ``also``."""
     ties = RankBy(unique, "_tie", descending=False, within=(*by.within, by.col))
-    return (
-        global_rank(base, [by, ties], small, is_cut=True)
-        .withColumn(by.out, F.col(by.out) + F.col("_tie") - 1)
-        .drop("_tie")
-    )
+    ranked = global_rank(df, [by, *(also or []), ties])
+    return ranked.withColumn(by.out, F.col(by.out) + F.col("_tie") - 1).drop("_tie")
 
 
-def dense_numbers(df: DataFrame, key: str, out: str, start: int = 0, small: int = SMALL) -> DataFrame:
-    """``start + 1, start + 2, ...`` in the order of the unique numeric ``key``."""
-    base = cut(df)
-    rows = base.count()
-    if rows <= small:
-        return base.withColumn(out, (F.row_number().over(Window.orderBy(F.col(key).asc_nulls_last())) + start).cast("bigint"))
-    bucketed = _bucketed(base, key, rows, small)
+def dense_numbers(df: DataFrame, key: str, out: str, start: int = 0) -> DataFrame:
+    """``start + 1, start + 2, ...`` in the order of the unique ``key``."""
+    bucketed = _bucketed(df, key)
     offsets = _offsets(bucketed, [(F.lit(1), False)], [])
     number = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col(key).asc_nulls_last()))
     return (
@@ -161,7 +150,7 @@ def dense_numbers(df: DataFrame, key: str, out: str, start: int = 0, small: int
     )
 
 
-def append_with_keys(base: DataFrame, new: DataFrame, key: str, order_by: str, small: int = SMALL) -> DataFrame:
+def append_with_keys(base: DataFrame, new: DataFrame, key: str, order_by: str) -> DataFrame:
     """``new`` with keys that continue after the highest key of ``base``."""
     top = base.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).first()["top"]
-    return dense_numbers(new, order_by, key, start=int(top), small=small)
+    return dense_numbers(new, order_by, key, start=int(top))

@@ -37,8 +37,9 @@ def left_on(df: DataFrame, other: DataFrame, on: str, keep: Column) -> DataFrame
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, include_null: bool = False) -> DataFrame:
-    """Child rows whose parent is missing."""
-    keys = parent.select(F.col(pk).alias("_pk"))
+    """Child rows whose parent is missing.  The right side of an anti-join is
+    never split, so the parent's keys are made distinct map-side first."""
+    keys = parent.select(F.col(pk).alias("_pk")).distinct()
     if not include_null:
         child = child.filter(F.col(fk).isNotNull())
     return child.join(keys, F.col(fk) == F.col("_pk"), "left_anti")
@@ -156,6 +157,9 @@ def lookup_specialty(ids: DataFrame, id_col: str, technicians: DataFrame) -> Dat
     )
 
 
-def sample_rows(df: DataFrame, k: int, seed: int) -> DataFrame:
-    """k random rows; every partition keeps only its k smallest draws."""
-    return df.orderBy(F.rand(seed)).limit(k)
+def sample_rows(df: DataFrame, k: int, seed: int, key: str) -> DataFrame:
+    """k rows drawn by a hash of (key, seed), which any engine can repeat and a
+    retried task draws again; every partition keeps only its k smallest draws,
+    so ``k`` rows meet in one task."""
+    draw = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}")))
+    return df.orderBy(draw, F.col(key)).limit(k)

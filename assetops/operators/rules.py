@@ -100,6 +100,7 @@ def day_info(df: DataFrame, date_col: str, holidays: DataFrame) -> DataFrame:
     )
 
 
+# The texts of denials, guards, completions and warranty alerts.
 def denial_text(op: Column, table: Column, is_holiday: Column, day_name: Column) -> Column:
     return joined(
         "Operation ",
@@ -159,34 +160,52 @@ def statement_audit(changes: DataFrame, spec: TableSpec, holidays: DataFrame) ->
             new_text.alias("NewValue"),
             F.col("username").alias("Username"),
             F.lit("DENIED").alias("Status"),
-            joined("Operation ", F.col("op"), f" on {spec.name} table is not allowed on weekdays or holidays.").alias(
-                "ErrorMessage"
-            ),
+            statement_text(F.col("op"), F.lit(spec.name)).alias("ErrorMessage"),
         )
     )
 
 
+# The error of a denied statement and its text.
+STATEMENT_ERROR = -20003
+
+
+def statement_text(op: Column, table: Column) -> Column:
+    return joined("Operation ", op, " on ", table, " table is not allowed on weekdays or holidays.")
+
+
 def gate_changes(changes: DataFrame, holidays: DataFrame, atomic_by: str | None = None) -> DataFrame:
-    """Adds ``accepted``.  With ``atomic_by`` one denied change denies its
-    whole statement: the denied statement ids are made distinct map-side and
-    joined back, so no task ever holds all changes of a statement."""
+    """Adds ``accepted``, ``error_code`` and ``message`` in one flagged frame, so
+    that a caller who stores both sides writes it once, partitioned by side.
+
+    Row by row a denied change carries its table's error.  With ``atomic_by``
+    one denied change denies its whole statement, and every change of it carries
+    the statement's first error: one row per denied statement, reduced map-side
+    and joined back, so no task ever holds all changes of a statement."""
     gated = calendar_gate(changes, "event_ts", holidays)
+    denied, op, table = ~F.col("allowed"), F.col("op"), F.col("table_name")
     if atomic_by is None:
-        return gated.withColumn("accepted", F.col("allowed"))
-    failed = gated.filter(~F.col("allowed")).select(F.col(atomic_by).alias("failed_id")).distinct()
+        code = F.lit(None).cast("int")
+        for spec in (EQUIPMENT_SPEC, MAINTENANCE_SPEC):
+            code = F.when(table == spec.name, spec.error_code).otherwise(code)
+        text = denial_text(op, table, F.col("is_holiday"), weekday_name(F.col("event_ts")))
+        return gated.withColumns(
+            {"accepted": F.col("allowed"), "error_code": F.when(denied, code), "message": F.when(denied, text)}
+        )
+    failed = gated.filter(denied).groupBy(F.col(atomic_by).alias("failed_id")).agg(
+        F.min_by(statement_text(op, table), "change_id").alias("message")
+    )
+    hit = F.col("failed_id").isNotNull()
     return (
         gated.join(failed, F.col(atomic_by) == F.col("failed_id"), "left")
-        .withColumn("accepted", F.col("failed_id").isNull() & F.col("allowed"))
+        .withColumns({"accepted": ~hit & F.col("allowed"), "error_code": F.when(hit, STATEMENT_ERROR)})
         .drop("failed_id")
     )
 
 
-def split_changes(
-    changes: DataFrame, holidays: DataFrame, atomic_by: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) changes."""
+def split_changes(changes: DataFrame, holidays: DataFrame, atomic_by: str | None = None) -> DataFrame:
+    """The changes with ``side``: accepted, or rejected with error and message."""
     gated = gate_changes(changes, holidays, atomic_by)
-    return gated.filter("accepted"), gated.filter("not accepted")
+    return gated.withColumn("side", F.when(F.col("accepted"), "accepted").otherwise("rejected")).drop("accepted")
 
 
 def decommission_guard(changes: DataFrame, maintenance: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -251,13 +270,18 @@ def completion_history(changes: DataFrame) -> DataFrame:
     )
 
 
-def completion_equipment_updates(changes: DataFrame) -> DataFrame:
-    """Last maintenance date per equipment: of several completions in one
-    batch the latest change wins, as it would row by row."""
+def completion_equipment_updates(changes: DataFrame, clock: Clock) -> DataFrame:
+    """Last maintenance date and time of change per equipment: of several
+    completions in one batch the latest change wins, as it would row by row.
+    ``change_id`` names the winner, so updates of several batches merge."""
     return (
         completions(changes)
         .groupBy(F.col("new.EquipmentID").alias("EquipmentID"))
-        .agg(F.max_by("new.CompletionDate", "change_id").alias("LastMaintenanceDate"))
+        .agg(
+            F.max_by("new.CompletionDate", "change_id").alias("LastMaintenanceDate"),
+            F.max("change_id").alias("change_id"),
+        )
+        .withColumn("ModifiedDate", clock.now)
     )
 
 
@@ -276,9 +300,9 @@ def completion_audit(changes: DataFrame) -> DataFrame:
     )
 
 
-def completion_effects(changes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def completion_effects(changes: DataFrame, clock: Clock) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(history rows, equipment updates, audit rows) of completed jobs."""
-    return completion_history(changes), completion_equipment_updates(changes), completion_audit(changes)
+    return completion_history(changes), completion_equipment_updates(changes, clock), completion_audit(changes)
 
 
 def warranty_alert_rows(df: DataFrame, clock: Clock, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -344,10 +368,11 @@ def this_week_holidays(like: DataFrame, clock: Clock) -> DataFrame:
     return like.sparkSession.createDataFrame(rows, "HolidayName STRING, HolidayDate DATE")
 
 
-def purge(df: DataFrame, date_col: str, clock: Clock, days: int = 180) -> tuple[DataFrame, DataFrame]:
-    """(kept, purged): rows older than ``days`` go, undated rows stay."""
+def purge(df: DataFrame, date_col: str, clock: Clock, days: int = 180) -> DataFrame:
+    """The rows with ``side``: purged if older than ``days``, else kept, undated
+    rows too.  One frame, to be written partitioned by side."""
     old = F.col(date_col) < clock.in_days(-days)
-    return df.filter(F.coalesce(~old, F.lit(True))), df.filter(old)
+    return df.withColumn("side", F.when(old, "purged").otherwise("kept"))
 
 
 def apply_updates(base: DataFrame, updates: DataFrame, key: str, order_by: str | None = None) -> DataFrame:

@@ -15,11 +15,10 @@ from assetops.functions import domain
 from assetops.functions.numeric import cents, count_if, or_zero, percent, rounded_ratio, sum_if
 from assetops.functions.temporal import month_label, month_start, whole_seconds
 from assetops.operators.facts import type_is, with_age, with_health
-from assetops.operators.ranking import SMALL, RankBy, global_rank
+from assetops.operators.ranking import RankBy, global_rank, row_numbers
 from assetops.operators.relational import department_names
 from assetops.plans.reports import n_rows, one_row, status_is, technician_analytics, technician_totals
 from assetops.schema import ACTIVE, COMPLETED, Tables
-from assetops.storage import cut
 
 
 def kpis(t: Tables, start: datetime, end: datetime) -> DataFrame:
@@ -40,10 +39,10 @@ def kpis(t: Tables, start: datetime, end: datetime) -> DataFrame:
     return one_row(pieces, jobs, repairs)
 
 
-def maintenance_ranking(t: Tables, small: int = SMALL) -> DataFrame:
+def maintenance_ranking(t: Tables) -> DataFrame:
     """Jobs and cost per equipment with positions inside the category (chosen)."""
     totals = t.maintenance.groupBy("EquipmentID").agg(n_rows().alias("n"), F.sum("Cost").alias("cost"))
-    rows = cut(
+    rows = (
         t.equipment.select("EquipmentID", "Name", "Category")
         .join(totals, "EquipmentID", "left")
         .select(
@@ -55,17 +54,15 @@ def maintenance_ranking(t: Tables, small: int = SMALL) -> DataFrame:
         )
     )
     within = ("Category",)
-    ranked = global_rank(
+    return row_numbers(
         rows,
+        RankBy("Total_Cost", "Row_Num", within=within),
+        "EquipmentID",
         [
             RankBy("Total_Cost", "Cost_Rank", within=within),
             RankBy("Total_Cost", "Cost_Dense_Rank", dense=True, within=within),
-            RankBy("EquipmentID", "_tie", descending=False, within=("Category", "Total_Cost")),
         ],
-        small,
-        is_cut=True,
     )
-    return ranked.withColumn("Row_Num", F.col("Cost_Rank") + F.col("_tie") - 1).drop("_tie")
 
 
 def technician_performance(t: Tables) -> DataFrame:
@@ -73,11 +70,9 @@ def technician_performance(t: Tables) -> DataFrame:
     return global_rank(technician_totals(t, None), [RankBy("Total_Jobs", "Performance_Rank")])
 
 
-def technician_cost_rank(t: Tables, small: int = SMALL) -> DataFrame:
+def technician_cost_rank(t: Tables) -> DataFrame:
     totals = t.maintenance.groupBy("TechnicianID").agg(F.sum("Cost").alias("TotalCost"))
-    return global_rank(
-        totals, [RankBy("TotalCost", "Cost_Rank"), RankBy("TotalCost", "Dense_Cost_Rank", dense=True)], small
-    )
+    return global_rank(totals, [RankBy("TotalCost", "Cost_Rank"), RankBy("TotalCost", "Dense_Cost_Rank", dense=True)])
 
 
 def monthly_trends(t: Tables) -> DataFrame:

@@ -26,7 +26,7 @@ from assetops.operators.facts import (
     type_is,
     with_health,
 )
-from assetops.operators.ranking import RankBy, global_rank
+from assetops.operators.ranking import RankBy, bounded_rank, global_rank
 from assetops.operators.relational import department_names, top_k
 from assetops.schema import ACTIVE, COMPLETED, DECOMMISSIONED, OPEN_ALERT, OPEN_JOB, Tables
 from assetops.storage import cut
@@ -120,9 +120,8 @@ def _department_totals(t: Tables, clock: Clock, keep: Column, as_written: bool)
     )
 
 
-def department_performance(t: Tables, clock: Clock, fanout: str = "as_written") -> DataFrame:
-    """Equipment, cost, health and staff per department, ranked by value and
-    by cost."""
+def department_figures(t: Tables, clock: Clock, fanout: str = "as_written") -> DataFrame:
+    """Equipment, cost, health and staff per department."""
     as_written = _check(fanout)
     totals = _department_totals(t, clock, completed_since(clock.months_ago(12)), as_written)
     staff = t.technicians.groupBy("DepartmentID").agg(F.count_distinct("TechID").alias("staff"))
@@ -132,7 +131,7 @@ def department_performance(t: Tables, clock: Clock, fanout: str = "as_written")
     def times(col: str) -> Column:
         return or_zero(F.col(col)) * repeat
 
-    figures = (
+    return (
         t.departments.join(totals, F.col("DeptID") == totals["DepartmentID"], "left")
         .drop("DepartmentID")
         .join(staff, F.col("DeptID") == staff["DepartmentID"], "left")
@@ -152,17 +151,22 @@ def department_performance(t: Tables, clock: Clock, fanout: str = "as_written")
             or_zero(F.col("staff")).alias("Assigned_Technicians"),
         )
     )
-    return global_rank(
-        figures,
+
+
+def department_performance(t: Tables, clock: Clock, fanout: str = "as_written") -> DataFrame:
+    """Department figures, ranked by value and by cost, highest value first."""
+    ranked = bounded_rank(
+        department_figures(t, clock, fanout),
         [
             RankBy("Total_Equipment_Value", "Equipment_Value_Rank"),
             RankBy("Maintenance_Cost_Last_Year", "Maintenance_Cost_Rank"),
         ],
     )
+    return ranked.orderBy(F.col("Total_Equipment_Value").desc(), "DeptID")
 
 
 def top_departments_by_cost(t: Tables, clock: Clock, k: int = 5, fanout: str = "as_written") -> DataFrame:
-    rows = department_performance(t, clock, fanout).select(
+    rows = department_figures(t, clock, fanout).select(
         "DeptName", "Total_Equipment", "Total_Equipment_Value", "Maintenance_Cost_Last_Year"
     )
     return top_k(rows, [F.col("Maintenance_Cost_Last_Year").desc_nulls_first()], "DeptName", k)
@@ -262,10 +266,8 @@ def category_month_trend(t: Tables, clock: Clock) -> DataFrame:
 def workload_scores(t: Tables) -> DataFrame:
     """Chosen: open jobs of a technician in percent of the busiest ACTIVE one."""
     open_jobs = t.maintenance.filter(status_is(*OPEN_JOB)).groupBy("TechnicianID").agg(n_rows().alias("open_jobs"))
-    staff = cut(
-        t.technicians.join(open_jobs, F.col("TechID") == F.col("TechnicianID"), "left").select(
-            "TechID", "Status", or_zero(F.col("open_jobs")).alias("open_jobs")
-        )
+    staff = t.technicians.join(open_jobs, F.col("TechID") == F.col("TechnicianID"), "left").select(
+        "TechID", "Status", or_zero(F.col("open_jobs")).alias("open_jobs")
     )
     busiest = staff.filter(status_is(ACTIVE)).agg(F.max("open_jobs")).scalar()
     return staff.select(
@@ -419,7 +421,7 @@ def _unhealthiest(t: Tables, clock: Clock, below: int, k: int) -> DataFrame:
     )
     chosen = cut(top_k(candidates, [F.col("health_units").asc()], "EquipmentID", k).drop("health_units"))
     ids = chosen.select("EquipmentID")
-    jobs = t.maintenance.join(F.broadcast(ids) if k <= 10_000 else ids, "EquipmentID", "left_semi")
+    jobs = t.maintenance.join(ids, "EquipmentID", "left_semi")
     return (
         features(t.but(equipment=chosen, maintenance=jobs), clock)
         .join(departments, "DepartmentID")
@@ -526,7 +528,7 @@ def monthly_performance(
         rounded_ratio(F.col("health"), rows, 1, 1).alias("Avg_Health_Score"),
         percent(F.col("completed"), F.col("jobs")).alias("Maintenance_Completion_Rate"),
     )
-    return global_rank(
+    return bounded_rank(
         figures,
         [
             RankBy("Total_Maintenance_Cost", "Cost_Rank"),
@@ -735,7 +737,7 @@ def technician_dashboard(t: Tables, clock: Clock) -> DataFrame:
     )
 
 
-def utilization_dashboard(t: Tables, small: int | None = None) -> DataFrame:
+def utilization_dashboard(t: Tables) -> DataFrame:
     """ACTIVE equipment by utilisation of a 30-day month."""
     rows = (
         t.equipment.filter(status_is(ACTIVE))
@@ -749,9 +751,8 @@ def utilization_dashboard(t: Tables, small: int | None = None) -> DataFrame:
             domain.utilization_of_month(F.col("UtilizationHours")).alias("Utilization_Percentage"),
         )
     )
-    options = {} if small is None else {"small": small}
     return (
-        global_rank(rows, [RankBy("UtilizationHours", "Utilization_Rank")], **options)
+        global_rank(rows, [RankBy("UtilizationHours", "Utilization_Rank")])
         .orderBy(F.col("Utilization_Percentage").desc(), "EquipmentID")
         .drop("EquipmentID")
     )

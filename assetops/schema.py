@@ -191,13 +191,17 @@ class Tables:
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project ``df`` on the canonical columns; absent columns become NULL."""
+    """Project ``df`` on the canonical columns; absent columns become NULL.
+    A fraction for a whole-number column is rounded half away from zero, as a
+    column of scale 0 does on a write."""
     present = {f.name.lower(): f.dataType for f in df.schema.fields}
     columns = []
     for field in SCHEMAS[table].fields:
-        kind = present.get(field.name.lower())
-        value = field.name if kind == field.dataType else (
-            f"CAST({field.name if kind else 'NULL'} AS {field.dataType.simpleString()})"
-        )
+        kind, whole = present.get(field.name.lower()), isinstance(field.dataType, T.IntegralType)
+        value = field.name if kind else "NULL"
+        if whole and isinstance(kind, T.FractionalType):
+            value = f"ROUND({value}, 0)"
+        if kind != field.dataType:
+            value = f"CAST({value} AS {field.dataType.simpleString()})"
         columns.append(f"{value} AS {field.name}")
     return df.selectExpr(*columns)

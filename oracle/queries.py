@@ -23,6 +23,13 @@ COVER = f"""case when warrantyexpiry is null then 'NO WARRANTY' when warrantyexp
 D = "::double"
 DMY = "upper(strftime({}, '%d-%b-%Y'))"
 
+DIRTY_EQ = """select * replace (case when departmentid = 3 then departmentid + 1000000000
+    when equipmentid % 30 <> 11 then departmentid end as departmentid) from eq"""
+DIRTY_JOB = """select * replace (
+    case when equipmentid % 5 = 0 then equipmentid + 1000000000 when maintenanceid % 40 <> 7 then equipmentid end as equipmentid,
+    case when technicianid % 7 = 3 then technicianid + 1000000000 when maintenanceid % 50 <> 9 then technicianid end
+        as technicianid) from job"""
+
 # Sources, sinks and snapshots ------------------------------------------------
 
 add("map_departments", "dept", "select * from dept")
@@ -33,6 +40,12 @@ add("map_maintenance", "job", f'select * exclude (down) replace ("cost"{D} as "c
 add("map_history", "hist", f'select * replace ("cost"{D} as "cost") from hist')
 add("map_alerts", "alert", "select * exclude (issuedescription) from alert")
 add("map_audit", "aud", "select * from aud")
+add("first_rows", "eq", 'select 20 "rows", 20 distinct_rows, 20 members')
+add(
+    "sample_rows",
+    "eq",
+    """select equipmentid, "name" from eq order by md5(cast(equipmentid as varchar) || '/7'), equipmentid limit 20""",
+)
 add(
     "map_holidays",
     "holi",
@@ -199,35 +212,42 @@ add(
 add(
     "orphan_equipment",
     "eq dept",
-    """select equipmentid, departmentid from eq where status <> 'DECOMMISSIONED' and departmentid is not null
-    and not exists (select 1 from dept where deptid = departmentid and location <> 'AFRICA')""",
+    """select equipmentid, departmentid from deq where departmentid is not null
+    and not exists (select 1 from dept where deptid = departmentid)""",
+    deq=DIRTY_EQ,
 )
 add(
     "orphan_maintenance",
     "job eq tech",
-    """select maintenanceid, equipmentid, technicianid from job j
-    where not exists (select 1 from eq where eq.equipmentid = j.equipmentid and eq.status <> 'DECOMMISSIONED')
-    or not exists (select 1 from tech where techid = j.technicianid and tech.status = 'ACTIVE')""",
+    """select maintenanceid, equipmentid, technicianid from djob j
+    where not exists (select 1 from eq where eq.equipmentid = j.equipmentid)
+    or not exists (select 1 from tech where techid = j.technicianid)""",
+    djob=DIRTY_JOB,
 )
-add(
-    "fk_verification",
-    "job eq tech dept",
-    """select 'All equipment has valid department' as "check", if(exists (select 1 from eq
-        where departmentid is not null and departmentid not in (select deptid from dept)), 'FAIL', 'PASS') result
-    union all select 'All maintenance has valid equipment', if(exists (select 1 from job j
+
+
+def fk_checks(eq: str, job: str) -> str:
+    return f"""select 'All equipment has valid department' as "check", if(exists (select 1 from {eq} e
+        where departmentid is not null and not exists (select 1 from dept where deptid = e.departmentid)), 'FAIL', 'PASS') result
+    union all select 'All maintenance has valid equipment', if(exists (select 1 from {job} j
         where not exists (select 1 from eq where eq.equipmentid = j.equipmentid)), 'FAIL', 'PASS')
-    union all select 'All maintenance has valid technician', if(exists (select 1 from job j
-        where not exists (select 1 from tech where techid = j.technicianid and status = 'ACTIVE')), 'FAIL', 'PASS')""",
-)
+    union all select 'All maintenance has valid technician', if(exists (select 1 from {job} j
+        where not exists (select 1 from tech where techid = j.technicianid)), 'FAIL', 'PASS')"""
+
+
+add("fk_verification", "job eq tech dept", fk_checks("deq", "djob"), deq=DIRTY_EQ, djob=DIRTY_JOB)
+add("fk_verification_clean", "job eq tech dept", fk_checks("eq", "job"))
 add(
     "completeness",
     "job eq tech dept",
-    """select 'Departments with no equipment' as "check", count(*) as "count" from dept
-        where deptid not in (select departmentid from eq where departmentid <> 3)
-    union all select 'Equipment with no maintenance', count(*) from eq where status = 'ACTIVE' and departmentid <> 3
-        and equipmentid not in (select equipmentid from job where status = 'IN_PROGRESS')
-    union all select 'Technicians with no assigned maintenance', count(*) from tech
-        where techid not in (select technicianid from job where status = 'IN_PROGRESS')""",
+    """select 'Departments with no equipment' as "check", count(*) as "count" from dept d
+        where not exists (select 1 from deq where departmentid = d.deptid)
+    union all select 'Equipment with no maintenance', count(*) from eq e where status = 'ACTIVE'
+        and not exists (select 1 from djob j where j.equipmentid = e.equipmentid)
+    union all select 'Technicians with no assigned maintenance', count(*) from tech t
+        where not exists (select 1 from djob j where j.technicianid = t.techid)""",
+    deq=DIRTY_EQ,
+    djob=DIRTY_JOB,
 )
 add(
     "status_distribution",
@@ -374,6 +394,20 @@ def _canonical_violations() -> str:
 
 
 add("constraint_violations", ALL_TABLES, _canonical_violations())
+add(
+    "constraint_rejects",
+    "eq job tech dept",
+    """select 'equipment' table_name, 'SerialNumber unique' "rule", cast(equipmentid as varchar) row_key, serialnumber "value"
+        from (select *, min(equipmentid) over (partition by serialnumber) keeps from eq) where equipmentid <> keeps
+    union all select 'equipment', 'DepartmentID in departments', cast(equipmentid as varchar), cast(departmentid as varchar)
+        from deq where departmentid not in (select deptid from dept)
+    union all select 'maintenance', 'EquipmentID in equipment', cast(maintenanceid as varchar), cast(equipmentid as varchar)
+        from djob where equipmentid not in (select equipmentid from eq)
+    union all select 'maintenance', 'TechnicianID in technicians', cast(maintenanceid as varchar), cast(technicianid as varchar)
+        from djob where technicianid not in (select techid from tech)""",
+    deq=DIRTY_EQ,
+    djob=DIRTY_JOB,
+)
 NONE = "select 0"
 add(
     "constraint_violations_gen1",
@@ -437,8 +471,9 @@ add(
 add(
     "maintenance_without_equipment",
     "job eq",
-    """select maintenanceid, equipmentid from job j
-    where not exists (select 1 from eq where eq.equipmentid = j.equipmentid and eq.status = 'ACTIVE')""",
+    """select maintenanceid, equipmentid from djob j
+    where not exists (select 1 from eq where eq.equipmentid = j.equipmentid)""",
+    djob=DIRTY_JOB,
 )
 add(
     "maintenance_count_top10",
@@ -836,13 +871,17 @@ add("stream_audit", "eq_chg", EQ_AUDIT)
 add(
     "split_changes",
     "chg",
-    "select change_id, statement_id, if(weekend, 'accepted', 'rejected') side from chg",
+    f"""select change_id, statement_id, if(weekend, 'accepted', 'rejected') side,
+    case when not weekend then case table_name when 'EQUIPMENT' then -20001 when 'MAINTENANCE' then -20002 end end error_code,
+    {DENIAL} message from chg""",
 )
 add(
     "split_changes_atomic",
     "chg",
-    """select change_id, statement_id,
-    if(bool_and(weekend) over (partition by statement_id), 'accepted', 'rejected') side from chg""",
+    """select change_id, statement_id, if(first is null, 'accepted', 'rejected') side, if(first is null, null, -20003) error_code,
+    first message from chg left join (select statement_id, arg_min('Operation ' || op || ' on ' || table_name
+        || ' table is not allowed on weekdays or holidays.', change_id) first from chg where not weekend group by statement_id)
+    using (statement_id)""",
 )
 add(
     "statement_audit",
@@ -868,24 +907,31 @@ add(
         exists (select 1 from alert a where a.equipmentid = eq.equipmentid and a.status in ('PENDING', 'IN_PROGRESS'))
             warned from eq)""",
 )
-COMPLETED_JOBS = f"""select maintenanceid change_id, equipmentid, maintenanceid, technicianid, completiondate datefixed,
+COMPLETED_JOBS = f"""select maintenanceid change_id, equipmentid, maintenanceid, technicianid, description actiontaken, completiondate datefixed,
     "cost"{D} "cost", {rounded("date_sub('second', scheduleddate, actualdate)", "3600", 1)} downtimehours,
     'Maintenance completed. Parts: ' || coalesce(partsreplaced, 'None') notes from done_chg"""
 add("completion_to_history", "done_chg", COMPLETED_JOBS)
 add("stream_completion", "done_chg", COMPLETED_JOBS)
+UPDATED_PIECES = f"""select equipmentid, arg_max(completiondate, maintenanceid) lastmaintenancedate, {NOW} modifieddate
+    from done_chg group by equipmentid"""
 add(
     "completion_equipment_updates",
     "done_chg",
-    """select equipmentid, arg_max(completiondate, maintenanceid) lastmaintenancedate from done_chg group by equipmentid""",
+    UPDATED_PIECES,
 )
+add("stream_completion_equipment", "done_chg", UPDATED_PIECES)
 add(
-    "completion_audit",
-    "done_chg",
-    f"""select maintenanceid change_id, 'MAINTENANCE' tablename, 'UPDATE' operation,
+    "completion_applied",
+    "done_chg eq",
+    f"""select e.equipmentid, e."name", lastmaintenancedate, modifieddate from eq e left join ({UPDATED_PIECES}) u
+    on u.equipmentid = e.equipmentid""",
+)
+COMPLETION_AUDIT = f"""select maintenanceid change_id, 'MAINTENANCE' tablename, 'UPDATE' operation,
     cast(maintenanceid as varchar) primarykeyvalue, 'Status: ' || old_status oldvalue,
     'Status: COMPLETED, Completed: ' || {DMY.format("completiondate")} newvalue, 'tech' || technicianid username,
-    'SUCCESS' status from done_chg""",
-)
+    'SUCCESS' status from done_chg"""
+add("completion_audit", "done_chg", COMPLETION_AUDIT)
+add("stream_completion_audit", "done_chg", COMPLETION_AUDIT)
 
 
 def warranty(expiry: str) -> str:

@@ -124,7 +124,7 @@ def main(folder):
         df.write.format("noop").mode("overwrite").save()
     # The hot cost is one value of a third of all jobs.
     spark.sparkContext.setJobDescription("positions")
-    ranked = global_rank(t.maintenance.select("MaintenanceID", "Cost"), [RankBy("Cost", "r")], 200)
+    ranked = global_rank(t.maintenance.select("MaintenanceID", "Cost"), [RankBy("Cost", "r")])
     top = ranked.agg(F.max("r"), F.count_if(F.col("Cost") == 1)).first()
     assert top[1] > JOBS // 3
     spark.stop()

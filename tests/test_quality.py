@@ -205,8 +205,8 @@ def test_synth_is_valid_and_repeatable(spark, clock):
 
 
 def test_sample_is_seeded(small):
-    a = relational.sample_rows(small.maintenance, 4, 3)
-    assert a.count() == 4 and rows(a) == rows(relational.sample_rows(small.maintenance, 4, 3))
+    a = relational.sample_rows(small.maintenance, 4, 3, "MaintenanceID")
+    assert a.count() == 4 and rows(a) == rows(relational.sample_rows(small.maintenance, 4, 3, "MaintenanceID"))
 
 
 def test_tables_are_built_on_first_use(spark):

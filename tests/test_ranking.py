@@ -33,19 +33,17 @@ def skewed(spark):
 @pytest.mark.parametrize("descending", [True, False])
 @pytest.mark.parametrize("dense", [True, False])
 @pytest.mark.parametrize("within", [(), ("g",)])
-@pytest.mark.parametrize("small", [100, 100_000])
-def test_equals_plain_rank(skewed, descending, dense, within, small):
+def test_equals_plain_rank(skewed, descending, dense, within):
     by = RankBy("v", "r", descending, dense, within)
     order = F.col("v").desc_nulls_first() if descending else F.col("v").asc_nulls_last()
     plain = (F.dense_rank() if dense else F.rank()).over(Window.partitionBy(*within).orderBy(order))
     expected = skewed.withColumn("r", plain.cast("bigint"))
-    assert rows(global_rank(skewed, [by], small)) == rows(expected)
+    assert rows(global_rank(skewed, [by])) == rows(expected)
 
 
-@pytest.mark.parametrize("small", [100, 100_000])
-def test_row_numbers_break_ties_by_id(skewed, small):
+def test_row_numbers_break_ties_by_id(skewed):
     plain = F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc_nulls_first(), "id"))
-    got = row_numbers(skewed, RankBy("v", "n", within=("g",)), "id", small)
+    got = row_numbers(skewed, RankBy("v", "n", within=("g",)), "id")
     assert rows(got) == rows(skewed.withColumn("n", plain.cast("bigint")))
 
 
@@ -53,15 +51,23 @@ def test_hot_value_is_one_row_of_the_window(skewed):
     """No window of the distributed form sees more rows than a bucket holds."""
     from assetops.operators.ranking import _bucketed_values
 
-    values = _bucketed_values(skewed, "v", (), 6000, 100)
-    assert values.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 200
+    values = _bucketed_values(skewed, "v", ())
+    largest = values.groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert largest <= 0.4 * values.count() and values.count() < 4000
 
 
-@pytest.mark.parametrize("small", [50, 100_000])
-def test_dense_numbers(spark, small):
+def test_any_orderable_type(spark):
+    df = spark.createDataFrame([(f"w{i * 7 % 23}", i % 5) for i in range(200)], "s string, g int")
+    df = df.withColumn("d", F.date_add(F.lit("2020-01-01").cast("date"), F.col("g")))
+    for col in ("s", "d"):
+        expected = df.withColumn("r", F.rank().over(Window.orderBy(F.col(col).desc_nulls_first())).cast("bigint"))
+        assert rows(global_rank(df, [RankBy(col, "r")])) == rows(expected)
+
+
+def test_dense_numbers(spark):
     df = spark.range(0, 3000, 7).select((F.col("id") * 13 % 100003).alias("k"))
     expected = df.withColumn("n", (F.row_number().over(Window.orderBy("k")) + 40).cast("bigint"))
-    assert rows(dense_numbers(df, "k", "n", 40, small)) == rows(expected)
+    assert rows(dense_numbers(df, "k", "n", 40)) == rows(expected)
 
 
 def test_append_continues_after_the_highest_key(spark):
@@ -75,7 +81,6 @@ def test_append_continues_after_the_highest_key(spark):
 def test_empty_frame(spark):
     df = spark.createDataFrame([], "v bigint")
     assert global_rank(df, [RankBy("v", "r")]).collect() == []
-    assert global_rank(df, [RankBy("v", "r")], small=-1).collect() == []
 
 
 SETTING = """

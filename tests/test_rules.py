@@ -92,12 +92,15 @@ def test_audit_rows(feed, small):
 
 
 def test_split_and_atomic_split(feed, small):
-    ok, denied = rules.split_changes(feed, small.holidays)
-    assert {r.change_id for r in ok.collect()} == {2, 4}
-    assert {r.change_id for r in denied.collect()} == {1, 3}
-    ok, denied = rules.split_changes(feed, small.holidays, "statement_id")
-    assert {r.change_id for r in ok.collect()} == {4}
-    assert {r.change_id for r in denied.collect()} == {1, 2, 3}
+    got = {r.change_id: r for r in rules.split_changes(feed, small.holidays).collect()}
+    assert {i: r.side for i, r in got.items()} == {1: "rejected", 2: "accepted", 3: "rejected", 4: "accepted"}
+    assert {i: r.error_code for i, r in got.items()} == {1: -20001, 2: None, 3: -20001, 4: None}
+    assert got[1].message.startswith("Operation ") and got[2].message is None
+    atomic = {r.change_id: r for r in rules.split_changes(feed, small.holidays, "statement_id").collect()}
+    assert {i for i, r in atomic.items() if r.side == "accepted"} == {4}
+    assert {r.error_code for i, r in atomic.items() if i != 4} == {-20003} and atomic[4].error_code is None
+    # A change that is allowed itself carries its statement's first error.
+    assert atomic[2].message.endswith("is not allowed on weekdays or holidays.")
 
 
 def test_statement_audit_keeps_denied_rows(feed, small):
@@ -132,7 +135,7 @@ def test_completion(spark):
         feeds.image(feeds.JOB_IMAGE).alias("new"),
         F.lit("eve").alias("username"),
     )
-    history, updates, audit = rules.completion_effects(changes)
+    history, updates, audit = rules.completion_effects(changes, Clock(NOW))
     got = {r.MaintenanceID: (r.DowntimeHours, r.Notes) for r in history.collect()}
     assert got == {
         1: (Decimal("5.1"), "Maintenance completed. Parts: None"),
@@ -187,8 +190,8 @@ def test_purge_keeps_undated_rows(spark, clock):
     df = spark.createDataFrame(
         [(1, NOW - timedelta(days=180)), (2, NOW - timedelta(days=181)), (3, None)], "id int, d timestamp_ntz"
     )
-    kept, gone = rules.purge(df, "d", clock)
-    assert {r.id for r in kept.collect()} == {1, 3} and {r.id for r in gone.collect()} == {2}
+    sides = {r.id: r.side for r in rules.purge(df, "d", clock).collect()}
+    assert sides == {1: "kept", 2: "purged", 3: "kept"}
 
 
 def test_updates(spark):

@@ -44,8 +44,9 @@ def test_completion_is_idempotent_per_batch(spark, t, tmp_path):
     feed.repartition(3).write.parquet(str(tmp_path / "feed"))
     out = {name: str(tmp_path / name) for name in ("history", "equipment", "audit")}
     changes = streams.file_stream(spark, str(tmp_path / "feed"), feed.schema, files_per_batch=1)
-    streams.stream_completion(changes, out, str(tmp_path / "state"))
-    history, _, audit = rules.completion_effects(feed)
+    streams.stream_completion(changes, AS_OF, out, str(tmp_path / "state"))
+    history, updates, audit = rules.completion_effects(feed, AS_OF)
+    assert rows(streams.latest_updates(spark, out["equipment"])) == rows(updates)
     stored = spark.read.parquet(out["history"])
     assert stored.select("batch_id").distinct().count() == 3
     assert rows(stored.drop("batch_id")) == rows(history)
@@ -57,8 +58,7 @@ def test_completion_is_idempotent_per_batch(spark, t, tmp_path):
     assert spark.read.parquet(out["history"]).count() == before
 
 
-@pytest.mark.parametrize("lateness", [None, "60 days"])
-def test_warranty_alerts_drop_replays(spark, t, event_files, tmp_path, lateness):
+def test_warranty_alerts_drop_replays(spark, t, event_files, tmp_path):
     near = t.equipment.withColumn("Status", F.lit("ACTIVE")).withColumn(
         "WarrantyExpiry", AS_OF.in_days(3) + F.make_dt_interval(days=(F.col("EquipmentID") % 100).cast("int"))
     )
@@ -67,7 +67,7 @@ def test_warranty_alerts_drop_replays(spark, t, event_files, tmp_path, lateness)
     twice = str(tmp_path / "twice")
     events.unionByName(events).repartitionByRange(2, "ts").write.parquet(twice)
     changes = feeds.equipment_changes(as_changes(stream(spark, twice)), lively)
-    streams.stream_warranty_alerts(changes, AS_OF, str(tmp_path / "out"), str(tmp_path / "state"), lateness)
+    streams.stream_warranty_alerts(changes, AS_OF, str(tmp_path / "out"), str(tmp_path / "state"), "60 days")
     batch = rules.warranty_alerts(feeds.equipment_changes(audited_events(spark, SF), lively), AS_OF)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() > 100 and rows(got) == rows(batch)
