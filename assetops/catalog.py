@@ -16,7 +16,7 @@ from assetops.operators import intake, quality, relational, rules
 from assetops.operators.facts import with_age
 from assetops.operators.ranking import RankBy, append_with_keys, global_rank
 from assetops.plans import metrics, reports, snapshots
-from assetops.schema import ACTIVE, KEYS, Tables
+from assetops.schema import ACTIVE, KEYS, SCHEMAS, Tables
 from assetops.sources import feeds, gen1, synth
 from assetops.sources import tables as store
 from assetops.sources.mapping import (
@@ -60,51 +60,34 @@ def on_tables(name: str, fn: Callable[[Tables], DataFrame]) -> None:
 
 # Sources, sinks and snapshots ------------------------------------------------
 
+# Columns the mapping leaves NULL; PasswordHash is filled with a constant.
+NOT_MAPPED = {
+    "departments": "ContactEmail Budget CreatedDate ModifiedDate",
+    "technicians": "ContactPhone Email HireDate CreatedDate",
+    "equipment": "Manufacturer Model LastMaintenanceDate CreatedDate ModifiedDate",
+    "users": "Email LastLogin CreatedDate PasswordHash",
+    "maintenance": "CreatedBy CreatedDate",
+    "history": "Notes CreatedDate",
+    "alerts": "AssignedTo ResolutionNotes CreatedDate",
+    "audit": "OldValue NewValue",
+    "holidays": "CreatedDate",
+}
 MAPPED_COLUMNS = {
-    "departments": ["DeptID", "DeptName", "Location", "HeadOfDept"],
-    "technicians": ["TechID", "FullName", "Specialty", "DepartmentID", "Status", "CertificationLevel"],
-    "users": ["UserID", "Username", "FullName", "Role", "DepartmentID", "Status"],
-    "equipment": [
-        "EquipmentID",
-        "SerialNumber",
-        "Name",
-        "Category",
-        "PurchaseDate",
-        "PurchasePrice",
-        "WarrantyExpiry",
-        "Status",
-        "DepartmentID",
-        "NextMaintenanceDate",
-        "UtilizationHours",
-    ],
-    "maintenance": [
-        "MaintenanceID",
-        "EquipmentID",
-        "TechnicianID",
-        "MaintenanceType",
-        "ScheduledDate",
-        "ActualDate",
-        "CompletionDate",
-        "Status",
-        "Cost",
-        "Description",
-        "PartsReplaced",
-    ],
-    "history": ["HistoryID", "EquipmentID", "MaintenanceID", "TechnicianID", "DateFixed", "Cost", "DowntimeHours"],
-    "alerts": ["AlertID", "EquipmentID", "AlertType", "Priority", "DateReported", "Status", "ResolutionDate"],
-    "audit": ["LogID", "TableName", "Operation", "PrimaryKeyValue", "Username", "Timestamp", "Status", "ErrorMessage"],
-    "holidays": ["HolidayID", "HolidayName", "HolidayDate", "Year"],
+    name: [c for c in schema.names if c not in NOT_MAPPED[name].split()] for name, schema in SCHEMAS.items()
 }
 for _name, _columns in MAPPED_COLUMNS.items():
     on_tables(f"map_{_name}", lambda t, n=_name, c=_columns: getattr(t, n).select(*c))
 
 
-@query("load_tables")
-def _load_tables(spark, sf_dir):
-    """Store the canonical tables, load them again and count the rows."""
+def _stored(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    """Store the canonical tables, load them again and sum up every column that has values."""
     folder = run_folder(spark, "tables")
-    store.write_tables(map_testdata(spark, sf_dir), folder)
-    return quality.row_counts(store.load_tables(spark, folder))
+    store.write_tables(map_testdata(spark, sf_dir), folder, fmt)
+    return store.column_totals(store.load_tables(spark, folder, fmt)).where("n > 0")
+
+
+query("load_tables")(lambda spark, sf_dir: _stored(spark, sf_dir, "parquet"))
+query("load_tables_csv")(lambda spark, sf_dir: _stored(spark, sf_dir, "csv"))
 
 
 @query("adapt_gen1_equipment")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assetops.schema import KEYS, SCHEMAS, Tables, conform
 
@@ -19,15 +21,46 @@ CLUSTER_BY = {
 }
 
 
-def load_tables(spark: SparkSession, path: str, fmt: str = "parquet") -> Tables:
+#: How the source system writes dates and times in text files.
+TEXT_FORMATS = {"dateFormat": "dd-MM-yyyy", "timestampNTZFormat": "dd-MM-yyyy HH:mm:ss"}
+
+
+def load_tables(spark: SparkSession, path: str, fmt: str = "parquet", formats: dict[str, str] = TEXT_FORMATS) -> Tables:
     """Typed tables from ``path/<table>``; nothing is inferred.  ``fmt`` may
-    also be ``csv`` (with a header) or another built-in format."""
+    also be ``csv`` (with a header) or another built-in format.  Text files are
+    read by ``formats``, and a field that does not parse is an error."""
     reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+    if fmt in ("csv", "json"):
+        reader = reader.options(header=True, mode="FAILFAST", **formats)
     return Tables(**{name: reader.schema(schema).load(f"{path}/{name}") for name, schema in SCHEMAS.items()})
 
 
+def column_totals(t: Tables) -> DataFrame:
+    """(table_name, column_name, n, distinct_n, total) of every column: values
+    that are there, different values, and a sum over them: numbers as they are,
+    money in cents, times in seconds, days since 1970, lengths of texts.  One
+    pass per table."""
+    frames = []
+    for name, df in t.items():
+        measures = []
+        for f in SCHEMAS[name].fields:
+            c = F.col(f.name)
+            if isinstance(f.dataType, T.StringType):
+                value = F.length(c)
+            elif isinstance(f.dataType, T.DecimalType):
+                value = c * 100
+            elif isinstance(f.dataType, T.TimestampNTZType):
+                value = F.unix_seconds(c.cast("timestamp"))
+            elif isinstance(f.dataType, T.DateType):
+                value = F.unix_date(c)
+            else:
+                value = c
+            total = F.coalesce(F.sum(value.cast("decimal(28,0)")), F.lit(0)).cast("bigint")
+            measures.append(F.struct(F.lit(f.name).alias("column_name"), F.count(c).alias("n"), F.count_distinct(c).alias("distinct_n"), total.alias("total")))
+        frames.append(df.agg(F.array(*measures).alias("m")).select(F.lit(name).alias("table_name"), F.inline("m")))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def write_tables(t: Tables, path: str, fmt: str = "parquet") -> None:
     for name, df in t.items():
         df = conform(df, name)
@@ -36,8 +69,8 @@ def write_tables(t: Tables, path: str, fmt: str = "parquet") -> None:
             order = (CLUSTER_BY[name], KEYS[name])
             df = df.repartitionByRange(*(F.col(c) for c in order)).sortWithinPartitions(*order)
         writer = df.write.mode("overwrite").format(fmt)
-        if fmt == "csv":
-            writer = writer.option("header", True)
+        if fmt in ("csv", "json"):
+            writer = writer.options(header=True, **TEXT_FORMATS)
         writer.save(f"{path}/{name}")
 
 
@@ -49,7 +82,11 @@ def save_bucketed(t: Tables, path: str, buckets: int, prefix: str = "assetops_")
     """Catalog tables over ``path``; jobs and history share their buckets, so
     the join every report starts with shuffles neither side."""
     for name, df in t.items():
-        writer = conform(df, name).write.mode("overwrite").option("path", f"{path}/{name}")
+        df = conform(df, name)
+        if name in BUCKET_BY:
+            # One file per bucket instead of one per task and bucket.
+            df = df.repartition(buckets, BUCKET_BY[name])
+        writer = df.write.mode("overwrite").option("path", f"{path}/{name}")
         if name in BUCKET_BY:
             writer = writer.bucketBy(buckets, BUCKET_BY[name]).sortBy(BUCKET_BY[name])
         writer.saveAsTable(prefix + name)

@@ -78,7 +78,7 @@ TABLES = {
         amount "cost", down, 'Maintenance ' || id description,
         case id % 5 when 0 then 'Filter replacement' when 1 then 'Battery replacement' end partsreplaced from lines""",
     "hist": """select maintenanceid historyid, equipmentid, maintenanceid, technicianid,
-        actualdate + interval 1 day datefixed, "cost", down downtimehours
+        'Maintenance ' || maintenanceid actiontaken, actualdate + interval 1 day datefixed, "cost", down downtimehours
         from job where status = 'COMPLETED' and maintenanceid % 7 <> 0""",
     "alert": f"""select event_id alertid, user_id equipmentid,
         {cycle("event_id", "MAINTENANCE_DUE", "WARRANTY_EXPIRY", "CRITICAL_ISSUE", "LOW_USAGE", "HIGH_USAGE")} alerttype,

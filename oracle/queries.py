@@ -38,7 +38,7 @@ add("map_users", "usr", "select * from usr")
 add("map_equipment", "eq", f"select * replace (purchaseprice{D} as purchaseprice) from eq")
 add("map_maintenance", "job", f'select * exclude (down) replace ("cost"{D} as "cost") from job')
 add("map_history", "hist", f'select * replace ("cost"{D} as "cost") from hist')
-add("map_alerts", "alert", "select * exclude (issuedescription) from alert")
+add("map_alerts", "alert", "select * from alert")
 add("map_audit", "aud", "select * from aud")
 add("first_rows", "eq", 'select 20 "rows", 20 distinct_rows, 20 members')
 add(
@@ -51,6 +51,58 @@ add(
     "holi",
     "select holidayid, holidayname, strftime(holidaydate, '%Y-%m-%d') holidaydate, yr as \"year\" from holi",
 )
+# Filled columns by kind of total: text, number, money, moment, day.
+FILLED_COLUMNS = {
+    "departments": ("dept", "DeptName:t Location:t HeadOfDept:t DeptID:n"),
+    "technicians": ("tech", "TechID:n FullName:t Specialty:t DepartmentID:n Status:t CertificationLevel:t"),
+    "users": ("usr", "UserID:n Username:t FullName:t Role:t DepartmentID:n Status:t PasswordHash:p"),
+    "equipment": (
+        "eq",
+        "EquipmentID:n SerialNumber:t Name:t Category:t PurchaseDate:m PurchasePrice:c WarrantyExpiry:m Status:t"
+        " DepartmentID:n NextMaintenanceDate:m UtilizationHours:n",
+    ),
+    "maintenance": (
+        "job",
+        "MaintenanceID:n EquipmentID:n TechnicianID:n MaintenanceType:t ScheduledDate:m ActualDate:m CompletionDate:m"
+        " Status:t Cost:c Description:t PartsReplaced:t",
+    ),
+    "history": ("hist", "HistoryID:n EquipmentID:n MaintenanceID:n TechnicianID:n ActionTaken:t DateFixed:m Cost:c DowntimeHours:n"),
+    "alerts": (
+        "alert",
+        "AlertID:n EquipmentID:n AlertType:t Priority:t DateReported:m Status:t ResolutionDate:m IssueDescription:t",
+    ),
+    "audit": (
+        "aud",
+        "LogID:n TableName:t Operation:t PrimaryKeyValue:t Username:t Timestamp:m Status:t ErrorMessage:t",
+    ),
+    "holidays": ("holi", "HolidayID:n HolidayName:t HolidayDate:d yr:n"),
+}
+TOTAL = {
+    "t": "length({})",
+    "n": "{}",
+    "c": "cast({} * 100 as bigint)",
+    "m": "cast(floor(epoch({})) as bigint)",
+    "d": "date_diff('day', date '1970-01-01', {})",
+}
+
+
+def column_totals(whole_seconds: bool = False) -> str:
+    """Text files keep whole seconds."""
+    out = []
+    for table, (cte, columns) in FILLED_COLUMNS.items():
+        for column in columns.split():
+            name, kind = column.split(":")
+            value = "'*'" if kind == "p" else f'"{name.lower()}"'
+            total = TOTAL["t" if kind == "p" else kind].format(value)
+            label = "Year" if name == "yr" else name
+            distinct = f"date_trunc('second', {value})" if whole_seconds and kind == "m" else value
+            out.append(
+                f"""select '{table}' table_name, '{label}' column_name, count({value}) n, count(distinct {distinct}) distinct_n,
+                cast(coalesce(sum({total}), 0) as bigint) total from {cte} having count({value}) > 0"""
+            )
+    return " union all ".join(out)
+
+
 COUNTS = {
     "DEPARTMENTS": "dept",
     "TECHNICIANS": "tech",
@@ -69,7 +121,8 @@ def counts(names) -> str:
     return " union all ".join(f"select '{n}' table_name, count(*) cnt from {COUNTS[n]}" for n in names)
 
 
-add("load_tables", ALL_TABLES, counts(COUNTS))
+add("load_tables", ALL_TABLES, column_totals())
+add("load_tables_csv", ALL_TABLES, column_totals(whole_seconds=True))
 add(
     "adapt_gen1_equipment",
     "g_eq",

@@ -184,3 +184,21 @@ def test_features_keep_pieces_without_jobs(spark, small, clock):
     assert got[1]["completed_cost"] == Decimal("153.05")
     assert got[2]["ROI_Percentage"] is None  # no price
     assert got[6]["Age_Years"] == 0
+
+
+def test_ratios_of_huge_amounts(spark):
+    """Amounts of 1e15 in cents, scaled and rounded, pass 64 bits on the way."""
+    from assetops.functions.numeric import cents
+
+    df = spark.createDataFrame([(Decimal("1000000000000000.00"), Decimal("3.00")), (Decimal("-2000000000000000.00"), Decimal("3000000000000000.00"))], "a decimal(20,2), b decimal(20,2)")
+    got = [r[0] for r in df.select(percent(cents(F.col("a")), cents(F.col("b")), 1)).collect()]
+    assert got == [Decimal("33333333333333333.3"), Decimal("-66.7")]
+    roi = df.select(domain.roi(F.lit(0), -F.col("a"), F.col("b"), 100), domain.roi(F.lit(5), F.col("a"), F.col("a"), 0)).collect()
+    assert roi[0][0] == Decimal("33333333333333333.3") and roi[0][1] == Decimal("-100.0")
+
+
+def test_whole_number_columns_round(spark):
+    from assetops.schema import conform
+
+    df = spark.createDataFrame([(Decimal("71.9"),), (Decimal("-0.5"),), (Decimal("0.4"),), (None,)], "DowntimeHours decimal(10,1)")
+    assert [r.DowntimeHours for r in conform(df, "history").collect()] == [72, -1, 0, None]

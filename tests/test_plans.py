@@ -40,7 +40,7 @@ def no_auto_broadcast(spark):
     spark.conf.set(key, before)
 
 
-SLOW = ("load_tables", "report_sink", "constraint_violations", "constraint_violations_gen1")
+SLOW = ("load_tables", "load_tables_csv", "constraint_rejects", "report_sink", "constraint_violations", "constraint_violations_gen1")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream") and n not in SLOW))

@@ -11,6 +11,7 @@ from assetops.clock import Clock
 from assetops.functions.portable import portable
 from assetops.operators import intake, quality, relational
 from assetops.plans import reports, snapshots
+from assetops.schema import KEYS
 from assetops.sources import gen1, synth
 from assetops.sources import tables as store
 from assetops.sources.mapping import AS_OF, map_testdata
@@ -222,3 +223,30 @@ def test_tables_are_built_on_first_use(spark):
 def test_portable_types(spark):
     df = spark.sql("select 1 as A, cast(1.5 as decimal(5,2)) as B, date'2025-01-02' as C, true as D")
     assert portable(df).dtypes == [("a", "bigint"), ("b", "double"), ("c", "string"), ("d", "boolean")]
+
+
+def test_text_dates_have_a_format_and_bad_fields_are_errors(spark, small, tmp_path):
+    from assetops.sources import tables as store
+
+    store.write_tables(small, str(tmp_path), "csv")
+    text = "".join(p.read_text() for p in (tmp_path / "maintenance").glob("*.csv"))
+    assert "20-11-2025 00:00:00" in text
+    loaded = store.load_tables(spark, str(tmp_path), "csv")
+    assert rows(loaded.maintenance.select("MaintenanceID", "ActualDate")) == rows(small.maintenance.select("MaintenanceID", "ActualDate"))
+    next((tmp_path / "holidays").glob("*.csv")).write_text("HolidayID,HolidayName,HolidayDate,Year,CreatedDate\n1,x,2025-31-12,2025,\n")
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        store.load_tables(spark, str(tmp_path), "csv").holidays.collect()
+
+
+def test_rejects_name_every_broken_row(small):
+    from conftest import piece, table
+
+    spark = small.equipment.sparkSession
+    bad = table(spark, "equipment", [piece(1), {**piece(2), "SerialNumber": piece(1)["SerialNumber"]}, piece(3, dept=99), {**piece(4), "Name": None}])
+    got = quality.rejects({**dict(small.items()), "equipment": bad}, quality.canonical_rules(), KEYS)
+    found = {(r.rule, r.row_key, r.value) for r in got.where("table_name = 'equipment'").collect()}
+    assert found == {
+        ("SerialNumber unique", "2", piece(1)["SerialNumber"]),
+        ("DepartmentID in departments", "3", "99"),
+        ("Name not null", "4", None),
+    }
