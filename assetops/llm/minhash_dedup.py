@@ -7,14 +7,15 @@ which bounds the one table that travels to all tasks.  Each text gets
 ``BANDS * ROWS`` weighted samples; texts that agree on a band are candidates and
 are verified by their exact weighted Jaccard similarity.
 
-Buckets are verified exactly, whatever their size.  First every member meets
-its bucket's leader, the smallest member.  One minus the similarity is a metric,
-so a member that is linked to the leader can only be linked to an unlinked one
-if both lie near the leader's rim; only such members, and unlinked ones, stay
-open, and buckets whose open members are of one class already are closed.  Open
-buckets of a bounded size are then finished in one task each, pair by pair
-between classes; larger ones meet more leaders, spread by hash, until they are
-small or closed.  No link between members of a bucket is lost, none is capped.
+Buckets are verified exactly, whatever their size, in three steps.  Every
+member meets its bucket's leader, the smallest member, and members of buckets
+that are still open meet some more leaders, spread by hash.  One minus the
+similarity is a metric, so a member that is linked to a leader can only be linked
+to an unlinked one if both lie near the leader's rim; only such members, and
+unlinked ones, stay open, and buckets whose open members are of one class already
+are closed.  What is left is finished between classes: the members outside a
+bucket's largest class are cut into blocks, and all its members pass every block.
+No link between members of a bucket is lost, and none is capped.
 
 Nodes are distinct texts (by MD5), so copies, however many, cost one row each.
 A class is named by its smallest id.  NULL texts are empty; texts without words
@@ -40,8 +41,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # a pair at the threshold shares a band with probability 0.999
 IDF_BITS = 20  # buckets of the document frequencies
 IDF_SHARE = 0.25  # the rarest shingles weigh this much more than the commonest
-BLOCK_NODES, BLOCK_CHARS = 128, 16 << 20  # most that one task finishes pair by pair
-LEADERS = 32  # of a larger bucket, per round after the first
+LEADERS = 32  # of an open bucket in the second step
+BLOCK = 64  # members that all others of their bucket pass at once in the third
 _SEGMENT = 1 << 14
 
 
@@ -189,22 +190,32 @@ def _compared(idf: np.ndarray):
 
 
 def _finished(idf: np.ndarray, least: float):
-    """All links between the classes of one open bucket of bounded size."""
+    """Links between classes; rows come sorted by block, its own members first.
+    A block is all that is held."""
 
-    def run(bucket: pa.Table) -> pa.Table:
-        nodes, labels = bucket.column("node").to_pylist(), bucket.column("label").to_pylist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, label = None, [], {}
         with np.errstate(over="ignore"):
-            sets = [weighted(h, idf) for h in of_texts(bucket.column("text").to_pylist())]
-        label = dict(zip(nodes, labels))
-        out = []
-        for i, a in enumerate(nodes):
-            for j in range(i):
-                old, new = label[nodes[j]], label[a]
-                if old != new and similarity(sets[i], sets[j]) >= least:
-                    out.append((a, nodes[j]))
-                    label = {n: new if x == old else x for n, x in label.items()}
-        columns = list(zip(*out)) if out else [[], []]
-        return pa.table({c: pa.array(v, pa.binary()) for c, v in zip(("node", "leader"), columns)})
+            for batch in batches:
+                out = []
+                columns = [batch.column(c).to_pylist() for c in ("band", "key", "block", "role", "node", "label", "minor")]
+                for (*at, role, node, mine, minor), h in zip(zip(*columns), of_texts(_texts(batch))):
+                    if at != block:
+                        block, held, label = at, [], {}
+                    own = weighted(h, idf)
+                    if role == 0:
+                        held.append((node, mine, own))
+                        continue
+                    for other, theirs, its in held:
+                        # Two members outside the largest class meet in both their blocks.
+                        if minor and node <= other:
+                            continue
+                        old, new = label.get(theirs, theirs), label.get(mine, mine)
+                        if old != new and similarity(its, own) >= least:
+                            out.append((node, other))
+                            label = {k: new if v == old else v for k, v in label.items()} | {theirs: new, old: new}
+                found = list(zip(*out)) if out else [[], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in found], names=["node", "leader"])
 
     return run
 
@@ -227,13 +238,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _open(active: DataFrame, found: DataFrame) -> DataFrame:
-    """(band, key, node, label, n, chars): buckets with members of two classes."""
-    labelled = active.join(components(found), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = cut(labelled)
-    sizes = labelled.groupBy("band", "key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.sum("size").alias("chars")
+    """(band, key, node, label, minor) of buckets with members of two classes;
+    ``minor`` members are outside the bucket's largest class."""
+    labelled = cut(active.join(components(found), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    sizes = labelled.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("band", "key").agg(
+        F.max(F.struct("n", "label"))["label"].alias("largest"), F.sum("n").alias("all_"), F.max("n").alias("most")
     )
-    return cut(labelled.join(sizes.where("low != high").drop("low", "high"), ["band", "key"]))
+    held = labelled.join(largest.where("all_ > most"), ["band", "key"])
+    minor = F.col("label") != F.col("largest")
+    return cut(held.select("band", "key", "node", "label", minor.alias("minor"), (F.col("all_") - F.col("most")).alias("n")))
 
 
 def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray, least: float) -> tuple[DataFrame, DataFrame]:
@@ -255,14 +269,13 @@ def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray, lea
     rim = judged.where(~near & (1 - F.col("sim") <= 2 * reach + 1e-9)).groupBy("band", "key", "leader").agg(F.max("sim").alias("rim"))
     settled = near & (F.col("rim").isNull() | (1 - F.col("sim") < 1 - F.col("rim") - reach - 1e-9))
     judged = judged.join(rim, ["band", "key", "leader"], "left").withColumn("settled", settled)
-    stays = judged.groupBy("band", "key", "node", "size").agg(F.max("settled").alias("settled")).where("not settled").drop("settled")
+    stays = judged.groupBy("band", "key", "node").agg(F.max("settled").alias("settled")).where("not settled").drop("settled")
     # Leaders have met every member.
     return links_, cut(stays.join(first.withColumnRenamed("leader", "node"), ["band", "key", "node"], "left_anti"))
 
 
 def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
     """(node, leader): verified links that connect every class of nodes."""
-    spark = rows.sparkSession
     # Copies are one node: its smallest id lends the text.
     nodes = signatures.where("bands is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     members = cut(nodes.select("node", "id", F.posexplode("bands").alias("band", "key")))
@@ -274,20 +287,18 @@ def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray, least: float)
     active = cut(members.join(once, ["band", "key"]).select("band", "key", "node", "id"))
     wanted = active.select("node", "id").distinct().hint("merge")
     same = (F.col("r.node") == F.col("w.node")) & F.col("r.id").eqNullSafe(F.col("w.id"))
-    texts = cut(rows.alias("r").join(wanted.alias("w"), same, "left_semi").select("node", "text", F.length("text").alias("size")), "zstd")
-    active = active.drop("id").join(texts.groupBy("node").agg(F.max("size").alias("size")), "node")
-    found, leaders = spark.createDataFrame([], "node binary, leader binary"), 1
-    while True:
-        new, active = _led(active, texts, leaders, idf, least)
-        found, leaders = found.union(new), LEADERS
-        active = _open(active, found)
-        small = (F.col("n") <= BLOCK_NODES) & (F.col("chars") <= BLOCK_CHARS)
-        blocks = active.where(small).join(texts.select("node", "text").dropDuplicates(["node"]), "node")
-        blocks = blocks.select("band", "key", "node", "label", "text").groupBy("band", "key")
-        found = found.union(cut(blocks.applyInArrow(_finished(idf, least), "node binary, leader binary")))
-        active = active.where(~small).select("band", "key", "node", "size")
-        if not active.limit(1).count():
-            return found
+    texts = cut(rows.alias("r").join(wanted.alias("w"), same, "left_semi").select("node", "text"), "zstd")
+    found, active = _led(active.drop("id"), texts, 1, idf, least)
+    more, active = _led(_open(active, found).select("band", "key", "node"), texts, LEADERS, idf, least)
+    found = cut(found.union(more))
+    rest = _open(active, found)
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = rest.where("minor").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    passing = rest.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    both = own.withColumn("role", F.lit(0)).unionByName(passing.withColumn("role", F.lit(1)))
+    dealt = both.join(texts.dropDuplicates(["node"]), "node").repartition("band", "key", "block")
+    dealt = dealt.sortWithinPartitions("band", "key", "block", "role").drop("n")
+    return found.union(cut(dealt.mapInArrow(_finished(idf, least), "node binary, leader binary")))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:

@@ -60,11 +60,11 @@ def test_classes(spark):
     assert minhash_dedup.classes(frame(spark, [])).count() == 0 and minhash_dedup.deduped(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("block", [128, 5])
+@pytest.mark.parametrize("block", [64, 3])
 def test_no_link_is_lost_inside_a_bucket(spark, monkeypatch, block):
     """All nodes in one bucket, chained: each is similar to its neighbours only."""
-    monkeypatch.setattr(minhash_dedup, "BLOCK_NODES", block)
-    monkeypatch.setattr(minhash_dedup, "LEADERS", 4)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)
+    monkeypatch.setattr(minhash_dedup, "LEADERS", 3)
     words = edge.prose(5, 900).split()
     rows = [(i, " ".join(words[7 * i : 7 * i + 100])) for i in range(25)]
     rows += [(100 + i, " ".join(words[500 + 15 * i : 600 + 15 * i])) for i in range(8)]
