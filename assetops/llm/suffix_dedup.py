@@ -41,9 +41,9 @@ from assetops.llm.shingles import mix
 from assetops.llm.wordtable import pack, unpack
 
 LENGTH, GRAM = 100, 32
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 SEGMENT = 1 << 19  # bytes that are hashed at once; under 2 ** 20
-RANGES = 4  # hash ranges per shuffle partition
+RANGES = 12  # hash ranges per shuffle partition
 _LAST = (1 << 63) - 1  # stands for a NULL id
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 _powers: dict[tuple, np.ndarray] = {}
@@ -96,15 +96,20 @@ def _power(base: np.uint64, n: int, inverse: bool) -> np.ndarray:
 
 
 class Prints:
-    """Fingerprints of substrings of ``data`` from prefix sums."""
-
-    def __init__(self, data: np.ndarray, which: int = 0):
-        base, n = _BASES[which], len(data) + 1
+    """Fingerprints of substrings of ``data`` from prefix sums.  ``place`` is each
+    byte's place in its own text, if substrings stay inside texts: the powers
+    are then as many as the longest text has bytes."""
+
+    def __init__(self, data: np.ndarray, which: int = 0, place: np.ndarray | None = None):
+        base = _BASES[which]
+        self.place = np.arange(len(data) + 1) if place is None else place
+        n = int(self.place.max(initial=0)) + 1
         self.back = _power(base, n, True)
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(base, n, False)[:-1], dtype=np.uint64)])
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(base, n, False)[self.place[: len(data)]], out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
+        return mix((self.sums[ends] - self.sums[starts]) * self.back[self.place[starts]])
 
 
 def _segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -271,7 +276,8 @@ def _covered(held: list[tuple[int, np.ndarray, np.ndarray, bytes]], length: int)
     rank = _ranked(start, row, name, order)
     spans = n + length - 1
     at = np.cumsum(spans) - spans
-    first, second = Prints(data, 0), Prints(data, 1)
+    place = _ranges(np.zeros(len(spans), np.int64), spans).astype(np.int32)
+    first, second = Prints(data, 0, place), Prints(data, 1, place)
     s = {"anchor": np.concatenate(anchor), "print": mix(first.of(at, at + spans) ^ (offset * 256 + n).astype(np.uint64))}
     earliest = _earliest(s, rank)
     # Equal suffixes: all strings of all but the earliest are removed.
