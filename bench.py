@@ -11,6 +11,7 @@ import time
 
 from assetops.catalog import QUERIES
 from assetops.session import build_session
+from assetops.storage import release
 
 HEADLINE = [
     "executive_dashboard",
@@ -69,6 +70,7 @@ def main() -> None:
             }
         )
     )
+    release(spark)
     spark.stop()
 
 

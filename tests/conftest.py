@@ -11,6 +11,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 from assetops.clock import Clock  # noqa: E402
 from assetops.schema import SCHEMAS, Tables, conform  # noqa: E402
 from assetops.session import build_session  # noqa: E402
+from assetops.storage import release  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 NOW = datetime(2025, 12, 10, 9, 30)
@@ -21,6 +22,7 @@ def spark():
     session = build_session("local[8]", 8, spark__driver__memory="8g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from assetops.clock import Clock  # noqa: E402
 from assetops.functions.temporal import plus_days  # noqa: E402
-from assetops.operators import intake, relational, rules  # noqa: E402
+from assetops.operators import intake, quality, relational, rules  # noqa: E402
 from assetops.operators.ranking import RankBy, global_rank  # noqa: E402
 from assetops.plans import metrics, reports, snapshots  # noqa: E402
 from assetops.schema import SCHEMAS, Tables, conform  # noqa: E402
@@ -98,10 +98,28 @@ def reports_over(t):
     yield "summary", snapshots.monthly_maintenance_summary(t, CLOCK)
     yield "audit", reports.audit_compliance(t.audit, CLOCK)
     yield "mtbf", metrics.mtbf(t)
-    yield "ranking", metrics.maintenance_ranking(t, 500)
+    yield "ranking", metrics.maintenance_ranking(t)
     yield "guard", rules.decommission_guard(feeds.decommission_requests(t), t.maintenance, t.alerts)
     yield "alerts", intake.automated_alerts(t, CLOCK)
     yield "totals", relational.total_maintenance_cost(t)
+    yield "joined", relational.equipment_dept_maintenance(t)
+    open_alerts = t.alerts.select("EquipmentID", "AlertID", "Status")
+    yield "left_on", relational.left_on(t.equipment.select("EquipmentID"), open_alerts, "EquipmentID", F.col("Status") == "PENDING")
+    yield "orphan_jobs", quality.orphan_maintenance(t)
+    yield "keys", quality.fk_report(t)
+    yield "complete", quality.completeness(t)
+    yield "statements", rules.split_changes(changes(t), t.holidays, "statement_id")
+
+
+def changes(t):
+    """A third of all changes belongs to one statement."""
+    return t.audit.select(
+        F.col("LogID").alias("change_id"),
+        hot(F.col("LogID"), F.col("LogID") % 2000).alias("statement_id"),
+        F.lit("EQUIPMENT").alias("table_name"),
+        F.lit("UPDATE").alias("op"),
+        F.col("Timestamp").alias("event_ts"),
+    )
 
 
 def main(folder):
@@ -117,6 +135,10 @@ def main(folder):
         spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        # Skewed joins are split at this size instead of 256 MB.
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
     )
     t = tables(spark)
     for name, df in reports_over(t):
@@ -127,6 +149,7 @@ def main(folder):
     ranked = global_rank(t.maintenance.select("MaintenanceID", "Cost"), [RankBy("Cost", "r")])
     top = ranked.agg(F.max("r"), F.count_if(F.col("Cost") == 1)).first()
     assert top[1] > JOBS // 3
+    ranked.write.format("noop").mode("overwrite").save()
     spark.stop()
 
 
