@@ -43,6 +43,7 @@ def health_units(next_due: Column, warranty: Column, age: Column, clock: Clock)
     return (maintenance * MAINTENANCE_WEIGHT + cover * WARRANTY_WEIGHT + youth * AGE_WEIGHT).cast("bigint")
 
 
+# Labels of health, due dates and warranties with their bounds.
 def health_label(score: Column) -> Column:
     return labelled(score, [(40, "POOR"), (60, "FAIR"), (80, "GOOD")], "EXCELLENT")
 
@@ -84,6 +85,7 @@ def failure_risk(score: Column, emergencies: Column) -> Column:
     )
 
 
+# Points by risk label.
 RISK_POINTS = {"CRITICAL": 40, "HIGH": 30, "MEDIUM": 20, "LOW": 10}
 
 

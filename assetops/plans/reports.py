@@ -344,6 +344,7 @@ def technician_analytics(t: Tables, clock: Clock) -> DataFrame:
     )
 
 
+# The bounds and labels of recommendations.
 def _recommendation(score: Column) -> Column:
     return domain.labelled(
         score,
@@ -550,6 +551,7 @@ def equipment_lifecycle(t: Tables, clock: Clock, hourly_cents: int = 100) -> Dat
         "Age_Years",
         domain.labelled(
             F.col("Age_Years"),
+            # Age groups and lifecycle labels.
             [(3, "NEW (0-3 years)"), (7, "MID-LIFE (4-7 years)"), (10, "MATURE (8-10 years)")],
             "AGING (10+ years)",
         ).alias("Age_Category"),

@@ -46,6 +46,7 @@ def synth(
         (i % n_departments + 1).alias("DepartmentID"),
         F.lit("ACTIVE").alias("Status"),
     )
+    # Names and cycles of the generated rows.
     equipment = spark.range(n_equipment).select(
         (i + FIRST_EQUIPMENT).alias("EquipmentID"),
         joined("EQ-", F.lpad((i % 10000).cast("string"), 4, "0"), "-", F.lpad(F.floor(i / 10000).cast("string"), 3, "0")).alias(
