@@ -470,6 +470,15 @@ on_tables(
 )
 
 
+@query("purge_monthly")
+def _purge_monthly(spark, sf_dir):
+    """Jobs stored by month, old months dropped; what is left."""
+    folder = run_folder(spark, "months")
+    store.write_monthly(map_testdata(spark, sf_dir).maintenance, "maintenance", folder)
+    store.purge_monthly(spark, "maintenance", folder, AS_OF)
+    return store.load_monthly(spark, "maintenance", folder).select("MaintenanceID", "EquipmentID", "Status")
+
+
 def _status_updates(t: Tables) -> DataFrame:
     """One update per alert: an escalated alert takes its equipment out of
     service; ids beyond the table are unknown keys."""

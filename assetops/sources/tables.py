@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assetops.clock import Clock, ntz
 from assetops.schema import KEYS, SCHEMAS, Tables, conform
 
 # The date a table is filtered by: rows are clustered on it, so a scan skips
@@ -74,6 +75,58 @@ def write_tables(t: Tables, path: str, fmt: str = "parquet") -> None:
         writer.save(f"{path}/{name}")
 
 
+# Tables that are stored by month of a date; rows without it have a month of their own.
+BY_MONTH = {"maintenance": "ActualDate", "audit": "Timestamp"}
+NO_MONTH = "none"
+
+
+def write_monthly(df: DataFrame, name: str, path: str) -> None:
+    """The table ``name`` below ``path``, one folder per month of its date."""
+    date = F.col(BY_MONTH[name])
+    month = F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
+    order = ("month", BY_MONTH[name], KEYS[name])
+    rows = conform(df, name).withColumn("month", month)
+    # The key splits a month that holds much of the table.
+    rows = rows.repartitionByRange(*(F.col(c) for c in order)).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").partitionBy("month").parquet(f"{path}/{name}")
+
+
+def load_monthly(spark: SparkSession, name: str, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The rows of the months ``first`` to ``last`` (yyyy-MM), of all months and
+    undated rows by default; other months' folders are not read."""
+    schema = T.StructType([*SCHEMAS[name].fields, T.StructField("month", T.StringType())])
+    rows = spark.read.schema(schema).parquet(f"{path}/{name}")
+    if first is not None:
+        rows = rows.where(F.col("month") >= first)
+    if last is not None:
+        rows = rows.where(F.col("month") <= last)
+    if first is not None or last is not None:
+        rows = rows.where(F.col("month") != NO_MONTH)
+    return rows.drop("month")
+
+
+def purge_monthly(spark: SparkSession, name: str, path: str, clock: Clock, days: int = 180) -> list[str]:
+    """Removes rows older than ``days``: whole months by their folders, only the
+    month the limit falls into is written anew.  Returns the months touched."""
+    limit = clock.as_of - timedelta(days=days)
+    border = limit.strftime("%Y-%m")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(f"{path}/{name}")
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {s.getPath().getName().removeprefix("month="): s.getPath() for s in system.listStatus(root) if s.isDirectory()}
+    old = sorted(m for m in found if m != NO_MONTH and m < border)
+    for month in old:
+        system.delete(found[month], True)
+    if border in found:
+        folder = found[border].toString()
+        kept = spark.read.schema(SCHEMAS[name]).parquet(folder).where(F.col(BY_MONTH[name]) >= ntz(limit))
+        kept.write.mode("overwrite").parquet(f"{path}/_{name}-{border}")
+        system.delete(found[border], True)
+        system.rename(hadoop.Path(f"{path}/_{name}-{border}"), found[border])
+        old.append(border)
+    return old
+
+
 # Tables that are joined on a job, and the column they are bucketed by.
 BUCKET_BY = {"maintenance": "MaintenanceID", "history": "MaintenanceID"}
 

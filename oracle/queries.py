@@ -1022,6 +1022,12 @@ add(
     "job",
     f"""select maintenanceid, if(actualdate < {NOW} - interval 180 day, 'purged', 'kept') side from job""",
 )
+add(
+    "purge_monthly",
+    "job",
+    f"""select maintenanceid, equipmentid, status from job where actualdate is null
+    or actualdate >= {NOW} - interval 180 day""",
+)
 add(
     "apply_updates",
     "eq alert",
