@@ -47,3 +47,24 @@ t AS (SELECT DISTINCT doc_id, width,
 SELECT doc_id, item_id, count(*) / max(n_shingles) AS containment, max(n_shingles) AS n_shingles
 FROM t JOIN s USING (width, shingle) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING count(*) / max(n_shingles) >= 0.8
 """
+
+ORACLE["op9_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) AS win,
+             unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM
+        (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g JOIN
+            (SELECT doc_id, win FROM g GROUP BY doc_id, win HAVING count(*) > 1) USING (doc_id, win)) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+c AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+             coalesce(r.n, 0) AS n_repeat_words, len(string_split(t, chr(10))) AS n_lines,
+             len(list_filter(w, lambda x: ends_with(x, '!'))) AS n_loud
+      FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words
+            OR 100 * n_loud > 30 * n_words OR (n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)) AS kept
+FROM b
+"""
