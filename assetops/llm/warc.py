@@ -141,10 +141,14 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
         F.sha1(payload).alias("digest"),
     )
     dictionary = train(rows)
-    # Copies, however many, meet only as partial minima.
-    firsts = (
-        rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    ).where("n > 1")
+    # Copies, however many, meet only as partial minima.  Written out, so that
+    # the join reads two plain exchanges and a hot payload's side is split.
+    firsts = cut(
+        rows.where(F.octet_length("payload") >= min_bytes)
+        .groupBy("digest")
+        .agg(F.min("id").alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
+    )
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     placed = rows.join(firsts, "digest", "left").select("id", "url", "payload", "first", revisit.alias("revisit"))
     return cut(placed.mapInArrow(_writer(folder, dictionary), "archive string, records bigint, bytes bigint"))
