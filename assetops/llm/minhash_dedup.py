@@ -41,8 +41,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # a pair at the threshold shares a band with probability 0.999
 IDF_BITS = 20  # buckets of the document frequencies
 IDF_SHARE = 0.25  # the rarest shingles weigh this much more than the commonest
-LEADERS = 32  # of an open bucket in the second step
-BLOCK = 64  # members that all others of their bucket pass at once in the third
+LEADERS = 8  # of an open bucket in the second step
+BLOCK = 128  # members that all others of their bucket pass at once in the third
 _SEGMENT = 1 << 14
 
 
