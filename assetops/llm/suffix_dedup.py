@@ -232,18 +232,21 @@ def _suffix_rows(parts: int, length: int, gram: int):
 class Family:
     """Sorted arrays of (anchor, suffix number), about halving in size."""
 
-    def __init__(self) -> None:
+    def __init__(self, suffixes: int) -> None:
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        self.met: list[np.ndarray] = []  # suffixes that met an equal anchor
+        self.met = np.zeros(suffixes, bool)  # suffixes that met an equal anchor
 
     def add(self, anchors: np.ndarray, numbers: np.ndarray) -> None:
         """A new batch, sorted by anchor."""
         same = np.flatnonzero(anchors[1:] == anchors[:-1])
-        self.met += [numbers[same], numbers[same + 1]]
+        self.met[numbers[same]] = self.met[numbers[same + 1]] = True
         for level, known in self.levels:
             left, right = np.searchsorted(level, anchors), np.searchsorted(level, anchors, "right")
             hit = right > left
-            self.met += [numbers[hit], known[np.unique(_ranges(left[hit], (right - left)[hit]))]]
+            self.met[numbers[hit]] = True
+            # An anchor that the batch has many times is one run of the level.
+            left, once = np.unique(left[hit], return_index=True)
+            self.met[known[_ranges(left, right[hit][once] - left)]] = True
         while self.levels and len(self.levels[-1][0]) <= 2 * len(anchors):
             level, known = self.levels.pop()
             anchors, numbers = np.concatenate([level, anchors]), np.concatenate([known, numbers])
@@ -254,10 +257,11 @@ class Family:
 
 def _covered(held: list[tuple[int, np.ndarray, np.ndarray, bytes]], length: int) -> Iterator[tuple[int, np.ndarray]]:
     """(batch, [row, start, count] of removed strings) of one range."""
-    family, sizes = Family(), np.cumsum([0] + [len(a) for _, a, *_ in held])
+    sizes = np.cumsum([0] + [len(a) for _, a, *_ in held])
+    family = Family(sizes[-1])
     for i, (_, anchors, *_) in enumerate(held):
         family.add(anchors, np.arange(sizes[i], sizes[i + 1]))
-    met = np.unique(np.concatenate(family.met)) if family.met else np.zeros(0, np.int64)
+    met = np.flatnonzero(family.met)
     if not len(met):
         return
     anchor, fields, texts, owner = [], [], [], []
