@@ -21,7 +21,9 @@ Strings are compared by 128-bit fingerprints.  Texts are UTF-8; a NULL text is
 empty; nothing of a text under ``length`` bytes is removed.  NULL ids come after
 all others; rows that repeat an id are ordered by batch and row; an empty table
 gives an empty result; other columns are not read.  Batches are named by a hash
-of their rows: an input that changes between the two passes is an error.
+of their rows: an input that changes between the two passes is an error.  Of
+batches with the same rows, and so of one name, one is scanned; the others, which
+come after it, lose every string.
 """
 
 from __future__ import annotations
@@ -212,8 +214,10 @@ def _suffix_rows(parts: int, length: int, gram: int):
                 lens = np.array([len(t) for t in batch.texts])
                 begin, order = np.cumsum(lens) - lens, _order(batch.ids)
                 keep = np.flatnonzero(sent)
-                keep = keep[np.argsort(s["anchor"][keep], kind="stable")]
-                part = (s["anchor"][keep] >> np.uint64(32)).astype(np.int64) * parts >> 32  # ranges of the hash
+                # Anchors are least hashes, so most are small: their ranges are of the hash mixed again.
+                part = (mix(s["anchor"][keep]) >> np.uint64(32)).astype(np.int64) * parts >> 32
+                by = np.lexsort((s["anchor"][keep], part))
+                keep, part = keep[by], part[by]
                 bounds = np.searchsorted(part, np.arange(parts + 1))
                 for p in range(parts):
                     e = keep[bounds[p] : bounds[p + 1]]
@@ -320,6 +324,8 @@ def _scanned(length: int):
                     if p != part and held:
                         yield from ready()
                         held = []
+                    if p == part and held and held[-1][0] == batch:
+                        continue  # an equal batch: ``cut_batch`` removes its strings
                     part = p
                     f = unpack(fields, np.int64).reshape(5, -1)
                     held.append((batch, np.cumsum(unpack(anchors, np.uint64), dtype=np.uint64), f, texts))
@@ -369,14 +375,17 @@ def deduped(
         out: list[tuple] = []
         decompress = zstandard.ZstdDecompressor().decompress
         with np.errstate(over="ignore"):
-            for ids, lens, blob in zip(*(left.column(c).to_pylist() for c in ("ids", "lens", "texts"))):
+            for twin, (ids, lens, blob) in enumerate(zip(*(left.column(c).to_pylist() for c in ("ids", "lens", "texts")))):
                 data, ends = decompress(blob), np.cumsum(unpack(lens).astype(np.int64))
                 batch = Batch()
                 for row_id, a, b in zip(ids, np.concatenate([[0], ends[:-1]]), ends):
                     batch.add(row_id, data[a:b])
                 # Equal suffixes of one batch were not sent: all but the earliest go.
+                # Of equal batches the first has the hits; the others repeat all it has.
                 s, earliest = _sent(batch, length, gram)
-                row, start, count = np.concatenate([np.array([s[c][~earliest] for c in ("row", "start", "n")], np.int64), *found], axis=1)
+                gone = ~earliest if twin == 0 else np.ones(len(earliest), bool)
+                own = [np.array([s[c][gone] for c in ("row", "start", "n")], np.int64)]
+                row, start, count = np.concatenate(own + (found if twin == 0 else []), axis=1)
                 by = np.argsort(row, kind="stable")
                 row, start, count = row[by], start[by], count[by]
                 bounds = np.searchsorted(row, np.arange(len(ids) + 1))

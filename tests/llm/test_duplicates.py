@@ -190,6 +190,20 @@ def test_repeated_strings(spark, length, gram):
     assert suffix_dedup.deduped(frame(spark, [])).count() == 0
 
 
+def test_equal_batches_keep_one_copy(spark):
+    """Equal long rows alone in their partitions, and a part delivered three times."""
+    one = [(1, edge.prose(21, 60))]
+    part = [(i, f"{edge.prose(800 + i, 40)} {one[0][1][30:250]} {edge.prose(900 + i % 2, 30)}") for i in range(5)] + [(7, "short"), (8, None)]
+    for rows, times in ((one, 2), (part, 3)):
+        docs = frame(spark, rows).coalesce(1)
+        df = docs
+        for _ in range(times - 1):
+            df = df.union(docs)
+        got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.deduped(df).collect())
+        assert got == brute_removed(rows * times, 100)
+    assert sorted(r.kept for r in suffix_dedup.deduped(frame(spark, one).union(frame(spark, one))).collect()) == [b"", one[0][1].encode()]
+
+
 def test_long_texts_are_cut_into_segments(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 4096)
     text = edge.prose(3, 3000).encode()
