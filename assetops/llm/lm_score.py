@@ -1,17 +1,22 @@
-"""Language-model scores by logistic mixing of hashed-context bit predictors.
+"""Language-model scores by logistic mixing of context bit predictors.
 
 A text is its UTF-8 bytes and one end symbol, each read as eight binary
-decisions.  Four predictors, of the last one to four bytes, count ones and
-zeros in hashed slots; the counts come from all training documents.  A mixer
-adds the predictors' log odds with weights chosen by a gate (the bit and how
-much the long contexts have seen).  The weights are learned online, in passes
+decisions.  Four predictors, of the last one to four bytes, count the ones and
+zeros that followed each context and the bits before, in all training documents.
+A mixer adds the predictors' log odds with weights chosen by a gate (the bit and
+how much the long contexts have seen).  The weights are learned online, in passes
 over the training events in which every event is predicted without its own
 count; parallel passes are averaged.  A last table, adapted to the mixer's
 output under the bits before, refines the probability.  A text's score is the
 log10 of its probability.
 
-Events are gathered as distinct byte grams with their counts, so the corpus is
-read once for counting and once for scoring; the tables have a fixed size.
+Every context has counts of its own, at any size of the corpus.  Events are
+gathered as distinct byte grams with their counts.  A chunk of documents sends
+each of its grams once to the part that the gram's last three context bytes
+name; a part has all that followed these and longer contexts, scores each of its
+grams once, and the scores return to the chunks.  The counts after one and two
+bytes travel to all tasks: at most 2^24 keys, as many as there are three bytes
+in a row, whatever the corpus.
 
 Beside it stands the base score, by token counts with one added (see
 ``wordtable``).  A NULL text is empty: the end token and the end symbol only.
@@ -23,7 +28,7 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,9 @@ from assetops.llm.shingles import mix
 from assetops.storage import cut
 
 ORDERS = (1, 2, 3, 4)
-SLOT_BITS = 20  # of each predictor
+NEAR = 2  # orders whose counts travel to all tasks
+PARTS = 4  # parts of the grams per shuffle partition
+STEP = 10_000  # grams whose bits the mixer learns in turn
 END = 255  # no UTF-8 text has this byte
 ROUNDS = 2  # passes of the mixer
 RATE = 0.02
@@ -59,9 +66,13 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode("utf-8", "surrogatepass").lower().split(), b""]
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _encoded(texts: list[str] | list[bytes]) -> list[bytes]:
+    return [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in texts]
+
+
+def grams(texts: list[str] | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(four bytes before and the byte itself as one number, bounds per text)."""
-    encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    encoded = _encoded(texts)
     gap, end = bytes(4), bytes([END])
     data = np.frombuffer(b"".join(gap + e + end for e in encoded), np.uint8).astype(np.int64)
     packed = data.copy()
@@ -73,7 +84,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return packed[keep], bounds
 
 
-def blocks(texts: list[str]) -> Iterator[list[str]]:
+def blocks(texts: list) -> Iterator[list]:
     at, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
@@ -82,31 +93,113 @@ def blocks(texts: list[str]) -> Iterator[list[str]]:
             at, size = i + 1, 0
 
 
-def gram_counts(rows: DataFrame) -> DataFrame:
-    """(gram, n) over the training rows of (_id, _text)."""
-    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys ascending, their sums)."""
+    found, at = np.unique(keys, return_inverse=True)
+    return found, np.bincount(at, n, len(found)).astype(np.int64)
+
+
+def _packed(ascending: np.ndarray) -> bytes:
+    return wordtable.pack(np.diff(ascending, prepend=0))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(wordtable.unpack(data, np.int64))
+
+
+_GRAMS = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("grams", pa.binary()), ("uses", pa.binary())])
+_GRAMS_SQL = "part int, chunk bigint, grams binary, uses binary"
+_PARTS = pa.schema(
+    [("part", pa.int32()), ("grams", pa.binary()), ("n", pa.binary()), ("chunks", pa.list_(pa.int64())), ("local", pa.list_(pa.binary()))]
+)
+_PARTS_SQL = "part int, grams binary, n binary, chunks array<bigint>, local array<binary>"
+
+
+def _gram_rows(parts: int):
+    """The distinct grams of every chunk, by part; ``uses`` are those in training."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            texts = [t or "" for i, t in zip(ids, batch.column(1).to_pylist()) if training(i)]
-            for block in blocks(texts):
-                found, n = np.unique(grams(block)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], schema=schema)
+        for chunk in wordtable.chunks(batches, tokens):
+            found, at = [], 0
+            for block in blocks(chunk.texts):
+                gram, bounds = grams(block)
+                counted = np.repeat([training(i) for i in chunk.ids[at : at + len(block)]], np.diff(bounds))
+                found.append(_summed(gram, counted))
+                at += len(block)
+            gram, uses = _summed(*(np.concatenate(c) for c in zip(*found)))
+            with np.errstate(over="ignore"):
+                spread = mix((gram >> 8 & 0xFFFFFF).astype(np.uint64)) >> np.uint64(32)
+            part = spread.astype(np.int64) * parts >> 32
+            by = np.argsort(part, kind="stable")
+            bounds = np.searchsorted(part[by], np.arange(parts + 1))
+            own = [(p, by[a:b]) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
+            columns = [[p for p, _ in own], [chunk.name] * len(own), [_packed(gram[e]) for _, e in own], [wordtable.pack(uses[e]) for _, e in own]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _GRAMS)], schema=_GRAMS)
+
+    return run
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per part: its grams, their counts, and the chunks' numbers into
+    them; rows come sorted by part."""
+    part, held = None, []
+
+    def ready() -> pa.RecordBatch:
+        chunks, found, uses = zip(*held)
+        gram, n = _summed(np.concatenate(found), np.concatenate(uses))
+        row = [[part], [_packed(gram)], [wordtable.pack(n)], [list(chunks)], [[_packed(np.searchsorted(gram, f)) for f in found]]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _PARTS)], schema=_PARTS)
 
-    return rows.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    for batch in batches:
+        for p, chunk, found, uses in zip(*(c.to_pylist() for c in batch.columns)):
+            if p != part and held:
+                yield ready()
+                held = []
+            part = p
+            held.append((chunk, _unpacked(found), wordtable.unpack(uses, np.int64)))
+    if held:
+        yield ready()
+
+
+def gram_parts(rows: DataFrame) -> DataFrame:
+    """The distinct grams of (_id, _text) in their parts."""
+    parts = PARTS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = rows.mapInArrow(_gram_rows(parts), _GRAMS_SQL)
+    return cut(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merged, _PARTS_SQL))
+
+
+class Counts:
+    """What followed each context of one order in training, from grams and counts."""
 
+    def __init__(self, order: int, gram: np.ndarray, n: np.ndarray):
+        self.order = order
+        used = n > 0
+        self.keys, totals = _summed(self.key(gram[used]), n[used])
+        self.until = np.concatenate([[0], np.cumsum(totals)])
+
+    def __getstate__(self) -> dict:
+        return {"order": self.order, "keys": _packed(self.keys), "until": _packed(self.until)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.order, self.keys, self.until = state["order"], _unpacked(state["keys"]), _unpacked(state["until"])
 
-def _events(gram: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For each bit: (number, ones, bits before, slot per order)."""
-    byte, contexts = gram & 255, gram >> 8
+    def key(self, gram: np.ndarray) -> np.ndarray:
+        return gram & ((1 << (8 * self.order + 8)) - 1)
+
+    def of(self, gram: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
+        """(zeros, ones) after each gram's context and the first ``bit`` bits of its byte."""
+        left = self.key(gram) >> (8 - bit) << (8 - bit)
+        ends = (left, left + (1 << (7 - bit)), left + (1 << (8 - bit)))
+        low, middle, high = (self.until[np.searchsorted(self.keys, e)] for e in ends)
+        return middle - low, high - middle
+
+
+def _events(gram: np.ndarray, tables: list[Counts]) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[tuple]]]:
+    """For each bit: (number, ones, bits before, (zeros, ones) counted per order)."""
+    byte = gram & 255
     for bit in range(8):
         before = (byte | 256) >> (8 - bit)  # a leading one, then the bits before
-        slots = []
-        for o, order in enumerate(ORDERS):
-            context = (contexts & ((1 << (8 * order)) - 1)).astype(np.uint64)
-            slots.append((mix(context * np.uint64(512) + before.astype(np.uint64) + np.uint64(o << 60)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-        yield bit, (byte >> (7 - bit)) & 1, before, slots
+        yield bit, (byte >> (7 - bit)) & 1, before, [t.of(gram, bit) for t in tables]
 
 
 def _dense(arrays: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -145,45 +238,28 @@ def _gathered(partial: DataFrame, shapes: list[int]) -> list[np.ndarray]:
     return out
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = [np.zeros(1 << SLOT_BITS) for _ in range(2 * len(ORDERS))]
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            gram, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.float64)
-            for _, ones, _, slots in _events(gram):
-                for o, slot in enumerate(slots):
-                    total[2 * o] += np.bincount(slot, n * (1 - ones), 1 << SLOT_BITS)
-                    total[2 * o + 1] += np.bincount(slot, n * ones, 1 << SLOT_BITS)
-    yield from _dense(enumerate(total))
-
-
 class Model:
-    """Counts per order, mixer weights per gate, and the refining table."""
+    """Counts of the near orders, mixer weights per gate, and the refining table."""
 
-    def __init__(self, counts: list[np.ndarray]):
-        self.counts = [c.astype(np.float32) for c in counts]
+    def __init__(self, near: list[Counts]):
+        self.near = near
+        self.far: list[Counts] = []
         self.weights = np.full((_GATES, len(ORDERS) + 1), 0.3, np.float32)
         self.weights[:, -1] = 0
         self.refined: np.ndarray | None = None
 
-    def __getstate__(self) -> dict:
-        """Counts travel to the tasks compressed: most slots are empty or small."""
-        compress = zstandard.ZstdCompressor(level=3).compress
-        return self.__dict__ | {"counts": [compress(c.tobytes()) for c in self.counts]}
+    def tables(self, gram: np.ndarray, n: np.ndarray) -> list[Counts]:
+        """Counts per order, of a part that has ``gram`` ``n`` times."""
+        return self.near + [Counts(order, gram, n) for order in ORDERS[NEAR:]]
 
-    def __setstate__(self, state: dict) -> None:
-        decompress = zstandard.ZstdDecompressor().decompress
-        self.__dict__.update(state, counts=[np.frombuffer(decompress(c), np.float32) for c in state["counts"]])
-
-    def inputs(self, bit: int, ones: np.ndarray, slots: list[np.ndarray], own: float) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, bit: int, ones: np.ndarray, counted: list[tuple], own: int) -> tuple[np.ndarray, np.ndarray]:
         """(log odds of a one per predictor and a bias, gate), without ``own``
         of the event's own count."""
         x = np.empty((len(ones), len(ORDERS) + 1), np.float32)
         x[:, -1] = 0.3
         seen = []
-        for o, slot in enumerate(slots):
-            zero = np.maximum(self.counts[2 * o][slot] - own * (1 - ones), 0)
-            one = np.maximum(self.counts[2 * o + 1][slot] - own * ones, 0)
+        for o, (zeros, ones_) in enumerate(counted):
+            zero, one = zeros - own * (1 - ones), ones_ - own * ones
             x[:, o] = np.clip(np.log((one + 0.2) / (zero + 0.2)), -8, 8)
             seen.append(np.minimum(np.log2(zero + one + 1) / 2, 4).astype(np.int64))
         return x, bit * 25 + seen[-1] * 5 + seen[-2]
@@ -198,49 +274,65 @@ class Model:
             p = (p + self.refined[before * BUCKETS + bucket(odds)]) / 2
         return np.clip(p, 1e-6, 1 - 1e-6)
 
-    def log10(self, gram: np.ndarray) -> np.ndarray:
+    def log10(self, gram: np.ndarray, tables: list[Counts] | None = None) -> np.ndarray:
         """log10 of the probability of each gram's byte after its context."""
         out = np.zeros(len(gram))
-        for bit, ones, before, slots in _events(gram):
-            x, gate = self.inputs(bit, ones, slots, 0)
+        for bit, ones, before, counted in _events(gram, tables or self.near + self.far):
+            x, gate = self.inputs(bit, ones, counted, 0)
             p = self.probability(self.mixed(x, gate), before)
             out += np.log10(np.where(ones == 1, p, 1 - p))
         return out
 
     def score(self, texts: list[str]) -> np.ndarray:
-        """(log10 probability, bytes) of every text."""
-        scores, sizes = [], []
-        with np.errstate(over="ignore"):
-            for block in blocks(texts):
-                gram, bounds = grams(block)
-                distinct, at = np.unique(gram, return_inverse=True)
-                scores.append(np.add.reduceat(self.log10(distinct)[at], bounds[:-1]))
-                sizes.append(np.diff(bounds) - 1)
-        return np.array([np.concatenate(scores), np.concatenate(sizes)])
+        """(log10 probability, bytes) of every text, of a model with all counts."""
+        return text_scores(texts, lambda gram: self.log10(gram))
+
+
+def text_scores(texts: list[str] | list[bytes], log10: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """(log10 probability, bytes) of every text, from that of distinct grams."""
+    scores, sizes = [], []
+    for block in blocks(texts):
+        gram, bounds = grams(block)
+        distinct, at = np.unique(gram, return_inverse=True)
+        scores.append(np.add.reduceat(log10(distinct)[at], bounds[:-1]))
+        sizes.append(np.diff(bounds) - 1)
+    return np.array([np.concatenate(scores), np.concatenate(sizes)])
 
 
 def bucket(odds: np.ndarray) -> np.ndarray:
     return np.clip(np.rint((odds + 8) * ((BUCKETS - 1) / 16)), 0, BUCKETS - 1).astype(np.int64)
 
 
+def _trained(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[Counts]]]:
+    """(grams, counts, tables) of the parts' training grams, spread, in steps."""
+    for batch in batches:
+        for grams_, n_ in zip(batch.column("grams").to_pylist(), batch.column("n").to_pylist()):
+            gram, n = _unpacked(grams_), wordtable.unpack(n_, np.int64)
+            tables = model.tables(gram, n)
+            with np.errstate(over="ignore"):
+                by = np.argsort(mix(gram.astype(np.uint64)), kind="stable")
+            by = by[n[by] > 0]
+            for at in range(0, len(by), STEP):
+                e = by[at : at + STEP]
+                yield gram[e], n[e].astype(np.float64), tables
+
+
 def _learned(model: Model):
     """One online pass: the weights after it and their mass, per gate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, mass = model.weights.astype(np.float64), np.zeros(_GATES)
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                gram, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.float64)
-                for bit, ones, _, slots in _events(gram):
-                    x, gate = model.inputs(bit, ones, slots, 1)
-                    for at in range(0, len(gram), 4096):
-                        xs, g, w = x[at : at + 4096], gate[at : at + 4096], n[at : at + 4096]
-                        odds = np.clip(np.einsum("ij,ij->i", xs, weights[g]), -12, 12)
-                        error = ones[at : at + 4096] - 1 / (1 + np.exp(-odds))
-                        seen = np.bincount(g, w, _GATES)
-                        for j in range(xs.shape[1]):
-                            weights[:, j] += RATE * np.bincount(g, w * error * xs[:, j], _GATES) / np.maximum(seen, 1) * np.minimum(seen, 8)
-                        mass += seen
+        for gram, n, tables in _trained(model, batches):
+            for bit, ones, _, counted in _events(gram, tables):
+                x, gate = model.inputs(bit, ones, counted, 1)
+                for at in range(0, len(gram), 4096):
+                    xs, g, w = x[at : at + 4096], gate[at : at + 4096], n[at : at + 4096]
+                    odds = np.clip(np.einsum("ij,ij->i", xs, weights[g]), -12, 12)
+                    error = ones[at : at + 4096] - 1 / (1 + np.exp(-odds))
+                    seen = np.bincount(g, w, _GATES)
+                    for j in range(xs.shape[1]):
+                        weights[:, j] += RATE * np.bincount(g, w * error * xs[:, j], _GATES) / np.maximum(seen, 1) * np.minimum(seen, 8)
+                    mass += seen
         yield from _dense([(0, (weights * mass[:, None]).ravel()), (1, mass)])
 
     return run
@@ -251,36 +343,96 @@ def _refining(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ones_at, all_at = np.zeros(256 * BUCKETS), np.zeros(256 * BUCKETS)
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                gram, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.float64)
-                for bit, ones, before, slots in _events(gram):
-                    x, gate = model.inputs(bit, ones, slots, 1)
-                    at = before * BUCKETS + bucket(model.mixed(x, gate))
-                    ones_at += np.bincount(at, n * ones, len(ones_at))
-                    all_at += np.bincount(at, n, len(all_at))
+        for gram, n, tables in _trained(model, batches):
+            for bit, ones, before, counted in _events(gram, tables):
+                x, gate = model.inputs(bit, ones, counted, 1)
+                at = before * BUCKETS + bucket(model.mixed(x, gate))
+                ones_at += np.bincount(at, n * ones, len(ones_at))
+                all_at += np.bincount(at, n, len(all_at))
         yield from _dense([(0, ones_at), (1, all_at)])
 
     return run
 
 
-def fitted(rows: DataFrame) -> Model:
-    """The model of the training rows of (_id, _text)."""
-    counted = cut(gram_counts(rows))
-    slots = 1 << SLOT_BITS
-    model = Model(_gathered(counted.mapInArrow(_counted, _DENSE_SQL), [slots] * (2 * len(ORDERS))))
+def _near_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The training counts of the near orders' keys, per part."""
+    for batch in batches:
+        for gram, n in zip(batch.column("grams").to_pylist(), batch.column("n").to_pylist()):
+            key, total = _summed(_unpacked(gram) & ((1 << (8 * NEAR + 8)) - 1), wordtable.unpack(n, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(key[total > 0]), pa.array(total[total > 0])], names=["gram", "n"])
+
+
+def learned(parts: DataFrame) -> Model:
+    """The model of ``gram_parts``, without the far orders' counts."""
+    parts = parts.select("grams", "n")
+    near = parts.mapInArrow(_near_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    gram, n = (near.column(c).to_numpy() for c in ("gram", "n"))
+    model = Model([Counts(order, gram, n) for order in ORDERS[:NEAR]])
     shape = model.weights.shape
     for _ in range(ROUNDS):
-        total, mass = _gathered(counted.mapInArrow(_learned(model), _DENSE_SQL), [shape[0] * shape[1], shape[0]])
-        learned = total.reshape(shape) / np.maximum(mass, 1e-9)[:, None]
-        model.weights = np.where(mass[:, None] > 0, learned, model.weights).astype(np.float32)
-    ones, seen = _gathered(counted.mapInArrow(_refining(model), _DENSE_SQL), [256 * BUCKETS] * 2)
+        total, mass = _gathered(parts.mapInArrow(_learned(model), _DENSE_SQL), [shape[0] * shape[1], shape[0]])
+        weights = total.reshape(shape) / np.maximum(mass, 1e-9)[:, None]
+        model.weights = np.where(mass[:, None] > 0, weights, model.weights).astype(np.float32)
+    ones, seen = _gathered(parts.mapInArrow(_refining(model), _DENSE_SQL), [256 * BUCKETS] * 2)
     center = 1 / (1 + np.exp(-(np.arange(BUCKETS) * 16 / (BUCKETS - 1) - 8)))
     prior = np.tile(center, 256)
     model.refined = (ones + 8 * prior) / (seen + 8)
     return model
 
 
+def fitted(rows: DataFrame) -> Model:
+    """The model of the training rows of (_id, _text) with all its counts in
+    this process, for corpora whose distinct grams fit it; ``scored`` leaves
+    them in their parts."""
+    parts = gram_parts(rows)
+    model = learned(parts)
+    found = [(_unpacked(bytes(g)), wordtable.unpack(bytes(n), np.int64)) for g, n in parts.select("grams", "n").collect()]
+    gram, n = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    model.far = model.tables(gram, n)[NEAR:]
+    return model
+
+
+_ANSWERS = pa.schema([("chunk", pa.int64()), ("grams", pa.binary()), ("answers", pa.binary())])
+
+
+def _gram_answers(model: Model):
+    """The log10 probabilities of the chunks' grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            for packed, n, chunks, local in zip(*(batch.column(c).to_pylist() for c in _PARTS.names[1:])):
+                gram = _unpacked(packed)
+                logs = model.log10(gram, model.tables(gram, wordtable.unpack(n, np.int64)))
+                for chunk, numbers in zip(chunks, map(_unpacked, local)):
+                    row = [[chunk], [_packed(gram[numbers])], [compress(logs[numbers].tobytes())]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _ANSWERS)], schema=_ANSWERS)
+
+    return run
+
+
+def _stored(texts: list[str]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(e + bytes([END]) for e in _encoded(texts)))
+
+
+def _measured(stored: bytes, answers: list[tuple[bytes, bytes]]) -> np.ndarray:
+    """(log10 probability, bytes) of a chunk's texts, from its grams' answers."""
+    decompress = zstandard.ZstdDecompressor().decompress
+    texts = decompress(stored).split(bytes([END]))[:-1]
+    gram = np.concatenate([_unpacked(g) for g, _ in answers])
+    logs = np.concatenate([np.frombuffer(decompress(a)) for _, a in answers])
+    by = np.argsort(gram)
+    gram, logs = gram[by], logs[by]
+
+    def log10(distinct: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(gram, distinct), len(gram) - 1)
+        if (gram[at] != distinct).any():
+            raise ValueError("the input changed between two passes: write it to a table first")
+        return logs[at]
+
+    return text_scores(texts, log10)
+
+
 _COUNTS_SQL = "chunk bigint, local binary, answers binary, tokens bigint, words bigint"
 
 
@@ -301,10 +453,11 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     counts = cut(wordtable.dealt(wordtable.word_rows(rows, tokens, training)).mapInArrow(_token_counts, _COUNTS_SQL))
     # Two numbers.
     n, v = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
-    model = fitted(rows)
+    parts = gram_parts(rows)
+    model = learned(parts)
     denominator = np.log10(n + v + 1)
 
-    def combine(ids, lens, positions, measured, pairs) -> pa.RecordBatch:
+    def combine(ids, lens, positions, stored, pairs, others) -> pa.RecordBatch:
         size = sum(len(local) for local, _ in pairs)
         count = np.zeros(size, np.int64)
         for local, answer in pairs:
@@ -312,7 +465,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         starts = np.cumsum(lens) - lens  # every text has its end token
         known = np.add.reduceat((count > 0)[positions].astype(np.int64), starts)
         base = np.add.reduceat((np.log10(count + 1) - denominator)[positions], starts)
-        score, size = measured
+        score, size = _measured(stored, others)
         columns = [
             pa.array(ids, pa.int64()),
             pa.array([held_out(i) for i in ids]),
@@ -328,5 +481,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     names = [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
     types = ["bigint", "boolean", "bigint", "bigint", "bigint", "double", "double", "double"]
     schema = ", ".join(f"`{c}` {t}" for c, t in zip(names, types))
-    answers = counts.where("chunk is not null").select("chunk", "local", "answers")
-    return wordtable.met(wordtable.position_rows(rows, tokens, model.score), answers, combine, schema)
+    words = counts.where("chunk is not null").select("chunk", "local", "answers")
+    scores = parts.mapInArrow(_gram_answers(model), "chunk bigint, grams binary, answers binary")
+    answers = words.unionByName(scores, allowMissingColumns=True)
+    return wordtable.met(wordtable.position_rows(rows, tokens, _stored), answers, combine, schema, "grams")

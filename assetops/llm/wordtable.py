@@ -171,13 +171,13 @@ def answered(words: DataFrame, answer: Callable[[list[bytes], np.ndarray], Calla
     return dealt(words).mapInArrow(run, _ANSWERS_SQL)
 
 
-def position_rows(rows: DataFrame, split, measure: Callable[[list[str]], np.ndarray] | None = None) -> DataFrame:
+def position_rows(rows: DataFrame, split, measure: Callable[[list[str]], bytes] | None = None) -> DataFrame:
     """One row per chunk: its documents, their positions' local numbers, and
-    what ``measure`` makes of their texts (doubles, one line per measure)."""
+    what ``measure`` makes of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, split):
-            measured = b"" if measure is None else np.ascontiguousarray(measure(chunk.texts), np.float64).tobytes()
+            measured = b"" if measure is None else measure(chunk.texts)
             at = np.concatenate(chunk.positions)
             row = [[chunk.name], [chunk.ids], [pack(np.array(chunk.lens, np.uint32))], [pack(at)], [measured]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _ROWS)], schema=_ROWS)
@@ -185,23 +185,27 @@ def position_rows(rows: DataFrame, split, measure: Callable[[list[str]], np.ndar
     return rows.mapInArrow(run, _ROWS_SQL)
 
 
-def met(rows: DataFrame, answers: DataFrame, combine, schema: str) -> DataFrame:
+def met(rows: DataFrame, answers: DataFrame, combine, schema: str, other: str | None = None) -> DataFrame:
     """``combine(ids, lens, positions, measured, [(local numbers, answers), ...])``
-    of every chunk, as record batches of ``schema``."""
+    of every chunk, as record batches of ``schema``.  Answers may be to something
+    else than words, in column ``other``: a last argument [(other, answers), ...]."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         pairs = [
             (np.cumsum(unpack(a), dtype=np.int64), b)
             for a, b in zip(right.column("local").to_pylist(), right.column("answers").to_pylist())
+            if a is not None
         ]
+        others = []
+        if other is not None:
+            others = [[(a, b) for a, b in zip(right.column(other).to_pylist(), right.column("answers").to_pylist()) if a is not None]]
         size = sum(len(a) for a, _ in pairs)
         out = []
         for ids, lens, positions, measured in zip(*(left.column(c).to_pylist() for c in _ROWS.names[1:])):
             at = unpack(positions)
             if len(at) and int(at.max()) >= size:
                 raise ValueError("the input changed between two passes: write it to a table first")
-            doubles = np.frombuffer(measured, np.float64).reshape(-1, len(ids))
-            out.append(combine(ids, unpack(lens).astype(np.int64), at, doubles, pairs))
+            out.append(combine(ids, unpack(lens).astype(np.int64), at, measured, pairs, *others))
         if not out:
             raise ValueError("the input changed between two passes: write it to a table first")
         return pa.Table.from_batches(out)

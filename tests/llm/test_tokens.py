@@ -104,3 +104,38 @@ def test_the_model_is_a_distribution_and_predicts_held_out_text(spark):
     data = "".join(texts_out).encode()
     order0 = -sum(n * math.log2(n / len(data)) for n in Counter(data).values()) / len(data)
     assert bits < 0.6 * order0
+
+
+def brute_counts(rows, order, context, prefix):
+    """(zeros, ones) that follow ``context`` and the bits ``prefix`` in the training texts."""
+    out = [0, 0]
+    for i, t in rows:
+        if lm_score.training(i):
+            data = bytes(4) + t.encode() + bytes([lm_score.END])
+            for at in range(4, len(data)):
+                if data[at - order : at] == context and format(data[at], "08b").startswith(prefix):
+                    out[format(data[at], "08b")[len(prefix)] == "1"] += 1
+    return tuple(out)
+
+
+def test_every_context_has_counts_of_its_own(spark):
+    """More contexts than 2^20 slots hold apart: counts equal brute force, and the
+    queries' scores those of the whole model, also of a part that comes twice."""
+    draw = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzäöüßéèñçøåæœабвгдежзийклмно0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    rows = [(i, "".join(draw.choice(letters, 6000))) for i in range(40)]
+    df = spark.createDataFrame(rows, "_id bigint, _text string").repartition(3).cache()
+    model = lm_score.fitted(df)
+    assert sum(len(np.unique(model.far[-1].keys >> (8 - bit))) for bit in range(8)) > 1 << 20
+    text = rows[3][1].encode()
+    for at in range(50, 1000, 97):
+        for order, table in zip(lm_score.ORDERS, model.near + model.far):
+            bit = at % 8
+            gram = np.array([int.from_bytes(text[at - 4 : at + 1], "big")])
+            zeros, ones = table.of(gram, bit)
+            assert (zeros[0], ones[0]) == brute_counts(rows, order, text[at - order : at], format(text[at], "08b")[:bit])
+    docs = df.selectExpr("_id doc_id", "_text text")
+    twice = docs.coalesce(1).union(docs.coalesce(1))
+    model = lm_score.fitted(twice.selectExpr("doc_id _id", "text _text"))
+    wanted = sorted([(i, round(s, 4)) for (i, _), s in zip(rows, model.score([t for _, t in rows])[0])] * 2)
+    assert sorted((r.doc_id, round(r.score, 4)) for r in lm_score.scored(twice).collect()) == wanted
