@@ -1,9 +1,10 @@
 """Near-duplicate classes by improved consistent weighted sampling.
 
 Texts become weighted sets of five-word shingles: term frequency times inverse
-document frequency.  Frequencies are counted over all documents in a hashed
-table of fixed size (a bucket's count is an upper bound of its shingles' own),
-which bounds the one table that travels to all tasks.  Each text gets
+document frequency.  Frequencies are counted per shingle over all documents: a
+chunk of documents sends each of its shingles once to the hash range that holds
+it, and the counts return to the chunks.  A text's weights are stored with its
+samples and travel with it.  Each text gets
 ``BANDS * ROWS`` weighted samples; texts that agree on a band are candidates and
 are verified by their exact weighted Jaccard similarity.
 
@@ -21,25 +22,32 @@ Nodes are distinct texts (by MD5), so copies, however many, cost one row each.
 A class is named by its smallest id.  NULL texts are empty; texts without words
 are linked to equal texts only.  Rows that repeat an id, and NULL ids, follow
 their texts; an empty table gives an empty result; other columns are not read.
+Chunks are named by a hash of their rows: an input that changes between the two
+passes is an error; chunks of the same rows get the same answers.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetops.llm.common import whole
 from assetops.llm.shingles import WIDTH, counted, mix, of_texts
+from assetops.llm.wordtable import pack, unpack
 from assetops.storage import cut
 
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # a pair at the threshold shares a band with probability 0.999
-IDF_BITS = 20  # buckets of the document frequencies
+IDF_BITS = 20  # buckets of the estimate in ``weights``
+CHUNK_CHARS = 8 << 20  # texts that send their shingles together
+RANGES = 4  # hash ranges of the shingles per shuffle partition
 IDF_SHARE = 0.25  # the rarest shingles weigh this much more than the commonest
 LEADERS = 8  # of an open bucket in the second step
 BLOCK = 128  # members that all others of their bucket pass at once in the third
@@ -83,9 +91,9 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def weights(rows: DataFrame) -> np.ndarray:
-    """Inverse document frequency by bucket, from 1 to 1 + ``IDF_SHARE`` with the
-    logarithm's share of its largest value; a wider range would part near copies
-    whose changed words are rare.  ``2 ** IDF_BITS`` values at any size."""
+    """An estimate of ``inverse`` by bucket, ``2 ** IDF_BITS`` values at any size:
+    a bucket's count is an upper bound of its shingles' own.  For a look at small
+    corpora; ``classes`` counts every shingle."""
     schema = "segment int, counts binary"
     partial = rows.select("text").mapInArrow(_frequencies, schema)
     total, n = np.zeros(1 << IDF_BITS, np.int64), 0
@@ -96,7 +104,126 @@ def weights(rows: DataFrame) -> np.ndarray:
             n += int(found[0])
         else:
             total[s * _SEGMENT : (s + 1) * _SEGMENT] += found
-    return (1 + IDF_SHARE * np.log((n + 1) / (np.minimum(total, n) + 1)) / np.log(n + 2)).astype(np.float32)
+    return inverse(total, n)
+
+
+def inverse(documents: np.ndarray, n: int) -> np.ndarray:
+    """Inverse document frequency, from 1 to 1 + ``IDF_SHARE`` with the logarithm's
+    share of its largest value; a wider range would part near copies whose changed
+    words are rare."""
+    return (1 + IDF_SHARE * np.log((n + 1) / (np.minimum(documents, n) + 1)) / np.log(n + 2)).astype(np.float32)
+
+
+_SENT = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("shingles", pa.binary()), ("documents", pa.binary())])
+_SENT_SQL = "part int, chunk bigint, shingles binary, documents binary"
+_ANSWERS = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("documents", pa.binary())])
+_ANSWERS_SQL = "part int, chunk bigint, documents binary"
+_CHUNKS = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("nodes", pa.list_(pa.binary())), ("texts", pa.binary())])
+_CHUNKS_SQL = "chunk bigint, ids array<bigint>, nodes array<binary>, texts binary"
+_SIGNATURES_SQL = "id bigint, node binary, bands array<bigint>, weights binary"
+_END = b"\xff"  # no UTF-8 text has this byte
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes], list[str]]]:
+    """(name, ids, nodes, texts) of bounded size."""
+    ids, nodes, texts, size, name = [], [], [], 0, xxhash.xxh64()
+    for batch in batches:
+        for i, node, text in zip(batch.column("id").to_pylist(), batch.column("node").to_pylist(), batch.column("text")):
+            ids.append(i)
+            nodes.append(node)
+            texts.append(text.as_py())
+            size += len(texts[-1]) + 64
+            name.update(struct.pack("<?q", i is None, i or 0) + node)
+            if size >= CHUNK_CHARS:
+                yield struct.unpack("<q", name.digest())[0], ids, nodes, texts
+                ids, nodes, texts, size, name = [], [], [], 0, xxhash.xxh64()
+    if ids:
+        yield struct.unpack("<q", name.digest())[0], ids, nodes, texts
+
+
+def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingles ascending, documents that have them)."""
+    return counted(np.concatenate([np.zeros(0, np.uint64), *(np.unique(h) for h in of_texts(texts))]))
+
+
+def _sent(parts: int):
+    """The distinct shingles of every chunk, by hash range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, _, _, texts in _chunks(batches):
+            found, documents = _distinct(texts)
+            part = (found >> np.uint64(32)).astype(np.int64) * parts >> 32
+            bounds = np.searchsorted(part, np.arange(parts + 1))
+            own = [(p, slice(a, b)) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
+            shingles = [pack(np.diff(found[e], prepend=np.uint64(0))) for _, e in own]
+            columns = [[p for p, _ in own], [chunk] * len(own), shingles, [pack(documents[e].astype(np.uint32)) for _, e in own]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SENT)], schema=_SENT)
+
+    return run
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of all chunks for each chunk's shingles; rows come sorted by part."""
+    part, held = None, []
+
+    def ready() -> pa.RecordBatch:
+        chunks, found, documents = zip(*held)
+        distinct, at = np.unique(np.concatenate(found), return_inverse=True)
+        total = np.bincount(at, np.concatenate(documents), len(distinct))[at].astype(np.uint32)
+        ends = np.cumsum([len(f) for f in found])
+        answers = [pack(a) for a in np.split(total, ends[:-1])]
+        columns = [[part] * len(held), chunks, answers]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ANSWERS)], schema=_ANSWERS)
+
+    for batch in batches:
+        for p, chunk, found, documents in zip(*(c.to_pylist() for c in batch.columns)):
+            if p != part and held:
+                yield ready()
+                held = []
+            part = p
+            held.append((chunk, np.cumsum(unpack(found, np.uint64), dtype=np.uint64), unpack(documents)))
+    if held:
+        yield ready()
+
+
+def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    compress = zstandard.ZstdCompressor(level=3).compress
+    for chunk, ids, nodes, texts in _chunks(batches):
+        row = [[chunk], [ids], [nodes], [compress(b"".join(t.encode("utf-8", "surrogatepass") + _END for t in texts))]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _CHUNKS)], schema=_CHUNKS)
+
+
+def signed(rows: DataFrame) -> DataFrame:
+    """(id, node, bands, weights) of every row: band keys, NULL without shingles,
+    and the packed weights of its distinct shingles ascending."""
+    parts = RANGES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = rows.count()
+    sent = rows.mapInArrow(_sent(parts), _SENT_SQL).repartition(parts, "part").sortWithinPartitions("part")
+    answers = sent.mapInArrow(_answered, _ANSWERS_SQL)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        # Chunks of the same rows have the same answers.
+        answer = dict(zip(right.column("part").to_pylist(), right.column("documents").to_pylist()))
+        idf = inverse(np.concatenate([np.zeros(0, np.uint32), *(unpack(answer[p]) for p in sorted(answer))]), n)
+        out = []
+        decompress = zstandard.ZstdDecompressor().decompress
+        with np.errstate(over="ignore"):
+            for ids, nodes, blob in zip(*(left.column(c).to_pylist() for c in _CHUNKS.names[1:])):
+                texts = [t.decode("utf-8", "surrogatepass") for t in decompress(blob).split(_END)[:-1]]
+                known = _distinct(texts)[0]
+                if len(known) != len(idf):
+                    raise ValueError("the input changed between two passes: write it to a table first")
+                for i, node, h in zip(ids, nodes, of_texts(texts)):
+                    found, uses = counted(h)
+                    own = idf[np.searchsorted(known, found)]
+                    out.append((i, node, _bands(found, uses * own.astype(np.float64)), pack(own)))
+        if not out:
+            raise ValueError("the input changed between two passes: write it to a table first")
+        types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["id", "node", "bands", "weights"])
+
+    chunks = rows.mapInArrow(_chunk_rows, _CHUNKS_SQL)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, _SIGNATURES_SQL)
 
 
 def weighted(fingerprints: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +232,14 @@ def weighted(fingerprints: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.
     return found, uses * idf[found >> np.uint64(64 - IDF_BITS)].astype(np.float64)
 
 
+def _own(fingerprints: np.ndarray, packed: bytes | None, idf: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """A text's weighted shingles by its own stored weights, by ``idf`` without them."""
+    if packed is None:
+        return weighted(fingerprints, idf)
+    found, uses = counted(fingerprints)
+    return found, uses * unpack(packed, np.float32).astype(np.float64)
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity; 0 without shingles."""
     total = a[1].sum() + b[1].sum()
@@ -151,27 +286,17 @@ def samples(shingles: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return mix(chosen ^ mix((level.astype(np.int64) + (1 << 20)).astype(np.uint64) ^ _SEEDS[2]))
 
 
-def _signatures(idf: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                out = []
-                for h in of_texts(_texts(batch)):
-                    if not len(h):
-                        out.append(None)
-                        continue
-                    s = samples(*weighted(h, idf)).reshape(BANDS, ROWS)
-                    keys = s[:, 0]
-                    for j in range(1, ROWS):
-                        keys = mix(keys ^ s[:, j]) + np.uint64(j)
-                    out.append(keys.view(np.int64).tolist())
-                bands = pa.array(out, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), bands], names=["id", "node", "bands"])
-
-    return run
+def _bands(shingles: np.ndarray, weight: np.ndarray) -> list[int] | None:
+    if not len(shingles):
+        return None
+    s = samples(shingles, weight).reshape(BANDS, ROWS)
+    keys = s[:, 0]
+    for j in range(1, ROWS):
+        keys = mix(keys ^ s[:, j]) + np.uint64(j)
+    return keys.view(np.int64).tolist()
 
 
-def _compared(idf: np.ndarray):
+def _compared(idf: np.ndarray | None):
     """Similarity of each text with its leader; rows come sorted by leader."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,17 +304,18 @@ def _compared(idf: np.ndarray):
         with np.errstate(over="ignore"):
             for batch in batches:
                 out = []
-                for node, text, h in zip(batch.column("leader").to_pylist(), batch.column("leader_text"), of_texts(_texts(batch))):
-                    if node != leader:
-                        leader, leader_set = node, weighted(next(of_texts([text.as_py()])), idf)
-                    out.append(similarity(leader_set, weighted(h, idf)))
+                leaders = zip(*(batch.column(c) for c in ("leader", "leader_text", "leader_weights", "weights")))
+                for (node, text, theirs, mine), h in zip(leaders, of_texts(_texts(batch))):
+                    if node.as_py() != leader:
+                        leader, leader_set = node.as_py(), _own(next(of_texts([text.as_py()])), theirs.as_py(), idf)
+                    out.append(similarity(leader_set, _own(h, mine.as_py(), idf)))
                 columns = [batch.column("node"), batch.column("leader"), pa.array(out, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "leader", "sim"])
 
     return run
 
 
-def _finished(idf: np.ndarray, least: float):
+def _finished(idf: np.ndarray | None, least: float):
     """Links between classes; rows come sorted by block, its own members first.
     A block is all that is held."""
 
@@ -198,11 +324,11 @@ def _finished(idf: np.ndarray, least: float):
         with np.errstate(over="ignore"):
             for batch in batches:
                 out = []
-                columns = [batch.column(c).to_pylist() for c in ("band", "key", "block", "role", "node", "label", "minor")]
-                for (*at, role, node, mine, minor), h in zip(zip(*columns), of_texts(_texts(batch))):
+                columns = [batch.column(c).to_pylist() for c in ("band", "key", "block", "role", "node", "label", "minor", "weights")]
+                for (*at, role, node, mine, minor, packed), h in zip(zip(*columns), of_texts(_texts(batch))):
                     if at != block:
                         block, held, label = at, [], {}
-                    own = weighted(h, idf)
+                    own = _own(h, packed, idf)
                     if role == 0:
                         held.append((node, mine, own))
                         continue
@@ -250,7 +376,7 @@ def _open(active: DataFrame, found: DataFrame) -> DataFrame:
     return cut(held.select("band", "key", "node", "label", minor.alias("minor"), (F.col("all_") - F.col("most")).alias("n")))
 
 
-def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray, least: float) -> tuple[DataFrame, DataFrame]:
+def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray | None, least: float) -> tuple[DataFrame, DataFrame]:
     """One round: (links of members with their buckets' leaders, what stays open)."""
     salt = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))
     first = active.groupBy("band", "key", salt.alias("salt")).agg(F.min("node").alias("leader")).drop("salt")
@@ -258,9 +384,9 @@ def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray, lea
     # A pair of leaders is compared once.
     a, b = F.least("node", "leader"), F.greatest("node", "leader")
     pairs = led.select(b.alias("node"), a.alias("leader")).distinct()
-    leader_texts = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
-    both = pairs.join(texts.select("node", "text"), "node").join(leader_texts, "leader")
-    compared = cut(both.select("node", "text", "leader", "leader_text").mapInArrow(_compared(idf), "node binary, leader binary, sim double"))
+    leader_texts = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"), F.col("weights").alias("leader_weights"))
+    both = pairs.join(texts, "node").join(leader_texts, "leader")
+    compared = cut(both.select("node", "text", "weights", "leader", "leader_text", "leader_weights").mapInArrow(_compared(idf), "node binary, leader binary, sim double"))
     links_ = compared.where(F.col("sim") >= least).select("node", "leader")
     near, reach = F.col("sim") >= least, 1 - least
     judged = cut(led.withColumns({"a": a, "b": b}).join(compared.select(F.col("node").alias("b"), F.col("leader").alias("a"), "sim"), ["a", "b"]))
@@ -274,8 +400,11 @@ def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray, lea
     return links_, cut(stays.join(first.withColumnRenamed("leader", "node"), ["band", "key", "node"], "left_anti"))
 
 
-def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """(node, leader): verified links that connect every class of nodes."""
+def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray | None, least: float) -> DataFrame:
+    """(node, leader): verified links that connect every class of nodes.  ``idf``
+    weighs the texts of signatures without ``weights``."""
+    if "weights" not in signatures.columns:
+        signatures = signatures.withColumn("weights", F.lit(None).cast("binary"))
     # Copies are one node: its smallest id lends the text.
     nodes = signatures.where("bands is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     members = cut(nodes.select("node", "id", F.posexplode("bands").alias("band", "key")))
@@ -285,9 +414,10 @@ def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray, least: float)
     # Buckets of the same members, in several bands, are looked at once.
     once = shared.where("n > 1").groupBy("n", "all_", "one").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key")
     active = cut(members.join(once, ["band", "key"]).select("band", "key", "node", "id"))
-    wanted = active.select("node", "id").distinct().hint("merge")
+    own = signatures.groupBy("node").agg(F.first("weights").alias("weights"))
+    wanted = active.select("node", "id").distinct().join(own, "node").hint("merge")
     same = (F.col("r.node") == F.col("w.node")) & F.col("r.id").eqNullSafe(F.col("w.id"))
-    texts = cut(rows.alias("r").join(wanted.alias("w"), same, "left_semi").select("node", "text"), "zstd")
+    texts = cut(rows.alias("r").join(wanted.alias("w"), same).select("r.node", "text", "weights"), "zstd")
     found, active = _led(active.drop("id"), texts, 1, idf, least)
     more, active = _led(_open(active, found).select("band", "key", "node"), texts, LEADERS, idf, least)
     found = cut(found.union(more))
@@ -305,9 +435,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     """Per row: its id, ``class_id`` (the class's smallest id), ``class_size``
     (rows of the class) and ``_node``, its text's MD5."""
     rows = rows_of(docs, id_col, text_col)
-    idf = weights(rows)
-    signatures = cut(rows.mapInArrow(_signatures(idf), "id bigint, node binary, bands array<bigint>"))
-    labels = components(cut(links(rows, signatures, idf, least)))
+    signatures = cut(signed(rows))
+    labels = components(cut(links(rows, signatures, None, least)))
     # Nodes first: copies, however many, are one row in every join of nodes.
     nodes = signatures.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

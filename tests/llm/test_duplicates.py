@@ -1,7 +1,9 @@
 """Near duplicates, benchmark search and repeated strings against brute force."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import edge
 import numpy as np
@@ -10,6 +12,7 @@ from edge import SCHEMA, frame, texts
 
 from assetops.llm import decontaminate, minhash_dedup, suffix_dedup
 from assetops.llm.shingles import of_texts
+from assetops.llm.wordtable import unpack
 
 
 def find(parent, x):
@@ -108,6 +111,30 @@ def test_frequent_shingles_weigh_less(spark):
     assert idf[common >> shift].max() < idf[rare >> shift].min() and 1 <= idf.min() and idf.max() <= 2
 
 
+def test_every_shingle_has_a_frequency_of_its_own(spark):
+    """Weights equal those of independently counted documents, where a table of
+    2^20 buckets is shared, and with a part that comes twice."""
+    draw = random.Random(6)
+    rows = [(i, " ".join(str(draw.randrange(10**9)) for _ in range(9000)) + " " + edge.SHARED) for i in range(25)]
+    rows += [(100 + i, t) for i, t in enumerate([rows[0][1], rows[0][1] + " and more", "", "one", "one"])]
+    docs = frame(spark, rows).coalesce(1)
+    df = docs.union(docs)
+    documents = Counter()
+    sets = {t: np.unique(h) for t, h in zip((t for _, t in rows), of_texts([t for _, t in rows]))}
+    for _, t in rows:
+        documents.update(sets[t].tolist())
+    n, found = 2 * len(rows), minhash_dedup.signed(minhash_dedup.rows_of(df, "doc_id", "text")).collect()
+    md5 = {hashlib.md5(t.encode()).digest(): t for _, t in rows}
+    assert sorted(r.id for r in found) == sorted(i for i, _ in rows * 2)
+    for r in found:
+        own = sets[md5[bytes(r.node)]].tolist()
+        wanted = [1 + minhash_dedup.IDF_SHARE * math.log((n + 1) / (2 * documents[h] + 1)) / math.log(n + 2) for h in own]
+        assert np.allclose(unpack(bytes(r.weights), np.float32), wanted, rtol=1e-6) and (r.bands is None) == (not own)
+    hashed = minhash_dedup.weights(minhash_dedup.rows_of(df, "doc_id", "text"))
+    own = sets[rows[5][1]]
+    assert not np.allclose(hashed[own >> np.uint64(64 - minhash_dedup.IDF_BITS)], minhash_dedup.inverse(np.array([2 * documents[h] for h in own.tolist()]), n))
+
+
 ITEMS = [
     (0, edge.prose(501, 30)), (1, edge.prose(502, 12)), (2, "just four little words"), (3, "one"), (4, ""), (5, None), (6, " .,; "),
     (7, edge.prose(503, 300)), (8, edge.prose(501, 30)), (9, "Wörter mit Ümläuten sind auch Wörter, nicht wahr"), (None, edge.prose(504, 20)),
