@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetops.llm import bpe, decontaminate, line_dedup, lm_score, minhash_dedup, quality_rules, secret_scan, suffix_dedup, url_filter, warc
+from assetops.llm import bpe, centroids, decontaminate, fill_in_middle, language_id, line_dedup, lm_score, minhash_dedup, quality_rules, secret_scan, suffix_dedup, url_filter, warc
 from assetops.storage import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,18 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 @query
 def op10_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query
+def op11_language_id(spark, sf_dir):
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_centroids(spark, sf_dir):
+    return centroids.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.digest(table(spark, sf_dir, "documents"))

@@ -68,3 +68,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 100 * n_loud > 30 * n_words OR (n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)) AS kept
 FROM b
 """
+
+
+def _lloyd(k: int = 40, dims: int = 64, rounds: int = 5) -> str:
+    """Whole vectors and centroids as one row per component; a round is two CTEs."""
+    nearest = """
+a{r} AS MATERIALIZED (SELECT row_id, min(distance) AS distance, arg_min(c, (distance, c)) AS c FROM
+    (SELECT row_id, c, sum((v.x - m.x) * (v.x - m.x)) AS distance FROM v JOIN c{r} m USING (i) GROUP BY row_id, c) GROUP BY row_id)"""
+    means = """
+c{n} AS MATERIALIZED (SELECT m.c, m.i, coalesce(s.x, m.x) AS x FROM c{r} m LEFT JOIN
+    (SELECT c, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS x FROM a{r} JOIN v USING (row_id) GROUP BY c, i) s
+    ON s.c = m.c AND s.i = m.i)"""
+    steps = [
+        f"""e AS MATERIALIZED (SELECT row_number() OVER () AS row_id, vec_id, embedding FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+        """
+v AS MATERIALIZED (SELECT row_id, generate_subscripts(embedding, 1) AS i, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM e)""",
+        f"""
+t AS MATERIALIZED (SELECT row_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM e WHERE vec_id IS NOT NULL
+    QUALIFY c < {k})""",
+        """
+c0 AS MATERIALIZED (SELECT c, i, x FROM t JOIN v USING (row_id))""",
+    ]
+    for r in range(rounds):
+        steps += [nearest.format(r=r), means.format(r=r, n=r + 1)]
+    steps.append(nearest.format(r=rounds))
+    steps.append(f"""
+h AS (SELECT c, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)""")
+    return f"""
+WITH {','.join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN e USING (row_id) JOIN h USING (c)
+"""
+
+
+ORACLE["op12_centroids"] = _lloyd()
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS s,
+                  regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+h AS (SELECT *, len(u) AS n, ('0x' || s[1:8])::UBIGINT AS h1, ('0x' || s[9:16])::UBIGINT AS h2,
+             ('0x' || s[17:24])::UBIGINT AS h3, ('0x' || s[25:32])::UBIGINT AS h4 FROM d),
+b AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi FROM h),
+p AS (SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle, array_to_string(u[hi + 1:], '') AS suffix,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM b)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
