@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +12,9 @@ from assetops.functions import domain
 from assetops.functions.numeric import count_if
 from assetops.functions.portable import portable
 from assetops.functions.temporal import clock_label, day_label
-from assetops.operators import intake, quality, relational, rules
+from assetops.operators import asof, intake, quality, relational, rules
 from assetops.operators.facts import with_age
-from assetops.operators.ranking import RankBy, append_with_keys, global_rank
+from assetops.operators.ranking import RankBy, append_with_keys, global_rank, random_parents
 from assetops.plans import metrics, reports, snapshots
 from assetops.schema import ACTIVE, KEYS, SCHEMAS, Tables
 from assetops.sources import feeds, gen1, synth
@@ -31,6 +31,7 @@ from assetops.sources.mapping import (
     raw,
 )
 from assetops.streaming import jobs as streams
+from assetops.streaming import stateful
 from assetops.storage import cut, run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +121,19 @@ def _seed(spark, sf_dir):
 
 
 on_tables("sample_rows", lambda t: relational.sample_rows(t.equipment.select("EquipmentID", "Name"), 20, 7, "EquipmentID"))
+
+
+def _random_parents(t: Tables) -> DataFrame:
+    """Every alert with a piece and a technician drawn from the active ones."""
+    active = F.col("Status") == ACTIVE
+    parents = {
+        "Drawn_Equipment": t.equipment.where(active).select("EquipmentID"),
+        "Drawn_Technician": t.technicians.where(active).select("TechID"),
+    }
+    return random_parents(t.alerts.select("AlertID", "EquipmentID"), "AlertID", parents, seed=7)
+
+
+on_tables("random_parents", _random_parents)
 on_tables("snapshot_daily_equipment_status", lambda t: snapshots.daily_equipment_status(t, AS_OF))
 on_tables("snapshot_monthly_maintenance", lambda t: snapshots.monthly_maintenance_summary(t, AS_OF))
 
@@ -446,6 +460,24 @@ on_tables(
     "decommission_guard",
     lambda t: rules.decommission_guard(feeds.decommission_requests(t), t.maintenance, t.alerts),
 )
+
+
+def _requests(t: Tables) -> DataFrame:
+    """Requests to decommission at times when jobs and alerts come and go: at the
+    end of every fifth job, and 36 hours after every third alert."""
+    job, alert = F.col("MaintenanceID"), F.col("AlertID")
+    later = F.col("DateReported") + F.make_dt_interval(hours=F.lit(36))
+    jobs = t.maintenance.where(job % 5 == 0).select((job * 2).alias("change_id"), "EquipmentID", F.col("CompletionDate").alias("event_ts"))
+    alerts = t.alerts.where(alert % 3 == 0).select((alert * 2 + 1).alias("change_id"), "EquipmentID", later.alias("event_ts"))
+    return jobs.unionByName(alerts).withColumn("old_status", F.lit(ACTIVE))
+
+
+def _guard_asof(t: Tables) -> DataFrame:
+    t = t.but(maintenance=cut(t.maintenance))
+    return asof.decommission_guard_asof(_requests(t), asof.job_spans(t.maintenance), asof.alert_spans(t.alerts))
+
+
+on_tables("decommission_guard_asof", _guard_asof)
 on_tables("completion_to_history", lambda t: rules.completion_history(feeds.job_updates(t.maintenance)))
 on_tables(
     "completion_equipment_updates",
@@ -651,10 +683,34 @@ def _stream_warranty(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out")
 
 
+def _after_last_event(spark: SparkSession, sf_dir: str, days: int) -> datetime:
+    last = raw(spark, sf_dir, "events").agg(F.max("ts").alias("last")).first()["last"]
+    return (last or datetime(1970, 1, 1)) + timedelta(days=days)
+
+
 @query("stream_audit_hourly")
 def _stream_hourly(spark, sf_dir):
-    t = map_testdata(spark, sf_dir)
+    """Reads what is there, then closes the last hours with a beat."""
+    calendar = map_testdata(spark, sf_dir).holidays
     folder = run_folder(spark, "stream-hourly")
-    audit = audit_rows(as_changes(event_stream(spark, sf_dir)), t.holidays)
-    streams.stream_audit_hourly(audit, f"{folder}/out", f"{folder}/state")
-    return streams.latest_hours(spark, f"{folder}/out")
+    for closing in (False, True):
+        if closing:
+            stateful.write_beat(spark, f"{folder}/beats", _after_last_event(spark, sf_dir, 3))
+        audit = audit_rows(as_changes(event_stream(spark, sf_dir)), calendar)
+        beat = stateful.beats(spark, f"{folder}/beats")
+        stateful.stream_hourly_distinct(audit, f"{folder}/out", f"{folder}/state", "1 day", beat)
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("stream_split_changes")
+def _stream_split(spark, sf_dir):
+    """Statements of up to a day, decided when they are over."""
+    calendar = map_testdata(spark, sf_dir).holidays
+    folder = run_folder(spark, "stream-split")
+    for closing in (False, True):
+        if closing:
+            stateful.write_beat(spark, f"{folder}/beats", _after_last_event(spark, sf_dir, 5))
+        changes = as_changes(event_stream(spark, sf_dir))
+        beat = stateful.beats(spark, f"{folder}/beats")
+        stateful.stream_split_changes(changes, calendar, f"{folder}/out", f"{folder}/state", "1 day", "1 day", beat)
+    return spark.read.parquet(f"{folder}/out")

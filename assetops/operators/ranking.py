@@ -154,3 +154,23 @@ def append_with_keys(base: DataFrame, new: DataFrame, key: str, order_by: str) -
     """``new`` with keys that continue after the highest key of ``base``."""
     top = base.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).first()["top"]
     return dense_numbers(new, order_by, key, start=int(top))
+
+
+def random_parents(rows: DataFrame, row_key: str, parents: dict[str, DataFrame], seed: int = 1) -> DataFrame:
+    """``rows`` with a random key of each parent table in the column of its name.
+
+    ``parents`` gives, per new column, a frame whose first column holds the keys;
+    they may be sparse, repeat, or be NULL.  The distinct keys get dense positions,
+    a row's digest of seed, column and row key is reduced to one of them, and the
+    two meet in an equi-join.  The choice depends on nothing else, so a retried
+    task or a re-run draws the same; positions are even, so no parent is hot.
+    Without parents the column is NULL."""
+    out = rows
+    for name, keys in parents.items():
+        key = F.col(keys.columns[0])
+        places = cut(dense_numbers(keys.select(key.alias(name)).where(key.isNotNull()).distinct(), name, "_place"))
+        total = places.count()
+        digest = F.md5(F.concat_ws(":", F.lit(seed), F.lit(name), F.col(row_key).cast("string")))
+        drawn = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint") % max(1, total) + 1
+        out = out.withColumn("_drawn", drawn).join(places, F.col("_drawn") == F.col("_place"), "left").drop("_drawn", "_place")
+    return out

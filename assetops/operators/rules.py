@@ -228,27 +228,34 @@ def decommission_guard(changes: DataFrame, maintenance: DataFrame, alerts: DataF
         .groupBy("EquipmentID")
         .agg(F.count(F.lit(1)).alias("open_alerts"))
     )
-    has_jobs, has_alerts = F.col("open_jobs").isNotNull(), F.col("open_alerts").isNotNull()
+    return guard_verdict(
+        asked.join(busy, "EquipmentID", "left").join(warned, "EquipmentID", "left"),
+        F.col("open_jobs").isNotNull(),
+        F.col("open_alerts").isNotNull(),
+        F.col("old.Status"),
+        F.col("new.Status"),
+    )
+
+
+def guard_verdict(
+    asked: DataFrame, has_jobs: Column, has_alerts: Column, old: Column, new: Column, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Verdict, error and texts of decommission requests, by what is open."""
     subject = joined("Cannot decommission equipment ID ", F.col("EquipmentID"))
-    return (
-        asked.join(busy, "EquipmentID", "left")
-        .join(warned, "EquipmentID", "left")
-        .select(
-            "change_id",
-            "EquipmentID",
-            F.when(has_jobs | has_alerts, "DENIED").otherwise("ALLOWED").alias("verdict"),
-            F.when(has_jobs, -20004).when(has_alerts, -20005).alias("error_code"),
-            F.when(
-                has_jobs,
-                joined(subject, " with active maintenance. Complete or cancel all maintenance first."),
-            )
-            .when(has_alerts, joined(subject, " with pending alerts. Resolve all alerts first."))
-            .alias("message"),
-            F.when(~has_jobs & ~has_alerts, joined("Status: ", F.col("old.Status"))).alias("OldValue"),
-            F.when(~has_jobs & ~has_alerts, joined("Status: ", F.col("new.Status"), " (DECOMMISSIONED)")).alias(
-                "NewValue"
-            ),
+    return asked.select(
+        "change_id",
+        "EquipmentID",
+        F.when(has_jobs | has_alerts, "DENIED").otherwise("ALLOWED").alias("verdict"),
+        F.when(has_jobs, -20004).when(has_alerts, -20005).alias("error_code"),
+        F.when(
+            has_jobs,
+            joined(subject, " with active maintenance. Complete or cancel all maintenance first."),
         )
+        .when(has_alerts, joined(subject, " with pending alerts. Resolve all alerts first."))
+        .alias("message"),
+        F.when(~has_jobs & ~has_alerts, joined("Status: ", old)).alias("OldValue"),
+        F.when(~has_jobs & ~has_alerts, joined("Status: ", new, " (DECOMMISSIONED)")).alias("NewValue"),
+        *carry,
     )
 
 

@@ -41,13 +41,13 @@ def _run(writer) -> None:
         query.stop()
 
 
-def _append(df: DataFrame, out_path: str, ckpt: str) -> None:
+def append(df: DataFrame, out_path: str, ckpt: str) -> None:
     _run(df.writeStream.outputMode("append").option("checkpointLocation", ckpt).format("parquet").option("path", out_path))
 
 
 def stream_audit(changes: DataFrame, spec: TableSpec, holidays: DataFrame, out_path: str, ckpt: str) -> None:
     """Audit rows of a change stream, joined with the static calendar."""
-    _append(audit_changes(changes, spec, holidays), out_path, ckpt)
+    append(audit_changes(changes, spec, holidays), out_path, ckpt)
 
 
 def stream_warranty_alerts(changes: DataFrame, clock: Clock, out_path: str, ckpt: str, lateness: str) -> None:
@@ -56,7 +56,7 @@ def stream_warranty_alerts(changes: DataFrame, clock: Clock, out_path: str, ckpt
     the feed and bounds the state."""
     timed = event_time(changes, "event_ts").withWatermark("event_ts", lateness)
     alerts = warranty_alerts(timed, clock, ("change_id", "event_ts")).dropDuplicatesWithinWatermark(["change_id"])
-    _append(alerts.drop("event_ts"), out_path, ckpt)
+    append(alerts.drop("event_ts"), out_path, ckpt)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:

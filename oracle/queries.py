@@ -928,14 +928,14 @@ add(
     case when not weekend then case table_name when 'EQUIPMENT' then -20001 when 'MAINTENANCE' then -20002 end end error_code,
     {DENIAL} message from chg""",
 )
-add(
-    "split_changes_atomic",
-    "chg",
+ATOMIC = (
     """select change_id, statement_id, if(first is null, 'accepted', 'rejected') side, if(first is null, null, -20003) error_code,
     first message from chg left join (select statement_id, arg_min('Operation ' || op || ' on ' || table_name
         || ' table is not allowed on weekdays or holidays.', change_id) first from chg where not weekend group by statement_id)
-    using (statement_id)""",
+    using (statement_id)"""
 )
+add("split_changes_atomic", "chg", ATOMIC)
+add("stream_split_changes", "chg", ATOMIC)
 add(
     "statement_audit",
     "eq_chg",
@@ -960,6 +960,25 @@ add(
         exists (select 1 from alert a where a.equipmentid = eq.equipmentid and a.status in ('PENDING', 'IN_PROGRESS'))
             warned from eq)""",
 )
+add(
+    "decommission_guard_asof",
+    "job alert",
+    """select change_id, equipmentid, open_jobs, open_alerts, if(open_jobs > 0 or open_alerts > 0, 'DENIED', 'ALLOWED') verdict,
+    cast(case when open_jobs > 0 then -20004 when open_alerts > 0 then -20005 end as bigint) error_code,
+    case when open_jobs > 0 then 'Cannot decommission equipment ID ' || equipmentid
+            || ' with active maintenance. Complete or cancel all maintenance first.'
+        when open_alerts > 0 then 'Cannot decommission equipment ID ' || equipmentid
+            || ' with pending alerts. Resolve all alerts first.' end message,
+    if(open_jobs > 0 or open_alerts > 0, null, 'Status: ACTIVE') oldvalue,
+    if(open_jobs > 0 or open_alerts > 0, null, 'Status: DECOMMISSIONED (DECOMMISSIONED)') newvalue
+    from (select r.*, (select count(*) from job j where j.equipmentid = r.equipmentid and j.scheduleddate <= r.asked
+                and (j.status in ('SCHEDULED', 'IN_PROGRESS')
+                    or if(j.status = 'COMPLETED', j.completiondate, j.actualdate) > r.asked)) open_jobs,
+            (select count(*) from alert a where a.equipmentid = r.equipmentid and a.datereported <= r.asked
+                and (a.status in ('PENDING', 'IN_PROGRESS') or a.resolutiondate > r.asked)) open_alerts
+        from (select maintenanceid * 2 change_id, equipmentid, completiondate asked from job where maintenanceid % 5 = 0
+            union all select alertid * 2 + 1, equipmentid, datereported + interval 36 hour from alert where alertid % 3 = 0) r)""",
+)
 COMPLETED_JOBS = f"""select maintenanceid change_id, equipmentid, maintenanceid, technicianid, description actiontaken, completiondate datefixed,
     "cost"{D} "cost", {rounded("date_sub('second', scheduleddate, actualdate)", "3600", 1)} downtimehours,
     'Maintenance completed. Parts: ' || coalesce(partsreplaced, 'None') notes from done_chg"""
@@ -1015,7 +1034,21 @@ add(
     """select date_trunc('hour', "timestamp") hour_start, count(*) total_operations,
     count(*) filter (where status = 'DENIED') denied_operations,
     count(*) filter (where status = 'SUCCESS') successful_operations,
-    count(*) filter (where status = 'ERROR') error_operations from aud group by 1""",
+    count(*) filter (where status = 'ERROR') error_operations, count(distinct username) active_users,
+    count(distinct tablename) tables_modified from aud group by 1""",
+)
+add(
+    "random_parents",
+    "alert eq tech",
+    """select alertid, equipmentid, drawn_equipment, drawn_technician from (select alertid, equipmentid,
+        cast('0x' || md5('7:Drawn_Equipment:' || alertid)[1:15] as bigint)
+            % (select count(*) from eq where status = 'ACTIVE') + 1 at1,
+        cast('0x' || md5('7:Drawn_Technician:' || alertid)[1:15] as bigint)
+            % (select count(*) from tech where status = 'ACTIVE') + 1 at2 from alert)
+    join (select equipmentid drawn_equipment, row_number() over (order by equipmentid) at1 from eq where status = 'ACTIVE')
+        using (at1)
+    join (select techid drawn_technician, row_number() over (order by techid) at2 from tech where status = 'ACTIVE')
+        using (at2)""",
 )
 add(
     "purge_old_maintenance",
