@@ -201,7 +201,7 @@ class Shards:
             return [((block, share), made) for block, made in held.items()]
 
         met = self.blocks.cogroup(labels.partitionBy(self.parts, self.place), self.parts)
-        shares = met.mapPartitions(sums).reduceByKey(_both, SHARES)
+        shares = met.mapPartitions(sums).reduceByKey(_both, min(SHARES, self.parts))
         totals = shares.map(lambda row: (row[0][0], row[1])).reduceByKey(_both, count)
         made = dict(totals.map(lambda row: (row[0], next_slice(slices[row[0]].value, *row[1]))).collect())
         return [made[block] for block in range(count)]
@@ -273,10 +273,11 @@ def digest(df: DataFrame, **parameters) -> DataFrame:
     # At most k rows.
     wide = F.sum(F.col("distance").cast("decimal(38,0)"))
     sums = found.groupBy("cluster").agg(F.when(F.count("distance") == F.count("*"), wide).alias("part"))
-    whole = sums.agg(F.when(F.count("part") == F.count("*"), F.sum("part")).alias("total"))
-    long = "try_cast({} as bigint) {}"
-    per_cluster = sums.join(F.broadcast(names), "cluster").crossJoin(F.broadcast(whole))
-    per_cluster = per_cluster.selectExpr("cluster", long.format("part", "cluster_inertia"), long.format("total", "inertia"), "centroid_sha256")
+    total = sums.agg(F.when(F.count("part") == F.count("*"), F.sum("part")).alias("total")).first()["total"]
+    inertia = F.lit(int(total) if total is not None and total <= LONG else None).cast("bigint")
+    per_cluster = sums.join(F.broadcast(names), "cluster").select(
+        "cluster", F.expr("try_cast(part as bigint) cluster_inertia"), inertia.alias("inertia"), "centroid_sha256"
+    )
     return found.join(F.broadcast(per_cluster), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
