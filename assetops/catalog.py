@@ -15,9 +15,9 @@ from assetops.functions.temporal import clock_label, day_label
 from assetops.operators import asof, intake, quality, relational, rules
 from assetops.operators.facts import with_age
 from assetops.operators.ranking import RankBy, append_with_keys, global_rank, random_parents
-from assetops.plans import metrics, reports, snapshots
+from assetops.plans import metrics, refresh, reports, snapshots
 from assetops.schema import ACTIVE, KEYS, SCHEMAS, Tables
-from assetops.sources import feeds, gen1, synth
+from assetops.sources import feeds, gen1, synth, versioned
 from assetops.sources import tables as store
 from assetops.sources.mapping import (
     AS_OF,
@@ -505,10 +505,53 @@ on_tables(
 @query("purge_monthly")
 def _purge_monthly(spark, sf_dir):
     """Jobs stored by month, old months dropped; what is left."""
-    folder = run_folder(spark, "months")
-    store.write_monthly(map_testdata(spark, sf_dir).maintenance, "maintenance", folder)
-    store.purge_monthly(spark, "maintenance", folder, AS_OF)
-    return store.load_monthly(spark, "maintenance", folder).select("MaintenanceID", "EquipmentID", "Status")
+    months = versioned.MonthTable(spark, "maintenance", run_folder(spark, "months"))
+    months.write(map_testdata(spark, sf_dir).maintenance)
+    months.purge(AS_OF)
+    return months.load().select("MaintenanceID", "EquipmentID", "Status")
+
+
+def _earlier_jobs(jobs: DataFrame) -> DataFrame:
+    """The jobs before the last three months' work: of those, every fourth is not
+    there yet, every fourth cost twice as much and was 40 days earlier, and every
+    seventh has a double that is deleted later."""
+    key, day = F.col("MaintenanceID"), F.col("ActualDate")
+    recent = (day >= AS_OF.in_days(-90)) & (day < AS_OF.now)
+    moved = F.coalesce(recent, F.lit(False)) & (key % 4 == 1)
+    before = jobs.where(~F.coalesce(recent, F.lit(False)) | (key % 4 != 0)).withColumns(
+        {
+            "Cost": F.when(moved, (F.col("Cost") * 2).cast("decimal(15,2)")).otherwise(F.col("Cost")),
+            "ActualDate": F.when(moved, day - F.make_dt_interval(days=F.lit(40))).otherwise(day),
+        }
+    )
+    doubles = jobs.where(recent & (key % 7 == 0)).withColumn("MaintenanceID", key + PAST)
+    return before.unionByName(doubles)
+
+
+@query("snapshot_monthly_refreshed")
+def _snapshot_refreshed(spark, sf_dir):
+    """The stored monthly summary of the earlier jobs after the feed up to now."""
+    t = staged(map_testdata(spark, sf_dir))
+    kept = refresh.MonthlySummary(spark, run_folder(spark, "summary"), t)
+    earlier = cut(_earlier_jobs(t.maintenance))
+    kept.start(earlier, t.history, AS_OF)
+    kept.apply(cut(refresh.changes_between(earlier, t.maintenance)), AS_OF)
+    return kept.summary.load()
+
+
+@query("upsert_equipment")
+def _upsert(spark, sf_dir):
+    """The updates of ``apply_updates`` in three deliveries beside the stored
+    table, some buckets compacted in between."""
+    t = map_testdata(spark, sf_dir)
+    base, updates = t.equipment.select("EquipmentID", "Name", "Status"), cut(_status_updates(t))
+    table = versioned.UpsertTable(spark, run_folder(spark, "upserts"), base.schema, "EquipmentID", updates.schema, "AlertID", 8)
+    table.write(base)
+    for third in range(3):
+        table.upsert(updates.where(F.col("AlertID") % 3 == third))
+        if third == 1:
+            table.compact(least_files=2)
+    return table.load()
 
 
 def _status_updates(t: Tables) -> DataFrame:
@@ -538,6 +581,28 @@ def _append(spark, sf_dir):
     return append_with_keys(t.maintenance, requests, "MaintenanceID", "change_id")
 
 
+@query("stream_append_with_keys")
+def _stream_append(spark, sf_dir):
+    """The requests of ``append_with_keys`` as a stream in three deliveries, the
+    second of which is taken in once more after the third."""
+    t = map_testdata(spark, sf_dir)
+    folder = run_folder(spark, "stream-append")
+    requests = audited_events(spark, sf_dir).select(
+        "change_id", F.col("row_key").alias("EquipmentID"), F.lit("SCHEDULED").alias("Status")
+    )
+    ends = requests.agg(F.min("change_id").alias("a"), F.max("change_id").alias("b")).first()
+    width = ((ends["b"] or 0) - (ends["a"] or 0)) // 3 + 1
+    parts = cut(requests.withColumn("third", F.call_function("div", F.col("change_id") - (ends["a"] or 0), F.lit(width)) + 1))
+    top, ledger = versioned.highest(t.maintenance, "MaintenanceID"), versioned.KeyLedger(spark, f"{folder}/ledger")
+    for third in (1, 2, 3):
+        parts.where(F.col("third") == third).drop("third").write.mode("append").parquet(f"{folder}/in")
+        requested = streams.file_stream(spark, f"{folder}/in", requests.schema)
+        streams.stream_append(requested, ledger, "MaintenanceID", "change_id", top, f"{folder}/out", f"{folder}/state")
+    again = parts.where(F.col("third") == 2).drop("third")
+    versioned.append_batch(ledger, "1", again, "MaintenanceID", "change_id", top, f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
 @query("log_alert")
 def _log_alert(spark, sf_dir):
     """New alerts for denied deletes, pending by default."""

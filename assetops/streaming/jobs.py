@@ -15,6 +15,7 @@ from assetops.clock import Clock
 from assetops.functions.numeric import count_if
 from assetops.functions.temporal import as_instant, from_instant
 from assetops.operators.rules import TableSpec, audit_changes, completion_effects, warranty_alerts
+from assetops.sources.versioned import KeyLedger, append_batch
 
 
 def file_stream(
@@ -79,6 +80,20 @@ def stream_completion(changes: DataFrame, clock: Clock, out_dirs: dict[str, str]
     _run(changes.writeStream.foreachBatch(fan_out).option("checkpointLocation", ckpt))
 
 
+def stream_append(new: DataFrame, ledger: KeyLedger, key: str, order_by: str, floor: int, out_path: str, ckpt: str) -> None:
+    """New rows with consecutive keys above ``floor``.  A micro-batch that is
+    repeated finds its range in the ledger and overwrites its own rows."""
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            append_batch(ledger, str(batch_id), batch, key, order_by, floor, out_path)
+        finally:
+            batch.unpersist()
+
+    _run(new.writeStream.foreachBatch(take_in).option("checkpointLocation", ckpt))
+
+
 def latest_updates(spark: SparkSession, path: str) -> DataFrame:
     """One row per piece: the update of its latest change over all batches."""
     stored = spark.read.parquet(path)

@@ -1257,3 +1257,11 @@ add(
     f"""select deptid, deptname, count(*) equipment_count, {rounded("sum(health)", "count(*)", 1, 1)} avg_health_score
     from fit join dept on deptid = departmentid group by deptid, deptname""",
 )
+
+# The same tables by another way: as a stream, beside the stored table, from a feed.
+for _name, _same in (
+    ("stream_append_with_keys", "append_with_keys"),
+    ("upsert_equipment", "apply_updates"),
+    ("snapshot_monthly_refreshed", "snapshot_monthly_maintenance"),
+):
+    ORACLE[_name] = ORACLE[_same]

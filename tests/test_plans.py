@@ -119,13 +119,3 @@ def test_bucketed_tables_join_without_a_shuffle(spark, no_auto_broadcast, tmp_pa
     store.save_bucketed(map_testdata(spark, SF), str(tmp_path), 4, "plan_test_")
     joined = jobs_with_history(store.load_bucketed(spark, "plan_test_"))
     assert "Exchange" not in plan(joined) and joined.count() == map_testdata(spark, SF).maintenance.count()
-
-
-def test_months_are_pruned(spark, small, tmp_path):
-    from assetops.sources import tables as store
-
-    store.write_monthly(small.maintenance, "maintenance", str(tmp_path))
-    df = store.load_monthly(spark, "maintenance", str(tmp_path), "2025-10", "2025-11")
-    assert "PartitionFilters: [isnotnull(month" in plan(df)
-    assert {r.MaintenanceID for r in df.collect()} == {10, 11, 13, 15, 16, 17}
-    assert store.load_monthly(spark, "maintenance", str(tmp_path)).count() == small.maintenance.count()
