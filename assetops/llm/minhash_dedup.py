@@ -8,15 +8,15 @@ samples and travel with it.  Each text gets
 ``BANDS * ROWS`` weighted samples; texts that agree on a band are candidates and
 are verified by their exact weighted Jaccard similarity.
 
-Buckets are verified exactly, whatever their size, in three steps.  Every
-member meets its bucket's leader, the smallest member, and members of buckets
-that are still open meet some more leaders, spread by hash.  One minus the
-similarity is a metric, so a member that is linked to a leader can only be linked
-to an unlinked one if both lie near the leader's rim; only such members, and
-unlinked ones, stay open, and buckets whose open members are of one class already
-are closed.  What is left is finished between classes: the members outside a
+Buckets are verified exactly, whatever their size, in three steps.  Every member
+meets its bucket's leader, the smallest member.  One minus the similarity is a
+metric, so a member that is linked to the leader can only be linked to an unlinked
+one if both lie near the leader's rim; only such members, and unlinked ones, stay
+open, and buckets whose open members are of one class already are closed.  Then the
+members outside their bucket's largest class meet some members of other classes,
+spread by hash.  What is left is finished between classes: the members outside a
 bucket's largest class are cut into blocks, and all its members pass every block.
-No link between members of a bucket is lost, and none is capped.
+No link between classes of a bucket is lost, and none is capped.
 
 Nodes are distinct texts (by MD5), so copies, however many, cost one row each.
 A class is named by its smallest id.  NULL texts are empty; texts without words
@@ -45,13 +45,11 @@ from assetops.storage import cut
 
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # a pair at the threshold shares a band with probability 0.999
-IDF_BITS = 20  # buckets of the estimate in ``weights``
 CHUNK_CHARS = 8 << 20  # texts that send their shingles together
 RANGES = 4  # hash ranges of the shingles per shuffle partition
 IDF_SHARE = 0.25  # the rarest shingles weigh this much more than the commonest
 LEADERS = 8  # of an open bucket in the second step
 BLOCK = 128  # members that all others of their bucket pass at once in the third
-_SEGMENT = 1 << 14
 
 
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -63,50 +61,6 @@ def _texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return batch.column(column).to_pylist()
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: documents per bucket in compressed segments, and documents."""
-    total, n = np.zeros(1 << IDF_BITS, np.int64), 0
-    for batch in batches:
-        for h in of_texts(_texts(batch)):
-            # A document counts once for a bucket.
-            total[np.unique(h >> np.uint64(64 - IDF_BITS))] += 1
-            n += 1
-    compress = zstandard.ZstdCompressor(level=3).compress
-    parts = [(s, total[at : at + _SEGMENT]) for s, at in enumerate(range(0, len(total), _SEGMENT))]
-    rows = [(s, compress(part.tobytes())) for s, part in parts if part.any()] + [(-1, compress(np.array([n]).tobytes()))]
-    segment, counts = zip(*rows)
-    yield pa.RecordBatch.from_arrays([pa.array(segment, pa.int32()), pa.array(counts, pa.binary())], names=["segment", "counts"])
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    decompress = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
-        for s, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            found = np.frombuffer(decompress(counts), np.int64)
-            total[s] = total[s] + found if s in total else found
-    compress = zstandard.ZstdCompressor(level=3).compress
-    out = [pa.array(total.keys(), pa.int32()), pa.array([compress(c.tobytes()) for c in total.values()], pa.binary())]
-    yield pa.RecordBatch.from_arrays(out, names=["segment", "counts"])
-
-
-def weights(rows: DataFrame) -> np.ndarray:
-    """An estimate of ``inverse`` by bucket, ``2 ** IDF_BITS`` values at any size:
-    a bucket's count is an upper bound of its shingles' own.  For a look at small
-    corpora; ``classes`` counts every shingle."""
-    schema = "segment int, counts binary"
-    partial = rows.select("text").mapInArrow(_frequencies, schema)
-    total, n = np.zeros(1 << IDF_BITS, np.int64), 0
-    decompress = zstandard.ZstdDecompressor().decompress
-    for s, counts in partial.repartition("segment").mapInArrow(_added, schema).collect():
-        found = np.frombuffer(decompress(bytes(counts)), np.int64)
-        if s < 0:
-            n += int(found[0])
-        else:
-            total[s * _SEGMENT : (s + 1) * _SEGMENT] += found
-    return inverse(total, n)
-
-
 def inverse(documents: np.ndarray, n: int) -> np.ndarray:
     """Inverse document frequency, from 1 to 1 + ``IDF_SHARE`` with the logarithm's
     share of its largest value; a wider range would part near copies whose changed
@@ -226,16 +180,8 @@ def signed(rows: DataFrame) -> DataFrame:
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, _SIGNATURES_SQL)
 
 
-def weighted(fingerprints: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingles ascending, tf * idf)."""
-    found, uses = counted(fingerprints)
-    return found, uses * idf[found >> np.uint64(64 - IDF_BITS)].astype(np.float64)
-
-
-def _own(fingerprints: np.ndarray, packed: bytes | None, idf: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """A text's weighted shingles by its own stored weights, by ``idf`` without them."""
-    if packed is None:
-        return weighted(fingerprints, idf)
+def _own(fingerprints: np.ndarray, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A text's distinct shingles ascending, by their own stored weights."""
     found, uses = counted(fingerprints)
     return found, uses * unpack(packed, np.float32).astype(np.float64)
 
@@ -296,26 +242,22 @@ def _bands(shingles: np.ndarray, weight: np.ndarray) -> list[int] | None:
     return keys.view(np.int64).tolist()
 
 
-def _compared(idf: np.ndarray | None):
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Similarity of each text with its leader; rows come sorted by leader."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader, leader_set = None, None
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                out = []
-                leaders = zip(*(batch.column(c) for c in ("leader", "leader_text", "leader_weights", "weights")))
-                for (node, text, theirs, mine), h in zip(leaders, of_texts(_texts(batch))):
-                    if node.as_py() != leader:
-                        leader, leader_set = node.as_py(), _own(next(of_texts([text.as_py()])), theirs.as_py(), idf)
-                    out.append(similarity(leader_set, _own(h, mine.as_py(), idf)))
-                columns = [batch.column("node"), batch.column("leader"), pa.array(out, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "leader", "sim"])
-
-    return run
-
-
-def _finished(idf: np.ndarray | None, least: float):
+    leader, leader_set = None, None
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            out = []
+            leaders = zip(*(batch.column(c) for c in ("leader", "leader_text", "leader_weights", "weights")))
+            for (node, text, theirs, mine), h in zip(leaders, of_texts(_texts(batch))):
+                if node.as_py() != leader:
+                    leader, leader_set = node.as_py(), _own(next(of_texts([text.as_py()])), theirs.as_py())
+                out.append(similarity(leader_set, _own(h, mine.as_py())))
+            columns = [batch.column("node"), batch.column("leader"), pa.array(out, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "leader", "sim"])
+
+
+def _finished(least: float):
     """Links between classes; rows come sorted by block, its own members first.
     A block is all that is held."""
 
@@ -328,7 +270,7 @@ def _finished(idf: np.ndarray | None, least: float):
                 for (*at, role, node, mine, minor, packed), h in zip(zip(*columns), of_texts(_texts(batch))):
                     if at != block:
                         block, held, label = at, [], {}
-                    own = _own(h, packed, idf)
+                    own = _own(h, packed)
                     if role == 0:
                         held.append((node, mine, own))
                         continue
@@ -376,35 +318,46 @@ def _open(active: DataFrame, found: DataFrame) -> DataFrame:
     return cut(held.select("band", "key", "node", "label", minor.alias("minor"), (F.col("all_") - F.col("most")).alias("n")))
 
 
-def _led(active: DataFrame, texts: DataFrame, leaders: int, idf: np.ndarray | None, least: float) -> tuple[DataFrame, DataFrame]:
-    """One round: (links of members with their buckets' leaders, what stays open)."""
-    salt = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))
-    first = active.groupBy("band", "key", salt.alias("salt")).agg(F.min("node").alias("leader")).drop("salt")
-    led = cut(active.join(first, ["band", "key"]).where("node != leader"))
-    # A pair of leaders is compared once.
+def _similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, leader, sim) of distinct pairs, each compared once."""
     a, b = F.least("node", "leader"), F.greatest("node", "leader")
-    pairs = led.select(b.alias("node"), a.alias("leader")).distinct()
+    pairs = pairs.select(b.alias("node"), a.alias("leader")).distinct()
     leader_texts = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"), F.col("weights").alias("leader_weights"))
     both = pairs.join(texts, "node").join(leader_texts, "leader")
-    compared = cut(both.select("node", "text", "weights", "leader", "leader_text", "leader_weights").mapInArrow(_compared(idf), "node binary, leader binary, sim double"))
-    links_ = compared.where(F.col("sim") >= least).select("node", "leader")
+    both = both.select("node", "text", "weights", "leader", "leader_text", "leader_weights")
+    return cut(both.mapInArrow(_compared, "node binary, leader binary, sim double"))
+
+
+def _led(active: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(links of members with their buckets' leaders, members that stay open)."""
+    first = active.groupBy("band", "key").agg(F.min("node").alias("leader"))
+    led = cut(active.join(first, ["band", "key"]).where("node != leader"))
+    compared = _similarities(led, texts)
     near, reach = F.col("sim") >= least, 1 - least
-    judged = cut(led.withColumns({"a": a, "b": b}).join(compared.select(F.col("node").alias("b"), F.col("leader").alias("a"), "sim"), ["a", "b"]))
-    # Per leader: a member within reach of it has no link to anything farther
-    # from it than reach + reach, and to nothing nearer than its rim allows.
-    rim = judged.where(~near & (1 - F.col("sim") <= 2 * reach + 1e-9)).groupBy("band", "key", "leader").agg(F.max("sim").alias("rim"))
+    # The leader is its bucket's least member, so pairs are in order already.
+    judged = cut(led.join(compared, ["node", "leader"]))
+    # A member within reach of the leader has no link to anything farther from it
+    # than reach + reach, and to nothing nearer than its rim allows.
+    rim = judged.where(~near & (1 - F.col("sim") <= 2 * reach + 1e-9)).groupBy("band", "key").agg(F.max("sim").alias("rim"))
     settled = near & (F.col("rim").isNull() | (1 - F.col("sim") < 1 - F.col("rim") - reach - 1e-9))
-    judged = judged.join(rim, ["band", "key", "leader"], "left").withColumn("settled", settled)
-    stays = judged.groupBy("band", "key", "node").agg(F.max("settled").alias("settled")).where("not settled").drop("settled")
-    # Leaders have met every member.
-    return links_, cut(stays.join(first.withColumnRenamed("leader", "node"), ["band", "key", "node"], "left_anti"))
+    stays = judged.join(rim, ["band", "key"], "left").where(~settled).select("band", "key", "node")
+    # The leader has met every member.
+    return compared.where(near).select("node", "leader"), cut(stays)
+
+
+def _between(open_: DataFrame, texts: DataFrame, leaders: int, least: float) -> DataFrame:
+    """Links of the members outside their bucket's largest class with some members
+    of other classes.  Members of one class have nothing to learn from each other,
+    so a bucket of near copies sends only its stragglers."""
+    salt = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))
+    first = open_.groupBy("band", "key", salt.alias("salt")).agg(F.min(F.struct("node", "label")).alias("first"))
+    first = first.select("band", "key", F.col("first.node").alias("leader"), F.col("first.label").alias("their"))
+    met = open_.where("minor").join(first, ["band", "key"]).where("label != their")
+    return _similarities(met.select("node", "leader"), texts).where(F.col("sim") >= least).select("node", "leader")
 
 
-def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray | None, least: float) -> DataFrame:
-    """(node, leader): verified links that connect every class of nodes.  ``idf``
-    weighs the texts of signatures without ``weights``."""
-    if "weights" not in signatures.columns:
-        signatures = signatures.withColumn("weights", F.lit(None).cast("binary"))
+def links(rows: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
+    """(node, leader): verified links that connect every class of nodes."""
     # Copies are one node: its smallest id lends the text.
     nodes = signatures.where("bands is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     members = cut(nodes.select("node", "id", F.posexplode("bands").alias("band", "key")))
@@ -418,9 +371,8 @@ def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray | None, least:
     wanted = active.select("node", "id").distinct().join(own, "node").hint("merge")
     same = (F.col("r.node") == F.col("w.node")) & F.col("r.id").eqNullSafe(F.col("w.id"))
     texts = cut(rows.alias("r").join(wanted.alias("w"), same).select("r.node", "text", "weights"), "zstd")
-    found, active = _led(active.drop("id"), texts, 1, idf, least)
-    more, active = _led(_open(active, found).select("band", "key", "node"), texts, LEADERS, idf, least)
-    found = cut(found.union(more))
+    found, active = _led(active.drop("id"), texts, least)
+    found = cut(found.union(_between(_open(active, found), texts, LEADERS, least)))
     rest = _open(active, found)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = rest.where("minor").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
@@ -428,7 +380,7 @@ def links(rows: DataFrame, signatures: DataFrame, idf: np.ndarray | None, least:
     both = own.withColumn("role", F.lit(0)).unionByName(passing.withColumn("role", F.lit(1)))
     dealt = both.join(texts.dropDuplicates(["node"]), "node").repartition("band", "key", "block")
     dealt = dealt.sortWithinPartitions("band", "key", "block", "role").drop("n")
-    return found.union(cut(dealt.mapInArrow(_finished(idf, least), "node binary, leader binary")))
+    return found.union(cut(dealt.mapInArrow(_finished(least), "node binary, leader binary")))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -436,7 +388,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     (rows of the class) and ``_node``, its text's MD5."""
     rows = rows_of(docs, id_col, text_col)
     signatures = cut(signed(rows))
-    labels = components(cut(links(rows, signatures, None, least)))
+    labels = components(cut(links(rows, signatures, least)))
     # Nodes first: copies, however many, are one row in every join of nodes.
     nodes = signatures.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import edge
@@ -12,7 +13,7 @@ from edge import SCHEMA, frame, texts
 
 from assetops.llm import decontaminate, minhash_dedup, suffix_dedup
 from assetops.llm.shingles import of_texts
-from assetops.llm.wordtable import unpack
+from assetops.llm.wordtable import pack, unpack
 
 
 def find(parent, x):
@@ -21,23 +22,47 @@ def find(parent, x):
     return x
 
 
-def brute_classes(rows, idf, least=0.8):
+def bags(texts):
+    """Five-word shingles of each text as word tuples with their counts, from words up."""
+    for text in texts:
+        words = re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", text.lower())
+        grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)] if len(words) >= 5 else [tuple(words)][: bool(words)]
+        yield Counter(grams)
+
+
+def brute_weights(rows, share=0.25):
+    """Weight of every shingle: 1 + share * log((n + 1) / (documents + 1)) / log(n + 2)."""
+    documents = Counter()
+    for bag in bags([t or "" for _, t in rows]):
+        documents.update(bag.keys())
+    n = len(rows)
+    return {g: 1 + share * math.log((n + 1) / (d + 1)) / math.log(n + 2) for g, d in documents.items()}
+
+
+def jaccard(a, b, weight):
+    both = sum(min(n, b[g]) * weight[g] for g, n in a.items() if g in b)
+    total = sum(n * weight[g] for g, n in a.items()) + sum(n * weight[g] for g, n in b.items())
+    return both / (total - both) if a and b else 0.0
+
+
+def brute_classes(rows, weight=None, least=0.8):
+    """(id, smallest id of its class) of every row, comparing all pairs of texts."""
+    weight = brute_weights(rows) if weight is None else weight
     distinct = sorted({t or "" for _, t in rows})
-    with np.errstate(over="ignore"):
-        sets = [minhash_dedup.weighted(h, idf) for h in of_texts(distinct)]
-        parent = list(range(len(distinct)))
-        for a in range(len(distinct)):
-            for b in range(a):
-                if minhash_dedup.similarity(sets[a], sets[b]) >= least:
-                    parent[find(parent, a)] = find(parent, b)
+    sets = list(bags(distinct))
+    parent = list(range(len(distinct)))
+    for a in range(len(distinct)):
+        for b in range(a):
+            if jaccard(sets[a], sets[b], weight) >= least:
+                parent[find(parent, a)] = find(parent, b)
     number = {t: find(parent, i) for i, t in enumerate(distinct)}
     least_id = {}
     for i, t in rows:
         n = number[t or ""]
         if i is not None:
-            least_id[n] = min(i, least_id.get(n, i))
+            least_id[n] = min(i, least_id.get(n) if least_id.get(n) is not None else i)
         else:
-            least_id.setdefault(n, None) if n not in least_id else None
+            least_id.setdefault(n, None)
     return sorted((str(i), str(least_id[number[t or ""]])) for i, t in rows)
 
 
@@ -53,9 +78,8 @@ def test_classes(spark):
     rows = texts() + [(1000 + i, near(i, 250, i % 9)) for i in range(60)] + [(2000, "three words only"), (2001, "Three words, only!")]
     rows += [(3000 + i, edge.prose(3000 + i, 120)) for i in range(40)]
     df = frame(spark, rows).repartition(4)
-    idf = minhash_dedup.weights(minhash_dedup.rows_of(df, "doc_id", "text"))
     got = sorted((str(r.doc_id), str(r.class_id)) for r in minhash_dedup.classes(df).collect())
-    assert got == brute_classes(rows, idf)
+    assert got == brute_classes(rows)
     out = minhash_dedup.deduped(df)
     assert out.columns == df.columns
     classes = {c for _, c in got if c != "None"}
@@ -72,18 +96,17 @@ def test_no_link_is_lost_inside_a_bucket(spark, monkeypatch, block):
     rows = [(i, " ".join(words[7 * i : 7 * i + 100])) for i in range(25)]
     rows += [(100 + i, " ".join(words[500 + 15 * i : 600 + 15 * i])) for i in range(8)]
     df = minhash_dedup.rows_of(frame(spark, rows), "doc_id", "text")
-    idf = np.ones(1 << minhash_dedup.IDF_BITS, np.float32)
-    from pyspark.sql import functions as F
-
-    one = F.array(F.lit(7).cast("bigint"))
-    found = minhash_dedup.links(df, df.select("id", "node", one.alias("bands")), idf, 0.8)
+    sets = {t: len(bag) for (_, t), bag in zip(rows, bags([t for _, t in rows]))}
+    flat = [(i, hashlib.md5(t.encode()).digest(), [7], pack(np.ones(sets[t], np.float32))) for i, t in rows]
+    signatures = spark.createDataFrame(flat, "id bigint, node binary, bands array<bigint>, weights binary")
+    found = minhash_dedup.links(df, signatures, 0.8)
     labels = {bytes(r.node): bytes(r.label) for r in minhash_dedup.components(found).collect()}
     md5 = {i: hashlib.md5(t.encode()).digest() for i, t in rows}
     got = {}
     for i, _ in rows:
         got.setdefault(labels.get(md5[i], md5[i]), []).append(str(i))
     wanted = {}
-    for i, c in brute_classes(rows, idf):
+    for i, c in brute_classes(rows, Counter({g: 1 for _, t in rows for g in next(bags([t]))})):
         wanted.setdefault(c, []).append(i)
     assert sorted(sorted(g) for g in got.values()) == sorted(sorted(w) for w in wanted.values())
 
@@ -101,16 +124,6 @@ def test_samples_estimate_weighted_similarity():
     assert abs(agree - exact) / 60 < 0.04
 
 
-def test_frequent_shingles_weigh_less(spark):
-    rows = [(i, edge.SHARED + " " + edge.prose(i, 30)) for i in range(300)]
-    idf = minhash_dedup.weights(minhash_dedup.rows_of(frame(spark, rows), "doc_id", "text"))
-    with np.errstate(over="ignore"):
-        common = next(of_texts([edge.SHARED]))
-        rare = next(of_texts([edge.prose(7, 30)]))
-    shift = np.uint64(64 - minhash_dedup.IDF_BITS)
-    assert idf[common >> shift].max() < idf[rare >> shift].min() and 1 <= idf.min() and idf.max() <= 2
-
-
 def test_every_shingle_has_a_frequency_of_its_own(spark):
     """Weights equal those of independently counted documents, where a table of
     2^20 buckets is shared, and with a part that comes twice."""
@@ -130,9 +143,24 @@ def test_every_shingle_has_a_frequency_of_its_own(spark):
         own = sets[md5[bytes(r.node)]].tolist()
         wanted = [1 + minhash_dedup.IDF_SHARE * math.log((n + 1) / (2 * documents[h] + 1)) / math.log(n + 2) for h in own]
         assert np.allclose(unpack(bytes(r.weights), np.float32), wanted, rtol=1e-6) and (r.bands is None) == (not own)
-    hashed = minhash_dedup.weights(minhash_dedup.rows_of(df, "doc_id", "text"))
-    own = sets[rows[5][1]]
-    assert not np.allclose(hashed[own >> np.uint64(64 - minhash_dedup.IDF_BITS)], minhash_dedup.inverse(np.array([2 * documents[h] for h in own.tolist()]), n))
+
+
+def test_frequent_shingles_weigh_less(spark):
+    rows = [(i, edge.SHARED + " " + edge.prose(i, 30)) for i in range(300)]
+    weight = brute_weights(rows)
+    common, rare = next(bags([edge.SHARED])), next(bags([edge.prose(7, 30)]))
+    assert max(weight[g] for g in common) < min(weight[g] for g in rare) and 1 <= min(weight.values()) <= max(weight.values()) <= 1.25
+    found = minhash_dedup.signed(minhash_dedup.rows_of(frame(spark, rows), "doc_id", "text")).where("id = 7").first()
+    own = next(bags([rows[7][1]]))
+    assert np.allclose(np.sort(unpack(bytes(found.weights), np.float32)), sorted(weight[g] for g in own), rtol=1e-6)
+
+
+def test_a_large_group_of_near_copies_sends_stragglers_only(spark):
+    """Half of a bucket is linked to its leader; the rest finds its class without all pairs."""
+    rows = [(i, near(77, 300, 0) + " " + " ".join(f"x{i}y{j}" for j in range(30 + 25 * (i % 2)))) for i in range(120)]
+    df = frame(spark, rows)
+    got = sorted((str(r.doc_id), str(r.class_id)) for r in minhash_dedup.classes(df).collect())
+    assert got == brute_classes(rows) and len({c for _, c in got}) > 1
 
 
 ITEMS = [

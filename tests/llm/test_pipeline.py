@@ -12,7 +12,6 @@ from test_duplicates import brute_classes, near, shingle_set
 from test_text_rules import counts, without_lines
 
 import corpus_pipeline
-from assetops.llm import minhash_dedup
 from assetops.llm.queries import tokenizer_file
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint, _row int, _text string"
@@ -52,14 +51,12 @@ def rejected(text):
     )
 
 
-def brute(spark):
+def brute():
     docs = [(i, t) for i, t in corpus() if not rejected(t)]
     yield docs
     docs = [(i, text) for _, i, _, _, text in without_lines(docs)]
     yield docs
-    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    idf = minhash_dedup.weights(minhash_dedup.rows_of(frame, "doc_id", "text"))
-    first = {int(c) for _, c in brute_classes(docs, idf)}
+    first = {int(c) for _, c in brute_classes(docs)}
     docs = [(i, t) for i, t in docs if i in first]
     yield docs
     items = [shingle_set(t, 5)[0] for t in LEAKS]
@@ -69,7 +66,7 @@ def brute(spark):
 def test_every_stage_and_the_whole(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     last = None
-    for (name, stage), wanted in zip(corpus_pipeline.STAGES, brute(spark)):
+    for (name, stage), wanted in zip(corpus_pipeline.STAGES, brute()):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns, name
         rows = out.collect()
