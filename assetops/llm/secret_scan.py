@@ -7,6 +7,11 @@ and joins the findings back to every path with that blob.  Rules are regular
 expressions; the positions of their matches follow from the lengths of the
 pieces between them, so everything stays in SQL expressions.
 
+The ledger only grows: a run adds rows to its folder and replaces none, so a run
+that is repeated, or whose name is used again, adds what is unseen and loses
+nothing.  Every stored span names the rule version that found it, and a report
+takes the spans of its own rule versions only.
+
 Spans are code points, end exclusive.  A NULL text is empty; empty texts have
 no spans; rows that repeat an id or a text are all returned; an empty table
 gives an empty result; other columns are not read.
@@ -23,6 +28,7 @@ from assetops.llm.common import let, whole
 from assetops.storage import cut
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
+STORED = "array<struct<start:int,rank:int,end:int,kind:string,rule:string>>"
 
 
 @dataclass(frozen=True)
@@ -98,9 +104,8 @@ def _read(spark: SparkSession, ledger: str) -> DataFrame | None:
 
 def scan(texts: DataFrame, ledger: str, run: str, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
     """Adds to ``ledger`` what ``rules`` find in the blobs of ``texts``
-    (``_text``) that they have not seen, as folder ``run``, whose rewriting by a
-    repeated run is harmless.  Returns the ledger's (blob, spans) for the rules
-    given, one row per blob."""
+    (``_text``) that they have not seen, in folder ``run``.  Returns the ledger's
+    (blob, spans) for the rule versions given, one row per blob."""
     spark = texts.sparkSession
     known = _read(spark, ledger)
     blobs = texts.select(F.sha2("_text", 256).alias("blob"), "_text")
@@ -117,22 +122,22 @@ def scan(texts: DataFrame, ledger: str, run: str, rules: tuple[SecretRule, ...]
         )
     # Copies of a blob, however many, are reduced before the shuffle.
     once = unseen.dropDuplicates(["blob"])
-    found = F.concat(
-        *(
-            F.when(F.array_contains("_todo", rule.id), spans(F.col("_text"), rule)).otherwise(F.array().cast(SPAN))
-            for rule in rules
-        )
-    )
-    once.select("blob", F.col("_todo").alias("checked"), found.alias("spans")).write.mode("overwrite").parquet(f"{ledger}/{run}")
-    kinds = F.array(*(F.lit(rule.id) for rule in rules))
+    def stored(rule: SecretRule) -> Column:
+        named = F.transform(spans(F.col("_text"), rule), lambda s: s.withField("rule", F.lit(rule.id)))
+        none = F.array().cast(STORED)
+        return F.when(F.array_contains("_todo", rule.id), named.cast(STORED)).otherwise(none)
+
+    found = F.concat(*(stored(rule) for rule in rules))
+    once.select("blob", F.col("_todo").alias("checked"), found.alias("spans")).write.mode("append").parquet(f"{ledger}/{run}")
+    ids = [rule.id for rule in rules]
     current = (
         spark.read.parquet(f"{ledger}/*")
-        .where(F.arrays_overlap("checked", kinds))
+        .where(F.arrays_overlap("checked", wanted))
         .groupBy("blob")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        .agg(F.flatten(F.collect_list(F.filter("spans", lambda s: s["rule"].isin(ids)))).alias("spans"))
     )
-    names = [rule.kind for rule in rules]
-    return current.select("blob", F.sort_array(F.array_distinct(F.filter("spans", lambda s: s["kind"].isin(names)))).alias("spans"))
+    plain = F.transform("spans", lambda s: s.dropFields("rule")).cast(SPAN)
+    return current.select("blob", F.sort_array(F.array_distinct(plain)).alias("spans"))
 
 
 def joined(spans: Column) -> Column:

@@ -155,5 +155,35 @@ def test_ledger_scans_only_what_is_new(spark):
     assert spans(again) == spans(found)
 
 
+def plain_spans(df):
+    return sorted((str(r.doc_id), [tuple(s) for s in r.spans]) for r in df.collect())
+
+
+def test_a_repeated_run_loses_nothing(spark):
+    ledger, docs = run_folder(spark, "ledger"), frame(spark, SECRETS)
+    first = plain_spans(secret_scan.report(docs, ledger, "run-1"))
+    held = sorted(map(str, spark.read.parquet(f"{ledger}/run-1").collect()))
+    assert plain_spans(secret_scan.report(docs, ledger, "run-1")) == first and any(s for _, s in first)
+    assert sorted(map(str, spark.read.parquet(f"{ledger}/run-1").collect())) == held
+    # The name again, for other documents: both are known afterwards.
+    other = frame(spark, [(77, "token=" + "z" * 30), (78, None)])
+    assert plain_spans(secret_scan.report(other, ledger, "run-1"))[0][1]
+    assert spark.read.parquet(f"{ledger}/run-1").count() == len(held) + 1
+    assert plain_spans(secret_scan.report(docs, ledger, "run-2")) == first
+    assert spark.read.parquet(f"{ledger}/run-2").count() == 0
+
+
+def test_a_narrowed_version_drops_old_matches(spark):
+    ledger = run_folder(spark, "ledger")
+    wide = secret_scan.SecretRule("hex", 2, r"[0-9a-f]{16,}")
+    narrow = secret_scan.SecretRule("hex", 2, r"[0-9a-f]{40,}", version=2)
+    rows = [(1, "deadbeefdeadbeef"), (2, "ab" * 20), (3, "none")]
+    count = lambda rule, run: {r.doc_id: len(r.spans) for r in secret_scan.report(frame(spark, rows), ledger, run, rules=(rule,)).collect()}
+    assert count(wide, "a") == {1: 1, 2: 1, 3: 0}
+    assert count(narrow, "b") == {1: 0, 2: 1, 3: 0}
+    assert count(wide, "c") == {1: 1, 2: 1, 3: 0}  # and back, without a scan
+    assert spark.read.parquet(f"{ledger}/c").count() == 0
+
+
 def test_secrets_of_an_empty_table(spark):
     assert secret_scan.digest(spark.createDataFrame([], SCHEMA), run_folder(spark, "ledger"), "run-1").count() == 0
