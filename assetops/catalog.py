@@ -8,14 +8,15 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetops.clock import Clock
 from assetops.functions import domain
 from assetops.functions.numeric import count_if
 from assetops.functions.portable import portable
 from assetops.functions.temporal import clock_label, day_label
-from assetops.operators import asof, intake, quality, relational, rules
+from assetops.operators import asof, constraint_state, intake, quality, relational, rules
 from assetops.operators.facts import with_age
 from assetops.operators.ranking import RankBy, append_with_keys, global_rank, random_parents
-from assetops.plans import metrics, refresh, reports, snapshots
+from assetops.plans import due, metrics, refresh, reports, snapshots
 from assetops.schema import ACTIVE, KEYS, SCHEMAS, Tables
 from assetops.sources import feeds, gen1, synth, versioned
 from assetops.sources import tables as store
@@ -294,6 +295,53 @@ on_tables(
 )
 
 
+@query("constraint_violations_incremental")
+def _violations_incremental(spark, sf_dir):
+    """The counts of tables with dirty keys, and without some jobs, after the feed
+    that cleans the keys, brings the jobs and deletes doubled pieces."""
+    t = staged(map_testdata(spark, sf_dir))
+    dirty = dirty_keys(t)
+    doubles = t.equipment.where(F.col("EquipmentID") % 9 == 4).withColumn("EquipmentID", F.col("EquipmentID") + PAST)
+    earlier = t.but(
+        equipment=cut(dirty.equipment.unionByName(doubles)), maintenance=cut(dirty.maintenance.where(F.col("MaintenanceID") % 11 != 5))
+    )
+    state = constraint_state.ConstraintState(spark, run_folder(spark, "constraints"), quality.canonical_rules())
+    state.apply({name: constraint_state.whole(df) for name, df in earlier.items()}, batch=0)
+    feed = {name: refresh.changes_between(getattr(earlier, name), getattr(t, name), KEYS[name]) for name in ("equipment", "maintenance")}
+    for _ in range(2):  # the feed comes twice
+        state.apply({name: df.select("old", "new") for name, df in feed.items()}, batch=1)
+    return state.violations()
+
+
+def _feature_feed(pieces: DataFrame, day: int) -> DataFrame:
+    """What happens on one of ten days: some due dates move by 20 days, on the
+    fifth day new pieces come, on the eighth doubled ones go."""
+    key, date = F.col("EquipmentID"), F.col("NextMaintenanceDate")
+    shown = ["EquipmentID", *due.DATES]
+    none = F.lit(None).cast(pieces.select(*shown).schema)
+    earlier = F.struct("EquipmentID", (date - F.make_dt_interval(days=F.lit(20))).alias("NextMaintenanceDate"), *due.DATES[1:])
+    moved = pieces.where(key % 40 == day - 1).select(earlier.alias("old"), F.struct(*shown).alias("new"))
+    come = pieces.where((key % 40 == 20) & F.lit(day == 5)).select(none.alias("old"), F.struct(*shown).alias("new"))
+    double = pieces.where((key % 40 == 30) & F.lit(day == 8)).withColumn("EquipmentID", key + PAST)
+    return moved.unionByName(come).unionByName(double.select(F.struct(*shown).alias("old"), none.alias("new")))
+
+
+@query("features_due")
+def _features_due(spark, sf_dir):
+    """Feature rows of ten days ago after ten daily runs over changed and due pieces."""
+    pieces = cut(map_testdata(spark, sf_dir).equipment.select("EquipmentID", *due.DATES))
+    clocks = [Clock(AS_OF.as_of - timedelta(days=10 - n)) for n in range(11)]
+    key, date = F.col("EquipmentID"), F.col("NextMaintenanceDate")
+    before = F.when(key % 40 < 10, date - F.make_dt_interval(days=F.lit(20))).otherwise(date)
+    first = pieces.where(key % 40 != 20).withColumn("NextMaintenanceDate", before)
+    doubles = pieces.where(key % 40 == 30).withColumn("EquipmentID", key + PAST)
+    kept = due.DueFeatures(spark, run_folder(spark, "features"))
+    kept.start(first.unionByName(doubles), clocks[0])
+    for day in range(1, 11):
+        kept.run(clocks[day], clocks[day - 1], _feature_feed(pieces, day))
+    return kept.load()
+
+
 @query("constraint_violations_gen1")
 def _violations_gen1(spark, sf_dir):
     g = gen1.gen1_testdata(spark, sf_dir)

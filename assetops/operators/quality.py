@@ -244,7 +244,7 @@ def _values(df: DataFrame, table: str, rules: list[UniqueRule | ParentRule]) ->
     )
 
 
-def _by_table(rules: list[Rule], *kinds: type) -> dict[str, list]:
+def by_table(rules: list[Rule], *kinds: type) -> dict[str, list]:
     found: dict[str, list] = {}
     for r in rules:
         if isinstance(r, kinds):
@@ -271,9 +271,9 @@ def violations(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     is used."""
     frames = [
         _unpivoted(tables[table].agg(*(count_if(r.broken).alias(f"r{i}") for i, r in enumerate(mine))), table, mine)
-        for table, mine in _by_table(rules, RowRule).items()
+        for table, mine in by_table(rules, RowRule).items()
     ]
-    keyed = _by_table(rules, UniqueRule, ParentRule)
+    keyed = by_table(rules, UniqueRule, ParentRule)
     if keyed:
         values = stacked([_values(tables[table], table, mine) for table, mine in keyed.items()])
         per_rule = [values.where("parent is null").groupBy("table_name", "rule").agg(F.sum(F.col("n") - 1).alias("violations"))]
@@ -293,7 +293,7 @@ def rejects(tables: dict[str, DataFrame], rules: list[Rule], keys: dict[str, str
     rules, values without a parent, and of rows that share a unique value all
     but the one with the smallest key."""
     frames = []
-    for table, mine in _by_table(rules, RowRule, UniqueRule, ParentRule).items():
+    for table, mine in by_table(rules, RowRule, UniqueRule, ParentRule).items():
         df, key = tables[table], F.col(keys[table]).cast("string")
         row_rules = [r for r in mine if isinstance(r, RowRule)]
         key_rules = [r for r in mine if not isinstance(r, RowRule)]

@@ -167,7 +167,8 @@ def statement_audit(changes: DataFrame, spec: TableSpec, holidays: DataFrame) ->
 
 # The error of a denied statement and its text.
 STATEMENT_ERROR = -20003
-STATEMENT_SALTS = 16  # shares of a statement's changes that meet its verdict in one task
+HOT_SHARE = 1024  # a statement with a 1024th of all changes is hot: at most so many are
+STATEMENT_SALTS = 64  # tasks that a hot statement's changes are spread over
 
 
 def statement_text(op: Column, table: Column) -> Column:
@@ -195,15 +196,23 @@ def gate_changes(changes: DataFrame, holidays: DataFrame, atomic_by: str | None
     failed = gated.filter(denied).groupBy(F.col(atomic_by).alias("failed_id")).agg(
         F.min_by(statement_text(op, table), "change_id").alias("message")
     )
-    # Adaptive execution does not split a side that meets an aggregate: the few
-    # columns of the denied statements are repeated per salt instead.
-    failed = failed.withColumn("failed_salt", F.explode(F.sequence(F.lit(0), F.lit(STATEMENT_SALTS - 1))))
-    salt = F.pmod(F.xxhash64("change_id"), F.lit(STATEMENT_SALTS)).cast("int")
+    # Adaptive execution does not split a side that meets an aggregate, so hot
+    # statements are spread by a salt; only they are repeated on the other side.
+    total = changes.count()
+    sizes = changes.groupBy(F.col(atomic_by).alias("hot_id")).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(sizes.where(F.col("n") * HOT_SHARE >= total).select("hot_id"))
+    is_hot = F.col("hot_id").isNotNull()
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(STATEMENT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    failed = failed.join(hot, F.col("failed_id") == F.col("hot_id"), "left").select(
+        "failed_id", "message", F.explode(salts).alias("failed_salt")
+    )
+    own = F.when(is_hot, F.pmod(F.xxhash64("change_id"), F.lit(STATEMENT_SALTS)).cast("int")).otherwise(0)
+    gated = gated.join(hot, F.col(atomic_by) == F.col("hot_id"), "left").withColumn("own_salt", own).drop("hot_id")
     hit = F.col("failed_id").isNotNull()
     return (
-        gated.join(failed, (F.col(atomic_by) == F.col("failed_id")) & (salt == F.col("failed_salt")), "left")
+        gated.join(failed, (F.col(atomic_by) == F.col("failed_id")) & (F.col("own_salt") == F.col("failed_salt")), "left")
         .withColumns({"accepted": ~hit & F.col("allowed"), "error_code": F.when(hit, STATEMENT_ERROR)})
-        .drop("failed_id", "failed_salt")
+        .drop("failed_id", "failed_salt", "own_salt")
     )
 
 

@@ -20,7 +20,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from assetops.clock import Clock, ntz
 from assetops.operators.ranking import dense_numbers
@@ -92,8 +92,8 @@ class VersionedTable:
     def parts(self) -> list[str]:
         return sorted(self.entry()["parts"])
 
-    def _written(self, df: DataFrame) -> dict[str, str]:
-        """Writes the rows below a new name; folder by partition."""
+    def _written(self, df: DataFrame) -> dict[str, list[str]]:
+        """Writes the rows below a new name; folders by partition."""
         folder = f"data-{uuid.uuid4().hex}"
         # The order columns split a partition that holds much of the table.
         keys = [F.col(c) for c in ("_part", *self.order)]
@@ -101,7 +101,7 @@ class VersionedTable:
         rows.write.partitionBy("_part").parquet(f"{self.path}/{folder}")
         found = self.log._files.listStatus(self.log._fs.Path(f"{self.path}/{folder}"))
         names = [s.getPath().getName() for s in found if s.isDirectory()]
-        return {n.removeprefix("_part="): f"{folder}/{n}" for n in names if n.startswith("_part=")}
+        return {n.removeprefix("_part="): [f"{folder}/{n}"] for n in names if n.startswith("_part=")}
 
     def change(self, step: Callable[[dict], dict]) -> dict:
         """Repeats ``step``, from one entry to the next, until its entry is taken in."""
@@ -116,26 +116,43 @@ class VersionedTable:
         written = self._written(df)
         self.change(lambda entry: {"parts": written, "changes": {}})
 
-    def replace(self, rows_of: Callable[[dict], DataFrame], parts: Iterable[str]) -> None:
+    def replace(self, rows_of: Callable[[dict], DataFrame], parts: Iterable[str], within: bool = True) -> None:
         """Replaces some partitions by the rows ``rows_of`` makes of the current
-        entry; every row must lie in one of them."""
+        entry.  Every row must lie in one of them, or, if not ``within``, is added
+        to the partition it lies in."""
+        gone = set(parts)
 
         def step(entry: dict) -> dict:
             written = self._written(rows_of(entry))
-            if strange := set(written) - set(parts):
+            if within and (strange := set(written) - gone):
                 raise ValueError(f"rows of the partitions {sorted(strange)} are not replaced here")
-            kept = {p: f for p, f in entry["parts"].items() if p not in set(parts)}
-            changes = {p: f for p, f in entry["changes"].items() if p not in set(parts)}
-            return {"parts": {**kept, **written}, "changes": changes}
+            kept = {p: f for p, f in entry["parts"].items() if p not in gone}
+            for part, folders in written.items():
+                kept[part] = kept.get(part, []) + folders
+            return {**entry, "parts": kept, "changes": {p: f for p, f in entry["changes"].items() if p not in gone}}
+
+        self.change(step)
+
+    def add(self, df: DataFrame, **noted) -> None:
+        """Adds rows as changes, with what is noted in the entry."""
+        written = self._written(df)
+
+        def step(entry: dict) -> dict:
+            for part, folders in written.items():
+                entry["changes"].setdefault(part, []).extend(folders)
+            return {**entry, **noted}
 
         self.change(step)
 
     def read(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
         """The rows of the named partitions, of all by default; others are not read."""
-        folders = [f for p, f in sorted(entry["parts"].items()) if parts is None or p in set(parts)]
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*(f"{self.path}/{f}" for f in folders))
+        return self._of(entry["parts"], parts, self.schema)
+
+    def _of(self, folders: dict[str, list[str]], parts: Iterable[str] | None, schema: StructType) -> DataFrame:
+        named = [f for p, some in sorted(folders.items()) if parts is None or p in set(parts) for f in some]
+        if not named:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{f}" for f in named))
 
     def load(self, parts: Iterable[str] | None = None) -> DataFrame:
         return self.read(self.entry(), parts)
@@ -145,7 +162,7 @@ class VersionedTable:
         names; their number.  Not while a writer is under way or a reader uses an
         older entry."""
         entries = [self.log.read(n) for n in self.log.numbers()[-keep:]]
-        named = {f for e in entries for f in [*e["parts"].values(), *sum(e["changes"].values(), [])]}
+        named = {f for e in entries for kind in ("parts", "changes") for some in e[kind].values() for f in some}
         fs, root, gone = self.log._files, self.log._fs.Path(self.path), 0
         for folder in fs.listStatus(root):
             name = folder.getPath().getName()
@@ -226,20 +243,10 @@ class UpsertTable(VersionedTable):
 
     def upsert(self, updates: DataFrame) -> None:
         """Adds updates: the key, ``order_by`` and the new values."""
-        written = self._written(updates.select(*self.patches.names))
-
-        def step(entry: dict) -> dict:
-            for part, folder in written.items():
-                entry["changes"].setdefault(part, []).append(folder)
-            return entry
-
-        self.change(step)
+        self.add(updates.select(*self.patches.names))
 
     def pending(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
-        folders = [f for p, some in sorted(entry["changes"].items()) if parts is None or p in set(parts) for f in some]
-        if not folders:
-            return self.spark.createDataFrame([], self.patches)
-        return self.spark.read.schema(self.patches).parquet(*(f"{self.path}/{f}" for f in folders))
+        return self._of(entry["changes"], parts, self.patches)
 
     def merged(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
         patch = F.struct(F.col(self.order_by).alias(self.APPLIED), *self.values)
@@ -265,6 +272,28 @@ class UpsertTable(VersionedTable):
         return due
 
 
+class CountTable(VersionedTable):
+    """Counts by key.  Additions, also negative ones, are stored beside the counts
+    and summed on reading; ``compact`` sums them for good."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: StructType, part: Column):
+        super().__init__(spark, path, StructType([*keys.fields, StructField("n", LongType())]), part, tuple(keys.names))
+
+    def counts(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
+        """(keys, n) without zeros."""
+        both = self.read(entry, parts).unionByName(self._of(entry["changes"], parts, self.schema))
+        return both.groupBy(*self.order).agg(F.sum("n").alias("n")).where("n <> 0")
+
+    def load(self, parts: Iterable[str] | None = None) -> DataFrame:
+        return self.counts(self.entry(), parts)
+
+    def compact(self, least_files: int = 1) -> list[str]:
+        due = sorted(p for p, folders in self.entry()["changes"].items() if len(folders) >= least_files)
+        if due:
+            self.replace(lambda entry: self.counts(entry, due), due)
+        return due
+
+
 class KeyLedger:
     """Ranges of consecutive keys, one per batch, noted before the batch's rows are
     written.  A batch that comes again gets its old range; two writers never get

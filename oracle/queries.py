@@ -1257,11 +1257,23 @@ add(
     f"""select deptid, deptname, count(*) equipment_count, {rounded("sum(health)", "count(*)", 1, 1)} avg_health_score
     from fit join dept on deptid = departmentid group by deptid, deptname""",
 )
+add(
+    "features_due",
+    "fit",
+    f"""select equipmentid, cast(health as bigint) health_units,
+    case when nextmaintenancedate < {NOW} then 'OVERDUE' when nextmaintenancedate <= {NOW} + interval 7 day then 'DUE IN 7 DAYS'
+        when nextmaintenancedate <= {NOW} + interval 30 day then 'DUE IN 30 DAYS' else 'ON SCHEDULE' end maintenance_status,
+    case when warrantyexpiry is null then 'NO WARRANTY' when warrantyexpiry < {NOW} then 'EXPIRED'
+        when warrantyexpiry <= {NOW} + interval 30 day then 'EXPIRING SOON' else 'ACTIVE' end warranty_status,
+    case when warrantyexpiry < {NOW} then 'EXPIRED' when warrantyexpiry <= {NOW} + interval 30 day then 'EXPIRES IN 30 DAYS'
+        when warrantyexpiry <= {NOW} + interval 90 day then 'EXPIRES IN 90 DAYS' else 'VALID' end warranty_window from fit""",
+)
 
 # The same tables by another way: as a stream, beside the stored table, from a feed.
 for _name, _same in (
     ("stream_append_with_keys", "append_with_keys"),
     ("upsert_equipment", "apply_updates"),
     ("snapshot_monthly_refreshed", "snapshot_monthly_maintenance"),
+    ("constraint_violations_incremental", "constraint_violations"),
 ):
     ORACLE[_name] = ORACLE[_same]

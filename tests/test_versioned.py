@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from assetops import catalog
 from assetops.clock import Clock
-from assetops.operators import rules
-from assetops.plans import refresh, snapshots
+from assetops.operators import constraint_state, quality, rules
+from assetops.plans import due, refresh, snapshots
 from assetops.sources import versioned
 from assetops.sources.mapping import AS_OF, map_testdata
 from assetops.sources.versioned import CommitLog, KeyLedger, MonthTable, UpsertTable
@@ -234,3 +234,98 @@ def test_nothing_but_named_folders_is_read(spark, small, tmp_path):
     torn.mkdir(parents=True)
     (torn / "part-0.parquet").write_text("torn")
     assert rows(months.load()) == rows(small.maintenance) and months.vacuum() == 1 and not torn.exists()
+
+
+def test_violations_after_feeds_equal_a_full_run(spark, small, tmp_path):
+    """Keys that lose and regain their parent, values shared and freed, rows that go."""
+    rules_ = quality.canonical_rules()
+    names = ("departments", "technicians", "equipment", "maintenance", "alerts", "history")
+    now = {name: getattr(small, name) for name in names}
+    every = {name: df for name, df in small.items()}
+    state = constraint_state.ConstraintState(spark, str(tmp_path), rules_)
+    state.apply({name: constraint_state.whole(df) for name, df in every.items()}, batch=0)
+    assert rows(state.violations()) == rows(quality.violations(every, rules_))
+    key = F.col("EquipmentID")
+    steps = [
+        {"departments": small.departments.where("DeptID <> 1")},  # its pieces and people are orphans
+        {"equipment": small.equipment.withColumn("SerialNumber", F.when(key <= 3, F.lit("S")).otherwise(F.col("SerialNumber")))},
+        {"equipment": small.equipment.where("EquipmentID not in (1, 3)"), "departments": small.departments},
+        {"maintenance": small.maintenance.withColumns({"Status": F.lit("ODD"), "TechnicianID": F.lit(999).cast("bigint")})},
+        {"equipment": now["equipment"].unionByName(now["equipment"].where("EquipmentID = 2")), "maintenance": small.maintenance.limit(0)},
+        dict(every),
+    ]
+    seen = set()
+    for batch, step in enumerate(steps, 1):
+        # Tables with repeated keys are deleted and inserted as a whole.
+        feed = {}
+        for name, after in step.items():
+            gone = constraint_state.whole(every[name]).select(F.col("new").alias("old"), F.col("old").alias("new"))
+            feed[name] = gone.unionByName(constraint_state.whole(after))
+            every[name] = after
+        state.apply(feed, batch)
+        state.apply(feed, batch)  # again
+        full = rows(quality.violations(every, rules_))
+        assert rows(state.violations()) == full, batch
+        seen.add(sum(int(r.violations) for r in state.violations().collect()))
+        if batch == 3:
+            assert state.state.compact()
+            assert rows(state.violations()) == full
+    assert len(seen) > 3
+    # Only the sums are read for a report, and zeros are not kept.
+    assert all("_part=sum" in f for f in state.violations().inputFiles())
+    assert state.state.load().where("n = 0").count() == 0
+
+
+def test_only_changed_keys_are_looked_up(spark, small, tmp_path):
+    state = constraint_state.ConstraintState(spark, str(tmp_path), quality.canonical_rules())
+    state.apply({name: constraint_state.whole(df) for name, df in small.items()}, batch=0)
+    before = {p: len(f) for p, f in state.state.entry()["changes"].items()}
+    one = small.equipment.where("EquipmentID = 5")
+    feed = one.select(F.struct("*").alias("old"), F.struct(*(F.lit(3).cast("bigint").alias(c) if c == "DepartmentID" else F.col(c) for c in one.columns)).alias("new"))
+    state.apply({"equipment": feed}, batch=1)
+    after = {p: len(f) for p, f in state.state.entry()["changes"].items()}
+    assert len([p for p in after if after[p] != before.get(p)]) <= 2  # the value 3; no violation changed
+    assert rows(state.violations()) == rows(quality.violations({**dict(small.items()), "equipment": small.equipment.where("EquipmentID <> 5").unionByName(feed.select("new.*"))}, quality.canonical_rules()))
+
+
+def test_features_after_daily_runs_equal_a_full_run(spark, tmp_path):
+    """Every hour of 40 days a date flips somewhere; runs at odd hours, some days left out."""
+    start = datetime(2025, 3, 1, 7)
+    found = []
+    for i in range(400):
+        at = start + timedelta(hours=i * 3 - 300)
+        bought = start - timedelta(days=1825 + (i % 3) * 1826 - i % 30)
+        found.append((i, at if i % 9 else None, at + timedelta(days=i % 60) if i % 7 else None, bought if i % 11 else None))
+    # Dates at the very instant of a run, and its limits.
+    for n, offset in enumerate([0, 7, 30, 90]):
+        found += [(1000 + n, start + timedelta(days=10 + offset), start + timedelta(days=10 + offset), start)]
+    schema = "EquipmentID bigint, NextMaintenanceDate timestamp_ntz, WarrantyExpiry timestamp_ntz, PurchaseDate timestamp_ntz"
+    pieces = spark.createDataFrame(found, schema)
+    kept = due.DueFeatures(spark, str(tmp_path))
+    kept.start(pieces, Clock(start))
+    last, total = Clock(start), len(kept.table.parts())
+    for n, day in enumerate([1, 2, 2.5, 5, 10, 10, 11, 40]):
+        clock, feed = Clock(start + timedelta(days=day)), None
+        if n in (2, 4):
+            ids = F.col("EquipmentID")
+            new = pieces.where(ids % 13 == n).withColumn("NextMaintenanceDate", F.lit(clock.as_of).cast("timestamp_ntz"))
+            come = spark.createDataFrame([(5000 + n, start, None, start)], schema)
+            gone = pieces.where(ids % 17 == n)
+            old = pieces.select(F.struct("*").alias("old"), "EquipmentID")
+            after = pieces.join(gone, "EquipmentID", "left_anti").join(new.select("EquipmentID"), "EquipmentID", "left_anti")
+            after = after.unionByName(new.join(gone, "EquipmentID", "left_anti")).unionByName(come)
+            both = old.join(after.select(F.struct("*").alias("new"), "EquipmentID"), "EquipmentID", "full")
+            feed = both.where(~F.col("old").eqNullSafe(F.col("new"))).select("old", "new").cache()
+            pieces = spark.createDataFrame(after.collect(), schema)
+        read = kept.run(clock, last, feed)
+        if feed is None:
+            assert set(read) <= {(start + timedelta(days=d)).strftime("%Y-%m-%d") for d in range(0, int(day) + 2)} and len(read) < total
+        last = clock
+        assert rows(kept.load()) == rows(due.features(pieces, clock).select("EquipmentID", *due.BANDS)), day
+    assert kept.run(last, last) == kept.due(last)
+
+
+def test_days_of_age():
+    for units in due.AGE_STEPS:
+        d = due.days_of_age(units)
+        assert [(200 * 100 * x + 36525) // 73050 >= units for x in (d - 1, d)] == [False, True]
