@@ -5,19 +5,21 @@ under a hash order, so equal strings pick equal anchors at equal offsets.  Only
 suffixes that begin at anchors (about 3 % of all) are indexed; each carries the
 bytes of the strings that picked it.
 
-Documents come in batches.  A batch's suffixes are sorted by their anchors and
-split by hash range.  Each range keeps a logarithmic family of sorted arrays:
+Documents come in batches.  First each batch sends its distinct anchors, 64-bit
+hashes, to their hash ranges.  A range keeps a logarithmic family of sorted arrays:
 a new batch is merge-scanned against every level for equal anchors, becomes a
-level itself, and levels of about equal size merge, so a suffix is moved a
-logarithmic number of times.  Suffixes that met an equal anchor are then compared
-string by string; only the earliest occurrence of a string is not removed.
+level itself, and levels of about equal size merge, so an anchor is moved a
+logarithmic number of times.  One bit an anchor goes back: whether another batch
+has it.  Then a batch sends the bytes of the suffixes whose anchors occur again,
+and only these are compared, whole suffixes by fingerprint and then string by
+string; only the earliest occurrence of a string is not removed.
 
 Inside a batch equal suffixes are sent once, so a passage that many documents
 share costs a range one row per batch and distinct surrounding.  The number of
-ranges follows ``spark.sql.shuffle.partitions``; a range holds its suffixes
-compressed until they have met an equal anchor.
+ranges follows ``spark.sql.shuffle.partitions``.
 
-Strings are compared by 128-bit fingerprints.  Texts are UTF-8; a NULL text is
+Suffixes are taken as equal by their anchor's hash and a 64-bit fingerprint of
+all their bytes, strings by 128-bit fingerprints.  Texts are UTF-8; a NULL text is
 empty; nothing of a text under ``length`` bytes is removed.  NULL ids come after
 all others; rows that repeat an id are ordered by batch and row; an empty table
 gives an empty result; other columns are not read.  Batches are named by a hash
@@ -52,6 +54,10 @@ _powers: dict[tuple, np.ndarray] = {}
 
 _SUFFIXES_SQL = "part int, batch bigint, anchors binary, fields binary, texts binary"
 _SUFFIXES = pa.schema([("part", pa.int32()), ("batch", pa.int64()), ("anchors", pa.binary()), ("fields", pa.binary()), ("texts", pa.binary())])
+_ANCHORS_SQL = "part int, batch bigint, anchors binary"
+_ANCHORS = pa.schema([("part", pa.int32()), ("batch", pa.int64()), ("anchors", pa.binary())])
+_BITS_SQL = "batch bigint, part int, bits binary"
+_BITS = pa.schema([("batch", pa.int64()), ("part", pa.int32()), ("bits", pa.binary())])
 _HITS_SQL = "batch bigint, hits binary"
 _HITS = pa.schema([("batch", pa.int64()), ("hits", pa.binary())])
 _BATCHES_SQL = "batch bigint, ids array<bigint>, lens binary, texts binary"
@@ -204,31 +210,111 @@ def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _suffix_rows(parts: int, length: int, gram: int):
+def _part(anchors: np.ndarray, parts: int) -> np.ndarray:
+    """Anchors are least hashes, so most are small: their ranges are of the hash
+    mixed again."""
+    return (mix(anchors) >> np.uint64(32)).astype(np.int64) * parts >> 32
+
+
+def _known(anchors: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct anchors by range, bounds of the ranges)."""
+    found = np.unique(anchors)
+    part = _part(found, parts)
+    by = np.lexsort((found, part))
+    return found[by], np.searchsorted(part[by], np.arange(parts + 1))
+
+
+def _anchor_rows(parts: int, length: int, gram: int):
+    """First pass: every batch's distinct anchors, by hash range."""
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = zstandard.ZstdCompressor(level=3).compress
         with np.errstate(over="ignore"):
             for batch in batches_of(rows):
                 s, sent = _sent(batch, length, gram)
-                data = np.frombuffer(b"".join(batch.texts), np.uint8)
-                lens = np.array([len(t) for t in batch.texts])
-                begin, order = np.cumsum(lens) - lens, _order(batch.ids)
-                keep = np.flatnonzero(sent)
-                # Anchors are least hashes, so most are small: their ranges are of the hash mixed again.
-                part = (mix(s["anchor"][keep]) >> np.uint64(32)).astype(np.int64) * parts >> 32
-                by = np.lexsort((s["anchor"][keep], part))
-                keep, part = keep[by], part[by]
-                bounds = np.searchsorted(part, np.arange(parts + 1))
-                for p in range(parts):
-                    e = keep[bounds[p] : bounds[p + 1]]
-                    if not len(e):
-                        continue
-                    n = s["n"][e]
-                    texts = data[_ranges(begin[s["row"][e]] + s["start"][e], n + length - 1)]
-                    fields = np.array([order[s["row"][e]], s["row"][e], s["start"][e], n, s["offset"][e]], np.int64)
-                    anchors = np.diff(s["anchor"][e], prepend=np.uint64(0))
-                    row = [[p], [batch.name], [pack(anchors)], [pack(fields.ravel())], [compress(texts.tobytes())]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _SUFFIXES)], schema=_SUFFIXES)
+                found, bounds = _known(s["anchor"][sent], parts)
+                own = [(p, found[a:b]) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
+                columns = [[p for p, _ in own], [batch.name] * len(own), [pack(np.diff(f, prepend=np.uint64(0))) for _, f in own]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ANCHORS)], schema=_ANCHORS)
+
+    return run
+
+
+def _met(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of a batch's anchors another batch has, one bit each; rows come sorted
+    by range and batch."""
+    part, held = None, []
+
+    def ready() -> pa.RecordBatch:
+        bounds = np.cumsum([0] + [len(a) for _, a in held])
+        family = Family(bounds[-1])
+        for at, (_, anchors) in zip(bounds, held):
+            family.add(anchors, np.arange(at, at + len(anchors)))
+        bits = [np.packbits(family.met[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+        columns = [[name for name, _ in held], [part] * len(held), [pack(np.frombuffer(x, np.uint8)) for x in bits]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BITS)], schema=_BITS)
+
+    for rb in rows:
+        for p, batch, anchors in zip(*(c.to_pylist() for c in rb.columns)):
+            if p != part and held:
+                yield ready()
+                held = []
+            if p == part and held and held[-1][0] == batch:
+                continue  # an equal batch
+            part = p
+            held.append((batch, np.cumsum(unpack(anchors, np.uint64), dtype=np.uint64)))
+    if held:
+        yield ready()
+
+
+def _rebuilt(ids: list[int | None], lens: bytes, blob: bytes) -> Batch:
+    data, ends = zstandard.ZstdDecompressor().decompress(blob), np.cumsum(unpack(lens).astype(np.int64))
+    batch = Batch()
+    for row_id, a, b in zip(ids, np.concatenate([[0], ends[:-1]]), ends):
+        batch.add(row_id, data[a:b])
+    return batch
+
+
+def _suffix_rows(parts: int, length: int, gram: int):
+    """Second pass: the suffixes of a batch whose anchor occurs again, with their bytes."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows == 0:
+            raise ValueError("the input changed between two passes: write it to a table first")
+        compress = zstandard.ZstdCompressor(level=3).compress
+        # Of equal batches one is scanned.
+        batch = _rebuilt(*(left.column(c)[0].as_py() for c in ("ids", "lens", "texts")))
+        out: list[tuple] = []
+        with np.errstate(over="ignore"):
+            s, sent = _sent(batch, length, gram)
+            found, bounds = _known(s["anchor"][sent], parts)
+            again = np.zeros(len(found), bool)
+            answers = dict(zip(right.column("part").to_pylist(), right.column("bits").to_pylist()))
+            if set(answers) != set(np.flatnonzero(np.diff(bounds)).tolist()):
+                raise ValueError("the input changed between two passes: write it to a table first")
+            for p, bits in answers.items():
+                n = bounds[p + 1] - bounds[p]
+                again[bounds[p] : bounds[p + 1]] = np.unpackbits(unpack(bits, np.uint8), count=n).astype(bool)
+            by = np.argsort(found, kind="stable")
+            place = by[np.searchsorted(found[by], s["anchor"][sent])]
+            # So do anchors that the batch itself has in several surroundings.
+            again |= np.bincount(place, minlength=len(found)) > 1
+            keep = np.flatnonzero(sent)[again[place]]
+            part = _part(s["anchor"][keep], parts)
+            by = np.lexsort((s["anchor"][keep], part))
+            keep, part = keep[by], part[by]
+            data = np.frombuffer(b"".join(batch.texts), np.uint8)
+            lens = np.array([len(t) for t in batch.texts])
+            begin, order = np.cumsum(lens) - lens, _order(batch.ids)
+            bounds = np.searchsorted(part, np.arange(parts + 1))
+            for p in np.flatnonzero(np.diff(bounds)).tolist():
+                e = keep[bounds[p] : bounds[p + 1]]
+                n = s["n"][e]
+                texts = data[_ranges(begin[s["row"][e]] + s["start"][e], n + length - 1)]
+                fields = np.array([order[s["row"][e]], s["row"][e], s["start"][e], n, s["offset"][e]], np.int64)
+                anchors = np.diff(s["anchor"][e], prepend=np.uint64(0))
+                out.append((p, batch.name, pack(anchors), pack(fields.ravel()), compress(texts.tobytes())))
+        columns = zip(*out) if out else [[]] * len(_SUFFIXES)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SUFFIXES)], schema=_SUFFIXES)
 
     return run
 
@@ -261,23 +347,13 @@ class Family:
 
 def _covered(held: list[tuple[int, np.ndarray, np.ndarray, bytes]], length: int) -> Iterator[tuple[int, np.ndarray]]:
     """(batch, [row, start, count] of removed strings) of one range."""
-    sizes = np.cumsum([0] + [len(a) for _, a, *_ in held])
-    family = Family(sizes[-1])
-    for i, (_, anchors, *_) in enumerate(held):
-        family.add(anchors, np.arange(sizes[i], sizes[i + 1]))
-    met = np.flatnonzero(family.met)
-    if not len(met):
-        return
     anchor, fields, texts, owner = [], [], [], []
     decompress = zstandard.ZstdDecompressor().decompress
     for i, (_, anchors, f, blob) in enumerate(held):
-        mine = met[np.searchsorted(met, sizes[i]) : np.searchsorted(met, sizes[i + 1])] - sizes[i]
-        if len(mine):
-            anchor.append(anchors[mine])
-            fields.append(f[:, mine])
-            owner.append(np.full(len(mine), i))
-            spans = f[3] + length - 1
-            texts.append(np.frombuffer(decompress(blob), np.uint8)[_ranges((np.cumsum(spans) - spans)[mine], spans[mine])])
+        anchor.append(anchors)
+        fields.append(f)
+        owner.append(np.full(len(anchors), i))
+        texts.append(np.frombuffer(decompress(blob), np.uint8))
     order, row, start, n, offset = np.concatenate(fields, axis=1)
     owner, data = np.concatenate(owner), np.concatenate(texts)
     name = np.array([b for b, *_ in held], np.int64)[owner]
@@ -361,7 +437,10 @@ def deduped(
     if asked for, the bytes that are ``kept``."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
     parts = RANGES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = rows.mapInArrow(_suffix_rows(parts, length, gram), _SUFFIXES_SQL)
+    texts_of = rows.mapInArrow(_batch_rows, _BATCHES_SQL)
+    anchors = rows.mapInArrow(_anchor_rows(parts, length, gram), _ANCHORS_SQL)
+    bits = anchors.repartition(parts, "part").sortWithinPartitions("part", "batch").mapInArrow(_met, _BITS_SQL)
+    sent = texts_of.groupBy("batch").cogroup(bits.groupBy("batch")).applyInArrow(_suffix_rows(parts, length, gram), _SUFFIXES_SQL)
     ranges = sent.repartition(parts, "part").sortWithinPartitions("part", "batch")
     hits = ranges.mapInArrow(_scanned(length), _HITS_SQL)
 
@@ -373,13 +452,9 @@ def deduped(
             raise ValueError("the input changed between two passes: write it to a table first")
         found = [unpack(h, np.int64).reshape(3, -1) for h in right.column("hits").to_pylist()]
         out: list[tuple] = []
-        decompress = zstandard.ZstdDecompressor().decompress
         with np.errstate(over="ignore"):
             for twin, (ids, lens, blob) in enumerate(zip(*(left.column(c).to_pylist() for c in ("ids", "lens", "texts")))):
-                data, ends = decompress(blob), np.cumsum(unpack(lens).astype(np.int64))
-                batch = Batch()
-                for row_id, a, b in zip(ids, np.concatenate([[0], ends[:-1]]), ends):
-                    batch.add(row_id, data[a:b])
+                batch = _rebuilt(ids, lens, blob)
                 # Equal suffixes of one batch were not sent: all but the earliest go.
                 # Of equal batches the first has the hits; the others repeat all it has.
                 s, earliest = _sent(batch, length, gram)
@@ -397,5 +472,4 @@ def deduped(
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-    texts_of = rows.mapInArrow(_batch_rows, _BATCHES_SQL)
     return texts_of.groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(cut_batch, schema)
