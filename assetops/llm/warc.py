@@ -2,8 +2,18 @@
 
 An archive starts with a skippable frame that holds the dictionary; every
 record is one frame after it.  The reader loads that dictionary, decodes frame
-by frame in bounded memory, and checks header lines, block lengths, payload
-digests and lengths; an invalid archive is an error.
+by frame in bounded memory, and checks header lines, block lengths, and the
+payload digests and lengths that a record states; an invalid archive is an
+``Invalid`` error.
+
+Records of other writers and types are read too.  The payload of a ``response``
+or ``revisit`` with HTTP content is what follows its HTTP headers, and its length
+the stated one or, without that, the payload's own; a length that a transfer or
+content encoding makes another matter is not held against it.  Every other
+record's payload is its block.  Digests by another hash than SHA-1 are kept and
+not checked; a missing one is computed.  Header lines may be folded; headers that
+are no UTF-8 are ``Invalid``.  ``id`` and ``refers_to`` are NULL for record ids that
+this writer did not make; ``record_id`` is the id as it stands.
 
 Tasks write archives to the shared folder under names of their own attempt and
 return them as manifest rows; only manifest rows are read, so a lost task's
@@ -53,10 +63,12 @@ _RECORDS = pa.schema(
         ("record_type", pa.string()),
         ("refers_to", pa.int64()),
         ("payload", pa.binary()),
+        ("record_id", pa.string()),
     ]
 )
 _RECORDS_SQL = (
-    "id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
+    "id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary, "
+    "record_id string"
 )
 
 
@@ -116,7 +128,7 @@ def _writer(folder: str, dictionary: bytes):
                 record, url, payload, first, revisit = (c[i].as_py() for c in batch.columns)
                 frame = compressor.compress(record_bytes(record, url, payload.encode(), first, revisit))
                 if out is None:
-                    out = system.open_output_stream(f"{base}/{attempt}-{number}.warc.zst")
+                    out = system.open_output_stream(f"{base}/{attempt}-{number}.warc.zst", compression=None)
                     records = size = 0
                     if dictionary:
                         out.write(struct.pack("<II", SKIPPABLE, len(dictionary)) + dictionary)
@@ -132,7 +144,10 @@ def _writer(folder: str, dictionary: bytes):
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """Writes the archives below ``folder`` and returns their manifest."""
+    """Writes the archives below ``folder`` and returns their manifest.  Archives
+    are written and read through Arrow's file systems (local, HDFS, S3, GCS, Azure);
+    a folder that they do not know is an error before any task runs."""
+    fs.FileSystem.from_uri(folder)
     payload = whole(F.col(payload_col))
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -192,15 +207,54 @@ def frames(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
 
 
 def _headers(lines: list[bytes]) -> dict[str, str]:
-    out = {}
+    out: dict[str, str] = {}
+    name = None
     for line in lines:
-        name, colon, value = line.partition(b":")
+        if line[:1] in (b" ", b"\t") and name is not None:  # folded
+            out[name] += " " + _text(line)
+            continue
+        key, colon, value = line.partition(b":")
         if not colon:
             raise Invalid(f"not a header: {line[:80]!r}")
-        out[name.strip().lower().decode()] = value.strip().decode()
+        name = _text(key).lower()
+        out[name] = _text(value)
     return out
 
 
+def _text(raw: bytes) -> str:
+    try:
+        return raw.strip().decode()
+    except UnicodeDecodeError as error:
+        raise Invalid(f"a header is no UTF-8: {raw[:80]!r}") from error
+
+
+def _checked(stated: str | None, content: bytes, what: str) -> str:
+    """The digest of ``content``: the stated one, if it is a SHA-1 it must fit."""
+    if stated is None:
+        return digest32(content)
+    name, _, value = stated.partition(":")
+    if name.lower() != "sha1":
+        return stated
+    if value.upper() != digest32(content):
+        raise Invalid(f"the {what} digest does not fit")
+    return value.upper()
+
+
+def _http(block: bytes) -> tuple[bytes, int | None]:
+    """(payload, its stated length) of an HTTP message."""
+    head, gap, payload = block.partition(b"\r\n\r\n")
+    if not gap:
+        raise Invalid("the HTTP headers do not end")
+    first, *lines = head.split(b"\r\n")
+    if not first.startswith(b"HTTP/"):
+        raise Invalid(f"not an HTTP message: {first[:40]!r}")
+    # Servers send header lines that are none, and letters that are no UTF-8.
+    named = {n.strip().lower(): v.strip() for n, c, v in (line.partition(b":") for line in lines) if c}
+    length = named.get(b"content-length", b"")
+    encoded = b"transfer-encoding" in named or b"content-encoding" in named
+    return payload, int(length) if length.isdigit() and not encoded else None
+
+
 def parse(record: bytes) -> dict:
     """One record, with headers, lengths and digests checked."""
     head, gap, rest = record.partition(b"\r\n\r\n")
@@ -215,16 +269,18 @@ def parse(record: bytes) -> dict:
     block, end = rest[:size], rest[size:]
     if len(block) != size or end != b"\r\n\r\n":
         raise Invalid("Content-Length does not fit the block")
-    if "warc-block-digest" in h and h["warc-block-digest"] != f"sha1:{digest32(block)}":
-        raise Invalid("the block digest does not fit")
-    http, gap, payload = block.partition(b"\r\n\r\n")
-    full = int(_headers(http.split(b"\r\n")[1:])["content-length"])
-    digest = h.get("warc-payload-digest", "").removeprefix("sha1:")
-    kind = h["warc-type"]
-    if kind == "response" and (len(payload) != full or digest32(payload) != digest):
-        raise Invalid("the payload's length or digest does not fit")
-    if kind == "revisit" and (payload or "warc-refers-to" not in h):
-        raise Invalid("a revisit has no payload and refers to a record")
+    _checked(h.get("warc-block-digest"), block, "block")
+    kind, stated = h["warc-type"], h.get("warc-payload-digest")
+    http = kind in ("response", "revisit") and h.get("content-type", "").startswith("application/http")
+    payload, length = _http(block) if http and block else (block, None)
+    if kind == "revisit":
+        if payload or "warc-refers-to" not in h:
+            raise Invalid("a revisit has no payload and refers to a record")
+        full, digest = length, stated and stated.partition(":")[2] if (stated or "").lower().startswith("sha1:") else stated
+    else:
+        if kind == "response" and length is not None and length != len(payload):
+            raise Invalid("the payload's length does not fit")
+        full, digest = len(payload), _checked(stated, payload, "payload")
 
     def number(name: str) -> int | None:
         found = re.fullmatch(r"<urn:page:(-?\d+|none)>", h[name]) if name in h else None
@@ -237,19 +293,21 @@ def parse(record: bytes) -> dict:
         "payload_digest": digest,
         "record_type": kind,
         "refers_to": number("warc-refers-to"),
-        "payload": payload if kind == "response" else None,
+        "payload": None if kind == "revisit" else payload,
+        "record_id": h["warc-record-id"],
     }
 
 
 def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of every archive in the manifest."""
+    """The records of every archive in the manifest (archive, records); ``records``
+    is NULL for archives whose number of records is not known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 system, path = fs.FileSystem.from_uri(archive)
                 rows, size, count = [], 0, 0
-                with system.open_input_stream(path) as stream:
+                with system.open_input_stream(path, compression=None) as stream:
                     for record in frames(stream):
                         row = parse(record)
                         if not payloads:
@@ -261,7 +319,7 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                             rows, size = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
-                if count != expected:
+                if expected is not None and count != expected:
                     raise Invalid(f"{archive}: {count} records, {expected} were written")
 
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
