@@ -8,8 +8,10 @@ Documents are probed with all their shingles; items whose estimate is far below
 the threshold are discarded, the others are verified by exact containment of
 shingles.  Everything is a SQL expression.
 
-The sketches are broadcast only while they have ``BROADCAST_ROWS`` rows or less;
-beyond that the same join shuffles.  Words are runs of letters and digits in
+The sketches, rows of fixed width, are broadcast only while they have
+``BROADCAST_ROWS`` rows or less; beyond that the same join shuffles.  The items'
+shingle strings, whose size follows the items' length, are joined as the optimizer
+sees fit by the size of their written table.  Words are runs of letters and digits in
 lower case; a shingle has five words, or all of an item with fewer.  A NULL or
 empty item, or one without words, is in no document; a NULL or empty document
 has no item.  Equal pairs are returned once; rows that repeat an id are searched
@@ -120,7 +122,7 @@ def matches(
     # Words are made once per document, then shared by its items.
     word_rows = texts.select("_id", "_key", item_words(F.col("_text")).alias("w"), F.explode("wanted").alias("c"))
     compared = word_rows.join(
-        _small(items.select("item", "width", "shingles"), items.count()),
+        items.select("item", "width", "shingles"),
         F.col("c.item").eqNullSafe(F.col("item")) & (F.col("c.width") == F.col("width")),
     )
     common = F.size(F.array_intersect("shingles", _by_width(F.col("w"), F.col("width"), shingles)))
