@@ -29,6 +29,7 @@ f AS (SELECT page_id, domain || prefix AS rule, verdict,
 SELECT h.page_id, host, path, f.rule,
        coalesce(f.verdict, CASE WHEN regexp_matches(host, '(^|\.)(adult-x|spam-farm|cheap-pills|ads-track|casino-win|free-bets)\.')
                                   OR regexp_matches(host, '(^|\.)(adult-x|spam-farm|cheap-pills|ads-track|casino-win|free-bets)$')
+                                  OR (host <> '' AND md5(host || path)[1:1] = '0')
                                 THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN f ON f.page_id = h.page_id AND f.n = 1
 """

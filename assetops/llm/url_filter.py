@@ -1,13 +1,17 @@
 """Exact URL filters as a cascade of Bloom filters.
 
-The key universe is every host suffix of the corpus.  Level 1 holds the listed
-keys; level 2 those other keys of the universe that level 1 lets through by
-mistake; level 3 the listed keys that level 2 lets through; and so on until a
-level has no false positive.  For keys of the universe the depth of the first
-level that refuses a key answers membership exactly.  The filters travel as
-literals of the plan, so rows are judged without a join; their size follows the
-list, is checked against ``MAX_BYTES``, and a larger list is an error that asks
-for a larger bound, never a dropped key.
+The key universe is every host, every parent domain and every host with its path
+in the corpus.  Level 1 holds the listed keys; level 2 those other keys of the
+universe that level 1 lets through by mistake; level 3 the listed keys that level 2
+lets through; and so on until a level has no false positive.  For keys of the
+universe the depth of the first level that refuses a key answers membership
+exactly, so rows are judged without a join.
+
+A level is built in Spark and written as one row, an array of 64-bit words, which
+becomes a session variable: the plan names it, and its value travels as one
+literal.  All levels together are bounded by ``MAX_BYTES``.
+A list beyond that is judged another exact way: its keys are joined with the keys
+of the universe, and those that are blocked with the distinct URLs.
 
 A NULL URL, or one without ``://``, has an empty host and path: no rule and no
 listed key fits, so it is allowed.  Repeated rows are judged alike; an empty
@@ -16,6 +20,8 @@ table or list gives filters that hold nothing; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +31,7 @@ from assetops.storage import cut
 BITS_PER_KEY, HASHES = 10, 4
 MAX_BYTES = 64 << 20  # of all levels together
 MAX_LEVELS = 64
+CHUNK_WORDS = 1 << 12  # words of a filter that one row gathers
 
 #: (verdict, host, path)
 RULES = (
@@ -34,8 +41,10 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Labels that put a host on the list.
+#: The list of the query, which reads no list of its own: hosts whose first label is
+#: one of these, and one in sixteen of the pages, by the MD5 of host and path.
 BAD_LABELS = ("adult-x", "spam-farm", "cheap-pills", "ads-track", "casino-win", "free-bets")
+BAD_DIGEST = "0"
 
 
 def host_of(url: Column) -> Column:
@@ -60,11 +69,18 @@ def _positions(key: Column, level: int, bits: int) -> list[Column]:
 
 
 class Level:
-    """One Bloom filter: its words as a literal array."""
-
-    def __init__(self, number: int, words: list[int]):
-        self.number, self.bits = number, 64 * len(words)
-        self.words = F.lit(words) if words else None
+    """One Bloom filter: its words, written as one row, as a session variable."""
+
+    def __init__(self, number: int, words: DataFrame | None, size: int):
+        self.number, self.bits = number, 64 * size
+        self.name = self.words = None
+        if words is not None:
+            self.name, self.spark = f"filter_{uuid.uuid4().hex}", words.sparkSession
+            words.createOrReplaceTempView(f"{self.name}_words")
+            self.spark.sql(f"DECLARE VARIABLE {self.name} ARRAY<BIGINT>")
+            self.spark.sql(f"SET VAR {self.name} = (SELECT words FROM {self.name}_words)")
+            self.spark.catalog.dropTempView(f"{self.name}_words")
+            self.words = F.expr(self.name)
 
     def holds(self, key: Column) -> Column:
         if self.words is None:
@@ -75,6 +91,15 @@ class Level:
             out = out & (F.bit_get(word, F.pmod(p, F.lit(64)).cast("int")) == 1)
         return out
 
+    def release(self) -> None:
+        """Drops the variable; frames that name it already keep its value."""
+        if self.name is not None:
+            self.spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {self.name}")
+
+
+class TooLarge(ValueError):
+    """A list whose filters need over ``MAX_BYTES``."""
+
 
 def _level(keys: DataFrame, number: int, spent: int) -> tuple[Level, int, int]:
     """The filter of ``keys`` (``key``, distinct), their number, and the bytes of all levels so far."""
@@ -82,17 +107,21 @@ def _level(keys: DataFrame, number: int, spent: int) -> tuple[Level, int, int]:
     size = -(-n * BITS_PER_KEY // 64)
     spent += 8 * size
     if spent > MAX_BYTES:
-        raise ValueError(f"the list needs over {MAX_BYTES} bytes of filters: raise MAX_BYTES")
+        raise TooLarge(f"the list needs over {MAX_BYTES} bytes of filters")
     if not n:
-        return Level(number, []), 0, spent
-    bit = keys.select(F.explode(F.array(*_positions(F.col("key"), number, 64 * size))).alias("p"))
-    words = bit.groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")
-    )
-    full = [0] * size
-    for w, bits in words.collect():  # at most MAX_BYTES in all
-        full[w] = bits
-    return Level(number, full), n, spent
+        return Level(number, None, 0), 0, spent
+    place = keys.select(F.explode(F.array(*_positions(F.col("key"), number, 64 * size))).alias("p"))
+    words = place.select(F.floor(F.col("p") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("bits"))
+    empty = keys.sparkSession.range(size).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("bigint").alias("bits"))
+    full = words.union(empty).groupBy("w").agg(F.bit_or("bits").alias("bits"))
+
+    def gathered(rows: DataFrame, at: str, value: str) -> Column:
+        pairs = F.sort_array(F.collect_list(F.struct(at, value)))
+        return F.transform(pairs, lambda x: x[value])
+
+    chunks = full.groupBy(F.floor(F.col("w") / CHUNK_WORDS).alias("chunk")).agg(gathered(full, "w", "bits").alias("words"))
+    # One row of at most MAX_BYTES.
+    return Level(number, cut(chunks.agg(F.flatten(gathered(chunks, "chunk", "words")).alias("words"))), size), n, spent
 
 
 class Cascade:
@@ -130,24 +159,53 @@ def rule_of(host: Column, path: Column) -> tuple[Column, Column]:
     return name, verdict
 
 
-def host_keys(urls: DataFrame) -> DataFrame:
-    """(key): every host and parent domain in ``urls`` (``host``)."""
-    return urls.where("host != ''").select("host").distinct().select(F.explode(suffixes(F.col("host"))).alias("key"))
+def keys_of(host: Column, path: Column) -> Column:
+    """What may be listed of a URL: its host, the parent domains, host and path."""
+    return F.array_append(suffixes(host), F.concat(F.lit("/"), host, path))
+
+
+def universe(urls: DataFrame) -> DataFrame:
+    """(key): every key of ``urls`` (``host``, ``path``).  A page's key begins with
+    a slash, so it is no host."""
+    hosts = urls.where("host != ''").select("host").distinct().select(F.explode(suffixes(F.col("host"))).alias("key"))
+    whole_pages = urls.where("host != ''").select(F.concat(F.lit("/"), "host", "path").alias("key"))
+    return hosts.union(whole_pages).distinct()
+
+
+def listed_keys(keys: DataFrame) -> DataFrame:
+    """The list that this corpus has: domains whose first label is a bad one, and
+    pages whose digest begins with ``BAD_DIGEST``."""
+    page = F.col("key").startswith("/")
+    digest = F.md5(F.substring("key", 2, 1 << 30)).startswith(BAD_DIGEST)
+    return keys.where(F.when(page, digest).otherwise(F.split("key", r"\.")[0].isin(*BAD_LABELS)))
 
 
-def listed_hosts(keys: DataFrame) -> DataFrame:
-    """The list that this corpus has: domains whose first label is a bad one."""
-    return keys.where(F.split("key", r"\.")[0].isin(*BAD_LABELS))
+def _by_join(urls: DataFrame, keys: DataFrame, listed: DataFrame) -> DataFrame:
+    """``urls`` with ``listed``, for lists of any size: the listed keys of the
+    universe, then the distinct hosts and paths that have one."""
+    bad = cut(keys.join(listed.select("key").distinct(), "key", "left_semi"))
+    distinct = urls.where("host != ''").select("host", "path").distinct()
+    found = distinct.select("host", "path", F.explode(keys_of(F.col("host"), F.col("path"))).alias("key")).join(bad, "key", "left_semi")
+    # Written out, so that a hot URL's rows are split.
+    hit = cut(found.select("host", "path").distinct().withColumn("_hit", F.lit(True)))
+    return urls.join(hit, ["host", "path"], "left").withColumn("listed", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
 def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", listed: DataFrame | None = None) -> DataFrame:
     """Per row: id, host, path, the rule that fits and the verdict: the rule's,
-    else block if the host or a parent is listed, else allow."""
+    else block if a key of the URL is listed (``listed``: ``key``), else allow."""
     urls = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    keys = host_keys(urls)
-    cascade = Cascade(keys, listed_hosts(keys) if listed is None else listed)
+    keys = cut(universe(urls))
+    listed = listed_keys(keys) if listed is None else listed
+    try:
+        cascade = Cascade(keys, listed)
+        blocked = (F.col("host") != "") & F.exists(keys_of(F.col("host"), F.col("path")), cascade.holds)
+        urls = urls.withColumn("listed", blocked)
+        for level in cascade.levels:
+            level.release()
+    except TooLarge:
+        urls = _by_join(urls, keys, listed)
     rule, verdict = rule_of(F.col("host"), F.col("path"))
-    blocked = (F.col("host") != "") & F.exists(suffixes(F.col("host")), cascade.holds)
     return urls.select(
-        id_col, "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(blocked, "block").otherwise("allow")).alias("verdict")
+        id_col, "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict")
     )
