@@ -60,7 +60,7 @@ def on_tables(name: str, fn: Callable[[Tables], DataFrame]) -> None:
     query(name)(lambda spark, sf_dir: fn(map_testdata(spark, sf_dir)))
 
 
-# Sources, sinks and snapshots ------------------------------------------------
+# Sources, sinks and snapshots
 
 # Columns the mapping leaves NULL; PasswordHash is filled with a constant.
 NOT_MAPPED = {
@@ -147,7 +147,7 @@ def _report_sink(spark, sf_dir):
     return spark.read.parquet(path).select("report_date", "Month", "DeptName", "Maintenance_Count", "Total_Cost")
 
 
-# Projections, filters and predicates -----------------------------------------
+# Projections, filters and predicates
 
 on_tables(
     "sample_equipment",
@@ -240,7 +240,7 @@ on_tables("urgent_equipment", lambda t: reports.urgent_equipment(t, AS_OF))
 on_tables("predictive_top", lambda t: reports.predictive_top(t, AS_OF))
 on_tables("recent_audit_days", lambda t: reports.recent_audit_days(t.audit, AUDIT_AS_OF))
 
-# Data quality ----------------------------------------------------------------
+# Data quality
 
 on_tables("row_counts", quality.row_counts)
 on_tables("data_statistics", quality.data_statistics)
@@ -350,7 +350,7 @@ def _violations_gen1(spark, sf_dir):
 
 on_tables("max_ids", quality.max_ids)
 
-# Joins -----------------------------------------------------------------------
+# Joins
 
 on_tables("equipment_department", relational.equipment_department)
 on_tables("maintenance_detail", relational.maintenance_detail)
@@ -382,7 +382,7 @@ def _holiday_lookup(spark, sf_dir):
     )
 
 
-# Aggregations and windows ----------------------------------------------------
+# Aggregations and windows
 
 on_tables("equipment_by_category", relational.equipment_by_category)
 on_tables("equipment_by_department", relational.equipment_by_department)
@@ -417,7 +417,7 @@ def _first_rows(t: Tables) -> DataFrame:
 
 on_tables("first_rows", _first_rows)
 
-# Reports ---------------------------------------------------------------------
+# Reports
 
 on_tables("executive_dashboard", lambda t: reports.executive_dashboard(t, AS_OF))
 on_tables("department_performance", lambda t: reports.department_performance(t, AS_OF))
@@ -442,7 +442,7 @@ on_tables("equipment_health_score", lambda t: reports.equipment_health(t, AS_OF)
 on_tables("maintenance_cost_analysis", lambda t: reports.maintenance_cost(t, AS_OF))
 on_tables("technician_dashboard", lambda t: reports.technician_dashboard(t, AS_OF))
 
-# Rules over change events ----------------------------------------------------
+# Rules over change events
 
 
 def equipment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -684,7 +684,7 @@ def _holiday_upsert(spark, sf_dir):
     return rules.holiday_calendar(order_holidays(spark, sf_dir), holidays_of(spark, sf_dir), AUDIT_AS_OF)
 
 
-# Functions, procedures and views known by name only --------------------------
+# Functions, procedures and views known by name only
 
 on_tables(
     "equipment_age",
@@ -727,7 +727,7 @@ on_tables("equipment_maintenance_ranking", lambda t: metrics.maintenance_ranking
 on_tables("technician_performance", metrics.technician_performance)
 on_tables("monthly_maintenance_trends", metrics.monthly_trends)
 
-# Indicators ------------------------------------------------------------------
+# Indicators
 
 on_tables("utilization_rates", lambda t: metrics.utilization_rates(t, AS_OF))
 on_tables("mtbf", metrics.mtbf)
@@ -744,7 +744,7 @@ on_tables("downtime_by_department", lambda t: metrics.downtime_hours(t, "departm
 on_tables("alert_resolution_time", metrics.alert_resolution_time)
 on_tables("department_health", lambda t: metrics.department_health(t, AS_OF))
 
-# Streams ---------------------------------------------------------------------
+# Streams
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

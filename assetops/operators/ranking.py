@@ -54,79 +54,102 @@ def _bucketed(df: DataFrame, *columns: str) -> DataFrame:
     return cut(df.repartitionByRange(parts, *order).withColumn("bucket", F.spark_partition_id()))
 
 
-def _offsets(bucketed: DataFrame, measures: list[tuple[Column, bool]], within: list[str]) -> DataFrame:
-    """``offset0``, ``offset1``, ...: the total of each (measure, descending)
-    in the buckets before each bucket.  A group has at most one row per shuffle
+Spec = tuple[str, tuple[str, ...]]  # a ranked column and the groups it is ranked in
+
+
+def _fields(specs: list[Spec]) -> tuple[list[str], list[str]]:
+    """Names of the stacked groups and values: each spec has fields of its own."""
+    groups = [f"_w{j}_{i}" for j, (_, within) in enumerate(specs) for i in range(len(within))]
+    return groups, [f"_v{j}" for j in range(len(specs))]
+
+
+def _bucketed_values(df: DataFrame, col: str, within: tuple[str, ...], *more: Spec) -> DataFrame:
+    """Distinct (spec, groups, value) with the number of ties and a bucket, for all
+    specs in one pass: a row is stacked once per spec with the others' fields NULL."""
+    specs = [(col, within), *more]
+    groups, values = _fields(specs)
+    source = {f"_w{j}_{i}": c for j, (_, names) in enumerate(specs) for i, c in enumerate(names)}
+    source |= {f"_v{j}": c for j, (c, _) in enumerate(specs)}
+
+    def entry(j: int) -> Column:
+        own = {*(f"_w{j}_{i}" for i in range(len(specs[j][1]))), f"_v{j}"}
+        fields = [F.when(F.lit(name in own), F.col(source[name])).alias(name) for name in (*groups, *values)]
+        return F.struct(F.lit(j).alias("_spec"), *fields)
+
+    stacked = df.select(F.inline(F.array(*(entry(j) for j in range(len(specs))))))
+    counted = stacked.groupBy("_spec", *groups, *values).agg(F.count(F.lit(1)).alias("_ties"))
+    return _bucketed(counted, "_spec", *groups, *values)
+
+
+def _offsets(bucketed: DataFrame, within: list[str]) -> DataFrame:
+    """Per group and bucket the ties (``_t``) and values (``_n``) in the buckets
+    before it and in the whole group.  A group has at most one row per shuffle
     partition here, which bounds the windows."""
-    totals = bucketed.groupBy(*within, "bucket").agg(*(F.sum(m).alias(f"total{i}") for i, (m, _) in enumerate(measures)))
-    columns = []
-    for i, (_, descending) in enumerate(measures):
-        order = F.col("bucket").desc() if descending else F.col("bucket").asc()
-        before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        columns.append(F.coalesce(F.sum(f"total{i}").over(before), F.lit(0)).alias(f"offset{i}"))
-    return totals.select(*within, "bucket", *columns)
-
-
-def _bucketed_values(df: DataFrame, col: str, within: tuple[str, ...]) -> DataFrame:
-    """Distinct (within, value) with the number of ties and a bucket."""
-    groups = [F.col(c).alias(f"_w{i}") for i, c in enumerate(within)]
-    values = df.groupBy(*groups, F.col(col).alias("_value")).agg(F.count(F.lit(1)).alias("_ties"))
-    return _bucketed(values, *(f"_w{i}" for i in range(len(within))), "_value")
-
-
-def _positions(bucketed: DataFrame, ranks: list[RankBy]) -> DataFrame:
-    """(within, value, ties, rank, ...) for ranks by one column: the position
-    inside the bucket plus the totals of the buckets before it."""
-    within = [f"_w{i}" for i in range(len(ranks[0].within))]
-    steps = [F.lit(1) if by.dense else F.col("_ties") for by in ranks]
-    offsets = _offsets(bucketed, [(step, by.descending) for step, by in zip(steps, ranks)], within)
+    totals = bucketed.groupBy(*within, "bucket").agg(F.sum("_ties").alias("t"), F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*within)
+    before = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *within,
+        "bucket",
+        *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}_before") for c in ("t", "n")),
+        *(F.sum(c).over(group).alias(f"_{c}_all") for c in ("t", "n")),
+    )
+
+
+def _positions(bucketed: DataFrame, specs: list[Spec], ranks: list[RankBy]) -> DataFrame:
+    """(spec, groups, values, ties, rank, ...): what lies before a value inside its
+    bucket, in the buckets before, and, for descending ranks, after it."""
+    groups, values = _fields(specs)
+    within = ["_spec", *groups]
+    inside = Window.partitionBy(*within, "bucket").orderBy(*(F.col(v).asc_nulls_last() for v in values))
+    counted = bucketed.withColumns(
+        {
+            "_t_in": F.coalesce(F.sum("_ties").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_n_in": F.row_number().over(inside) - 1,
+        }
+    )
     same = F.col("in.bucket") == F.col("at.bucket")
     for c in within:
         same = same & F.col(f"in.{c}").eqNullSafe(F.col(f"at.{c}"))
-    counted = bucketed
-    for i, (step, by) in enumerate(zip(steps, ranks)):
-        inside = (
-            Window.partitionBy(*within, "bucket")
-            .orderBy(by.order("_value"))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        counted = counted.withColumn(f"_inside{i}", F.coalesce(F.sum(step).over(inside), F.lit(0)))
-    # Without groups the offsets are one row per shuffle partition.
-    side = offsets if within else F.broadcast(offsets)
-    return (
-        counted.alias("in")
-        .join(side.alias("at"), same)
-        .select(
-            *(F.col(f"in.{c}") for c in within),
-            "_value",
-            "_ties",
-            *(
-                (F.col(f"_inside{i}") + F.col(f"offset{i}") + 1).cast("bigint").alias(by.out)
-                for i, by in enumerate(ranks)
-            ),
-        )
-    )
+    offsets = _offsets(bucketed, within)
+    # Without groups the offsets are one row per shuffle partition and spec.
+    side = offsets if groups else F.broadcast(offsets)
+    ties_before, values_before = F.col("_t_before") + F.col("_t_in"), F.col("_n_before") + F.col("_n_in")
+
+    def rank(by: RankBy) -> Column:
+        # NULLs are last ascending and first descending, so the orders are mirrored.
+        if by.dense:
+            out = F.col("_n_all") - values_before if by.descending else values_before + 1
+        else:
+            out = F.col("_t_all") - ties_before - F.col("_ties") + 1 if by.descending else ties_before + 1
+        return out.cast("bigint").alias(by.out)
+
+    columns = [*(F.col(f"in.{c}") for c in (*within, *values)), F.col("_ties")]
+    return counted.alias("in").join(side.alias("at"), same).select(*columns, *(rank(by) for by in ranks))
 
 
 def global_rank(df: DataFrame, ranks: list[RankBy], is_cut: bool = False) -> DataFrame:
-    """Adds each rank as a column.  ``df`` is cut first, so its own inputs are
-    read once whatever the number of ranks.  Ranks join back by value: hot
-    values, of which there are at most ``HOT_SHARE``, as a broadcast, so that no
-    task of the shuffled join gets more than that share of the rows by one value."""
+    """Adds each rank as a column, all of them in one pass over the distinct values
+    of their columns.  ``df`` is cut first, so its own inputs are read once.  Ranks
+    join back by value: hot values, of which there are at most ``HOT_SHARE``, as a
+    broadcast, so that no task of the shuffled join gets more than that share of
+    the rows by one value."""
     ranked = base = df if is_cut else cut(df)
-    for col, within in dict.fromkeys((by.col, by.within) for by in ranks):
-        alike = [by for by in ranks if (by.col, by.within) == (col, within)]
-        places = cut(_positions(_bucketed_values(base, col, within), alike))
-        # No more than HOT_SHARE values can reach this bound.
-        total = places.agg(F.sum("_ties")).scalar()
-        hot = F.col("_ties") * HOT_SHARE >= total
-        same = F.col(col).eqNullSafe(F.col("_value"))
-        for i, c in enumerate(within):
-            same = same & F.col(c).eqNullSafe(F.col(f"_w{i}"))
-        few = F.broadcast(places.where(hot))
-        rest = ranked.join(few.select("_value", *(f"_w{i}" for i in range(len(within)))), same, "left_anti")
-        both = ranked.join(few, same).unionByName(rest.join(places.where(~hot), same))
-        ranked = both.drop("_value", "_ties", *(f"_w{i}" for i in range(len(within))))
+    specs = list(dict.fromkeys((by.col, by.within) for by in ranks))
+    places = cut(_positions(_bucketed_values(base, *specs[0], *specs[1:]), specs, ranks))
+    # No more than HOT_SHARE values can reach this bound.
+    hot = F.col("_ties") * HOT_SHARE >= base.count()
+    for j, (col, within) in enumerate(specs):
+        names = {f"_w{j}_{i}": c for i, c in enumerate(within)} | {f"_v{j}": col}
+        mine = [by.out for by in ranks if (by.col, by.within) == (col, within)]
+        own = places.where(F.col("_spec") == j).select(*names, "_ties", *mine)
+        same = F.lit(True)
+        for name, c in names.items():
+            same = same & F.col(c).eqNullSafe(F.col(name))
+        few = F.broadcast(own.where(hot))
+        rest = ranked.join(few.select(*names), same, "left_anti")
+        both = ranked.join(few, same).unionByName(rest.join(own.where(~hot), same))
+        ranked = both.drop("_ties", *names)
     return ranked.select(*base.columns, *(by.out for by in ranks))
 
 
@@ -140,13 +163,13 @@ def row_numbers(df: DataFrame, by: RankBy, unique: str, also: list[RankBy] | Non
 
 def dense_numbers(df: DataFrame, key: str, out: str, start: int = 0) -> DataFrame:
     """``start + 1, start + 2, ...`` in the order of the unique ``key``."""
-    bucketed = _bucketed(df, key)
-    offsets = _offsets(bucketed, [(F.lit(1), False)], [])
+    bucketed = _bucketed(df, key).withColumn("_ties", F.lit(1))
+    offsets = _offsets(bucketed, []).select("bucket", F.col("_t_before").alias("offset0"))
     number = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col(key).asc_nulls_last()))
     return (
         bucketed.join(F.broadcast(offsets), "bucket")
         .withColumn(out, (number + F.col("offset0") + start).cast("bigint"))
-        .drop("bucket", "offset0")
+        .drop("bucket", "offset0", "_ties")
     )
 
 

@@ -13,6 +13,8 @@ def add(name: str, tables: str, body: str, **extra: str) -> None:
     ORACLE[name] = with_tables(tables.split(), body, **extra)
 
 
+# Fixed values, here and in the statements below: the labels that reports give to
+# priorities, specialties, health, due dates and warranties.
 YEAR_AGO = f"({NOW} - interval 12 month)"
 TWO_YEARS_AGO = f"({NOW} - interval 24 month)"
 DUE = f"""case when nextmaintenancedate < {NOW} then 'OVERDUE'
@@ -30,7 +32,7 @@ DIRTY_JOB = """select * replace (
     case when technicianid % 7 = 3 then technicianid + 1000000000 when maintenanceid % 50 <> 9 then technicianid end
         as technicianid) from job"""
 
-# Sources, sinks and snapshots ------------------------------------------------
+# Sources, sinks and snapshots
 
 add("map_departments", "dept", "select * from dept")
 add("map_technicians", "tech", "select * from tech")
@@ -194,7 +196,7 @@ add(
     sum(j."cost"){D} total_cost {COST_ROWS}""",
 )
 
-# Projections, filters and predicates -----------------------------------------
+# Projections, filters and predicates
 
 add(
     "sample_equipment",
@@ -254,7 +256,7 @@ add(
     where status <> 'DECOMMISSIONED' and health < 700 order by health, equipmentid limit 3""",
 )
 
-# Data quality ----------------------------------------------------------------
+# Data quality
 
 add("row_counts", ALL_TABLES, counts(COUNTS))
 add(
@@ -491,7 +493,7 @@ add(
     ),
 )
 
-# Joins -----------------------------------------------------------------------
+# Joins
 
 add(
     "equipment_department",
@@ -541,7 +543,7 @@ add(
     from orders left join order_holi on holidaydate = cast(o_orderdate as date)""",
 )
 
-# Aggregations and windows ----------------------------------------------------
+# Aggregations and windows
 
 add("equipment_by_category", "eq", "select category, count(*) totalequipment from eq group by category")
 add(
@@ -590,7 +592,7 @@ add(
     dense_rank() over (order by "cost") cost_dense_rank from job""",
 )
 
-# Reports ---------------------------------------------------------------------
+# Reports
 
 add(
     "executive_dashboard",
@@ -879,7 +881,7 @@ add(
 )
 add("technician_performance", "job tech hist dept", TECH_ROWS.format(avg=AVG_JOB, where=""))
 
-# Rules over change events ----------------------------------------------------
+# Rules over change events
 
 add(
     "calendar_gate",
@@ -1101,7 +1103,7 @@ add(
     group by holidaydate)""",
 )
 
-# Functions, procedures and views known by name only --------------------------
+# Functions, procedures and views known by name only
 
 add("equipment_age", "aged", "select equipmentid, age / 1e2 age_years from aged")
 add("maintenance_due_status", "eq", f"select equipmentid, {DUE} maintenance_status from eq")
@@ -1180,7 +1182,7 @@ add(
         (select strftime(actualdate, '%Y-%m') m, count(*) n, sum("cost") spent from job group by 1))""",
 )
 
-# Indicators ------------------------------------------------------------------
+# Indicators
 
 add(
     "utilization_rates",

@@ -113,3 +113,32 @@ def test_no_scratch_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session)
+
+
+def test_ranks_of_several_columns_in_one_pass(spark, skewed):
+    """Columns of different types, with and without groups, ties, NULLs and a hot value."""
+    df = skewed.withColumns({"s": F.when(F.col("id") % 11 > 0, F.format_string("w%05d", F.col("id") % 700)), "n": F.col("id") % 97})
+    ranks = [
+        RankBy("v", "a"),
+        RankBy("v", "b", descending=False, dense=True),
+        RankBy("v", "c", within=("g",)),
+        RankBy("s", "d", dense=True, within=("g", "n")),
+        RankBy("n", "e", descending=False),
+        RankBy("s", "f", descending=False, within=("n",)),
+    ]
+    expected = df
+    for by in ranks:
+        plain = F.dense_rank() if by.dense else F.rank()
+        expected = expected.withColumn(by.out, plain.over(Window.partitionBy(*by.within).orderBy(by.order())).cast("bigint"))
+    got = global_rank(df, ranks)
+    assert got.columns == expected.columns and rows(got) == rows(expected)
+
+
+def test_one_pass_writes_twice(skewed, monkeypatch):
+    """The frame is cut, its values and their positions are written, whatever the number of columns."""
+    from assetops.operators import ranking
+
+    written = []
+    monkeypatch.setattr(ranking, "cut", lambda df: written.append(df.columns) or df)
+    ranking.global_rank(skewed, [RankBy("v", "a"), RankBy("g", "b"), RankBy("id", "c", within=("g",))])
+    assert len(written) == 3
