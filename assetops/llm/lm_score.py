@@ -13,8 +13,9 @@ log10 of its probability.
 Every context has counts of its own, at any size of the corpus.  Events are
 gathered as distinct byte grams with their counts.  A chunk of documents sends
 each of its grams once to the part that the gram's last three context bytes
-name; a part has all that followed these and longer contexts, scores each of its
-grams once, and the scores return to the chunks.  The counts after one and two
+name; a part has all that followed these and longer contexts and scores each of its
+grams once; then the chunks' grams pass their part again, one chunk at a time, and
+take their scores back.  No row and no task holds the grams of all chunks.  The counts after one and two
 bytes travel to all tasks: at most 2^24 keys, as many as there are three bytes
 in a row, whatever the corpus.
 
@@ -109,10 +110,9 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 _GRAMS = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("grams", pa.binary()), ("uses", pa.binary())])
 _GRAMS_SQL = "part int, chunk bigint, grams binary, uses binary"
-_PARTS = pa.schema(
-    [("part", pa.int32()), ("grams", pa.binary()), ("n", pa.binary()), ("chunks", pa.list_(pa.int64())), ("local", pa.list_(pa.binary()))]
-)
-_PARTS_SQL = "part int, grams binary, n binary, chunks array<bigint>, local array<binary>"
+_PARTS = pa.schema([("part", pa.int32()), ("grams", pa.binary()), ("n", pa.binary())])
+_PARTS_SQL = "part int, grams binary, n binary"
+_FOLD = 1 << 20  # grams that wait before they are added to a part's
 
 
 def _gram_rows(parts: int):
@@ -140,32 +140,50 @@ def _gram_rows(parts: int):
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per part: its grams, their counts, and the chunks' numbers into
-    them; rows come sorted by part."""
-    part, held = None, []
+    """One row per part: its distinct grams and their counts; rows come sorted by
+    part.  What is held follows the part's distinct grams, not its chunks."""
+    part, waiting, size = None, [], 0
+    gram, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def folded() -> tuple[np.ndarray, np.ndarray]:
+        found, uses = zip((gram, n), *waiting)
+        return _summed(np.concatenate(found), np.concatenate(uses))
 
     def ready() -> pa.RecordBatch:
-        chunks, found, uses = zip(*held)
-        gram, n = _summed(np.concatenate(found), np.concatenate(uses))
-        row = [[part], [_packed(gram)], [wordtable.pack(n)], [list(chunks)], [[_packed(np.searchsorted(gram, f)) for f in found]]]
+        row = [[part], [_packed(gram)], [wordtable.pack(n)]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _PARTS)], schema=_PARTS)
 
     for batch in batches:
-        for p, chunk, found, uses in zip(*(c.to_pylist() for c in batch.columns)):
-            if p != part and held:
+        for p, found, uses in zip(*(batch.column(c).to_pylist() for c in ("part", "grams", "uses"))):
+            if p != part and part is not None:
+                gram, n = folded()
                 yield ready()
-                held = []
+                gram, n, waiting, size = gram[:0], n[:0], [], 0
             part = p
-            held.append((chunk, _unpacked(found), wordtable.unpack(uses, np.int64)))
-    if held:
+            waiting.append((_unpacked(found), wordtable.unpack(uses, np.int64)))
+            size += len(waiting[-1][0])
+            if size >= max(_FOLD, len(gram)):
+                gram, n = folded()
+                waiting, size = [], 0
+    if part is not None:
+        gram, n = folded()
         yield ready()
 
 
-def gram_parts(rows: DataFrame) -> DataFrame:
-    """The distinct grams of (_id, _text) in their parts."""
-    parts = PARTS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = rows.mapInArrow(_gram_rows(parts), _GRAMS_SQL)
-    return cut(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merged, _PARTS_SQL))
+def _parts(spark) -> int:
+    return PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def gram_rows(rows: DataFrame) -> DataFrame:
+    """The distinct grams of every chunk of (_id, _text), by part, written once for
+    the two passes over them."""
+    return cut(rows.mapInArrow(_gram_rows(_parts(rows.sparkSession)), _GRAMS_SQL))
+
+
+def gram_parts(sent: DataFrame) -> DataFrame:
+    """The distinct grams of every part with their counts."""
+    dealt = sent.select("part", "grams", "uses").repartition(_parts(sent.sparkSession), "part")
+    return cut(dealt.sortWithinPartitions("part").mapInArrow(_merged, _PARTS_SQL))
 
 
 class Counts:
@@ -380,37 +398,39 @@ def learned(parts: DataFrame) -> Model:
     return model
 
 
-def fitted(rows: DataFrame) -> Model:
-    """The model of the training rows of (_id, _text) with all its counts in
-    this process, for corpora whose distinct grams fit it; ``scored`` leaves
-    them in their parts."""
-    parts = gram_parts(rows)
-    model = learned(parts)
-    found = [(_unpacked(bytes(g)), wordtable.unpack(bytes(n), np.int64)) for g, n in parts.select("grams", "n").collect()]
-    gram, n = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-    model.far = model.tables(gram, n)[NEAR:]
-    return model
-
-
 _ANSWERS = pa.schema([("chunk", pa.int64()), ("grams", pa.binary()), ("answers", pa.binary())])
+_ANSWERS_SQL = "chunk bigint, grams binary, answers binary"
 
 
 def _gram_answers(model: Model):
-    """The log10 probabilities of the chunks' grams."""
+    """The log10 probabilities of the chunks' grams, one row per part and chunk.
+    Rows come sorted by part, the part's own grams and counts first, and the
+    chunks pass them one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=3).compress
+        gram = logs = None
         for batch in batches:
-            for packed, n, chunks, local in zip(*(batch.column(c).to_pylist() for c in _PARTS.names[1:])):
-                gram = _unpacked(packed)
-                logs = model.log10(gram, model.tables(gram, wordtable.unpack(n, np.int64)))
-                for chunk, numbers in zip(chunks, map(_unpacked, local)):
-                    row = [[chunk], [_packed(gram[numbers])], [compress(logs[numbers].tobytes())]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _ANSWERS)], schema=_ANSWERS)
+            for chunk, packed, n in zip(*(batch.column(c).to_pylist() for c in ("chunk", "grams", "n"))):
+                if n is not None:
+                    gram = _unpacked(packed)
+                    logs = model.log10(gram, model.tables(gram, wordtable.unpack(n, np.int64)))
+                    continue
+                found = logs[np.searchsorted(gram, _unpacked(packed))]
+                row = [[chunk], [packed], [compress(found.tobytes())]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _ANSWERS)], schema=_ANSWERS)
 
     return run
 
 
+def gram_answers(sent: DataFrame, parts: DataFrame, model: Model) -> DataFrame:
+    """(chunk, grams, answers) of every chunk and part."""
+    both = sent.select("part", "chunk", "grams").unionByName(parts, allowMissingColumns=True)
+    dealt = both.repartition(_parts(sent.sparkSession), "part")
+    first = F.col("n").isNull()
+    return dealt.sortWithinPartitions("part", first).mapInArrow(_gram_answers(model), _ANSWERS_SQL)
+
+
 def _stored(texts: list[str]) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(b"".join(e + bytes([END]) for e in _encoded(texts)))
 
@@ -453,7 +473,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     counts = cut(wordtable.dealt(wordtable.word_rows(rows, tokens, training)).mapInArrow(_token_counts, _COUNTS_SQL))
     # Two numbers.
     n, v = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
-    parts = gram_parts(rows)
+    sent = gram_rows(rows)
+    parts = gram_parts(sent)
     model = learned(parts)
     denominator = np.log10(n + v + 1)
 
@@ -482,6 +503,6 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     types = ["bigint", "boolean", "bigint", "bigint", "bigint", "double", "double", "double"]
     schema = ", ".join(f"`{c}` {t}" for c, t in zip(names, types))
     words = counts.where("chunk is not null").select("chunk", "local", "answers")
-    scores = parts.mapInArrow(_gram_answers(model), "chunk bigint, grams binary, answers binary")
+    scores = gram_answers(sent, parts, model)
     answers = words.unionByName(scores, allowMissingColumns=True)
     return wordtable.met(wordtable.position_rows(rows, tokens, _stored), answers, combine, schema, "grams")
