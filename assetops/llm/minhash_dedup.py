@@ -15,7 +15,8 @@ one if both lie near the leader's rim; only such members, and unlinked ones, sta
 open, and buckets whose open members are of one class already are closed.  Then the
 members outside their bucket's largest class meet some members of other classes,
 spread by hash.  What is left is finished between classes: the members outside a
-bucket's largest class are cut into blocks, and all its members pass every block.
+bucket's largest class are cut into blocks by total weight, and its members pass
+the blocks of those weights that a link allows.
 No link between classes of a bucket is lost, and none is capped.
 
 Nodes are distinct texts (by MD5), so copies, however many, cost one row each.
@@ -28,6 +29,7 @@ passes is an error; chunks of the same rows get the same answers.
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
 
@@ -74,7 +76,7 @@ _ANSWERS = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("documents",
 _ANSWERS_SQL = "part int, chunk bigint, documents binary"
 _CHUNKS = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("nodes", pa.list_(pa.binary())), ("texts", pa.binary())])
 _CHUNKS_SQL = "chunk bigint, ids array<bigint>, nodes array<binary>, texts binary"
-_SIGNATURES_SQL = "id bigint, node binary, bands array<bigint>, weights binary"
+_SIGNATURES_SQL = "id bigint, node binary, bands array<bigint>, weights binary, total double"
 _END = b"\xff"  # no UTF-8 text has this byte
 
 
@@ -148,8 +150,9 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signed(rows: DataFrame) -> DataFrame:
-    """(id, node, bands, weights) of every row: band keys, NULL without shingles,
-    and the packed weights of its distinct shingles ascending."""
+    """(id, node, bands, weights, total) of every row: band keys, NULL without
+    shingles, the packed weights of its distinct shingles ascending, and the sum of
+    weights and frequencies."""
     parts = RANGES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = rows.count()
     sent = rows.mapInArrow(_sent(parts), _SENT_SQL).repartition(parts, "part").sortWithinPartitions("part")
@@ -170,11 +173,13 @@ def signed(rows: DataFrame) -> DataFrame:
                 for i, node, h in zip(ids, nodes, of_texts(texts)):
                     found, uses = counted(h)
                     own = idf[np.searchsorted(known, found)]
-                    out.append((i, node, _bands(found, uses * own.astype(np.float64)), pack(own)))
+                    weight = uses * own.astype(np.float64)
+                    out.append((i, node, _bands(found, weight), pack(own), float(weight.sum())))
         if not out:
             raise ValueError("the input changed between two passes: write it to a table first")
-        types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["id", "node", "bands", "weights"])
+        types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.float64()]
+        names = ["id", "node", "bands", "weights", "total"]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     chunks = rows.mapInArrow(_chunk_rows, _CHUNKS_SQL)
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, _SIGNATURES_SQL)
@@ -266,7 +271,7 @@ def _finished(least: float):
         with np.errstate(over="ignore"):
             for batch in batches:
                 out = []
-                columns = [batch.column(c).to_pylist() for c in ("band", "key", "block", "role", "node", "label", "minor", "weights")]
+                columns = [batch.column(c).to_pylist() for c in ("band", "key", "bin", "block", "role", "node", "label", "minor", "weights")]
                 for (*at, role, node, mine, minor, packed), h in zip(zip(*columns), of_texts(_texts(batch))):
                     if at != block:
                         block, held, label = at, [], {}
@@ -367,20 +372,30 @@ def links(rows: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
     # Buckets of the same members, in several bands, are looked at once.
     once = shared.where("n > 1").groupBy("n", "all_", "one").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key")
     active = cut(members.join(once, ["band", "key"]).select("band", "key", "node", "id"))
-    own = signatures.groupBy("node").agg(F.first("weights").alias("weights"))
+    own = signatures.groupBy("node").agg(F.first("weights").alias("weights"), F.first("total").alias("total"))
     wanted = active.select("node", "id").distinct().join(own, "node").hint("merge")
     same = (F.col("r.node") == F.col("w.node")) & F.col("r.id").eqNullSafe(F.col("w.id"))
-    texts = cut(rows.alias("r").join(wanted.alias("w"), same).select("r.node", "text", "weights"), "zstd")
-    found, active = _led(active.drop("id"), texts, least)
-    found = cut(found.union(_between(_open(active, found), texts, LEADERS, least)))
-    rest = _open(active, found)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = rest.where("minor").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    passing = rest.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    both = own.withColumn("role", F.lit(0)).unionByName(passing.withColumn("role", F.lit(1)))
-    dealt = both.join(texts.dropDuplicates(["node"]), "node").repartition("band", "key", "block")
-    dealt = dealt.sortWithinPartitions("band", "key", "block", "role").drop("n")
-    return found.union(cut(dealt.mapInArrow(_finished(least), "node binary, leader binary")))
+    texts = cut(rows.alias("r").join(wanted.alias("w"), same).select("r.node", "text", "weights", "total"), "zstd")
+    found, active = _led(active.drop("id"), texts.drop("total"), least)
+    found = cut(found.union(_between(_open(active, found), texts.drop("total"), LEADERS, least)))
+    return found.union(_between_classes(_open(active, found), texts.dropDuplicates(["node"]), least))
+
+
+def _between_classes(rest: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The links that are left between classes.  Two texts of a link differ in total
+    weight by a factor of ``1 / least`` at most.  So a bucket's members are dealt by
+    the logarithm of their weight: those outside its largest class into blocks of
+    their bin, and all members past the blocks of their own and the next bins."""
+    bin_ = F.floor(F.log("total") / math.log(1 / least) * (1 - 1e-6))
+    placed = cut(rest.drop("n").join(texts.select("node", "total"), "node").withColumn("bin", bin_).drop("total"))
+    at = ["band", "key", "bin"]
+    blocks = placed.where("minor").groupBy(*at).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = placed.where("minor").join(blocks, at).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    near = placed.withColumn("bin", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1))).join(blocks, at)
+    passing = near.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    both = own.withColumn("role", F.lit(0)).unionByName(passing.withColumn("role", F.lit(1))).drop("blocks")
+    dealt = both.join(texts.drop("total"), "node").repartition(*at, "block").sortWithinPartitions(*at, "block", "role")
+    return cut(dealt.mapInArrow(_finished(least), "node binary, leader binary"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:

@@ -95,10 +95,12 @@ def test_no_link_is_lost_inside_a_bucket(spark, monkeypatch, block):
     words = edge.prose(5, 900).split()
     rows = [(i, " ".join(words[7 * i : 7 * i + 100])) for i in range(25)]
     rows += [(100 + i, " ".join(words[500 + 15 * i : 600 + 15 * i])) for i in range(8)]
+    # Lengths that grow by just under and just over what a link allows.
+    rows += [(200 + i, " ".join(words[: int(60 * 1.24**i)])) for i in range(10)] + [(300 + i, " ".join(words[880 - int(50 * 1.27**i) : 880])) for i in range(9)]
     df = minhash_dedup.rows_of(frame(spark, rows), "doc_id", "text")
     sets = {t: len(bag) for (_, t), bag in zip(rows, bags([t for _, t in rows]))}
-    flat = [(i, hashlib.md5(t.encode()).digest(), [7], pack(np.ones(sets[t], np.float32))) for i, t in rows]
-    signatures = spark.createDataFrame(flat, "id bigint, node binary, bands array<bigint>, weights binary")
+    flat = [(i, hashlib.md5(t.encode()).digest(), [7], pack(np.ones(sets[t], np.float32)), float(sum(next(bags([t])).values()))) for i, t in rows]
+    signatures = spark.createDataFrame(flat, "id bigint, node binary, bands array<bigint>, weights binary, total double")
     found = minhash_dedup.links(df, signatures, 0.8)
     labels = {bytes(r.node): bytes(r.label) for r in minhash_dedup.components(found).collect()}
     md5 = {i: hashlib.md5(t.encode()).digest() for i, t in rows}
