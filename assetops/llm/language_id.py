@@ -131,17 +131,31 @@ class Filters:
             out = found if out is None else out & found
         return out
 
+    def rows(self) -> list[np.ndarray]:
+        """The slots as columns of whole numbers, up to 64 languages in each."""
+        size = self.slots.shape[1]
+        width = next((w for w in (1, 2, 4) if size <= w), 8)
+        padded = np.zeros((len(self.slots), -(-size // width) * width), np.uint8)
+        padded[:, :size] = self.slots
+        return list(np.ascontiguousarray(padded).view(f"<u{width}").T.copy())
+
     def hits(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(words, languages) n-grams found, and (words,) n-grams in all."""
-        hits, total = np.zeros((len(distinct), 8 * self.slots.shape[1]), np.int64), np.zeros(len(distinct), np.int64)
+        hits, total = np.zeros((len(distinct), len(self.languages))), np.zeros(len(distinct), np.int64)
+        columns = self.rows()
+        each = 8 * columns[0].itemsize
         for _, hashes, number in grams(distinct):
             total += np.bincount(number, minlength=len(distinct))
-            masks = self.containing(hashes)
-            for byte in range(masks.shape[1]):
-                # How often each of the 256 masks occurs in a word, and the bits of each mask.
-                key, times = np.unique(number * 256 + masks[:, byte], return_counts=True)
-                np.add.at(hits, (key >> 8, slice(8 * byte, 8 * byte + 8)), _BITS[key & 255] * times[:, None])
-        return hits[:, : len(self.languages)], total
+            places = list(_places(hashes, len(self.slots)))
+            for c, column in enumerate(columns):
+                masks = column[places[0]]
+                for more in places[1:]:
+                    masks &= column[more]
+                for i in range(each * c, min(each * (c + 1), len(self.languages))):
+                    # The bit of one language in every mask, counted by word.
+                    bit = (masks >> masks.dtype.type(i - each * c)) & masks.dtype.type(1)
+                    hits[:, i] += np.bincount(number, weights=bit, minlength=len(distinct))
+        return hits, total
 
     def shares(self, hits: np.ndarray, total: np.ndarray) -> np.ndarray:
         """Corrected share of a text's n-grams in each language, 0 to 1."""
@@ -149,9 +163,6 @@ class Filters:
         return np.clip((hits - fp * total[:, None]) / np.maximum((1 - fp) * total[:, None], 1e-12), 0, 1)
 
 
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
-
-
 def _places(hashes: np.ndarray, slots: int) -> Iterator[np.ndarray]:
     with np.errstate(over="ignore"):
         step = mix(hashes ^ _BASE) | np.uint64(1)
@@ -189,19 +200,26 @@ def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 _PREDICTED = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
 
 
+class _Numbering(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _predict(filters: Filters, texts: list[str | None]) -> pa.RecordBatch:
-    number: dict[str, int] = {}
-    places, bounds = [], [0]
+    number = _Numbering()
+    found, lens = [], []
     for text in texts:
-        found = Counter(words(text or ""))
-        places.extend((number.setdefault(w, len(number)), n) for w, n in found.items())
-        bounds.append(len(places))
+        own = words(text or "")
+        found.append(np.fromiter(map(number.__getitem__, own), np.int64, len(own)))
+        lens.append(len(own))
     hits, total = filters.hits(list(number))
-    at, times = np.array(places, np.int64).reshape(-1, 2).T
-    owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    sums, sizes = np.zeros((len(texts), hits.shape[1])), np.bincount(owner, weights=total[at] * times, minlength=len(texts))
+    at, owner = np.concatenate(found), np.repeat(np.arange(len(texts)), lens)
+    sums, sizes = np.zeros((len(texts), hits.shape[1])), np.bincount(owner, weights=total[at], minlength=len(texts))
     for i in range(hits.shape[1]):
-        sums[:, i] = np.bincount(owner, weights=hits[at, i] * times, minlength=len(texts))
+        sums[:, i] = np.bincount(owner, weights=hits[:, i][at], minlength=len(texts))
     shares = filters.shares(sums, sizes)
     best = shares.argmax(axis=1)
     known = sizes > 0

@@ -160,3 +160,20 @@ def test_texts_of_the_edge_table(spark):
     docs = edge.frame(spark, edge.texts()).withColumn("lang", F.lit("xx"))
     out = ident.identified(docs).collect()
     assert len(out) == len(edge.texts()) and {r.lang_pred for r in out} == {"xx", "und"}
+
+
+def test_hits_of_words_in_many_languages():
+    """Popcounts by word equal the bits of every n-gram, for one, 19 and 130 languages."""
+    words = ["ka", "shino", "日本", "a" * 50, "ж"]
+    for n in (1, 8, 19, 130):
+        sets = {f"l{i:03}": np.array(sorted({int(h) for _, hs, _ in ident.grams(words[i % 5 :]) for h in hs[:: 1 + i % 3]}), np.uint64) for i in range(n)}
+        filters = ident.bit_sliced(sets)
+        hits, total = filters.hits(words)
+        wanted, sizes = np.zeros((5, n)), np.zeros(5)
+        for _, hashes, number in ident.grams(words):
+            masks = filters.containing(hashes)
+            for row, word in zip(masks, number):
+                sizes[word] += 1
+                for i in range(n):
+                    wanted[word, i] += row[i // 8] >> i % 8 & 1
+        assert (hits == wanted).all() and (total == sizes).all() and hits.any()
