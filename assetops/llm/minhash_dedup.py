@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetops.llm.common import whole
-from assetops.llm.shingles import WIDTH, counted, mix, of_texts
+from assetops.llm.shingles import counted, mix, of_texts
 from assetops.llm.wordtable import pack, unpack
 from assetops.storage import cut
 

@@ -6,7 +6,6 @@ from collections import Counter
 
 import edge
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from assetops.llm import language_id as ident
