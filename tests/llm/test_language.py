@@ -42,7 +42,7 @@ def brute_grams(text):
             padded = f" {w} "
             for n in ident.ORDERS:
                 found = [padded[i : i + n] for i in range(len(padded) - n + 1)]
-                out.update(g for g in found if g.strip() and not (n < 3 and not g.strip()) and " " not in g[1:-1])
+                out.update(g for g in found if g.strip() and " " not in g[1:-1])
     return out
 
 
@@ -52,14 +52,12 @@ def is_held_out(i):
 
 def hash_of(gram):
     """The operator's hash of one n-gram, through a word that has it."""
-    word = gram.strip() if gram.strip() else gram
-    at = {g: None for g in [gram]}
-    for order, hashes, _ in ident.grams([word]):
-        padded = f" {word} "
+    padded = f" {gram.strip()} "
+    for order, hashes, _ in ident.grams([gram.strip()]):
         own = [padded[i : i + order] for i in range(len(padded) - order + 1)]
         own = [g for g in own if g.strip() and " " not in g[1:-1]]
         for g, h in zip(own, hashes):
-            if g in at:
+            if g == gram:
                 return h
     raise KeyError(gram)
 
