@@ -2,8 +2,9 @@
 
 Health, due and warranty bands of a piece stay as they are until one of a few
 instants that follow from its dates.  Each stored row carries the next of them and
-lies in the folder of its day, so a daily run reads the folders that have come due
-and those of changed pieces, and nothing else.
+lies in the folder of its day, or of its month while that is some weeks ahead, so a
+daily run reads the folders that have come due and those of changed pieces, and
+nothing else.  A month that has come is dealt to its days.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from assetops.sources.versioned import VersionedTable
 DATES = ("NextMaintenanceDate", "WarrantyExpiry", "PurchaseDate")
 BANDS = ("Health_Units", "Maintenance_Status", "Warranty_Status", "Warranty_Window")
 NEVER = "never"
+DAYS_AHEAD = 31  # rows that flip later lie in the folder of a month
 #: Ages in hundredths of a year at which the health score steps.
 AGE_STEPS = (500, 1000)
 
@@ -58,34 +60,36 @@ class DueFeatures:
     def __init__(self, spark: SparkSession, path: str):
         own = [SCHEMAS["equipment"][c] for c in ("EquipmentID", *DATES)]
         bands = [T.StructField(BANDS[0], T.LongType()), *(T.StructField(c, T.StringType()) for c in BANDS[1:])]
-        schema = T.StructType([*own, *bands, T.StructField("flips_at", T.TimestampNTZType())])
-        self.table = VersionedTable(spark, path, schema, self._day(F.col("flips_at")), ("EquipmentID",))
-
-    @staticmethod
-    def _day(at: Column) -> Column:
-        return F.coalesce(F.date_format(at, "yyyy-MM-dd"), F.lit(NEVER))
+        schema = T.StructType([*own, *bands, T.StructField("flips_at", T.TimestampNTZType()), T.StructField("folder", T.StringType())])
+        self.table = VersionedTable(spark, path, schema, F.col("folder"), ("EquipmentID",))
 
     def _rows(self, pieces: DataFrame, clock: Clock) -> DataFrame:
-        return features(pieces, clock).withColumn("flips_at", next_flip(clock))
+        at = F.col("flips_at")
+        day, month = (F.date_format(at, form) for form in ("yyyy-MM-dd", "yyyy-MM"))
+        folder = F.when(at.isNull(), NEVER).when(at < clock.in_days(DAYS_AHEAD), day).otherwise(month)
+        return features(pieces, clock).withColumn("flips_at", next_flip(clock)).withColumn("folder", folder)
 
     def start(self, pieces: DataFrame, clock: Clock) -> None:
         self.table.write(self._rows(pieces, clock))
 
     def due(self, clock: Clock) -> list[str]:
         """The folders that hold a row that may have flipped by now."""
-        today = clock.as_of.strftime("%Y-%m-%d")
+        today = clock.as_of.strftime("%Y-%m-%d")  # a month sorts before its days
         return [day for day in self.table.parts() if day != NEVER and day <= today]
 
     def run(self, clock: Clock, last: Clock, changes: DataFrame | None = None) -> list[str]:
         """Brings the rows from ``last`` to ``clock`` and takes in changed pieces
         (old, new: images with the id and the dates).  Returns the folders read: a
-        changed piece's old row lies where its old dates flip after ``last``."""
+        changed piece's old row lies where its old dates flip after ``last``, in the
+        folder of that day or still in that of its month."""
         days = set(self.due(clock))
         images = ids = None
         if changes is not None:
             old = changes.where("old is not null").select("old.*")
             # As many rows as there are days.
-            days |= {r.day for r in old.select(self._day(next_flip(last)).alias("day")).distinct().collect()}
+            flips = F.date_format(next_flip(last), "yyyy-MM-dd")
+            found = {r.day or NEVER for r in old.select(flips.alias("day")).distinct().collect()}
+            days |= found | {day[:7] for day in found if day != NEVER}
             images = changes.where("new is not null").select("new.EquipmentID", *(f"new.{c}" for c in DATES))
             ids = changes.select(F.coalesce("new.EquipmentID", "old.EquipmentID").alias("EquipmentID")).distinct()
 
