@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetops.llm.common import whole
-from assetops.llm.shingles import counted, mix, of_texts
+from assetops.llm.shingles import BATCH_CHARS, counted, give_back, mix, of_texts
 from assetops.llm.wordtable import pack, unpack
 from assetops.storage import cut
 
@@ -80,39 +80,63 @@ _SIGNATURES_SQL = "id bigint, node binary, bands array<bigint>, weights binary,
 _END = b"\xff"  # no UTF-8 text has this byte
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes], list[str]]]:
-    """(name, ids, nodes, texts) of bounded size."""
-    ids, nodes, texts, size, name = [], [], [], 0, xxhash.xxh64()
+def _chunks(batches: Iterator[pa.RecordBatch], kept: Callable[[list[str]], object]) -> Iterator[tuple[int, list, list[bytes], list]]:
+    """(name, ids, nodes, what is ``kept`` of the texts, group by group) of bounded
+    size; a text goes as soon as its group is full."""
+    ids, nodes, group, done, held, size, name = [], [], [], [], 0, 0, xxhash.xxh64()
     for batch in batches:
         for i, node, text in zip(batch.column("id").to_pylist(), batch.column("node").to_pylist(), batch.column("text")):
             ids.append(i)
             nodes.append(node)
-            texts.append(text.as_py())
-            size += len(texts[-1]) + 64
+            group.append(text.as_py())
+            held += len(group[-1])
+            size += len(group[-1]) + 64
             name.update(struct.pack("<?q", i is None, i or 0) + node)
+            if held >= BATCH_CHARS or size >= CHUNK_CHARS:
+                done.append(kept(group))
+                group, held = [], 0
             if size >= CHUNK_CHARS:
-                yield struct.unpack("<q", name.digest())[0], ids, nodes, texts
-                ids, nodes, texts, size, name = [], [], [], 0, xxhash.xxh64()
+                yield struct.unpack("<q", name.digest())[0], ids, nodes, done
+                ids, nodes, done, size, name = [], [], [], 0, xxhash.xxh64()
+                give_back()
+        batch = text = None  # the next is read without it
     if ids:
-        yield struct.unpack("<q", name.digest())[0], ids, nodes, texts
+        if group:
+            done.append(kept(group))
+        yield struct.unpack("<q", name.digest())[0], ids, nodes, done
+        ids = nodes = group = done = None
+    give_back()
 
 
-def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingles ascending, documents that have them)."""
-    return counted(np.concatenate([np.zeros(0, np.uint64), *(np.unique(h) for h in of_texts(texts))]))
+def _sets(texts: list[str]) -> np.ndarray:
+    """The distinct shingles of each text, one text after another."""
+    return np.concatenate([counted(h)[0] for h in of_texts(texts)])
+
+
+def _distinct(sets: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingles ascending, documents that have them) of documents' sets."""
+    s = np.concatenate([np.zeros(0, np.uint64), *sets])
+    s.sort()  # a chunk's largest array: no copy
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(s), 1), bool), s[1:] != s[:-1]])).astype(np.uint32)
+    return s[first], np.diff(first, append=np.uint32(len(s)))
+
+
+def _bounds(found: np.ndarray, parts: int) -> np.ndarray:
+    """Where each hash range begins in ascending shingles, and their number."""
+    least = np.array([-(-(p << 32) // parts) << 32 for p in range(parts)], np.uint64)
+    return np.append(np.searchsorted(found, least), len(found))
 
 
 def _sent(parts: int):
     """The distinct shingles of every chunk, by hash range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, _, _, texts in _chunks(batches):
-            found, documents = _distinct(texts)
-            part = (found >> np.uint64(32)).astype(np.int64) * parts >> 32
-            bounds = np.searchsorted(part, np.arange(parts + 1))
+        for chunk, _, _, sets in _chunks(batches, _sets):
+            found, documents = _distinct(sets)
+            bounds = _bounds(found, parts)
             own = [(p, slice(a, b)) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
             shingles = [pack(np.diff(found[e], prepend=np.uint64(0))) for _, e in own]
-            columns = [[p for p, _ in own], [chunk] * len(own), shingles, [pack(documents[e].astype(np.uint32)) for _, e in own]]
+            columns = [[p for p, _ in own], [chunk] * len(own), shingles, [pack(documents[e]) for _, e in own]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SENT)], schema=_SENT)
 
     return run
@@ -142,10 +166,14 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield ready()
 
 
+def _encoded(texts: list[str]) -> bytes:
+    return b"".join(t.encode("utf-8", "surrogatepass") + _END for t in texts)
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     compress = zstandard.ZstdCompressor(level=3).compress
-    for chunk, ids, nodes, texts in _chunks(batches):
-        row = [[chunk], [ids], [nodes], [compress(b"".join(t.encode("utf-8", "surrogatepass") + _END for t in texts))]]
+    for chunk, ids, nodes, texts in _chunks(batches, _encoded):
+        row = [[chunk], [ids], [nodes], [compress(b"".join(texts))]]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _CHUNKS)], schema=_CHUNKS)
 
 
@@ -159,6 +187,7 @@ def signed(rows: DataFrame) -> DataFrame:
     answers = sent.mapInArrow(_answered, _ANSWERS_SQL)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         # Chunks of the same rows have the same answers.
         answer = dict(zip(right.column("part").to_pylist(), right.column("documents").to_pylist()))
         idf = inverse(np.concatenate([np.zeros(0, np.uint32), *(unpack(answer[p]) for p in sorted(answer))]), n)
@@ -167,11 +196,11 @@ def signed(rows: DataFrame) -> DataFrame:
         with np.errstate(over="ignore"):
             for ids, nodes, blob in zip(*(left.column(c).to_pylist() for c in _CHUNKS.names[1:])):
                 texts = [t.decode("utf-8", "surrogatepass") for t in decompress(blob).split(_END)[:-1]]
-                known = _distinct(texts)[0]
+                sets = [counted(h) for h in of_texts(texts)]
+                known = _distinct(found for found, _ in sets)[0]
                 if len(known) != len(idf):
                     raise ValueError("the input changed between two passes: write it to a table first")
-                for i, node, h in zip(ids, nodes, of_texts(texts)):
-                    found, uses = counted(h)
+                for i, node, (found, uses) in zip(ids, nodes, sets):
                     own = idf[np.searchsorted(known, found)]
                     weight = uses * own.astype(np.float64)
                     out.append((i, node, _bands(found, weight), pack(own), float(weight.sum())))

@@ -7,12 +7,13 @@ them; a text without words has none.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 
 WIDTH = 5
-BATCH_CHARS = 1 << 20  # texts are joined up to about this size
+BATCH_CHARS = 1 << 17  # texts are joined up to about this size; some ten arrays of 8 bytes each stay near the CPU
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -87,3 +88,17 @@ def counted(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return s, np.zeros(0, np.int64)
     first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
     return s[first], np.diff(np.concatenate([first, [len(s)]]))
+
+
+def ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every range, one after another."""
+    ends = np.cumsum(lens)
+    return np.repeat(starts - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker process outlives its task and
+    would hold, idle, what its largest arrays took.  Without glibc nothing happens."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -26,6 +26,8 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 
+from assetops.llm.shingles import give_back
+
 CHUNK_WORDS = 2_000_000
 
 _WORDS = pa.schema(
@@ -90,8 +92,11 @@ def chunks(batches: Iterator[pa.RecordBatch], split: Callable[[str], list]) -> I
             if chunk.size >= CHUNK_WORDS:
                 yield chunk
                 chunk = Chunk()
+                give_back()
     if chunk.ids:
         yield chunk
+    chunk = None
+    give_back()
 
 
 def _word_rows(split, parts: int, counted: Callable[[int | None], bool] | None):

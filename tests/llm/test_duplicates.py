@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import edge
@@ -126,6 +127,21 @@ def test_samples_estimate_weighted_similarity():
     assert abs(agree - exact) / 60 < 0.04
 
 
+def test_a_chunk_holds_no_texts_beside_its_shingles():
+    words = np.array([f"w{i}" for i in range(200000)])
+    draw = np.random.default_rng(0)
+    rows = [(i, " ".join(words[draw.integers(0, len(words), 300)])) for i in range(4500)]
+    batches = [minhash_dedup.pa.record_batch([[i], [b"%016d" % i], [t]], names=["id", "node", "text"]) for i, t in rows]
+    with np.errstate(over="ignore"):
+        list(minhash_dedup._sent(8)(iter(batches[:5])))
+        tracemalloc.start()
+        for _ in minhash_dedup._sent(8)(iter(batches)):
+            pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+
+
 def test_every_shingle_has_a_frequency_of_its_own(spark):
     """Weights equal those of independently counted documents, where a table of
     2^20 buckets is shared, and with a part that comes twice."""
