@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetops.llm.common import whole
-from assetops.llm.shingles import BATCH_CHARS, counted, give_back, mix, of_texts
+from assetops.llm.shingles import BATCH_CHARS, counted, give_back, mix, of_texts, ranges
 from assetops.llm.wordtable import pack, unpack
 from assetops.storage import cut
 
@@ -51,6 +51,7 @@ CHUNK_CHARS = 8 << 20  # texts that send their shingles together
 RANGES = 4  # hash ranges of the shingles per shuffle partition
 IDF_SHARE = 0.25  # the rarest shingles weigh this much more than the commonest
 LEADERS = 8  # of an open bucket in the second step
+PART = 1024  # shingles that are sampled together
 BLOCK = 128  # members that all others of their bucket pass at once in the third
 
 
@@ -200,10 +201,12 @@ def signed(rows: DataFrame) -> DataFrame:
                 known = _distinct(found for found, _ in sets)[0]
                 if len(known) != len(idf):
                     raise ValueError("the input changed between two passes: write it to a table first")
-                for i, node, (found, uses) in zip(ids, nodes, sets):
+                packed = []
+                for k, (found, uses) in enumerate(sets):
                     own = idf[np.searchsorted(known, found)]
-                    weight = uses * own.astype(np.float64)
-                    out.append((i, node, _bands(found, weight), pack(own), float(weight.sum())))
+                    sets[k] = found, uses * own.astype(np.float64)
+                    packed.append(pack(own))
+                out.extend(zip(ids, nodes, _bands(sets), packed, (float(weight.sum()) for _, weight in sets)))
         if not out:
             raise ValueError("the input changed between two passes: write it to a table first")
         types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.float64()]
@@ -232,48 +235,123 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 _SEEDS = mix(np.arange(1, 3 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(3, -1)
-
-
-def _unit(bits: np.ndarray) -> np.ndarray:
-    """The low 24 bits as a number strictly between 0 and 1."""
-    return ((bits & np.uint64(0xFFFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
+_MARGIN = np.float32(1.001)  # more than the rounding errors of 32-bit numbers
+_FIRST = 4  # times the mean of the least value: 98 in 100 are less
+
+
+def _mixed(bits: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """``mix(bits ^ seeds)``; the first step of ``mix`` is done before they meet."""
+    h = (bits ^ (bits >> np.uint64(30))) ^ (seeds ^ (seeds >> np.uint64(30)))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
+
+
+def _unit(numbers: np.ndarray) -> np.ndarray:
+    """16-bit numbers as numbers strictly between 0 and 1."""
+    return (numbers.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-16)
+
+
+def _drawn(bits: np.ndarray, b: np.ndarray, log_weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ln c - r (t - b + 1), t); ``bits`` are 32 of r and then 32 of c."""
+    halves = bits.view(np.uint32)
+    logs = np.log(_unit(halves >> np.uint32(16)) * _unit(halves & np.uint32(0xFFFF)))
+    r, c = -logs[::2], -logs[1::2]
+    t = np.floor(log_weight / r + b)
+    return np.log(c) - r * (t - b + 1), t
+
+
+def _least(u: np.ndarray, weight: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(least value, its shingle, its level), one row per sample and one column per
+    set of ``lens`` shingles; see ``samples_of``."""
+    size, total = BANDS * ROWS, len(u)
+    log_weight, begins = np.log(weight).astype(np.float32), np.cumsum(lens) - lens
+    bits = _mixed(u, _SEEDS[0][:, None])
+    halves = bits.view(np.uint32)
+    products = ((halves >> np.uint32(16)) * (halves & np.uint32(0xFFFF))).astype(np.float32)
+    # Rounded down: half a unit more in each factor is at most 2 ** 16 in a product.
+    bound = np.float32(2.0**32 - 2.0**16) - products[:, 1::2]
+    bound *= products[:, ::2]
+    bound *= (2.0**-64 / weight).astype(np.float32)
+    best, chosen, level = np.full(size * len(lens), np.inf, np.float32), np.zeros(size * len(lens), np.uint64), np.zeros(size * len(lens), np.float32)
+    row = np.repeat(np.arange(size), len(lens))
+    at, n = row * total + np.tile(begins, size), np.tile(lens, size)
+
+    def draw(near: np.ndarray, of: np.ndarray) -> None:
+        """Draws the shingles at ``near`` in full; ``of`` are the results they belong to."""
+        starts = np.searchsorted(near, at[of])
+        n = np.diff(starts, append=len(near))
+        sample = np.repeat(row[of], n)
+        i = near - sample * total
+        b = (_mixed(u[i], _SEEDS[1][sample]) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+        a, t = _drawn(bits.ravel()[near], b, log_weight[i])
+        least = np.minimum.reduceat(np.append(a, np.float32(np.inf)), starts)
+        hits = np.flatnonzero(a == np.repeat(least, n))
+        some = np.flatnonzero(n)
+        hit, to = hits[np.searchsorted(hits, starts[some])], of[some]  # the first of equal values
+        best[to], chosen[to], level[to] = a[hit], u[i[hit]], t[hit]
+
+    under = (_FIRST / np.add.reduceat(weight, begins)).astype(np.float32)
+    draw(np.flatnonzero(bound <= np.repeat(under, lens)), np.arange(len(best)))
+    # Whose least value is not under the bound that was looked at, once more.
+    need = np.exp(best) * _MARGIN
+    more = np.flatnonzero(need > np.tile(under, size))
+    if len(more):
+        near = ranges(at[more], n[more])
+        draw(near[bound.ravel()[near] <= np.repeat(need[more], n[more])], more)
+    return tuple(x.reshape(size, -1) for x in (best, chosen, level))
 
 
 def samples(shingles: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """One (shingle, level) fingerprint per sample, by improved consistent
-    weighted sampling: r and c are Gamma(2, 1), b is uniform, all drawn from the
-    shingle and the sample's number; t = floor(ln w / r + b); the shingle with
-    the least ln c - r (t - b + 1) is drawn, together with t."""
-    size = BANDS * ROWS
-    best, chosen, level = np.full(size, np.inf, np.float32), np.zeros(size, np.uint64), np.zeros(size, np.float32)
-    log_weight = np.log(weight).astype(np.float32)[:, None]
-    block = 512
-    for at in range(0, len(shingles), block):
-        u, w = shingles[at : at + block, None], log_weight[at : at + block]
-        first, second = mix(u ^ _SEEDS[0]), mix(u ^ _SEEDS[1])
-        r = -np.log(_unit(first) * _unit(first >> np.uint64(24)))
-        c = np.log(-np.log(_unit(second) * _unit(second >> np.uint64(24))))
-        b = ((first >> np.uint64(48)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-16)
-        t = np.floor(w / r + b)
-        a = c - r * (t - b + 1)
-        i = np.argmin(a, axis=0)
-        columns = np.arange(size)
-        low = a[i, columns]
-        better = low < best
-        best = np.where(better, low, best)
-        chosen = np.where(better, shingles[at + i], chosen)
-        level = np.where(better, t[i, columns], level)
-    return mix(chosen ^ mix((level.astype(np.int64) + (1 << 20)).astype(np.uint64) ^ _SEEDS[2]))
-
-
-def _bands(shingles: np.ndarray, weight: np.ndarray) -> list[int] | None:
-    if not len(shingles):
-        return None
-    s = samples(shingles, weight).reshape(BANDS, ROWS)
-    keys = s[:, 0]
+    """The samples of one set; see ``samples_of``."""
+    return samples_of([(shingles, weight)])[0]
+
+
+def samples_of(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """One (shingle, level) fingerprint per sample, a row for each set of shingles and
+    weights, none of them empty, by improved consistent weighted sampling: r and c
+    are Gamma(2, 1), b is uniform, all drawn from the shingle and the sample's number;
+    t = floor(ln w / r + b); the shingle with the least ln c - r (t - b + 1) is drawn,
+    together with t.
+
+    That value is at least ln c - ln w - r.  r and c are minus the logarithms of
+    products of two units, so with c's product p no shingle goes below its bound,
+    the logarithm of (1 - p) exp(-r) / w, which takes no logarithm to compare.
+    Only shingles whose bound is under the least value found are drawn in full."""
+    out, group, held = [], [], 0
+    # Long sets are cut; the least of the parts' values counts.
+    parts = [(k, f[at : at + PART], w[at : at + PART]) for k, (f, w) in enumerate(sets) for at in range(0, len(f), PART)]
+    for j, part in enumerate(parts):
+        group.append(part)
+        held += len(part[1])
+        if held >= PART or j == len(parts) - 1:
+            lens = np.array([len(f) for _, f, _ in group])
+            out.append(_least(np.concatenate([f for _, f, _ in group]), np.concatenate([w for *_, w in group]), lens))
+            group, held = [], 0
+    if not out:
+        return np.zeros((0, BANDS * ROWS), np.uint64)
+    best, chosen, level = (np.concatenate(c, axis=1) for c in zip(*out))
+    owner = np.array([k for k, *_ in parts])
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    n = np.diff(first, append=len(owner))
+    for k in np.flatnonzero(n > 1):
+        at = slice(first[k], first[k] + n[k])
+        i = np.arange(len(best)), first[k] + np.argmin(best[:, at], axis=1)
+        chosen[:, first[k]], level[:, first[k]] = chosen[i], level[i]
+    chosen, level = chosen[:, first], level[:, first]
+    return mix(chosen ^ mix((level.astype(np.int64) + (1 << 20)).astype(np.uint64) ^ _SEEDS[2][:, None])).T
+
+
+def _bands(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[list[int] | None]:
+    """Band keys of each set; NULL of an empty one."""
+    s = samples_of([x for x in sets if len(x[0])]).reshape(-1, BANDS, ROWS)
+    keys = s[:, :, 0]
     for j in range(1, ROWS):
-        keys = mix(keys ^ s[:, j]) + np.uint64(j)
-    return keys.view(np.int64).tolist()
+        keys = mix(keys ^ s[:, :, j]) + np.uint64(j)
+    found = iter(keys.view(np.int64).tolist())
+    return [next(found) if len(x[0]) else None for x in sets]
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -127,6 +127,23 @@ def test_samples_estimate_weighted_similarity():
     assert abs(agree - exact) / 60 < 0.04
 
 
+def test_few_shingles_are_drawn_in_full(monkeypatch):
+    """The samples of sets of any size and weight are those of drawing every shingle."""
+    drawn, wanted, draw = [], minhash_dedup._drawn, np.random.default_rng(4)
+    monkeypatch.setattr(minhash_dedup, "_drawn", lambda bits, b, w: drawn.append(len(w)) or wanted(bits, b, w))
+    sizes = [1, 2, 700, 400, 1023, 1024, 1025, 5000, 3] * 3
+    sets = [(np.sort(draw.integers(0, 2**64, n, dtype=np.uint64)), draw.uniform(1, 1.25, n) * draw.choice([1, 1, 1, 40], n)) for n in sizes]
+    with np.errstate(over="ignore"):
+        got = minhash_dedup.samples_of(sets)
+        assert sum(drawn) < 0.2 * sum(sizes) * minhash_dedup.BANDS * minhash_dedup.ROWS
+        for (u, w), own in zip(sets, got):
+            bits, second = (minhash_dedup._mixed(u, minhash_dedup._SEEDS[k][:, None]) for k in (0, 1))
+            b = (second >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+            a, t = (x.reshape(b.shape) for x in wanted(bits.ravel(), b.ravel(), np.tile(np.log(w).astype(np.float32), len(b))))
+            level = t[np.arange(len(b)), np.argmin(a, axis=1)].astype(np.int64) + (1 << 20)
+            assert (own == minhash_dedup.mix(u[np.argmin(a, axis=1)] ^ minhash_dedup.mix(level.astype(np.uint64) ^ minhash_dedup._SEEDS[2]))).all()
+
+
 def test_a_chunk_holds_no_texts_beside_its_shingles():
     words = np.array([f"w{i}" for i in range(200000)])
     draw = np.random.default_rng(0)
