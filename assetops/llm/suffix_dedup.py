@@ -41,12 +41,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetops.llm.shingles import mix
+from assetops.llm.shingles import give_back, mix, ranges
 from assetops.llm.wordtable import pack, unpack
 
 LENGTH, GRAM = 100, 32
 BATCH_BYTES = 8 << 20
-SEGMENT = 1 << 19  # bytes that are hashed at once; under 2 ** 20
+SEGMENT = 1 << 19  # bytes of a text that are hashed at once; under 2 ** 20
+GROUP = 1 << 15  # bytes of shorter texts that are hashed together: arrays of 8 bytes each stay near the CPU
 RANGES = 12  # hash ranges per shuffle partition
 _LAST = (1 << 63) - 1  # stands for a NULL id
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
@@ -90,8 +91,11 @@ def batches_of(rows: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
             if out.size >= BATCH_BYTES:
                 yield out
                 out = Batch()
+                give_back()
     if out.ids:
         yield out
+    out = None
+    give_back()
 
 
 def _power(base: np.uint64, n: int, inverse: bool) -> np.ndarray:
@@ -110,25 +114,36 @@ class Prints:
 
     def __init__(self, data: np.ndarray, which: int = 0, place: np.ndarray | None = None):
         base = _BASES[which]
-        self.place = np.arange(len(data) + 1) if place is None else place
-        n = int(self.place.max(initial=0)) + 1
-        self.back = _power(base, n, True)
+        n = len(data) + 1 if place is None else int(place.max(initial=0)) + 1
+        self.place, self.back, power = place, _power(base, n, True), _power(base, n, False)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(base, n, False)[self.place[: len(data)]], out=self.sums[1:])
+        for at in range(0, len(data), GROUP):
+            end = min(at + GROUP, len(data))
+            own = data[at:end].astype(np.uint64)
+            own += np.uint64(1)
+            own *= power[at:end] if place is None else power[place[at:end]]
+            np.cumsum(own, out=own)
+            np.add(own, self.sums[at], out=self.sums[at + 1 : end + 1])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.back[self.place[starts]])
+        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts if self.place is None else self.place[starts]])
+
+    def runs(self, width: int) -> np.ndarray:
+        """Of all substrings of ``width`` bytes, without ``place``."""
+        out = self.sums[width:] - self.sums[:-width]
+        out *= self.back[: len(out)]
+        return mix(out)
 
 
 def _segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
-    """Groups of (text number, offset, bytes) of at most about ``SEGMENT`` bytes;
-    a longer text is cut into parts that share ``length - 1`` bytes."""
+    """Groups of (text number, offset, bytes) of at most about ``GROUP`` bytes; a text
+    longer than ``SEGMENT`` is cut into parts that share ``length - 1`` bytes."""
     group, size = [], 0
     for i, text in enumerate(texts):
         at = 0
         while len(text) - at >= length:
             part = text[at : at + SEGMENT]
-            if group and size + len(part) > SEGMENT:
+            if group and size + len(part) > GROUP:
                 yield group
                 group, size = [], 0
             group.append((i, at, part))
@@ -139,12 +154,13 @@ def _segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int,
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every run of ``width`` values."""
-    n = -(-len(values) // width) * width
-    full = np.concatenate([values, np.full(n - len(values), np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
-    before = np.minimum.accumulate(full, axis=1).ravel()
-    after = np.minimum.accumulate(full[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(after[: len(values) - width + 1], before[width - 1 : len(values)])
+    """Minimum of every run of ``width`` values, by runs of doubled width."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = np.minimum(values[:-step], values[step:])
+        done += step
+    return values
 
 
 def suffixes(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
@@ -156,20 +172,24 @@ def suffixes(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict
         data = np.frombuffer(b"".join(part for *_, part in group), np.uint8)
         lens = np.array([len(part) for *_, part in group])
         ends = np.cumsum(lens)
+        begins = ends - lens
         prints = Prints(data)
-        at = np.arange(len(data) - gram + 1)
-        hashes = prints.of(at, at + gram)
+        hashes = prints.runs(gram)
         low = np.uint64((1 << 20) - 1)
-        least = _least(hashes & ~low | at.astype(np.uint64), length - gram + 1)  # the leftmost of equal grams
-        part = np.repeat(np.arange(len(group)), lens)[: len(least)]
-        valid = np.flatnonzero(np.arange(len(least)) + length <= ends[part])
-        anchor = (least[valid] & low).astype(np.int64)
-        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (part[valid[1:]] != part[valid[:-1]])])
-        first = np.flatnonzero(new)
-        start, n = valid[first], np.diff(np.concatenate([first, [len(valid)]]))
-        owner, offset = part[start], anchor[first] - valid[first]
-        begins = ends - lens
-        out["anchor"].append(hashes[anchor[first]])
+        least = hashes & ~low
+        least |= np.arange(len(least), dtype=np.uint64)
+        least = _least(least, length - gram + 1)  # the leftmost of equal grams
+        new = np.ones(len(least), bool)
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        new[begins] = True
+        new[ranges(ends[:-1] - length + 1, np.full(len(ends) - 1, length - 1))] = False  # strings of two texts
+        start = np.flatnonzero(new)
+        owner = np.searchsorted(ends, start, "right")
+        end = ends[owner] - length + 1
+        n = np.minimum(np.append(start[1:], end[-1]), end) - start
+        anchor = (least[start] & low).astype(np.int64)
+        offset = anchor - start
+        out["anchor"].append(hashes[anchor])
         out["row"].append(np.array([g[0] for g in group])[owner])
         out["start"].append(start - begins[owner] + np.array([g[1] for g in group])[owner])
         out["n"].append(n)
@@ -184,10 +204,14 @@ def _order(ids: list[int | None]) -> np.ndarray:
 
 def _earliest(s: dict[str, np.ndarray], rank: np.ndarray) -> np.ndarray:
     """True for the earliest of equal suffixes, by ``rank``."""
-    by = np.lexsort((rank, s["print"], s["anchor"]))
-    new = np.concatenate([[True], (s["anchor"][by][1:] != s["anchor"][by][:-1]) | (s["print"][by][1:] != s["print"][by][:-1])]) if len(by) else np.zeros(0, bool)
-    out = np.zeros(len(by), bool)
-    out[by[new]] = True
+    out = np.ones(len(rank), bool)
+    by = np.argsort(s["print"])
+    same = s["print"][by[1:]] == s["print"][by[:-1]]
+    if same.any():
+        some = by[np.append(False, same) | np.append(same, False)]
+        some = some[np.lexsort((rank[some], s["print"][some], s["anchor"][some]))]
+        a, p = s["anchor"][some], s["print"][some]
+        out[some[1:][(a[1:] == a[:-1]) & (p[1:] == p[:-1])]] = False
     return out
 
 
@@ -201,15 +225,11 @@ def _ranked(*keys: np.ndarray) -> np.ndarray:
 def _sent(batch: Batch, length: int, gram: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """A batch's suffixes and which of them are sent: the earliest of equal ones."""
     s = suffixes(batch.texts, length, gram)
-    rank = _ranked(s["start"], s["row"], _order(batch.ids)[s["row"]])
+    # Starts take 40 bits at most.
+    rank = (_ranked(np.arange(len(batch.ids)), _order(batch.ids))[s["row"]] << 40) + s["start"]
     return s, _earliest(s, rank)
 
 
-def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(lens)
-    return np.repeat(starts - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def _part(anchors: np.ndarray, parts: int) -> np.ndarray:
     """Anchors are least hashes, so most are small: their ranges are of the hash
     mixed again."""
@@ -220,7 +240,7 @@ def _known(anchors: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """(distinct anchors by range, bounds of the ranges)."""
     found = np.unique(anchors)
     part = _part(found, parts)
-    by = np.lexsort((found, part))
+    by = np.argsort(part, kind="stable")
     return found[by], np.searchsorted(part[by], np.arange(parts + 1))
 
 
@@ -309,7 +329,7 @@ def _suffix_rows(parts: int, length: int, gram: int):
             for p in np.flatnonzero(np.diff(bounds)).tolist():
                 e = keep[bounds[p] : bounds[p + 1]]
                 n = s["n"][e]
-                texts = data[_ranges(begin[s["row"][e]] + s["start"][e], n + length - 1)]
+                texts = data[ranges(begin[s["row"][e]] + s["start"][e], n + length - 1)]
                 fields = np.array([order[s["row"][e]], s["row"][e], s["start"][e], n, s["offset"][e]], np.int64)
                 anchors = np.diff(s["anchor"][e], prepend=np.uint64(0))
                 out.append((p, batch.name, pack(anchors), pack(fields.ravel()), compress(texts.tobytes())))
@@ -336,7 +356,7 @@ class Family:
             self.met[numbers[hit]] = True
             # An anchor that the batch has many times is one run of the level.
             left, once = np.unique(left[hit], return_index=True)
-            self.met[known[_ranges(left, right[hit][once] - left)]] = True
+            self.met[known[ranges(left, right[hit][once] - left)]] = True
         while self.levels and len(self.levels[-1][0]) <= 2 * len(anchors):
             level, known = self.levels.pop()
             anchors, numbers = np.concatenate([level, anchors]), np.concatenate([known, numbers])
@@ -345,6 +365,11 @@ class Family:
         self.levels.append((anchors, numbers))
 
 
+def _places(spans: np.ndarray) -> np.ndarray:
+    """Each byte's place in its own suffix."""
+    return ranges(np.zeros(len(spans), np.int64), spans).astype(np.int32)
+
+
 def _covered(held: list[tuple[int, np.ndarray, np.ndarray, bytes]], length: int) -> Iterator[tuple[int, np.ndarray]]:
     """(batch, [row, start, count] of removed strings) of one range."""
     anchor, fields, texts, owner = [], [], [], []
@@ -360,8 +385,7 @@ def _covered(held: list[tuple[int, np.ndarray, np.ndarray, bytes]], length: int)
     rank = _ranked(start, row, name, order)
     spans = n + length - 1
     at = np.cumsum(spans) - spans
-    place = _ranges(np.zeros(len(spans), np.int64), spans).astype(np.int32)
-    first, second = Prints(data, 0, place), Prints(data, 1, place)
+    first = Prints(data, 0, _places(spans))
     s = {"anchor": np.concatenate(anchor), "print": mix(first.of(at, at + spans) ^ (offset * 256 + n).astype(np.uint64))}
     earliest = _earliest(s, rank)
     # Equal suffixes: all strings of all but the earliest are removed.
@@ -374,9 +398,11 @@ def _covered(held: list[tuple[int, np.ndarray, np.ndarray, bytes]], length: int)
     left = left[several]
     if len(left):
         suffix = np.repeat(left, n[left])
-        inside = _ranges(np.zeros(len(left), np.int64), n[left])
-        from_ = at[suffix] + inside
-        one, two = first.of(from_, from_ + length), second.of(from_, from_ + length)
+        inside = ranges(np.zeros(len(left), np.int64), n[left])
+        data, place = data[ranges(at[left], spans[left])], _places(spans[left])
+        from_ = np.repeat(np.cumsum(spans[left]) - spans[left], n[left]) + inside
+        del first
+        one, two = (Prints(data, k, place).of(from_, from_ + length) for k in (0, 1))
         by = np.lexsort((inside, rank[suffix], two, one))
         again = np.concatenate([[False], (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1])])
         gone = by[again]

@@ -306,6 +306,34 @@ def test_long_texts_are_cut_into_segments(monkeypatch):
         assert starts == [(r, k) for r in (1, 2) for k in range(len(text) - 99)]
 
 
+def test_short_texts_are_hashed_in_small_groups(monkeypatch):
+    """Groups stay near the CPU and do not change the suffixes; strings are
+    fingerprinted twice only where an anchor has several surroundings."""
+    texts = [edge.prose(i, 20 + 7 * (i % 40)).encode() for i in range(300)] + [edge.prose(3, 3000).encode(), b"", b"a" * 99, b"a" * 100]
+    sizes = [sum(len(part) for *_, part in group) for group in suffix_dedup._segments(texts[:300], 100)]
+    assert len(sizes) > 1 and max(sizes) <= suffix_dedup.GROUP
+    with np.errstate(over="ignore"):
+        found = suffix_dedup.suffixes(texts)
+        monkeypatch.setattr(suffix_dedup, "GROUP", 1 << 19)
+        whole = suffix_dedup.suffixes(texts)
+        assert all(np.array_equal(found[c], whole[c]) for c in whole)
+        assert suffix_dedup._least(np.array([5, 3, 4, 9, 8, 7, 1], np.uint64), 3).tolist() == [3, 3, 4, 7, 1]
+        second, own = [], suffix_dedup.Prints.__init__
+        monkeypatch.setattr(suffix_dedup.Prints, "__init__", lambda self, data, which=0, place=None: second.append(len(data) * which) or own(self, data, which, place))
+        held = []
+        for name, extra in ((1, b""), (2, b"X")):
+            batch = suffix_dedup.Batch()
+            for i, t in enumerate(texts[:300]):
+                batch.add(1000 * name + i, t if i else t[:200] + extra + t[200:])
+            s, _ = suffix_dedup._sent(batch, 100, 32)
+            by = np.argsort(s["anchor"], kind="stable")
+            fields = np.array([suffix_dedup._order(batch.ids)[s["row"]], s["row"], s["start"], s["n"], s["offset"]], np.int64)[:, by]
+            bytes_ = b"".join(batch.texts[r][a : a + n + 99] for r, a, n in fields[1:4].T)
+            held.append((name, s["anchor"][by], fields, suffix_dedup.zstandard.ZstdCompressor().compress(bytes_)))
+        removed = list(suffix_dedup._covered(held, 100))
+        assert [b for b, _ in removed] == [2] and 0 < sum(second) < len(bytes_) / 4
+
+
 def test_family_merges_and_finds_every_meeting():
     draw = np.random.default_rng(1)
     family, anchors = suffix_dedup.Family(2000), draw.integers(0, 3000, 2000, dtype=np.uint64)
