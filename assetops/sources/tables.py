@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,29 +35,59 @@ def load_tables(spark: SparkSession, path: str, fmt: str = "parquet", formats: d
     return Tables(**{name: reader.schema(schema).load(f"{path}/{name}") for name, schema in SCHEMAS.items()})
 
 
+def _value(name: str, kind: T.DataType) -> dict[str, Column]:
+    """A column's value in the field that holds values of its type: numbers,
+    money in cents and days since 1970 as whole numbers, times, texts."""
+    c = F.col(name)
+    if isinstance(kind, T.StringType):
+        return {"text": c}
+    if isinstance(kind, T.TimestampNTZType):
+        return {"moment": c}
+    if isinstance(kind, T.DecimalType):
+        c = c * 10**kind.scale
+    elif isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    return {"whole": c.cast("bigint")}
+
+
+_PIECE = 22  # bits
+
+
 def column_totals(t: Tables) -> DataFrame:
     """(table_name, column_name, n, distinct_n, total) of every column: values
     that are there, different values, and a sum over them: numbers as they are,
     money in cents, times in seconds, days since 1970, lengths of texts.  One
-    pass per table."""
+    pass per table: equal values of a column are counted map-side and meet once,
+    and the sums are taken over the different values and their counts."""
     frames = []
+    none = {"whole": F.lit(None).cast("bigint"), "moment": F.lit(None).cast("timestamp_ntz"), "text": F.lit(None).cast("string")}
     for name, df in t.items():
-        measures = []
-        for f in SCHEMAS[name].fields:
-            c = F.col(f.name)
-            if isinstance(f.dataType, T.StringType):
-                value = F.length(c)
-            elif isinstance(f.dataType, T.DecimalType):
-                value = c * 100
-            elif isinstance(f.dataType, T.TimestampNTZType):
-                value = F.unix_seconds(c.cast("timestamp"))
-            elif isinstance(f.dataType, T.DateType):
-                value = F.unix_date(c)
-            else:
-                value = c
-            total = F.coalesce(F.sum(value.cast("decimal(28,0)")), F.lit(0)).cast("bigint")
-            measures.append(F.struct(F.lit(f.name).alias("column_name"), F.count(c).alias("n"), F.count_distinct(c).alias("distinct_n"), total.alias("total")))
-        frames.append(df.agg(F.array(*measures).alias("m")).select(F.lit(name).alias("table_name"), F.inline("m")))
+        fields = SCHEMAS[name].fields
+        entries = []
+        for i, f in enumerate(fields):
+            value = {**none, **_value(f.name, f.dataType)}
+            entries.append(F.struct(F.lit(i).alias("i"), *(value[k].alias(k) for k in none)))
+        values = df.select(F.inline(F.array(*entries))).where("whole is not null or moment is not null or text is not null")
+        counted = values.groupBy("i", *none).agg(F.count(F.lit(1)).alias("n"))
+        measure = F.coalesce("whole", F.unix_seconds(F.col("moment").cast("timestamp")), F.length("text").cast("bigint"))
+        # Sums of whole numbers in three pieces: no sum of pieces overflows.
+        mask = F.lit(2**_PIECE - 1).cast("bigint")
+        v = F.col("v")
+        pieces = [v.bitwiseAND(mask), F.shiftright(v, _PIECE).bitwiseAND(mask), F.shiftright(v, 2 * _PIECE)]
+        sums = [F.sum(F.col("n") * p).alias(f"s{k}") for k, p in enumerate(pieces)]
+        found = counted.select("i", "n", measure.alias("v")).groupBy("i").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct_n"), *sums)
+        total = sum(F.col(f"s{k}").cast("decimal(19,0)") * F.lit(2 ** (_PIECE * k)).cast("decimal(14,0)") for k in range(len(pieces)))
+        # Columns without values are rows too.
+        names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("column_name")) for i, f in enumerate(fields)))
+        columns = df.sparkSession.range(1, numPartitions=1).select(F.inline(names))
+        frames.append(
+            columns.join(F.broadcast(found), "i", "left").select(
+                F.lit(name).alias("table_name"),
+                "column_name",
+                *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n", "distinct_n")),
+                F.coalesce(total, F.lit(0)).cast("bigint").alias("total"),
+            )
+        )
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -121,3 +121,10 @@ def test_bucketed_tables_join_without_a_shuffle(spark, no_auto_broadcast, tmp_pa
     store.save_bucketed(map_testdata(spark, SF), str(tmp_path), 4, "plan_test_")
     joined = jobs_with_history(store.load_bucketed(spark, "plan_test_"))
     assert "Exchange" not in plan(joined) and joined.count() == map_testdata(spark, SF).maintenance.count()
+
+
+def test_column_totals_do_not_multiply_whole_rows(stored):
+    """Every value is counted by itself, map-side, instead of one row of all
+    columns per column; and tables are scanned once."""
+    text = plan(store.column_totals(stored))
+    assert "Expand" not in text and text.count("FileScan") == 9

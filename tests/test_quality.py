@@ -250,3 +250,27 @@ def test_rejects_name_every_broken_row(small):
         ("DepartmentID in departments", "3", "99"),
         ("Name not null", "4", None),
     }
+
+
+def test_column_totals_of_odd_values(spark, small):
+    """NULLs, empty texts, equal values in two columns, tables without rows, and
+    whole numbers whose sums of halves would overflow."""
+    from calendar import timegm
+
+    from assetops.schema import SCHEMAS
+
+    big = 2**62
+    jobs = [job(big, -big, day=datetime(1969, 12, 31, 23, 59, 59)), job(big - 1, -big, cost="-0.07", Description=""), job(1, 3 - big, cost=None, Description="")]
+    jobs += [job(-big, 2 * (big - 1), tech=None, Description="ACTIVE", CreatedDate=datetime(2025, 1, 1, 0, 0, 0, 1))]
+    t = small.but(maintenance=table(spark, "maintenance", jobs))
+    got = {(r.table_name, r.column_name): (r.n, r.distinct_n, r.total) for r in store.column_totals(t).collect()}
+    assert got["maintenance", "MaintenanceID"] == (4, 4, big)
+    assert got["maintenance", "EquipmentID"] == (4, 3, 1 - big)
+    assert got["maintenance", "TechnicianID"] == (3, 1, 300)
+    assert got["maintenance", "Cost"] == (3, 2, 1993)
+    assert got["maintenance", "Description"] == (3, 2, 6)
+    assert got["maintenance", "CreatedDate"] == (1, 1, 1735689600)
+    day = timegm((2025, 11, 20, 0, 0, 0))
+    assert got["maintenance", "ActualDate"] == (4, 2, 3 * day - 1)
+    assert got["users", "UserID"] == (0, 0, 0) and got["maintenance", "CreatedBy"] == (0, 0, 0)
+    assert len(got) == sum(len(s.fields) for s in SCHEMAS.values())
