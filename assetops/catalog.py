@@ -84,7 +84,7 @@ for _name, _columns in MAPPED_COLUMNS.items():
 def _stored(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     """Store the canonical tables, load them again and sum up every column that has values."""
     folder = run_folder(spark, "tables")
-    store.write_tables(map_testdata(spark, sf_dir), folder, fmt)
+    store.write_tables(map_testdata(spark, sf_dir, staged=True), folder, fmt)
     return store.column_totals(store.load_tables(spark, folder, fmt)).where("n > 0")
 
 

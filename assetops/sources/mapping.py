@@ -7,8 +7,9 @@ piece of equipment, a supplier a technician, a nation a department, an
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from assetops.clock import Clock
 from assetops.functions.temporal import is_weekend, weekday_name
 from assetops.operators.rules import denial_text, with_holiday
 from assetops.schema import Tables, conform
+from assetops.storage import cut
 
 AS_OF = Clock(datetime(2001, 7, 1, 12))
 AUDIT_AS_OF = Clock(datetime(2024, 1, 31))
@@ -143,8 +145,8 @@ def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _jobs(spark, sf_dir).selectExpr(
+def maintenance(jobs: Callable[[], DataFrame]) -> DataFrame:
+    df = jobs().selectExpr(
         "MaintenanceID",
         "EquipmentID",
         "TechnicianID",
@@ -160,9 +162,9 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, "maintenance")
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history(jobs: Callable[[], DataFrame]) -> DataFrame:
     df = (
-        _jobs(spark, sf_dir)
+        jobs()
         .where("Status = 'COMPLETED' AND MaintenanceID % 7 <> 0")
         .selectExpr(
             "MaintenanceID AS HistoryID",
@@ -268,16 +270,19 @@ def order_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed_holidays(raw(spark, sf_dir, "orders"), "o_orderdate")
 
 
-def map_testdata(spark: SparkSession, sf_dir: str) -> Tables:
+def map_testdata(spark: SparkSession, sf_dir: str, staged: bool = False) -> Tables:
+    """The canonical tables.  ``staged``: what jobs and history are both derived
+    from is grouped and written out once, for queries that read both whole or
+    one of them many times."""
+    jobs = cache(lambda: cut(_jobs(spark, sf_dir))) if staged else partial(_jobs, spark, sf_dir)
     builders = {
         "departments": departments,
         "technicians": technicians,
         "equipment": equipment,
         "users": users,
-        "maintenance": maintenance,
-        "history": history,
         "alerts": alerts,
         "audit": audit,
         "holidays": holidays,
     }
-    return Tables(**{name: partial(build, spark, sf_dir) for name, build in builders.items()})
+    tables = {name: partial(build, spark, sf_dir) for name, build in builders.items()}
+    return Tables(maintenance=partial(maintenance, jobs), history=partial(history, jobs), **tables)

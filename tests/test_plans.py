@@ -128,3 +128,13 @@ def test_column_totals_do_not_multiply_whole_rows(stored):
     columns per column; and tables are scanned once."""
     text = plan(store.column_totals(stored))
     assert "Expand" not in text and text.count("FileScan") == 9
+
+
+def test_staged_jobs_are_derived_once(spark):
+    t, plain = map_testdata(spark, SF, staged=True), map_testdata(spark, SF)
+    assert t.maintenance.inputFiles() == t.history.inputFiles()
+    assert not any("lineitem" in f for f in t.history.inputFiles())
+    for name in ("maintenance", "history"):
+        mine, theirs = getattr(t, name), getattr(plain, name)
+        assert mine.dtypes == theirs.dtypes
+        assert mine.exceptAll(theirs).isEmpty() and theirs.exceptAll(mine).isEmpty()
