@@ -299,17 +299,20 @@ on_tables(
 def _violations_incremental(spark, sf_dir):
     """The counts of tables with dirty keys, and without some jobs, after the feed
     that cleans the keys, brings the jobs and deletes doubled pieces."""
-    t = staged(map_testdata(spark, sf_dir))
+    t = map_testdata(spark, sf_dir, staged=True)
     dirty = dirty_keys(t)
     doubles = t.equipment.where(F.col("EquipmentID") % 9 == 4).withColumn("EquipmentID", F.col("EquipmentID") + PAST)
     earlier = t.but(
-        equipment=cut(dirty.equipment.unionByName(doubles)), maintenance=cut(dirty.maintenance.where(F.col("MaintenanceID") % 11 != 5))
+        equipment=cut(dirty.equipment.unionByName(doubles)), maintenance=dirty.maintenance.where(F.col("MaintenanceID") % 11 != 5)
     )
     state = constraint_state.ConstraintState(spark, run_folder(spark, "constraints"), quality.canonical_rules())
     state.apply({name: constraint_state.whole(df) for name, df in earlier.items()}, batch=0)
-    feed = {name: refresh.changes_between(getattr(earlier, name), getattr(t, name), KEYS[name]) for name in ("equipment", "maintenance")}
+    feed = {
+        name: cut(refresh.changes_between(getattr(earlier, name), getattr(t, name), KEYS[name]).select("old", "new"))
+        for name in ("equipment", "maintenance")
+    }
     for _ in range(2):  # the feed comes twice
-        state.apply({name: df.select("old", "new") for name, df in feed.items()}, batch=1)
+        state.apply(feed, batch=1)
     return state.violations()
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from assetops.operators.quality import ParentRule, RowRule, Rule, UniqueRule, by_table, stacked
 from assetops.sources.versioned import CountTable
-from assetops.storage import cut
 
 USE, KEY, SUM = "use", "key", "sum"
 BUCKETS = 16
@@ -28,6 +27,12 @@ def _bucket() -> Column:
     return F.when(F.col("kind") == SUM, SUM).otherwise(F.pmod(F.xxhash64("value"), F.lit(BUCKETS)).cast("string"))
 
 
+def _role(*names: Column | str) -> Column:
+    """Kind, table, rule and parent as one text.  A use without a parent has three
+    parts, one with a parent four, a key two."""
+    return F.concat_ws("\u0001", *names)
+
+
 def whole(df: DataFrame) -> DataFrame:
     """A table as the feed of its first load."""
     new = F.struct("*")
@@ -50,16 +55,21 @@ class ConstraintState:
 
     def _key_counts(self, images: DataFrame, table: str, rules: list[UniqueRule | ParentRule], keys: list[str]) -> DataFrame:
         """Uses by rule and the table's own keys, as changes; equal values are
-        summed map-side, so a hot one is a row per task."""
-
-        def entry(kind: str, rule: str | None, parent: str | None, column: str) -> Column:
-            texts = {"kind": kind, "table_name": table if kind == USE else None, "rule": rule, "parent": parent}
-            return F.struct(*(F.lit(v).cast("string").alias(k) for k, v in texts.items()), F.col(column).cast("string").alias("value"))
-
-        uses = [entry(USE, r.name, r.parent if isinstance(r, ParentRule) else None, r.column) for r in rules]
-        own = [entry(KEY, None, table, key) for key in keys]
-        rows = images.select("_d", F.inline(F.array(*uses, *own))).where("value is not null")
-        return rows.groupBy(*_KEYS.names).agg(F.sum("_d").alias("n")).where("n <> 0")
+        summed map-side, so a hot one is a row per task.  Whole numbers become
+        texts, and entries get their names, once per different value."""
+        uses = [(USE, table, r.name, r.parent if isinstance(r, ParentRule) else None, r.column) for r in rules]
+        entries = uses + [(KEY, None, None, table, key) for key in keys]
+        values = []
+        for i, (*_, column) in enumerate(entries):
+            whole_number = isinstance(images.schema[column].dataType, T.IntegralType)
+            whole = F.col(column) if whole_number else F.lit(None)
+            text = F.lit(None) if whole_number else F.col(column)
+            values.append(F.struct(F.lit(i).alias("i"), whole.cast("bigint").alias("whole"), text.cast("string").alias("text")))
+        rows = images.select("_d", F.inline(F.array(*values))).where("whole is not null or text is not null")
+        summed = rows.groupBy("i", "whole", "text").agg(F.sum("_d").alias("n")).where("n <> 0")
+        named = {c: F.array(*(F.lit(entry[k]).cast("string") for entry in entries)) for k, c in enumerate(_KEYS.names[:-1])}
+        value = F.coalesce("text", F.col("whole").cast("string")).alias("value")
+        return summed.select(*(F.get(names, F.col("i")).alias(c) for c, names in named.items()), value, "n")
 
     def apply(self, feeds: dict[str, DataFrame], batch: int) -> None:
         """Takes in feeds (old, new: whole rows) by table.  Batches are numbered
@@ -79,47 +89,53 @@ class ConstraintState:
                 sums.append(self._row_rules(images, table, row_rules[table]))
             if table in key_rules or table in parents:
                 counts.append(self._key_counts(images, table, key_rules.get(table, []), sorted(parents.get(table, ()))))
+        written = []
         if counts:
-            moved = cut(stacked(counts))
-            sums.append(self._moved_sums(entry, moved))
-            counts = [moved]
-        blank = {c: F.lit(None).cast("string") for c in ("parent", "value")}
-        made = [s.withColumns(blank).select(*_KEYS.names, F.col("n").cast("bigint").alias("n")) for s in sums]
-        self.state.add(stacked([*(c.select(*_KEYS.names, "n") for c in counts), *made]).where("n <> 0"), batch=batch)
-
-    def _moved_sums(self, entry: dict, moved: DataFrame) -> DataFrame:
-        """How the violations of the key rules change."""
-        # As many rows as there are buckets.
-        touched = [r.part for r in moved.select(_bucket().alias("part")).distinct().collect()]
-        names = [(r.table, r.name, r.parent) for r in self.rules if isinstance(r, ParentRule)]
-        rules = self.spark.createDataFrame(names, "table_name string, rule string, parent string")
-        by_key = ["table_name", "rule", "parent", "value"]
-        # Values whose uses changed, and the uses of values whose parent changed.
-        uses, keys = (moved.where(F.col("kind") == kind).drop("kind") for kind in (USE, KEY))
-        of_parent = keys.select("parent", "value").distinct().join(F.broadcast(rules), "parent").select(*by_key)
-        changed = uses.select(*by_key).union(of_parent).distinct()
-        known = self.state.counts(entry, touched)
-        before = [known.where(F.col("kind") == kind).drop("kind") for kind in (USE, KEY)]
-
-        def met(left: DataFrame, right: DataFrame, on: list[str], out: str) -> DataFrame:
-            named = right.select(*(F.col(c).alias(f"_{c}") for c in on), F.col("n").alias(out))
-            same = F.lit(True)
-            for c in on:
-                same = same & (F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "parent" else F.col(c) == F.col(f"_{c}"))
-            return left.join(named, same, "left").drop(*(f"_{c}" for c in on)).fillna({out: 0})
-
-        line = met(met(changed, before[0], by_key, "u0"), uses, by_key, "du")
-        line = met(met(line, before[1], ["parent", "value"], "k0"), keys, ["parent", "value"], "dk")
+            folders, moved = self.state.stored(stacked(counts))
+            written.append(folders)
+            sums.append(self._moved_sums(entry, sorted(folders), moved))
+        if sums:
+            blank = {c: F.lit(None).cast("string") for c in ("parent", "value")}
+            made = [s.withColumns(blank).select(*_KEYS.names, F.col("n").cast("bigint").alias("n")) for s in sums]
+            written.append(self.state.stored(stacked(made).where("n <> 0"))[0])
+        self.state.take_in(written, batch=batch)
+
+    def _moved_sums(self, entry: dict, touched: list[str], moved: DataFrame) -> DataFrame:
+        """How the violations of the key rules change by ``moved``, which lies in the
+        buckets ``touched``.  Known and moved counts of a rule's value, and those of
+        its parent's key, meet in one grouping."""
+        rules = [r for r in self.rules if isinstance(r, UniqueRule | ParentRule)]
+        # Which rule's uses or parent keys a row counts; as many rows as there are rules, twice.
+        roles = []
+        for i, r in enumerate(rules):
+            parent = r.parent if isinstance(r, ParentRule) else None
+            roles.append((USE, r.table, r.name, parent, i))
+            if parent is not None:
+                roles.append((KEY, None, None, parent, i))
+        named = F.array(*(F.struct(_role(*(F.lit(v) for v in role[:-1])).alias("role"), F.lit(role[-1]).alias("i")) for role in roles))
+        role = F.broadcast(self.spark.range(1, numPartitions=1).select(F.inline(named)))
+        known, zero = self.state.rows(entry, touched), F.lit(0).cast("bigint")
+        counts = known.select(*_KEYS.names, F.col("n").alias("n0"), zero.alias("d")).unionByName(
+            moved.select(*_KEYS.names, zero.alias("n0"), F.col("n").alias("d"))
+        )
+        line = counts.withColumn("role", _role(*_KEYS.names[:-1])).join(role, "role").groupBy("i", "value").agg(
+            *(F.sum(F.when(F.col("kind") == kind, F.col(n)).otherwise(0)).alias(f"{kind}_{n}") for kind in (USE, KEY) for n in ("n0", "d"))
+        )
+        has_parent = F.get(F.array(*(F.lit(isinstance(r, ParentRule)) for r in rules)), F.col("i"))
 
         def broken(n: Column, parent: Column) -> Column:
             without = F.when(parent <= 0, n).otherwise(0)
-            return F.when(F.col("parent").isNull(), F.greatest(n - 1, F.lit(0))).otherwise(without)
+            return F.when(has_parent, without).otherwise(F.greatest(n - 1, F.lit(0)))
 
-        change = broken(F.col("u0") + F.col("du"), F.col("k0") + F.col("dk")) - broken(F.col("u0"), F.col("k0"))
-        return line.groupBy("table_name", "rule").agg(F.sum(change).alias("n")).withColumn("kind", F.lit(SUM))
+        uses, keys = F.col("use_n0"), F.col("key_n0")
+        change = broken(uses + F.col("use_d"), keys + F.col("key_d")) - broken(uses, keys)
+        of = {c: F.get(F.array(*(F.lit(getattr(r, a)) for r in rules)), F.col("i")) for c, a in (("table_name", "table"), ("rule", "name"))}
+        summed = line.groupBy("i").agg(F.sum(change).alias("n"))
+        return summed.select(F.lit(SUM).alias("kind"), *(name.alias(c) for c, name in of.items()), "n")
 
     def violations(self) -> DataFrame:
         """(table_name, rule, violations) of every rule; only the sums are read."""
-        none = self.spark.createDataFrame([(r.table, r.name, 0) for r in self.rules], "table_name string, rule string, n bigint")
+        names = F.array(*(F.struct(F.lit(r.table).alias("table_name"), F.lit(r.name).alias("rule")) for r in self.rules))
+        none = self.spark.range(1, numPartitions=1).select(F.inline(names)).withColumn("n", F.lit(0).cast("bigint"))
         found = self.state.load([SUM]).select("table_name", "rule", "n")
         return none.unionByName(found).groupBy("table_name", "rule").agg(F.sum("n").alias("violations"))

@@ -92,13 +92,15 @@ class VersionedTable:
     def parts(self) -> list[str]:
         return sorted(self.entry()["parts"])
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        # The order columns split a partition that holds much of the table.
+        keys = [F.col(c) for c in ("_part", *self.order)]
+        return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
     def _written(self, df: DataFrame) -> dict[str, list[str]]:
         """Writes the rows below a new name; folders by partition."""
         folder = f"data-{uuid.uuid4().hex}"
-        # The order columns split a partition that holds much of the table.
-        keys = [F.col(c) for c in ("_part", *self.order)]
-        rows = df.withColumn("_part", self.part).repartitionByRange(*keys).sortWithinPartitions(*keys)
-        rows.write.partitionBy("_part").parquet(f"{self.path}/{folder}")
+        self._dealt(df.withColumn("_part", self.part)).write.partitionBy("_part").parquet(f"{self.path}/{folder}")
         found = self.log._files.listStatus(self.log._fs.Path(f"{self.path}/{folder}"))
         names = [s.getPath().getName() for s in found if s.isDirectory()]
         return {n.removeprefix("_part="): [f"{folder}/{n}"] for n in names if n.startswith("_part=")}
@@ -135,11 +137,15 @@ class VersionedTable:
 
     def add(self, df: DataFrame, **noted) -> None:
         """Adds rows as changes, with what is noted in the entry."""
-        written = self._written(df)
+        self.take_in([self._written(df)], **noted)
+
+    def take_in(self, written: list[dict[str, list[str]]], **noted) -> None:
+        """Names what ``_written`` has written as changes, all in one entry."""
 
         def step(entry: dict) -> dict:
-            for part, folders in written.items():
-                entry["changes"].setdefault(part, []).extend(folders)
+            for folders_by_part in written:
+                for part, folders in folders_by_part.items():
+                    entry["changes"].setdefault(part, []).extend(folders)
             return {**entry, **noted}
 
         self.change(step)
@@ -151,7 +157,8 @@ class VersionedTable:
     def _of(self, folders: dict[str, list[str]], parts: Iterable[str] | None, schema: StructType) -> DataFrame:
         named = [f for p, some in sorted(folders.items()) if parts is None or p in set(parts) for f in some]
         if not named:
-            return self.spark.createDataFrame([], schema)
+            blank = (F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields)
+            return self.spark.range(1, numPartitions=1).select(*blank).where(F.lit(False))
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/{f}" for f in named))
 
     def load(self, parts: Iterable[str] | None = None) -> DataFrame:
@@ -279,10 +286,24 @@ class CountTable(VersionedTable):
     def __init__(self, spark: SparkSession, path: str, keys: StructType, part: Column):
         super().__init__(spark, path, StructType([*keys.fields, StructField("n", LongType())]), part, tuple(keys.names))
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Readers sum whole buckets, so rows need no order: a bucket's rows are dealt
+        by size, without a sample of what they are computed from and without a sort."""
+        return rows.hint("rebalance", "_part")
+
+    def stored(self, df: DataFrame) -> tuple[dict[str, list[str]], DataFrame]:
+        """Additions written but not yet named by an entry: their folders by
+        partition, for ``take_in``, and their rows."""
+        written = self._written(df)
+        return written, self._of(written, None, self.schema)
+
+    def rows(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
+        """(keys, n): counts and additions as they are stored."""
+        return self.read(entry, parts).unionByName(self._of(entry["changes"], parts, self.schema))
+
     def counts(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
         """(keys, n) without zeros."""
-        both = self.read(entry, parts).unionByName(self._of(entry["changes"], parts, self.schema))
-        return both.groupBy(*self.order).agg(F.sum("n").alias("n")).where("n <> 0")
+        return self.rows(entry, parts).groupBy(*self.order).agg(F.sum("n").alias("n")).where("n <> 0")
 
     def load(self, parts: Iterable[str] | None = None) -> DataFrame:
         return self.counts(self.entry(), parts)

@@ -332,3 +332,21 @@ def test_days_of_age():
     for units in due.AGE_STEPS:
         d = due.days_of_age(units)
         assert [(200 * 100 * x + 36525) // 73050 >= units for x in (d - 1, d)] == [False, True]
+
+
+def test_counts_of_a_feed_are_written_once_and_meet_in_one_grouping(spark, small, tmp_path):
+    """A feed's counts go straight to the state: they are written and read once, and
+    uses and parents are not joined but summed together."""
+    from assetops import storage
+
+    state = constraint_state.ConstraintState(spark, str(tmp_path), quality.canonical_rules())
+    before = len(storage._written)
+    state.apply({name: constraint_state.whole(df) for name, df in small.items()}, batch=0)
+    assert len(storage._written) == before
+    entry = state.state.entry()
+    one = small.equipment.where("EquipmentID = 5")
+    found, moved = state.state.stored(state._key_counts(state._images(constraint_state.whole(one)), "equipment", [], ["EquipmentID"]))
+    assert [tuple(r) for r in moved.collect()] == [("key", None, None, "equipment", "5", 1)]
+    assert state.state.entry() == entry and len(found) == 1  # not named yet
+    text = state._moved_sums(entry, sorted(found), moved)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and "Window" not in text and text.count("Exchange hashpartitioning(i#") == 2
