@@ -3,9 +3,9 @@
 Stored are, per key rule, how often every value is used, per parent how often it
 has every key, and per rule the violations.  A feed changes these counts by +1 for
 a new image and -1 for an old one; a rule's violations change only through values
-whose uses or whose parent changed, so only those values are looked up, in the
-buckets they lie in.  All counts of a feed go into one step of one table: a stop
-leaves the state before or after the feed, and a feed that comes again is skipped.
+whose uses or whose parent changed, so only the buckets these lie in are read.  All
+counts of a feed go into one step of one table: a stop leaves the state before or
+after the feed, and a feed that comes again is skipped.
 """
 
 from __future__ import annotations
